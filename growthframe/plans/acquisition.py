@@ -1,0 +1 @@
+"""Paired queries: acquisition."""
