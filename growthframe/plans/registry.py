@@ -34,16 +34,11 @@ def paired(name: str, sql: str | None = None, covers: tuple[str, ...] = ()):
 
 def load_all() -> None:
     """Import every plan module so that its queries register."""
-    from growthframe.plans import (  # noqa: F401
-        acquisition,
-        ads,
-        cohorts,
-        commerce,
-        consent,
-        events,
-        monitoring,
-        periods,
-        primitives,
-        state,
-        subscriptions,
-    )
+    import importlib
+    import pkgutil
+
+    import growthframe.plans as pkg
+
+    for m in sorted(pkgutil.iter_modules(pkg.__path__), key=lambda x: x.name):
+        if m.name != "registry":
+            importlib.import_module(f"growthframe.plans.{m.name}")
