@@ -41,12 +41,12 @@ def range_join(facts: DataFrame, intervals: DataFrame, keys: Sequence[str], ts:
     """Fact rows joined to the interval (same keys) that contains their time:
     ``valid_from <= ts < valid_to``. The equality keys make it a sort-merge / hash join with a
     residual range filter, never a nested loop."""
-    cond = [facts[k] == intervals[k] for k in keys] + [
-        intervals["valid_from"] <= facts[ts], facts[ts] < intervals["valid_to"]]
-    out = facts.join(intervals, cond, "left")
+    iv = intervals
     for k in keys:
-        out = out.drop(intervals[k])
-    return out
+        iv = iv.withColumnRenamed(k, f"_iv_{k}")
+    cond = [facts[k] == iv[f"_iv_{k}"] for k in keys] + [
+        iv["valid_from"] <= facts[ts], facts[ts] < iv["valid_to"]]
+    return facts.join(iv, cond, "left").drop(*[f"_iv_{k}" for k in keys])
 
 
 def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: str, right_ts: str,
@@ -172,6 +172,6 @@ def milestones(history: DataFrame, key: str, ts: str, state: str, states: Sequen
         aggs.append(F.max(F.when(F.col(state) == s, F.col(ts))).alias(f"last_{s}"))
     g = history.groupBy(key).agg(*aggs)
     for a, b in zip(states, states[1:]):
-        g = g.withColumn(f"hours_{a}_to_{b}", (F.unix_timestamp(F.col(f"first_{b}").cast("timestamp"))
-                                               - F.unix_timestamp(F.col(f"first_{a}").cast("timestamp"))) / 3600.0)
+        g = g.withColumn(f"hours_{a}_to_{b}", (F.unix_micros(F.col(f"first_{b}").cast("timestamp"))
+                                               - F.unix_micros(F.col(f"first_{a}").cast("timestamp"))) / 3.6e9)
     return g

@@ -1 +1,203 @@
-"""Paired queries: state."""
+"""Paired queries for histories, intervals, as-of lookups and timings (J5, J7, K98-K105).
+
+Stand-ins: a history = ``events`` per user ordered by (ts, event_id), tracked value
+``value > 250``; items with a lifetime = orders open from order date for
+``o_orderkey % 20`` days; opening hours inline (fixed values below).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from growthframe.functions.semantics import round_half_up
+from growthframe.operators import state as ST
+from growthframe.plans.registry import paired
+from growthframe.sources.tables import load
+
+END = "2024-01-31"
+
+
+@paired("j5_range_join_open_end", f"""
+WITH h AS (SELECT user_id, ts, event_id, CASE WHEN value > 250 THEN 'premium' ELSE 'basic' END AS plan
+           FROM events WHERE event_type = 'purchase'),
+iv AS (SELECT user_id, plan, ts AS valid_from,
+              COALESCE(LEAD(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id), TIMESTAMP '{END}') AS valid_to FROM h)
+SELECT e.event_id, e.user_id, iv.plan FROM events e LEFT JOIN iv
+  ON iv.user_id = e.user_id AND iv.valid_from <= e.ts AND e.ts < iv.valid_to
+WHERE e.event_type = 'view'
+""", covers=("J5", "W7"))
+def j5(spark, sf):
+    e = load(spark, sf, "events")
+    h = e.filter(F.col("event_type") == "purchase").select(
+        "user_id", "ts", "event_id", F.when(F.col("value") > 250, "premium").otherwise("basic").alias("plan"))
+    iv = ST.version_intervals(h, ["user_id"], "ts", "event_id", F.lit(END).cast("timestamp_ntz")) \
+        .select("user_id", "plan", "valid_from", "valid_to")
+    v = e.filter(F.col("event_type") == "view").select("event_id", "user_id", "ts")
+    return ST.range_join(v, iv, ["user_id"], "ts").select("event_id", "user_id", "plan")
+
+
+@paired("j7_asof_join", """
+WITH v AS (SELECT event_id, user_id, ts FROM events WHERE event_type = 'view'),
+p AS (SELECT user_id, ts AS price_ts, value AS price FROM events WHERE event_type = 'purchase')
+SELECT v.event_id, v.user_id, v.ts, p.price AS asof_price, p.price_ts AS asof_price_ts
+FROM v ASOF LEFT JOIN p ON v.user_id = p.user_id AND v.ts >= p.price_ts
+""", covers=("J7", "W9", "K99"))
+def j7(spark, sf):
+    e = load(spark, sf, "events")
+    v = e.filter(F.col("event_type") == "view").select("event_id", "user_id", "ts")
+    p = e.filter(F.col("event_type") == "purchase").select("user_id", F.col("ts").alias("price_ts"),
+                                                            F.col("value").alias("price"))
+    return ST.asof_join(v, p, ["user_id"], "ts", "price_ts", ["price", "price_ts"])
+
+
+@paired("k98_intervals_to_days", f"""
+WITH o AS (SELECT o_custkey, CAST(o_orderdate AS DATE) AS s,
+                  CASE WHEN o_orderstatus = 'O' THEN NULL ELSE CAST(o_orderdate AS DATE) + CAST(o_orderkey % 20 AS INTEGER) END AS e,
+                  o_orderpriority = '1-URGENT' AS urgent
+           FROM orders WHERE o_orderdate >= TIMESTAMP '2001-01-01'),
+d AS (SELECT o_custkey, urgent, unnest(generate_series(s, COALESCE(e, DATE '2001-08-01'), INTERVAL 1 DAY)) AS d FROM o
+      WHERE COALESCE(e, DATE '2001-08-01') >= s)
+SELECT o_custkey, CAST(d AS DATE) AS d, bool_or(true) AS is_open, bool_or(urgent) AS is_urgent FROM d GROUP BY 1, 2
+""", covers=("K98", "J5", "M25"))
+def k98(spark, sf):
+    o = load(spark, sf, "orders").filter(F.col("o_orderdate") >= F.lit("2001-01-01").cast("timestamp_ntz"))
+    o = o.withColumn("e", F.when(F.col("o_orderstatus") == "O", F.lit(None).cast("date"))
+                     .otherwise(F.date_add(F.to_date("o_orderdate"), (F.col("o_orderkey") % 20).cast("int"))))
+    return ST.intervals_to_days(o, ["o_custkey"], "o_orderdate", "e",
+                                {"is_open": F.lit(True), "is_urgent": F.col("o_orderpriority") == "1-URGENT"},
+                                F.lit("2001-08-01").cast("date"))
+
+
+@paired("k99_state_asof_days", f"""
+WITH h AS (SELECT user_id, CAST(ts AS DATE) AS d, arg_max(value > 250, (ts, event_id)) AS premium FROM events GROUP BY 1, 2),
+iv AS (SELECT *, COALESCE(LEAD(d) OVER (PARTITION BY user_id ORDER BY d) - INTERVAL 1 DAY, DATE '{END}') AS t FROM h)
+SELECT user_id, premium, CAST(unnest(generate_series(d, CAST(t AS DATE), INTERVAL 1 DAY)) AS DATE) AS day FROM iv
+""", covers=("K99", "J7", "W9"))
+def k99(spark, sf):
+    e = load(spark, sf, "events").withColumn("premium", F.col("value") > 250)
+    return ST.state_asof_days(e, ["user_id"], "ts", "event_id", "premium", END)
+
+
+@paired("k100_status_changes", """
+WITH h AS (SELECT user_id, ts, event_id, CASE WHEN event_type = 'error' THEN 'inactive' ELSE 'active' END AS status FROM events),
+l AS (SELECT *, LAG(status) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS previous_status FROM h)
+SELECT user_id, ts, event_id, status, previous_status FROM l WHERE previous_status IS DISTINCT FROM status
+""", covers=("K100", "P10"))
+def k100(spark, sf):
+    e = load(spark, sf, "events").withColumn(
+        "status", F.when(F.col("event_type") == "error", "inactive").otherwise("active"))
+    return ST.status_changes(e, ["user_id"], ["ts", "event_id"], "status").select(
+        "user_id", "ts", "event_id", "status", "previous_status")
+
+
+@paired("k100_first_inactive", """
+SELECT user_id, MIN(CASE WHEN event_type = 'error' THEN ts END) AS first_inactive_at FROM events GROUP BY 1
+""", covers=("K100",))
+def k100b(spark, sf):
+    e = load(spark, sf, "events").withColumn(
+        "status", F.when(F.col("event_type") == "error", "inactive").otherwise("active"))
+    return ST.first_status_date(e, ["user_id"], "ts", "status", "inactive")
+
+
+@paired("k101_open_items_by_day", """
+WITH o AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS s,
+                  CASE WHEN o_orderstatus = 'O' THEN NULL ELSE CAST(o_orderdate AS DATE) + CAST(o_orderkey % 20 AS INTEGER) END AS c
+           FROM orders),
+d AS (SELECT o_orderkey, unnest(generate_series(s, COALESCE(c - INTERVAL 1 DAY, DATE '2001-08-01'), INTERVAL 1 DAY)) AS d FROM o
+      WHERE COALESCE(c - INTERVAL 1 DAY, DATE '2001-08-01') >= s)
+SELECT CAST(d AS DATE) AS d, COUNT(DISTINCT o_orderkey) AS open_items FROM d GROUP BY 1
+""", covers=("K101", "A4"))
+def k101(spark, sf):
+    o = load(spark, sf, "orders").withColumn(
+        "c", F.when(F.col("o_orderstatus") == "O", F.lit(None).cast("date"))
+        .otherwise(F.date_add(F.to_date("o_orderdate"), (F.col("o_orderkey") % 20).cast("int"))))
+    return ST.open_items_by_day(o, "o_orderkey", "o_orderdate", "c", "2001-08-01")
+
+
+@paired("k102_daily_state_fact", """
+WITH o AS (SELECT o_custkey, CAST(o_orderdate AS DATE) AS s, CAST(o_orderdate AS DATE) + CAST(o_orderkey % 20 AS INTEGER) AS e, o_orderpriority
+           FROM orders WHERE o_orderdate >= TIMESTAMP '2001-01-01'),
+od AS (SELECT DISTINCT o_custkey, CAST(unnest(generate_series(s, e, INTERVAL 1 DAY)) AS DATE) AS d FROM o),
+ow AS (SELECT o_custkey, CAST(unnest(generate_series(s, e, INTERVAL 1 DAY)) AS DATE) AS d, o_orderpriority FROM o),
+owner AS (SELECT o_custkey, d, MIN(o_orderpriority) AS owner FROM ow GROUP BY 1, 2),
+act AS (SELECT l.l_suppkey % 150 AS o_custkey, CAST(l_shipdate AS DATE) AS d, COUNT(*) AS activity FROM lineitem l GROUP BY 1, 2),
+won AS (SELECT o_custkey, CAST(o_orderdate AS DATE) AS d, SUM(o_totalprice) AS won_revenue FROM orders WHERE o_orderstatus = 'F' GROUP BY 1, 2)
+SELECT od.o_custkey, od.d, owner.owner, COALESCE(act.activity, 0) AS activity,
+       CAST(ROUND(CAST(COALESCE(won.won_revenue, 0.0) AS DECIMAL(38,6)), 2) AS DOUBLE) AS won_revenue
+FROM od LEFT JOIN owner USING (o_custkey, d) LEFT JOIN act USING (o_custkey, d) LEFT JOIN won USING (o_custkey, d)
+""", covers=("K102", "J5", "J2"))
+def k102(spark, sf):
+    o = load(spark, sf, "orders")
+    oo = o.filter(F.col("o_orderdate") >= F.lit("2001-01-01").cast("timestamp_ntz")).select(
+        "o_custkey", "o_orderpriority", F.to_date("o_orderdate").alias("s"),
+        F.date_add(F.to_date("o_orderdate"), (F.col("o_orderkey") % 20).cast("int")).alias("e"))
+    days = oo.select("o_custkey", "o_orderpriority", F.explode(F.sequence("s", "e")).alias("d"))
+    open_days = days.select("o_custkey", "d").distinct()
+    owners = days.groupBy("o_custkey", "d").agg(F.min("o_orderpriority").alias("owner"))
+    li = load(spark, sf, "lineitem")
+    act = li.groupBy((F.col("l_suppkey") % 150).alias("o_custkey"), F.to_date("l_shipdate").alias("d")).agg(
+        F.count("*").alias("activity"))
+    won = o.filter(F.col("o_orderstatus") == "F").groupBy("o_custkey", F.to_date("o_orderdate").alias("d")).agg(
+        F.sum("o_totalprice").alias("won_revenue"))
+    f = ST.daily_state_fact(open_days, owners, act, won, "o_custkey")
+    return f.select("o_custkey", "d", "owner", "activity", round_half_up("won_revenue", 2).alias("won_revenue"))
+
+
+@paired("k103_price_per_unit", """
+WITH x AS (SELECT DISTINCT n.n_name AS city, p.p_type, p.p_partkey, p.p_retailprice / p.p_size AS price_per_unit
+           FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey JOIN supplier s ON s.s_suppkey = l.l_suppkey
+           JOIN nation n ON n.n_nationkey = s.s_nationkey),
+t AS (SELECT quantile_cont(price_per_unit, 0.99) AS cut FROM x)
+SELECT city, p_type, CAST(ROUND(CAST(quantile_cont(price_per_unit, 0.5) AS DECIMAL(38,6)), 4) AS DOUBLE) AS median_value, COUNT(*) AS n
+FROM x, t WHERE price_per_unit <= t.cut GROUP BY 1, 2
+""", covers=("K103", "A17", "J19", "W16"))
+def k103(spark, sf):
+    li, p = load(spark, sf, "lineitem"), load(spark, sf, "part")
+    s, n = load(spark, sf, "supplier"), load(spark, sf, "nation")
+    x = (li.join(p, li.l_partkey == p.p_partkey).join(s, li.l_suppkey == s.s_suppkey)
+         .join(n, s.s_nationkey == n.n_nationkey)
+         .select(F.col("n_name").alias("city"), "p_type", "p_partkey",
+                 (F.col("p_retailprice") / F.col("p_size")).alias("price_per_unit")).distinct())
+    out = ST.price_per_unit(x, ["city", "p_type"], "price_per_unit")
+    return out.withColumn("median_value", round_half_up("median_value", 4))
+
+
+# Fixed values of the stand-in: opening hours (ISO weekday, opens, closes) in seconds since midnight.
+OPENING_HOURS = [(1, 9 * 3600, 18 * 3600), (2, 9 * 3600, 18 * 3600), (3, 9 * 3600, 18 * 3600),
+                 (4, 9 * 3600, 18 * 3600), (5, 9 * 3600, 18 * 3600), (6, 10 * 3600, 16 * 3600)]
+
+
+@paired("k104_business_seconds", """
+WITH o AS (SELECT o_orderkey, o_orderdate + to_seconds((o_orderkey * 7919) % 86400) AS s FROM orders),
+o2 AS (SELECT o_orderkey, s, s + to_seconds(o_orderkey % 200000) AS e FROM o),
+h AS (SELECT * FROM (VALUES (1, 32400, 64800), (2, 32400, 64800), (3, 32400, 64800), (4, 32400, 64800), (5, 32400, 64800),
+                            (6, 36000, 57600)) v(iso_weekday, open_seconds, close_seconds)),
+d AS (SELECT o_orderkey, s, e, CAST(unnest(generate_series(CAST(s AS DATE), CAST(e AS DATE), INTERVAL 1 DAY)) AS DATE) AS day FROM o2),
+j AS (SELECT d.*, h.open_seconds, h.close_seconds FROM d LEFT JOIN h ON h.iso_weekday = isodow(d.day))
+SELECT o_orderkey, s AS start_ts, e AS end_ts,
+  CAST(SUM(COALESCE(greatest(0, least(epoch(e), epoch(CAST(day AS TIMESTAMP)) + close_seconds)
+                              - greatest(epoch(s), epoch(CAST(day AS TIMESTAMP)) + open_seconds)), 0)) AS BIGINT) AS business_seconds
+FROM j GROUP BY 1, 2, 3
+""", covers=("K104", "F-d9", "F-d10", "M6"))
+def k104(spark, sf):
+    o = load(spark, sf, "orders").select(
+        "o_orderkey", (F.col("o_orderdate") + F.make_interval(secs=((F.col("o_orderkey") * 7919) % 86400)))
+        .alias("start_ts"))
+    o = o.withColumn("end_ts", F.col("start_ts") + F.make_interval(secs=(F.col("o_orderkey") % 200000)))
+    hours = spark.createDataFrame(OPENING_HOURS, "iso_weekday int, open_seconds long, close_seconds long")
+    return ST.business_seconds(o, "start_ts", "end_ts", hours)
+
+
+@paired("k105_milestones", """
+SELECT user_id,
+  MIN(CASE WHEN event_type = 'signup' THEN ts END) AS first_signup, MAX(CASE WHEN event_type = 'signup' THEN ts END) AS last_signup,
+  MIN(CASE WHEN event_type = 'click' THEN ts END) AS first_click, MAX(CASE WHEN event_type = 'click' THEN ts END) AS last_click,
+  MIN(CASE WHEN event_type = 'purchase' THEN ts END) AS first_purchase, MAX(CASE WHEN event_type = 'purchase' THEN ts END) AS last_purchase,
+  ROUND((epoch(MIN(CASE WHEN event_type = 'click' THEN ts END)) - epoch(MIN(CASE WHEN event_type = 'signup' THEN ts END))) / 3600.0, 4) AS hours_signup_to_click,
+  ROUND((epoch(MIN(CASE WHEN event_type = 'purchase' THEN ts END)) - epoch(MIN(CASE WHEN event_type = 'click' THEN ts END))) / 3600.0, 4) AS hours_click_to_purchase
+FROM events GROUP BY 1
+""", covers=("K105", "A3", "F-d5"))
+def k105(spark, sf):
+    m = ST.milestones(load(spark, sf, "events"), "user_id", "ts", "event_type", ["signup", "click", "purchase"])
+    return m.withColumn("hours_signup_to_click", F.round("hours_signup_to_click", 4)) \
+        .withColumn("hours_click_to_purchase", F.round("hours_click_to_purchase", 4))
