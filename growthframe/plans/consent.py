@@ -1 +1,114 @@
-"""Paired queries: consent."""
+"""Paired queries for consent histories.
+
+Stand-ins: consent history = ``events`` per user ordered by (ts, event_id) with
+``optin = value > 250`` (NULL on error events), valid unless the event is a click; a
+purchase = purchase event, store = ``'store_' || k % 3``.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from growthframe.operators import consent as CO
+from growthframe.plans.registry import paired
+from growthframe.sources.tables import load
+
+HIST_SQL = """
+WITH hist AS (SELECT user_id, ts, event_id, event_type, CASE WHEN event_type = 'error' THEN NULL ELSE value > 250 END AS optin,
+                     'store_' || CAST(CAST(json_extract_string(props, '$.k') AS BIGINT) % 3 AS VARCHAR) AS store FROM events),
+lg AS (SELECT *, LAG(optin) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS prev FROM hist),
+sw AS (SELECT user_id, ts AS switch_ts, event_id FROM lg
+       WHERE COALESCE(optin, false) AND NOT COALESCE(prev, false) AND event_type <> 'click'),
+p AS (SELECT user_id, ts, event_id, store FROM hist WHERE event_type = 'purchase')"""
+
+
+def hist(spark, sf):
+    e = load(spark, sf, "events")
+    k = F.get_json_object("props", "$.k").cast("long")
+    return e.select("user_id", "ts", "event_id", "event_type",
+                    F.when(F.col("event_type") == "error", F.lit(None)).otherwise(F.col("value") > 250).alias("optin"),
+                    F.concat(F.lit("store_"), (k % 3).cast("string")).alias("store"))
+
+
+def switches(spark, sf):
+    h = hist(spark, sf)
+    return CO.optin_switches(h, "user_id", ["ts", "event_id"], "optin", F.col("event_type") != "click").select(
+        "user_id", F.col("ts").alias("switch_ts"), "event_id")
+
+
+@paired("k64_optin_switches", HIST_SQL + """
+SELECT user_id, switch_ts, event_id FROM sw
+""", covers=("K64", "W5", "P11"))
+def k64(spark, sf):
+    return switches(spark, sf)
+
+
+@paired("k65_optin_at_purchase", HIST_SQL + """
+, f AS (SELECT user_id, MIN(switch_ts) AS first_switch_ts FROM sw GROUP BY 1)
+SELECT p.user_id, p.ts, p.event_id, p.store, s.switch_ts AS next_switch_ts, f.first_switch_ts
+FROM p ASOF LEFT JOIN sw s ON p.user_id = s.user_id AND p.ts <= s.switch_ts
+LEFT JOIN f ON f.user_id = p.user_id
+""", covers=("K65", "J7"))
+def k65(spark, sf):
+    h = hist(spark, sf)
+    p = h.filter(F.col("event_type") == "purchase").select("user_id", "ts", "event_id", "store")
+    out = CO.optin_at_purchase(p, switches(spark, sf).drop("event_id"), "user_id", "ts", "switch_ts", [])
+    return out.select("user_id", "ts", "event_id", "store", "next_switch_ts", "first_switch_ts")
+
+
+@paired("k66_optin_before_after", HIST_SQL + """
+, fo AS (SELECT user_id, MIN(ts) AS ts FROM p GROUP BY 1),
+b AS (SELECT fo.user_id, fo.ts, h.optin AS optin_before FROM fo ASOF LEFT JOIN hist h ON fo.user_id = h.user_id AND fo.ts > h.ts),
+a AS (SELECT fo.user_id, fo.ts, h.optin AS optin_after FROM fo ASOF LEFT JOIN hist h ON fo.user_id = h.user_id AND fo.ts <= h.ts)
+SELECT b.user_id, b.ts, b.optin_before, a.optin_after FROM b JOIN a USING (user_id, ts)
+""", covers=("K66", "J7"))
+def k66(spark, sf):
+    h = hist(spark, sf)
+    fo = h.filter(F.col("event_type") == "purchase").groupBy("user_id").agg(F.min("ts").alias("ts"))
+    out = CO.optin_before_after(fo, h, "user_id", "ts", "ts", "optin")
+    return out.select("user_id", "ts", "optin_before", "optin_after")
+
+
+@paired("k67_optin_at_period_end", HIST_SQL + """
+, s AS (SELECT user_id, arg_max(optin, ts) AS optin_at_end FROM hist WHERE ts <= TIMESTAMP '2024-01-20' GROUP BY 1),
+o AS (SELECT user_id, arg_max(store, (ts, store)) AS last_store, MAX(ts) AS last_order_ts FROM p
+      WHERE ts <= TIMESTAMP '2024-01-20' GROUP BY 1)
+SELECT COALESCE(s.user_id, o.user_id) AS user_id, s.optin_at_end, o.last_store, o.last_order_ts,
+       COALESCE(o.last_order_ts >= TIMESTAMP '2024-01-20' - INTERVAL 7 DAY, false) AS active
+FROM s FULL JOIN o ON s.user_id = o.user_id
+""", covers=("K67", "O3"))
+def k67(spark, sf):
+    h = hist(spark, sf)
+    p = h.filter(F.col("event_type") == "purchase")
+    out = CO.optin_at_period_end(h, p, "user_id", "ts", "optin", "ts", "store", "2024-01-20", 7)
+    return out.select("user_id", "optin_at_end", "last_store", "last_order_ts", "active")
+
+
+@paired("k68_store_optin_kpis", HIST_SQL + """
+, st AS (SELECT p.*, COALESCE(h.optin, false) AS optin_at FROM p ASOF LEFT JOIN hist h ON p.user_id = h.user_id AND p.ts >= h.ts),
+fs AS (SELECT user_id, MIN(switch_ts) AS first_switch_ts FROM sw GROUP BY 1),
+x AS (SELECT st.*, CAST(st.ts AS DATE) AS d, fs.first_switch_ts FROM st LEFT JOIN fs USING (user_id)),
+g AS (SELECT d, store, COUNT(DISTINCT user_id) AS buyers, COUNT(DISTINCT CASE WHEN optin_at THEN user_id END) AS buyers_opted_in,
+             COUNT(DISTINCT CASE WHEN CAST(first_switch_ts AS DATE) = d THEN user_id END) AS new_optins FROM x GROUP BY 1, 2),
+fi AS (SELECT store, user_id, MIN(d) AS d FROM x WHERE optin_at GROUP BY 1, 2),
+pd AS (SELECT store, d, COUNT(*) AS n FROM fi GROUP BY 1, 2),
+cum AS (SELECT store, d, SUM(n) OVER (PARTITION BY store ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS c FROM pd),
+j AS (SELECT COALESCE(g.store, cum.store) AS store, COALESCE(g.d, cum.d) AS d, g.buyers, g.buyers_opted_in, g.new_optins, cum.c
+      FROM g FULL JOIN cum ON g.store = cum.store AND g.d = cum.d)
+SELECT store, d, COALESCE(buyers, 0) AS buyers, COALESCE(buyers_opted_in, 0) AS buyers_opted_in, COALESCE(new_optins, 0) AS new_optins,
+  CAST(COALESCE(last_value(c IGNORE NULLS) OVER (PARTITION BY store ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 0) AS BIGINT)
+    AS opted_in_buyers_cumulative
+FROM j
+""", covers=("K68", "W14", "W15", "A4"))
+def k68(spark, sf):
+    from growthframe.operators.state import asof_join
+    h = hist(spark, sf)
+    p = h.filter(F.col("event_type") == "purchase").select("user_id", "ts", "event_id", "store")
+    st = asof_join(p, h.select("user_id", F.col("ts").alias("h_ts"), "optin"), ["user_id"], "ts", "h_ts", ["optin"],
+                   prefix="state_")
+    st = st.withColumn("optin_at", F.coalesce("state_optin", F.lit(False)))
+    fs = switches(spark, sf).groupBy("user_id").agg(F.min("switch_ts").alias("first_switch_ts"))
+    x = st.join(fs, "user_id", "left")
+    out = CO.store_optin_kpis(x, "user_id", "store", "ts", "optin_at", "first_switch_ts")
+    return out.select("store", "d", "buyers", "buyers_opted_in", "new_optins",
+                      F.col("opted_in_buyers_cumulative").cast("long").alias("opted_in_buyers_cumulative"))
