@@ -156,7 +156,7 @@ def parse_date_any(s: ColumnOrName, *formats: str) -> Column:
     """SAFE.PARSE_DATE over several formats, first that parses wins (F-d1)."""
     sc = _c(s)
     fmts = formats or ("yyyyMMdd", "yyyy-MM-dd", "dd/MM/yyyy")
-    return F.coalesce(*[F.try_to_date(sc, F.lit(f)) for f in fmts])
+    return F.coalesce(*[F.try_to_date(sc, f) for f in fmts])
 
 
 # ---------------------------------------------------------------- nested / ordered picks
