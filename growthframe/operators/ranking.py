@@ -15,11 +15,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_LOCAL_MASK = (1 << 33) - 1
+from growthframe.session import checkpoint_dir
 
 
 def exact_row_number(df: DataFrame, order: Sequence[Column | str], partition_cols: Sequence[str] = (),
-                     name: str = "rn", num_partitions: int | None = None, keep_total: bool = False) -> DataFrame:
+                     name: str = "rn", num_partitions: int | None = None, keep_total: bool = False,
+                     materialize: bool = True) -> DataFrame:
     """ROW_NUMBER() OVER ([PARTITION BY partition_cols] ORDER BY order), distributed.
 
     ``order`` must be a total order (add a unique tie-breaker). Ascending only; negate a
@@ -28,6 +29,12 @@ def exact_row_number(df: DataFrame, order: Sequence[Column | str], partition_col
     n = num_partitions or df.sparkSession.sparkContext.defaultParallelism * 2
     part = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
     part = part.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
+    if materialize:
+        # the numbered rows feed two branches (counts and the final join); a reliable
+        # checkpoint in spark.checkpoint.dir computes them once, cuts the lineage (nested
+        # rankings do not re-run their inputs) and survives executor loss
+        checkpoint_dir(df.sparkSession)
+        part = part.checkpoint(eager=True)
     gkeys = list(partition_cols)
     # a partition holds a contiguous key range, so inside it each group is a contiguous run;
     # the first id of the run anchors the local numbering of that group in that partition
