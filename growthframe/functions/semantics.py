@@ -78,6 +78,19 @@ def to_day(x: ColumnOrName) -> Column:
     return F.to_date(_c(x))
 
 
+_EPOCH_NTZ = "1970-01-01 00:00:00"
+
+
+def epoch_micros(ts: ColumnOrName) -> Column:
+    """Microseconds since the epoch of a civil (TIMESTAMP_NTZ) time, independent of the
+    session time zone (no daylight-saving gaps in differences)."""
+    return F.timestamp_diff("MICROSECOND", F.lit(_EPOCH_NTZ).cast("timestamp_ntz"), _c(ts).cast("timestamp_ntz"))
+
+
+def epoch_seconds(ts: ColumnOrName) -> Column:
+    return epoch_micros(ts) / 1_000_000
+
+
 def months_diff(end: ColumnOrName, start: ColumnOrName) -> Column:
     """DATE_DIFF(end, start, MONTH): month boundaries crossed (M4)."""
     e, s = _c(end), _c(start)

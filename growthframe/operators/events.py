@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from growthframe.functions.semantics import first_non_null, param_value, regex_group, round_half_up
+from growthframe.functions.semantics import epoch_micros, first_non_null, param_value, regex_group, round_half_up
 
 
 def event_params(df: DataFrame, arr: str, keys: dict[str, tuple[str, str]]) -> DataFrame:
@@ -27,7 +27,7 @@ def event_params(df: DataFrame, arr: str, keys: dict[str, tuple[str, str]]) -> D
 
 def _micros(ts: str | Column) -> Column:
     c = F.col(ts) if isinstance(ts, str) else ts
-    return F.unix_micros(c.cast("timestamp"))
+    return epoch_micros(c)
 
 
 def sessionize(df: DataFrame, user: str, ts: str, event_id: str, gap_minutes: int = 30,

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from growthframe.functions.semantics import epoch_seconds
+
 
 def snapshot_diff(current: DataFrame, earlier: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Rows whose multiplicity changed between two snapshots, with the signed delta.
@@ -21,7 +23,7 @@ def snapshot_diff(current: DataFrame, earlier: DataFrame, cols: Sequence[str]) -
 def freshness(df: DataFrame, ts: str, as_of, warn_hours: float = 24, error_hours: float = 48) -> DataFrame:
     """K114: age of the newest row at ``as_of`` and a pass / warn / error status."""
     g = df.agg(F.max(ts).alias("max_ts"))
-    age = (F.unix_timestamp(F.lit(as_of).cast("timestamp_ntz")) - F.unix_timestamp(F.col("max_ts"))) / 3600.0
+    age = (epoch_seconds(F.lit(as_of).cast("timestamp_ntz")) - epoch_seconds("max_ts")) / 3600.0
     return g.select("max_ts", F.round(age, 3).alias("age_hours"),
                     F.when(age > error_hours, "error").when(age > warn_hours, "warn").otherwise("pass")
                     .alias("status"))

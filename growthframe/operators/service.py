@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from growthframe.functions.semantics import epoch_micros, epoch_seconds
+
 
 def reply_pairs(messages: DataFrame, conv: str, order: str, role: str, team_role: str, customer_role: str,
                 ts: str | None = None) -> DataFrame:
@@ -23,8 +25,7 @@ def reply_pairs(messages: DataFrame, conv: str, order: str, role: str, team_role
         cust_ts = F.when(F.col(role) == customer_role, F.col(ts))
         x = x.withColumn("_last_customer_ts", F.last(cust_ts, ignorenulls=True).over(
             w.rowsBetween(Window.unboundedPreceding, -1)))
-        cols.append((F.unix_timestamp(F.col(ts).cast("timestamp"))
-                     - F.unix_timestamp(F.col("_last_customer_ts").cast("timestamp"))).alias("response_seconds"))
+        cols.append((epoch_seconds(ts) - epoch_seconds("_last_customer_ts")).alias("response_seconds"))
     firsts = x.filter((F.col(role) == team_role) & F.col("_new_run") & F.col("_last_customer").isNotNull())
     return firsts.select(*cols)
 
@@ -40,8 +41,8 @@ def first_assignments(events: DataFrame, key: str, ts: str, tie: str, is_start,
         F.min(F.when(is_start, F.col(ts))).alias("segment_start"),
         F.min(F.when(is_assignment, F.col(ts))).alias("first_assignment"))
     return g.select(key, F.col("_segment").alias("segment"), "segment_start", "first_assignment",
-                    ((F.unix_micros(F.col("first_assignment").cast("timestamp"))
-                      - F.unix_micros(F.col("segment_start").cast("timestamp"))) / 6e7).alias("minutes_to_assignment"))
+                    ((epoch_micros("first_assignment") - epoch_micros("segment_start")) / 6e7)
+                    .alias("minutes_to_assignment"))
 
 
 def on_time_rate(tasks: DataFrame, owner: str, due: str, completed: str) -> DataFrame:

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from growthframe.functions.semantics import iso_weekday
+from growthframe.functions.semantics import epoch_micros, epoch_seconds, iso_weekday
 
 
 def status_changes(history: DataFrame, keys: Sequence[str], order: Sequence[str], status: str) -> DataFrame:
@@ -153,11 +153,10 @@ def business_seconds(df: DataFrame, start: str, end: str, hours: DataFrame) -> D
     x = df.withColumn("_day", F.explode(F.sequence(F.to_date(s), F.to_date(e))))
     x = x.withColumn("iso_weekday", iso_weekday("_day"))
     x = x.join(F.broadcast(hours), "iso_weekday", "left")
-    day0 = F.unix_timestamp(F.col("_day").cast("timestamp"))
+    day0 = epoch_seconds(F.col("_day").cast("timestamp_ntz"))
     open_t = day0 + F.col("open_seconds")
     close_t = day0 + F.col("close_seconds")
-    ov = F.greatest(F.lit(0), F.least(F.unix_timestamp(e.cast("timestamp")), close_t)
-                    - F.greatest(F.unix_timestamp(s.cast("timestamp")), open_t))
+    ov = F.greatest(F.lit(0), F.least(epoch_seconds(e), close_t) - F.greatest(epoch_seconds(s), open_t))
     x = x.withColumn("_ov", F.coalesce(ov, F.lit(0)))
     keep = [c for c in df.columns]
     return x.groupBy(*keep).agg(F.sum("_ov").cast("long").alias("business_seconds"))
@@ -172,6 +171,5 @@ def milestones(history: DataFrame, key: str, ts: str, state: str, states: Sequen
         aggs.append(F.max(F.when(F.col(state) == s, F.col(ts))).alias(f"last_{s}"))
     g = history.groupBy(key).agg(*aggs)
     for a, b in zip(states, states[1:]):
-        g = g.withColumn(f"hours_{a}_to_{b}", (F.unix_micros(F.col(f"first_{b}").cast("timestamp"))
-                                               - F.unix_micros(F.col(f"first_{a}").cast("timestamp"))) / 3.6e9)
+        g = g.withColumn(f"hours_{a}_to_{b}", (epoch_micros(f"first_{b}") - epoch_micros(f"first_{a}")) / 3.6e9)
     return g

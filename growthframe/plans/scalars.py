@@ -72,7 +72,7 @@ def f_dates(spark, sf):
         F.hour(t2).alias("hh"), F.minute(t2).alias("mi"),
         F.make_date(F.year(d), F.month(d), F.lit(1)).alias("month_start"),
         F.make_timestamp_ntz(F.year(d), F.month(d), F.dayofmonth(d), F.lit(12), F.lit(30), F.lit(0)).alias("noon_thirty"),
-        F.timestamp_seconds(F.unix_timestamp(F.col("o_orderdate").cast("timestamp")) + F.col("o_orderkey"))
+        F.timestamp_seconds(S.epoch_seconds("o_orderdate").cast("long") + F.col("o_orderkey"))
         .cast("timestamp_ntz").alias("from_epoch"),
         F.from_utc_timestamp(F.col("o_orderdate").cast("timestamp"), "Europe/Paris").cast("timestamp_ntz")
         .alias("paris_time"),
