@@ -313,7 +313,8 @@ def ignore_touchpoints(t: DataFrame, ignored: DataFrame, keys: Sequence[str] = (
     """Drop touches whose (source, medium, campaign) equals an ignored triple; a NULL on
     either side never matches (plain equality in a left anti join)."""
     cond = reduce(lambda a, b: a & b, [t[k] == ignored[k] for k in keys])
-    return t.join(F.broadcast(ignored), cond, "left_anti")
+    # an equi-join: AQE broadcasts the ignore list when its measured size is small
+    return t.join(ignored, cond, "left_anti")
 
 
 def _pick(order_first: bool, cols: Sequence[str], cond: Column | None, ts: str, tid: str) -> Column:

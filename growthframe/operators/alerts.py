@@ -43,6 +43,7 @@ def zero_event_alerts(daily: DataFrame, history: DataFrame, holidays: DataFrame,
         F.max("alert_date").alias("last_alert_date"), F.min("alert_date").alias("first_alert_date"))
     x = x.join(last, PAIR, "left")
     hol = holidays.select(F.col("holiday_date")).distinct()
+    # holidays: a few rows per year
     x = x.withColumn("monitored_date", mon).join(F.broadcast(hol), F.col("monitored_date") == F.col("holiday_date"), "left")
     b2b_ok = (~F.col("website").like(b2b_pattern)) | (
         ~F.dayofweek("monitored_date").isin(1, 7) & F.col("holiday_date").isNull())

@@ -29,13 +29,17 @@ def spine_from_bounds(bounds: DataFrame, lo: str, hi: str, grain: str = "day", n
 
 
 def densify(df: DataFrame, spine: DataFrame, date_col: str, keys: Sequence[str],
-            fill: dict | None = None) -> DataFrame:
-    """Every (key, period) pair of the spine, measures filled (zero-filled by default).
-
-    Keys are the distinct key values of ``df``; the key set and the spine are both small
-    relative to the facts, and the join back to the facts is an equi-join on (keys, date)."""
+            fill: dict | None = None, grain: str = "day") -> DataFrame:
+    """Every (key, period) pair over the spine's range, measures filled.
+
+    Each distinct key generates its own period sequence between the spine's bounds (two
+    scalar subqueries), so no cross join is planned; the join back to the facts is an
+    equi-join on (keys, date)."""
+    sc = spine.columns[0]
+    lo = spine.agg(F.min(sc)).scalar()
+    hi = spine.agg(F.max(sc)).scalar()
     keyset = df.select(*keys).distinct()
-    grid = keyset.crossJoin(F.broadcast(spine.withColumnRenamed(spine.columns[0], date_col)))
+    grid = keyset.select(*keys, F.explode(F.sequence(lo, hi, F.expr(f"INTERVAL {_STEP[grain]}"))).alias(date_col))
     out = grid.join(df, [*keys, date_col], "left")
     if fill:
         out = out.fillna(fill)
@@ -107,6 +111,7 @@ def calendar(spine: DataFrame, date_col: str = "d") -> DataFrame:
         .otherwise(F.concat(F.lit("exercice "), y.cast("string"), F.lit("-"), (y + 1).cast("string")))
     day_name = F.date_format(d, "EEEE")
     weekend = day_name.isin("Saturday", "Sunday")
+    # holidays: 11 rows per year of the spine, a bounded table
     out = spine.join(F.broadcast(hol), d == F.col("holiday_date"), "left")
     return out.select(
         F.date_format(d, "yyyy-MM-dd").alias("id"), d.alias("date_actual"),

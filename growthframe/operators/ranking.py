@@ -44,9 +44,14 @@ def exact_row_number(df: DataFrame, order: Sequence[Column | str], partition_col
     offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))
     totals = counts.groupBy(*gkeys).agg(F.sum("_n").alias("_total")) if gkeys else \
         counts.agg(F.sum("_n").alias("_total"))
-    offsets = offsets.join(totals, gkeys) if gkeys else offsets.crossJoin(totals)
+    if gkeys:
+        offsets = offsets.join(totals, gkeys)
+    else:
+        offsets = offsets.withColumn("_total", totals.scalar())
     offsets = offsets.select("_pid", *gkeys, "_off", "_first", "_total")
-    out = part.join(F.broadcast(offsets), ["_pid", *gkeys])
+    # one row per partition (no groups): bounded by the partition count, broadcast; with
+    # groups the table has partitions x groups rows and AQE picks the join from its size
+    out = part.join(F.broadcast(offsets) if not gkeys else offsets, ["_pid", *gkeys])
     out = (out.withColumn(name, F.col("_off") + (F.col("_mid") - F.col("_first")) + 1)
            .drop("_pid", "_mid", "_off", "_first"))
     return out if keep_total else out.drop("_total")

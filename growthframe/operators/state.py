@@ -120,8 +120,20 @@ def open_items_by_day(items: DataFrame, item: str, created: str, completed: str,
     completed before it; open until ``end`` when never completed)."""
     s = F.to_date(F.col(created))
     e = F.coalesce(F.date_sub(F.to_date(F.col(completed)), 1), F.lit(end).cast("date"))
-    x = items.filter(e >= s).select(item, F.explode(F.sequence(s, e)).alias("d"))
-    return x.groupBy("d").agg(F.countDistinct(item).alias("open_items"))
+    # sweep: +1 on the first open day, -1 the day after the last; a running sum over a day
+    # spine gives the open count. Work is O(items + days) instead of O(items x open days)
+    # (an item open for years would otherwise explode into one row per day).
+    iv = items.select(item, s.alias("_s"), e.alias("_e")).filter(F.col("_e") >= F.col("_s")) \
+        .groupBy(item).agg(F.min("_s").alias("_s"), F.max("_e").alias("_e"))  # one interval per item
+    changes = iv.select(F.col("_s").alias("d"), F.lit(1).alias("_c")).unionByName(
+        iv.select(F.date_add("_e", 1).alias("d"), F.lit(-1).alias("_c"))).groupBy("d").agg(F.sum("_c").alias("_c"))
+    lo = iv.agg(F.min("_s")).scalar()
+    hi = iv.agg(F.max("_e")).scalar()
+    days = items.sparkSession.range(1).select(F.explode(F.sequence(lo, hi)).alias("d"))
+    # one row per calendar day: the running window is over a bounded table
+    x = days.join(changes, "d", "left").withColumn(
+        "open_items", F.sum(F.coalesce("_c", F.lit(0))).over(Window.orderBy("d").rowsBetween(Window.unboundedPreceding, 0)))
+    return x.filter(F.col("open_items") > 0).select("d", F.col("open_items").cast("long").alias("open_items"))
 
 
 def daily_state_fact(open_days: DataFrame, owners: DataFrame, activity: DataFrame, won: DataFrame,
@@ -137,8 +149,8 @@ def price_per_unit(df: DataFrame, group: Sequence[str], value: str, cut_quantile
     """K103: per group the median of ``value`` after removing values above the overall
     ``cut_quantile`` (exact percentile; the threshold is a one-row aggregate cross-joined
     as a broadcast scalar)."""
-    t = df.agg(F.percentile(value, cut_quantile).alias("_cut"))
-    x = df.crossJoin(F.broadcast(t)).filter(F.col(value) <= F.col("_cut"))
+    cut = df.agg(F.percentile(value, cut_quantile)).scalar()  # scalar subquery, not a join
+    x = df.filter(F.col(value) <= cut)
     return x.groupBy(*group).agg(F.percentile(value, 0.5).alias("median_value"), F.count("*").alias("n"))
 
 
@@ -152,7 +164,7 @@ def business_seconds(df: DataFrame, start: str, end: str, hours: DataFrame) -> D
     s, e = F.col(start), F.col(end)
     x = df.withColumn("_day", F.explode(F.sequence(F.to_date(s), F.to_date(e))))
     x = x.withColumn("iso_weekday", iso_weekday("_day"))
-    x = x.join(F.broadcast(hours), "iso_weekday", "left")
+    x = x.join(F.broadcast(hours), "iso_weekday", "left")  # at most 7 rows
     day0 = epoch_seconds(F.col("_day").cast("timestamp_ntz"))
     open_t = day0 + F.col("open_seconds")
     close_t = day0 + F.col("close_seconds")

@@ -56,7 +56,7 @@ def s3(spark, sf):
     spark.sparkContext.parallelize(rows, 1).saveAsTextFile(path)
     seed = read_mapping_seed(spark, path).filter(F.col("utm_source") != "utm_source")
     w = web_events(spark, sf).filter(F.col("event_type") == "click")
-    return w.join(F.broadcast(seed), ["utm_source", "utm_medium"]).select("event_id", "source_name", "channel", "sort")
+    return w.join(seed, ["utm_source", "utm_medium"]).select("event_id", "source_name", "channel", "sort")
 
 
 @paired("s6_append_monthly_summary", """
