@@ -31,22 +31,60 @@ def _micros(ts: str | Column) -> Column:
 
 
 def sessionize(df: DataFrame, user: str, ts: str, event_id: str, gap_minutes: int = 30,
-               source_cols: Sequence[str] = ()) -> DataFrame:
+               source_cols: Sequence[str] = (), bucket: str | None = "day") -> DataFrame:
     """K3: a session starts at a visitor's first event, after ``gap_minutes`` idle (whole
     minutes, i.e. a gap of at least gap*60 s), or on any event carrying a traffic-source
     marker (non-NULL ``source_cols``). Adds ``is_session_start``, ``session_id`` (id of the
-    starting event) and ``session_number`` (1, 2, ... per visitor)."""
-    w = Window.partitionBy(user).orderBy(ts, event_id)
-    prev = F.lag(ts).over(w)
+    starting event) and ``session_number`` (1, 2, ... per visitor).
+
+    Skew: with ``bucket`` ("day" or "hour") the ordered windows are partitioned by
+    (visitor, time bucket), so a visitor holding a large share of all events (a bot) is
+    spread over as many tasks as it has active buckets. What crosses a bucket boundary - the
+    previous event time, the running session count and the open session id - is carried by
+    small per-(visitor, bucket) aggregates and windows over buckets, joined back on
+    (visitor, bucket). ``bucket=None`` uses one window per visitor."""
     marker = F.lit(False)
     for c in source_cols:
         marker = marker | F.col(c).isNotNull()
-    start = prev.isNull() | ((_micros(ts) - _micros(prev)) >= gap_minutes * 60 * 1_000_000) | marker
-    x = df.withColumn("is_session_start", start)
-    run = w.rowsBetween(Window.unboundedPreceding, 0)
-    return (x.withColumn("session_id", F.last(F.when(F.col("is_session_start"), F.col(event_id)),
-                                              ignorenulls=True).over(run))
-            .withColumn("session_number", F.sum(F.col("is_session_start").cast("long")).over(run)))
+    gap = gap_minutes * 60 * 1_000_000
+
+    if bucket is None:
+        w = Window.partitionBy(user).orderBy(ts, event_id)
+        prev = F.lag(ts).over(w)
+        start = prev.isNull() | ((_micros(ts) - _micros(prev)) >= gap) | marker
+        x = df.withColumn("is_session_start", start)
+        run = w.rowsBetween(Window.unboundedPreceding, 0)
+        return (x.withColumn("session_id", F.last(F.when(F.col("is_session_start"), F.col(event_id)),
+                                                  ignorenulls=True).over(run))
+                .withColumn("session_number", F.sum(F.col("is_session_start").cast("long")).over(run)))
+
+    b = F.date_trunc(bucket, F.col(ts))
+    x = df.withColumn("_b", b)
+    keys = [user, "_b"]
+    wb = Window.partitionBy(*keys).orderBy(ts, event_id)
+    across = Window.partitionBy(user).orderBy("_b")
+    before = across.rowsBetween(Window.unboundedPreceding, -1)
+    # 1) last event time of the previous active bucket, for each bucket's first event
+    last_t = x.groupBy(*keys).agg(F.max(ts).alias("_last_t"))
+    last_t = last_t.withColumn("_prev_bucket_t", F.lag("_last_t").over(across)).drop("_last_t")
+    x = x.join(last_t, keys)
+    prev = F.coalesce(F.lag(ts).over(wb), F.col("_prev_bucket_t"))
+    start = prev.isNull() | ((_micros(ts) - _micros(prev)) >= gap) | marker
+    x = x.withColumn("is_session_start", start).drop("_prev_bucket_t")
+    # 2) sessions opened before the bucket: count and id of the session still open
+    per = x.groupBy(*keys).agg(
+        F.count_if("is_session_start").alias("_starts"),
+        F.max_by(F.col(event_id), F.when(F.col("is_session_start"), F.struct(ts, event_id))).alias("_last_start"))
+    per = (per.withColumn("_starts_before", F.coalesce(F.sum("_starts").over(before), F.lit(0)))
+           .withColumn("_open_id", F.last("_last_start", ignorenulls=True).over(before))
+           .drop("_starts", "_last_start"))
+    x = x.join(per, keys)
+    run = wb.rowsBetween(Window.unboundedPreceding, 0)
+    in_bucket_id = F.last(F.when(F.col("is_session_start"), F.col(event_id)), ignorenulls=True).over(run)
+    return (x.withColumn("session_id", F.coalesce(in_bucket_id, F.col("_open_id")))
+            .withColumn("session_number",
+                        F.col("_starts_before") + F.sum(F.col("is_session_start").cast("long")).over(run))
+            .drop("_b", "_starts_before", "_open_id"))
 
 
 def session_rollup(df: DataFrame, session: str, ts: str, page: str, utm_cols: Sequence[str],

@@ -49,43 +49,64 @@ def range_join(facts: DataFrame, intervals: DataFrame, keys: Sequence[str], ts:
     return facts.join(iv, cond, "left").drop(*[f"_iv_{k}" for k in keys])
 
 
-def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: str, right_ts: str,
-              values: Sequence[str], prefix: str = "asof_") -> DataFrame:
-    """For each left row, the right row with the latest ``right_ts <= left_ts``
-    (same keys). Both sides are unioned with a side marker and a running
-    ``last(struct, ignorenulls)`` is taken per key ordered by (time, side), right before left
-    on equal times ("at or before"). One shuffle on the keys, no inequality join.
-
-    A key with a very large history is still one sorted task (AQE cannot split a window
-    partition); bucket the time range into the keys when that matters."""
+def _asof_union(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: str, right_ts: str,
+                values: Sequence[str], left_side: int, right_side: int) -> tuple[DataFrame, list[str]]:
     lcols = left.columns
     rtype = right.select(F.struct(*values).alias("s")).schema["s"].dataType
-    l_ = left.select(*lcols, F.col(left_ts).alias("_t"), F.lit(1).alias("_side"), F.lit(None).cast(rtype).alias("_r"))
-    r_ = right.select(*keys, F.col(right_ts).alias("_t"), F.lit(0).alias("_side"), F.struct(*values).alias("_r"))
+    l_ = left.select(*lcols, F.col(left_ts).alias("_t"), F.lit(left_side).alias("_side"),
+                     F.lit(None).cast(rtype).alias("_r"))
+    r_ = right.select(*keys, F.col(right_ts).alias("_t"), F.lit(right_side).alias("_side"),
+                      F.struct(*values).alias("_r"))
     for c in lcols:
         if c not in keys:
             r_ = r_.withColumn(c, F.lit(None).cast(left.schema[c].dataType))
-    u = l_.unionByName(r_)
-    w = Window.partitionBy(*keys).orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
-    u = u.withColumn("_last", F.last("_r", ignorenulls=True).over(w))
+    return l_.unionByName(r_), lcols
+
+
+def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: str, right_ts: str,
+              values: Sequence[str], prefix: str = "asof_", bucket: str | None = "day") -> DataFrame:
+    """For each left row, the right row with the latest ``right_ts <= left_ts``
+    (same keys). Both sides are unioned with a side marker and a running
+    ``last(struct, ignorenulls)`` is taken ordered by (time, side), right before left on
+    equal times ("at or before"). No inequality join.
+
+    Skew: with ``bucket`` the running window is partitioned by (keys, time bucket), so a key
+    with a huge history is spread over its buckets; the value carried in from earlier
+    buckets is the last right row of each (key, bucket) - a ``max_by`` aggregate - carried
+    forward by a window over the (small) per-bucket table and joined back on (key, bucket)."""
+    u, lcols = _asof_union(left, right, keys, left_ts, right_ts, values, 1, 0)
+    if bucket is None:
+        w = Window.partitionBy(*keys).orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
+        u = u.withColumn("_last", F.last("_r", ignorenulls=True).over(w))
+    else:
+        u = u.withColumn("_b", F.date_trunc(bucket, F.col("_t")))
+        bk = [*keys, "_b"]
+        w = Window.partitionBy(*bk).orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
+        per = u.groupBy(*bk).agg(F.max_by(F.col("_r"), F.when(F.col("_side") == 0, F.col("_t"))).alias("_bl"))
+        per = per.withColumn("_carry", F.last("_bl", ignorenulls=True).over(
+            Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1))).drop("_bl")
+        u = u.join(per, bk).withColumn("_last", F.coalesce(F.last("_r", ignorenulls=True).over(w), F.col("_carry")))
     out = u.filter(F.col("_side") == 1)
     return out.select(*lcols, *[F.col("_last")[v].alias(prefix + v) for v in values])
 
 
 def asof_join_forward(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: str, right_ts: str,
-                      values: Sequence[str], prefix: str = "next_") -> DataFrame:
+                      values: Sequence[str], prefix: str = "next_", bucket: str | None = "day") -> DataFrame:
     """For each left row, the first right row with ``right_ts >= left_ts`` (same keys):
-    the mirror of :func:`asof_join`, a running ``first(ignorenulls)`` over the following rows."""
-    lcols = left.columns
-    rtype = right.select(F.struct(*values).alias("s")).schema["s"].dataType
-    l_ = left.select(*lcols, F.col(left_ts).alias("_t"), F.lit(0).alias("_side"), F.lit(None).cast(rtype).alias("_r"))
-    r_ = right.select(*keys, F.col(right_ts).alias("_t"), F.lit(1).alias("_side"), F.struct(*values).alias("_r"))
-    for c in lcols:
-        if c not in keys:
-            r_ = r_.withColumn(c, F.lit(None).cast(left.schema[c].dataType))
-    u = l_.unionByName(r_)
-    w = Window.partitionBy(*keys).orderBy("_t", "_side").rowsBetween(0, Window.unboundedFollowing)
-    u = u.withColumn("_next", F.first("_r", ignorenulls=True).over(w))
+    the mirror of :func:`asof_join` (``first(ignorenulls)`` over the following rows, carried
+    backwards from later buckets)."""
+    u, lcols = _asof_union(left, right, keys, left_ts, right_ts, values, 0, 1)
+    if bucket is None:
+        w = Window.partitionBy(*keys).orderBy("_t", "_side").rowsBetween(0, Window.unboundedFollowing)
+        u = u.withColumn("_next", F.first("_r", ignorenulls=True).over(w))
+    else:
+        u = u.withColumn("_b", F.date_trunc(bucket, F.col("_t")))
+        bk = [*keys, "_b"]
+        w = Window.partitionBy(*bk).orderBy("_t", "_side").rowsBetween(0, Window.unboundedFollowing)
+        per = u.groupBy(*bk).agg(F.min_by(F.col("_r"), F.when(F.col("_side") == 1, F.col("_t"))).alias("_bf"))
+        per = per.withColumn("_carry", F.first("_bf", ignorenulls=True).over(
+            Window.partitionBy(*keys).orderBy("_b").rowsBetween(1, Window.unboundedFollowing))).drop("_bf")
+        u = u.join(per, bk).withColumn("_next", F.coalesce(F.first("_r", ignorenulls=True).over(w), F.col("_carry")))
     return u.filter(F.col("_side") == 0).select(*lcols, *[F.col("_next")[v].alias(prefix + v) for v in values])
 
 
