@@ -48,3 +48,61 @@ def explode_scopes(df: DataFrame, scopes: Sequence[tuple[str, Column]], name: st
     scan and ``explode(filter(array(...)))``."""
     arr = F.array(*[F.when(cond, F.lit(label)) for label, cond in scopes])
     return df.withColumn(name, F.explode(F.filter(arr, lambda x: x.isNotNull())))
+
+
+# ------------------------------------------------------------------ time-bucketed ordered windows
+#
+# ``f() OVER (PARTITION BY keys ORDER BY ts, tie)`` sorts every row of a key in one task, which
+# a key holding a large share of the rows turns into a straggler (AQE cannot split a window
+# partition). The helpers below partition the window by (keys, time bucket) instead and carry
+# what crosses a bucket boundary with a small per-(keys, bucket) aggregate and a window over
+# buckets (one row per key and active bucket), joined back on (keys, bucket).
+
+def _bucketed(df: DataFrame, keys: Sequence[str], ts: str, bucket: str):
+    x = df.withColumn("_b", F.date_trunc(bucket, F.col(ts)))
+    return x, [*keys, "_b"], Window.partitionBy(*keys).orderBy("_b")
+
+
+def bucketed_lag(df: DataFrame, keys: Sequence[str], ts: str, tie: str, cols: Sequence[str],
+                 bucket: str = "month", prefix: str = "prev_") -> DataFrame:
+    """``LAG(c) OVER (PARTITION BY keys ORDER BY ts, tie)`` for each column, skew-safe."""
+    x, bk, over_b = _bucketed(df, keys, ts, bucket)
+    wb = Window.partitionBy(*bk).orderBy(ts, tie)
+    last = x.groupBy(*bk).agg(F.max_by(F.struct(*[F.col(c) for c in cols]), F.struct(ts, tie)).alias("_bl"))
+    last = last.withColumn("_pl", F.lag("_bl").over(over_b)).drop("_bl")
+    x = x.join(last, bk).withColumn("_first", F.row_number().over(wb) == 1)
+    for c in cols:
+        x = x.withColumn(prefix + c, F.when(F.col("_first"), F.col("_pl")[c]).otherwise(F.lag(c).over(wb)))
+    return x.drop("_b", "_pl", "_first")
+
+
+def bucketed_running_sum(df: DataFrame, keys: Sequence[str], ts: str, tie: str, value: str, name: str,
+                         bucket: str = "month", exclusive: bool = False) -> DataFrame:
+    """``SUM(value) OVER (PARTITION BY keys ORDER BY ts, tie ROWS UNBOUNDED PRECEDING TO
+    CURRENT ROW)`` (or to 1 PRECEDING when ``exclusive``), skew-safe. NULL when no row is summed,
+    as in SQL."""
+    x, bk, over_b = _bucketed(df, keys, ts, bucket)
+    wb = Window.partitionBy(*bk).orderBy(ts, tie)
+    tot = x.groupBy(*bk).agg(F.sum(value).alias("_bt"), F.count(value).alias("_bn"))
+    tot = (tot.withColumn("_before", F.sum("_bt").over(over_b.rowsBetween(Window.unboundedPreceding, -1)))
+           .withColumn("_before_n", F.sum("_bn").over(over_b.rowsBetween(Window.unboundedPreceding, -1)))
+           .drop("_bt", "_bn"))
+    x = x.join(tot, bk)
+    frame = wb.rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)
+    inside = F.sum(value).over(frame)
+    n_inside = F.count(value).over(frame)
+    total_n = F.coalesce(F.col("_before_n"), F.lit(0)) + n_inside
+    s = F.coalesce(F.col("_before"), F.lit(0)) + F.coalesce(inside, F.lit(0))
+    return x.withColumn(name, F.when(total_n > 0, s)).drop("_b", "_before", "_before_n")
+
+
+def bucketed_row_number(df: DataFrame, keys: Sequence[str], ts: str, tie: str, name: str,
+                        bucket: str = "month") -> DataFrame:
+    """``ROW_NUMBER() OVER (PARTITION BY keys ORDER BY ts, tie)``, skew-safe."""
+    x, bk, over_b = _bucketed(df, keys, ts, bucket)
+    wb = Window.partitionBy(*bk).orderBy(ts, tie)
+    cnt = x.groupBy(*bk).agg(F.count("*").alias("_bn"))
+    cnt = cnt.withColumn("_before", F.coalesce(F.sum("_bn").over(
+        over_b.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_bn")
+    x = x.join(cnt, bk)
+    return x.withColumn(name, F.col("_before") + F.row_number().over(wb)).drop("_b", "_before")

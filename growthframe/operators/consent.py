@@ -7,15 +7,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from growthframe.operators.common import bucketed_lag
 from growthframe.operators.state import asof_join, asof_join_forward
 
 
 def optin_switches(history: DataFrame, key: str, order: Sequence[str], field: str, valid: Column | None = None) -> DataFrame:
     """Rows where a consent field goes from false / NULL to true (first row included when
-    true), kept only when ``valid`` holds (e.g. a parsable date)."""
-    w = Window.partitionBy(key).orderBy(*order)
-    prev = F.lag(field).over(w)
-    x = history.withColumn("_prev", prev)
+    true), kept only when ``valid`` holds (e.g. a parsable date). ``order`` = (time,
+    tie-breaker); the lag is bucketed by day (skew-safe)."""
+    x = bucketed_lag(history, [key], order[0], order[1], [field], "day", prefix="_p_")
+    x = x.withColumnRenamed(f"_p_{field}", "_prev")
     cond = F.coalesce(F.col(field), F.lit(False)) & ~F.coalesce(F.col("_prev"), F.lit(False))
     if valid is not None:
         cond = cond & valid

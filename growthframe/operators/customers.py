@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from growthframe.functions.semantics import months_diff, round_half_up, safe_divide
-from growthframe.operators.common import with_group_agg
+from growthframe.operators.common import bucketed_lag, bucketed_running_sum, with_group_agg
 from growthframe.operators.ranking import exact_ntile
 
 
@@ -85,10 +85,12 @@ def ltv_subgroups(groups: DataFrame, customer: str, n: int = 4) -> DataFrame:
 def group_transitions(orders: DataFrame, customer: str, date: str, order_id: str, amount: str,
                       cuts: Sequence[tuple[float, str]]) -> DataFrame:
     """Running customer value after each order, the value before it, the value group
-    (``cuts`` = ascending (lower bound, label)) and a transition label when it changes."""
-    w = Window.partitionBy(customer).orderBy(date, order_id)
-    x = orders.withColumn("running_value", F.sum(amount).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    x = x.withColumn("previous_value", F.lag("running_value").over(w))
+    (``cuts`` = ascending (lower bound, label)) and a transition label when it changes.
+
+    Running sums are bucketed by month (skew-safe: a customer with a huge history is spread
+    over its active months)."""
+    x = bucketed_running_sum(orders, [customer], date, order_id, amount, "running_value")
+    x = bucketed_running_sum(x, [customer], date, order_id, amount, "previous_value", exclusive=True)
 
     def label(c: Column) -> Column:
         out = None
@@ -108,8 +110,8 @@ def customer_status(orders: DataFrame, customer: str, date: str, order_id: str,
     """Status of each order in [start, end]: 'new' (first order ever), 'reactivated'
     (previous order more than ``gap_months`` months before), else 'returning'."""
     d = F.to_date(F.col(date))
-    w = Window.partitionBy(customer).orderBy(date, order_id)
-    x = orders.withColumn("_prev", F.lag(d).over(w))
+    x = bucketed_lag(orders.withColumn("_d", d), [customer], date, order_id, ["_d"], prefix="_prev")
+    x = x.withColumnRenamed("_prev_d", "_prev").drop("_d")
     x = x.filter(d.between(F.lit(start).cast("date"), F.lit(end).cast("date")))
     return x.withColumn("customer_status", F.when(F.col("_prev").isNull(), "new")
                         .when(F.col("_prev") < F.add_months(d, -gap_months), "reactivated")

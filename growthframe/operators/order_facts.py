@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from growthframe.functions.formatting import age_bucket
 from growthframe.functions.semantics import iso_weekday, regex_group, safe_divide
+from growthframe.operators.common import bucketed_row_number
 
 
 def enriched_orders(orders: DataFrame, customers: DataFrame, customer: str, date: str, order_id: str,
@@ -16,19 +17,18 @@ def enriched_orders(orders: DataFrame, customers: DataFrame, customer: str, date
     """Order fact with ISO weekday and name, day period, customer seniority in days at the
     order, age range, order rank of the customer and first-order flag.
 
-    The order rank is a per-customer window; seniority uses the customer's first order as a
-    pre-aggregated minimum joined back."""
+    The order rank is a month-bucketed row number (skew-safe); seniority uses the customer's
+    first order as a pre-aggregated minimum joined back."""
     d = F.col(date)
     first = orders.groupBy(customer).agg(F.min(date).alias("_first"))
     x = orders.join(first, customer).join(customers, customer, "left")
     hour = F.hour(d)
     period = (F.when(hour < 6, "night").when(hour < 12, "morning").when(hour < 18, "afternoon")
               .otherwise("evening"))
-    w = Window.partitionBy(customer).orderBy(date, order_id)
+    x = bucketed_row_number(x, [customer], date, order_id, "order_rank")
     out = x.select("*", iso_weekday(d).alias("weekday_number"), F.date_format(d, "EEEE").alias("weekday_name"),
                    period.alias("day_period"),
-                   F.datediff(F.to_date(d), F.to_date("_first")).alias("seniority_days"),
-                   F.row_number().over(w).alias("order_rank"))
+                   F.datediff(F.to_date(d), F.to_date("_first")).alias("seniority_days"))
     out = out.withColumn("is_first_order", F.col("order_rank") == 1)
     if dob:
         from growthframe.functions.semantics import age_years

@@ -14,13 +14,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from growthframe.functions.semantics import epoch_micros, epoch_seconds, iso_weekday
+from growthframe.operators.common import bucketed_lag
 
 
-def status_changes(history: DataFrame, keys: Sequence[str], order: Sequence[str], status: str) -> DataFrame:
+def status_changes(history: DataFrame, keys: Sequence[str], order: Sequence[str], status: str,
+                   bucket: str | None = "day") -> DataFrame:
     """K100 / K119: keep the rows whose status differs (NULL-safe) from the previous row of the
-    same key; adds ``previous_status``."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    x = history.withColumn("previous_status", F.lag(status).over(w))
+    same key; adds ``previous_status``. ``order`` = (time, tie-breaker); with ``bucket`` the
+    lag is computed per (key, time bucket) and carried across buckets (skew-safe)."""
+    if bucket is None:
+        w = Window.partitionBy(*keys).orderBy(*order)
+        x = history.withColumn("previous_status", F.lag(status).over(w))
+    else:
+        x = bucketed_lag(history, keys, order[0], order[1], [status], bucket, prefix="_prev_")
+        x = x.withColumnRenamed(f"_prev_{status}", "previous_status")
     return x.filter(~F.col("previous_status").eqNullSafe(F.col(status)))
 
 

@@ -45,3 +45,23 @@ def test_asof_bucketed_equals_plain(spark, bucket):
     a = asof_join_forward(left, right, ["user_id"], "ts", "rt", ["value", "rt"], bucket=bucket)
     b = asof_join_forward(left, right, ["user_id"], "ts", "rt", ["value", "rt"], bucket=None)
     assert _rows(a, cols) == _rows(b, cols)
+
+
+@pytest.mark.parametrize("bucket", ["day", "month"])
+def test_bucketed_window_helpers_equal_plain_windows(spark, bucket):
+    from pyspark.sql import Window
+
+    from growthframe.operators.common import bucketed_lag, bucketed_row_number, bucketed_running_sum
+
+    o = load(spark, SF_SMALL, "orders").withColumn("o_custkey", F.col("o_custkey") % 3)  # three hot keys
+    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
+    ref = (o.withColumn("rs", F.sum("o_totalprice").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+           .withColumn("rx", F.sum("o_totalprice").over(w.rowsBetween(Window.unboundedPreceding, -1)))
+           .withColumn("lg", F.lag("o_orderstatus").over(w)).withColumn("rn", F.row_number().over(w)))
+    x = bucketed_running_sum(o, ["o_custkey"], "o_orderdate", "o_orderkey", "o_totalprice", "rs", bucket)
+    x = bucketed_running_sum(x, ["o_custkey"], "o_orderdate", "o_orderkey", "o_totalprice", "rx", bucket, exclusive=True)
+    x = bucketed_lag(x, ["o_custkey"], "o_orderdate", "o_orderkey", ["o_orderstatus"], bucket, prefix="lg_")
+    x = bucketed_row_number(x, ["o_custkey"], "o_orderdate", "o_orderkey", "rn", bucket)
+    a = x.select("o_orderkey", F.round("rs", 2), F.round("rx", 2), F.col("lg_o_orderstatus"), "rn")
+    b = ref.select("o_orderkey", F.round("rs", 2), F.round("rx", 2), "lg", "rn")
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
