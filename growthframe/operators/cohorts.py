@@ -59,10 +59,11 @@ def cohort_metrics(cohorted: DataFrame, scope: str, amount: str, order_id: str,
                   round_half_up(safe_divide(F.sum(paid_amt),
                                             F.countDistinct(F.when(~refund, F.col(order_id)))), 2).alias("aov")))
     w_cal = Window.partitionBy("scope", "first_purchase_calendar_year", "order_calendar_year")
-    w_month = Window.partitionBy("scope", "first_purchase_month", "order_month")
+    # (scope, first month, order month) identifies a cell (the other keys derive from the two
+    # months), so the month volume is the cell's own count: no window needed
     cells = (cells
              .withColumn("calendar_year_clients_volume", F.sum("unique_clients_volume").over(w_cal))
-             .withColumn("month_clients_volume", F.sum("unique_clients_volume").over(w_month)))
+             .withColumn("month_clients_volume", F.col("unique_clients_volume")))
     return (cells
             .withColumn("first_purchase_calendar_year_clients_volume",
                         F.max("calendar_year_clients_volume").over(
