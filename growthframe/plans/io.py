@@ -53,7 +53,7 @@ def s3(spark, sf):
             "google\tcpc\t\tGoogle Ads\tPaid Search\t1", "bing\tcpc\t\tBing Ads\tPaid Search\t1",
             "newsletter\temail\t\tEmail\tEmail\t3"]
     # the seed is a small file shipped with a project: written here as text, read with an explicit schema
-    spark.sparkContext.parallelize(rows, 1).saveAsTextFile(path)
+    spark.createDataFrame([(r,) for r in rows], "value string").coalesce(1).write.text(path)
     seed = read_mapping_seed(spark, path).filter(F.col("utm_source") != "utm_source")
     w = web_events(spark, sf).filter(F.col("event_type") == "click")
     return w.join(seed, ["utm_source", "utm_medium"]).select("event_id", "source_name", "channel", "sort")
