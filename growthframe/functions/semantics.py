@@ -82,15 +82,34 @@ _EPOCH_NTZ = "1970-01-01 00:00:00"
 
 
 def epoch_micros(ts: ColumnOrName) -> Column:
-    """Microseconds since the epoch of a civil (TIMESTAMP_NTZ) time, independent of the
-    session time zone (no daylight-saving gaps in differences)."""
-    return F.timestamp_diff("MICROSECOND", F.lit(_EPOCH_NTZ).cast("timestamp_ntz"), _c(ts).cast("timestamp_ntz"))
+    """Microseconds since the epoch of a civil (TIMESTAMP_NTZ) time read as UTC, independent of
+    the session time zone (``timestampdiff`` on civil times goes through the session zone and
+    shifts times that fall in a daylight-saving gap). The civil fields are rebuilt as an
+    instant with an explicit UTC zone."""
+    c = _c(ts).cast("timestamp_ntz")
+    inst = F.make_timestamp(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c), F.minute(c),
+                            F.date_part(F.lit("SECOND"), c), F.lit("UTC"))
+    return F.unix_micros(inst)
 
 
 def epoch_seconds(ts: ColumnOrName) -> Column:
     return epoch_micros(ts) / 1_000_000
 
 
+def instant_from_civil(ts: ColumnOrName) -> Column:
+    """TIMESTAMP (instant) for a civil UTC time, whatever the session time zone."""
+    return F.timestamp_micros(epoch_micros(ts))
+
+
+def civil_from_instant(ts: ColumnOrName) -> Column:
+    """Civil UTC time (TIMESTAMP_NTZ) of an instant, whatever the session time zone (F-d10):
+    the epoch plus a day-time interval (civil arithmetic, no zone involved)."""
+    us = F.unix_micros(_c(ts))
+    days = F.floor(us / 86_400_000_000)
+    secs = ((us - days * 86_400_000_000) / 1_000_000).cast("decimal(18,6)")
+    return F.lit(_EPOCH_NTZ).cast("timestamp_ntz") + F.make_dt_interval(days=days.cast("int"), secs=secs)
+
+
 def months_diff(end: ColumnOrName, start: ColumnOrName) -> Column:
     """DATE_DIFF(end, start, MONTH): month boundaries crossed (M4)."""
     e, s = _c(end), _c(start)

@@ -72,16 +72,16 @@ def f_dates(spark, sf):
         F.hour(t2).alias("hh"), F.minute(t2).alias("mi"),
         F.make_date(F.year(d), F.month(d), F.lit(1)).alias("month_start"),
         F.make_timestamp_ntz(F.year(d), F.month(d), F.dayofmonth(d), F.lit(12), F.lit(30), F.lit(0)).alias("noon_thirty"),
-        F.timestamp_seconds(S.epoch_seconds("o_orderdate").cast("long") + F.col("o_orderkey"))
-        .cast("timestamp_ntz").alias("from_epoch"),
-        F.from_utc_timestamp(F.col("o_orderdate").cast("timestamp"), "Europe/Paris").cast("timestamp_ntz")
-        .alias("paris_time"),
+        S.civil_from_instant(F.timestamp_seconds(S.epoch_seconds("o_orderdate").cast("long") + F.col("o_orderkey")))
+        .alias("from_epoch"),
+        # civil UTC time to civil Paris time, independent of the session time zone
+        F.convert_timezone(F.lit("UTC"), F.lit("Europe/Paris"), F.col("o_orderdate")).alias("paris_time"),
         F.add_months(d, 1).alias("plus_month"), F.date_sub(d, 7).alias("minus_week"),
         S.last_day_of(d, "month").alias("month_end"), S.last_day_of(d, "isoweek").alias("iso_week_end"),
         F.datediff(end, d).alias("days_to_end"), S.months_diff(end, d).alias("months_to_end"),
         S.years_diff(end, d).alias("years_to_end"), S.weeks_diff(end, d, "sunday").alias("sunday_weeks_to_end"),
-        F.expr("timestampdiff(MINUTE, o_orderdate, o_orderdate + make_interval(0, 0, 0, 0, 0, 0, o_orderkey * 61))")
-        .alias("minutes_span"))
+        F.floor((S.epoch_micros(F.col("o_orderdate") + F.make_dt_interval(secs=F.col("o_orderkey") * 61))
+                 - S.epoch_micros("o_orderdate")) / 60_000_000).alias("minutes_span"))
     ints = ["y", "q", "m", "iso_week", "dom", "dow_sunday_1", "iso_dow", "hh", "mi",
             "days_to_end", "years_to_end", "minutes_span"]
     for c in ints:

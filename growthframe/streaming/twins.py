@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from growthframe.functions.semantics import civil_from_instant, instant_from_civil
 from growthframe.session import scratch_path
 
 EVENTS_SCHEMA = T.StructType([
@@ -29,8 +30,9 @@ def events_stream(spark: SparkSession, source_dir: str, max_files: int | None =
     r = spark.readStream.schema(EVENTS_SCHEMA).option("pathGlobFilter", "events*.parquet")
     if max_files:
         r = r.option("maxFilesPerTrigger", max_files)
-    # watermarks need an instant type: the civil time is read as UTC (session zone)
-    return r.parquet(source_dir).withColumn("ts", F.col("ts").cast("timestamp"))
+    # watermarks need an instant type: the civil time is read as a UTC instant, whatever the
+    # session time zone (no daylight-saving gaps inside session gaps)
+    return r.parquet(source_dir).withColumn("ts", instant_from_civil("ts"))
 
 
 def session_counts(stream: DataFrame, gap: str = "30 minutes", watermark: str = "3 days") -> DataFrame:
@@ -38,8 +40,8 @@ def session_counts(stream: DataFrame, gap: str = "30 minutes", watermark: str =
     return (stream.withWatermark("ts", watermark)
             .groupBy(F.session_window("ts", gap).alias("session"), "user_id")
             .agg(F.count("*").alias("events"))
-            .select("user_id", F.col("session.start").cast("timestamp_ntz").alias("session_start"),
-                    F.col("session.end").cast("timestamp_ntz").alias("session_end"), "events"))
+            .select("user_id", civil_from_instant(F.col("session.start")).alias("session_start"),
+                    civil_from_instant(F.col("session.end")).alias("session_end"), "events"))
 
 
 def daily_counts(stream: DataFrame, watermark: str = "3 days") -> DataFrame:
@@ -47,7 +49,7 @@ def daily_counts(stream: DataFrame, watermark: str = "3 days") -> DataFrame:
     return (stream.withWatermark("ts", watermark)
             .groupBy(F.window("ts", "1 day").alias("w"), "event_type")
             .agg(F.count("*").alias("events"))
-            .select(F.to_date(F.col("w.start")).alias("date"), "event_type", "events"))
+            .select(F.to_date(civil_from_instant(F.col("w.start"))).alias("date"), "event_type", "events"))
 
 
 def dedupe_stream(stream: DataFrame, key: str = "event_id", watermark: str = "3 days") -> DataFrame:

@@ -146,3 +146,19 @@ def test_parse_date_any_formats(spark):
     df = spark.createDataFrame([("20240131",), ("2024-01-31",), ("31/01/2024",), ("2024-02-30",)], "s string")
     out = [r[0] for r in df.select(S.parse_date_any("s")).collect()]
     assert out[:3] == [dt.date(2024, 1, 31)] * 3 and out[3] is None
+
+
+def test_epoch_arithmetic_is_session_zone_free(spark):
+    # 1995-04-02 02:46 does not exist in New York; civil arithmetic must not care
+    df = spark.createDataFrame([(dt.datetime(1995, 4, 2, 0, 0), dt.datetime(1995, 4, 2, 2, 46, 44))], "a timestamp_ntz, b timestamp_ntz")
+    prev = spark.conf.get("spark.sql.session.timeZone")
+    out = []
+    try:
+        for tz in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            r = df.select(((S.epoch_micros("b") - S.epoch_micros("a")) / 60_000_000).alias("m"),
+                          S.civil_from_instant(S.instant_from_civil("b")).alias("back")).first()
+            out.append((r["m"], r["back"]))
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", prev)
+    assert out[0] == out[1] and out[0][1] == dt.datetime(1995, 4, 2, 2, 46, 44)
