@@ -8,6 +8,8 @@ from __future__ import annotations
 
 import datetime as dt
 
+from dateutil.easter import easter
+
 from pyspark.sql import functions as F
 
 from growthframe.functions import formatting as FM
@@ -107,14 +109,11 @@ def _holiday_sql(years_cte: str) -> str:
     movable = " UNION ALL ".join(
         f"SELECT CAST(easter + INTERVAL {off} DAY AS DATE), '{n.replace(chr(39), chr(39) * 2)}', 'movable', year FROM easter"
         for off, n in CA.EASTER_OFFSETS)
+    # independent check of the Spark computus: Easter Sundays from python-dateutil's own
+    # implementation, as a VALUES table covering every year the driver tables can hold
+    easter_rows = ", ".join(f"({y}, DATE '{easter(y).isoformat()}')" for y in range(1970, 2101))
     return f"""
-, p AS (SELECT year, year % 19 AS a, year // 100 AS b, year % 100 AS c FROM {years_cte}),
-s1 AS (SELECT *, b // 4 AS d, b % 4 AS e, (b + 8) // 25 AS f FROM p),
-s2 AS (SELECT *, (b - f + 1) // 3 AS g FROM s1),
-s3 AS (SELECT *, (19 * a + b - d - g + 15) % 30 AS h, c // 4 AS i, c % 4 AS k FROM s2),
-s4 AS (SELECT *, (32 + 2 * e + 2 * i - h - k) % 7 AS l FROM s3),
-s5 AS (SELECT *, (a + 11 * h + 22 * l) // 451 AS m FROM s4),
-easter AS (SELECT year, make_date(CAST(year AS BIGINT), CAST((h + l - 7 * m + 114) // 31 AS BIGINT), CAST((h + l - 7 * m + 114) % 31 + 1 AS BIGINT)) AS easter FROM s5),
+, easter AS (SELECT e.year, e.easter FROM (VALUES {easter_rows}) e(year, easter) JOIN {years_cte} y ON y.year = e.year),
 hol AS ({fixed} UNION ALL {movable})"""
 
 
