@@ -177,9 +177,11 @@ def price_per_unit(df: DataFrame, group: Sequence[str], value: str, cut_quantile
     """K103: per group the median of ``value`` after removing values above the overall
     ``cut_quantile`` (exact percentile; the threshold is a one-row aggregate cross-joined
     as a broadcast scalar)."""
-    cut = df.agg(F.percentile(value, cut_quantile)).scalar()  # scalar subquery, not a join
+    from growthframe.operators.ranking import exact_percentile
+    cut = exact_percentile(df, value, [cut_quantile]).scalar()  # scalar subquery, not a join
     x = df.filter(F.col(value) <= cut)
-    return x.groupBy(*group).agg(F.percentile(value, 0.5).alias("median_value"), F.count("*").alias("n"))
+    med = exact_percentile(x, value, [0.5], group).withColumnRenamed("p50", "median_value")
+    return med.join(x.groupBy(*group).agg(F.count("*").alias("n")), list(group))
 
 
 def business_seconds(df: DataFrame, start: str, end: str, hours: DataFrame) -> DataFrame:

@@ -360,7 +360,10 @@ SELECT o_orderkey, o_totalprice FROM orders CROSS JOIN t WHERE o_totalprice > t.
 """, covers=("J19", "A17"))
 def j19(spark, sf):
     o = T(spark, sf, "orders")
-    p99 = o.agg(F.percentile("o_totalprice", 0.99)).scalar()  # one-row aggregate as a scalar subquery
+    from growthframe.operators.ranking import exact_percentile
+    # exact global p99 from distributed ranks (no single-task percentile buffer), used as a
+    # scalar subquery
+    p99 = exact_percentile(o, "o_totalprice", [0.99]).scalar()
     return o.filter(F.col("o_totalprice") > p99).select("o_orderkey", "o_totalprice")
 
 
@@ -539,8 +542,9 @@ FROM orders GROUP BY 1
 """, covers=("A17",))
 def a17(spark, sf):
     o = T(spark, sf, "orders")
-    return o.groupBy("o_orderpriority").agg(F.percentile("o_totalprice", 0.5).alias("median_price"),
-                                            F.percentile("o_totalprice", 0.9).alias("p90_price"))
+    from growthframe.operators.ranking import exact_percentile
+    q = exact_percentile(o, "o_totalprice", [0.5, 0.9], ["o_orderpriority"])
+    return q.select("o_orderpriority", F.col("p50").alias("median_price"), F.col("p90").alias("p90_price"))
 
 
 @paired("a18_mode_with_ties", """
@@ -675,7 +679,9 @@ FROM part
 def w16(spark, sf):
     from growthframe.operators.common import with_group_agg
     p = T(spark, sf, "part").select("p_partkey", "p_type", "p_retailprice")
-    return with_group_agg(p, ["p_type"], F.percentile("p_retailprice", 0.5).alias("type_median")).select(
+    from growthframe.operators.ranking import exact_percentile
+    med = exact_percentile(p, "p_retailprice", [0.5], ["p_type"]).withColumnRenamed("p50", "type_median")
+    return p.join(med, "p_type", "left").select(
         "p_partkey", "p_type", "type_median")
 
 

@@ -122,3 +122,15 @@ def test_preset_bounds_month_end_clamp():
     assert cmp_ == (dt.date(2023, 2, 1), dt.date(2023, 2, 28))
     cur, cmp_ = preset_bounds(dt.date(2024, 3, 15), "M-1", "P-1")
     assert cur == (dt.date(2024, 2, 1), dt.date(2024, 2, 29)) and cmp_ == (dt.date(2024, 1, 3), dt.date(2024, 1, 31))
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 2), st.integers(-20, 20)), min_size=1, max_size=50),
+       st.sampled_from([0.0, 0.25, 0.5, 0.9, 0.99, 1.0]))
+def test_exact_percentile_equals_percentile(spark, rows, q):
+    from growthframe.operators.ranking import exact_percentile
+    df = spark.createDataFrame([(g, float(v)) for g, v in rows], "g int, v double")
+    name = f"p{int(round(q * 100))}"
+    ours = {r["g"]: r[name] for r in exact_percentile(df, "v", [q], ["g"], num_partitions=3).collect()}
+    ref = {r["g"]: r["x"] for r in df.groupBy("g").agg(F.percentile("v", q).alias("x")).collect()}
+    assert ours.keys() == ref.keys() and all(abs(ours[k] - ref[k]) < 1e-9 for k in ref)
