@@ -708,16 +708,19 @@ def w19(spark, sf):
 
 
 @paired("w20_lag_inside_array", """
-WITH x AS (SELECT user_id, list(event_type ORDER BY ts) AS path FROM events GROUP BY 1),
-     u AS (SELECT user_id, generate_subscripts(path, 1) AS pos, unnest(path) AS page FROM x)
-SELECT user_id, CAST(pos - 1 AS BIGINT) AS pos, page, LAG(page) OVER (PARTITION BY user_id ORDER BY pos) AS previous_page FROM u
+WITH x AS (SELECT user_id, CAST(ts AS DATE) AS day, list(event_type ORDER BY ts) AS path FROM events GROUP BY 1, 2),
+     u AS (SELECT user_id, day, generate_subscripts(path, 1) AS pos, unnest(path) AS page FROM x)
+SELECT user_id, day, CAST(pos - 1 AS BIGINT) AS pos, page,
+       LAG(page) OVER (PARTITION BY user_id, day ORDER BY pos) AS previous_page FROM u
 """, covers=("W20", "F-a6"))
 def w20(spark, sf):
     e = T(spark, sf, "events")
-    x = e.groupBy("user_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("ts", "event_type"))),
-                                             lambda s: s["event_type"]).alias("path"))
-    return x.select("user_id", F.posexplode("path").alias("pos", "page"), "path").select(
-        "user_id", F.col("pos").cast("long").alias("pos"), "page",
+    # a nested array per visit-like unit (user and day): its size is bounded by a day of
+    # activity, never a user's whole history
+    x = e.groupBy("user_id", F.to_date("ts").alias("day")).agg(
+        F.transform(F.array_sort(F.collect_list(F.struct("ts", "event_type"))), lambda s: s["event_type"]).alias("path"))
+    return x.select("user_id", "day", F.posexplode("path").alias("pos", "page"), "path").select(
+        "user_id", "day", F.col("pos").cast("long").alias("pos"), "page",
         F.when(F.col("pos") > 0, F.element_at("path", F.col("pos"))).alias("previous_page"))
 
 
