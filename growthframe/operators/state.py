@@ -184,24 +184,37 @@ def price_per_unit(df: DataFrame, group: Sequence[str], value: str, cut_quantile
     return med.join(x.groupBy(*group).agg(F.count("*").alias("n")), list(group))
 
 
-def business_seconds(df: DataFrame, start: str, end: str, hours: DataFrame) -> DataFrame:
+def business_seconds(df: DataFrame, start: str, end: str, hours: DataFrame, store: str | None = None) -> DataFrame:
     """K104: seconds between ``start`` and ``end`` that fall inside opening hours.
 
-    ``hours`` = (iso_weekday, open_seconds, close_seconds) since midnight, a 7-row table
-    (broadcast). Each row is expanded to the days it spans and the overlap of [start, end]
-    with each day's opening window is summed; time before an opening counts from the
+    ``hours`` = (iso_weekday, open_seconds, close_seconds) since midnight, optionally per
+    ``store`` and with a ``valid_from`` time when opening hours change: the version in force
+    at ``start`` (as of the order time) applies. The table is small (stores x 7 x versions)
+    and broadcast. Each row is expanded to the days it spans and the overlaps of [start, end]
+    with each day's opening window are summed: time before an opening counts from the
     opening, negative overlaps count 0."""
     s, e = F.col(start), F.col(end)
-    x = df.withColumn("_day", F.explode(F.sequence(F.to_date(s), F.to_date(e))))
+    keys = ["iso_weekday"] + ([store] if store else [])
+    x = df.withColumn("_rid", F.monotonically_increasing_id())
+    x = x.withColumn("_day", F.explode(F.sequence(F.to_date(s), F.to_date(e))))
     x = x.withColumn("iso_weekday", iso_weekday("_day"))
-    x = x.join(F.broadcast(hours), "iso_weekday", "left")  # at most 7 rows
+    h = hours if "valid_from" in hours.columns else hours.withColumn("valid_from", F.lit(None).cast("timestamp_ntz"))
+    # bounded configuration table: stores x weekdays x versions
+    x = x.join(F.broadcast(h.select(*keys, "open_seconds", "close_seconds", "valid_from")), keys, "left")
+    version = F.struct("open_seconds", "close_seconds")
+    # the version in force at the start: latest valid_from <= start (an undated version
+    # always applies); no version in force -> NULL -> 0 seconds, the row is kept
+    in_force = F.col("valid_from").isNull() | (F.col("valid_from") <= s)
+    order = F.when(in_force, F.coalesce(F.col("valid_from"), F.lit("0001-01-01 00:00:00").cast("timestamp_ntz")))
+    keep = list(df.columns)
+    per_day = x.groupBy("_rid", *keep, "_day").agg(F.max_by(version, order).alias("_h"))
     day0 = epoch_seconds(F.col("_day").cast("timestamp_ntz"))
-    open_t = day0 + F.col("open_seconds")
-    close_t = day0 + F.col("close_seconds")
+    open_t = day0 + F.col("_h.open_seconds")
+    close_t = day0 + F.col("_h.close_seconds")
     ov = F.greatest(F.lit(0), F.least(epoch_seconds(e), close_t) - F.greatest(epoch_seconds(s), open_t))
-    x = x.withColumn("_ov", F.coalesce(ov, F.lit(0)))
-    keep = [c for c in df.columns]
-    return x.groupBy(*keep).agg(F.sum("_ov").cast("long").alias("business_seconds"))
+    per_day = per_day.withColumn("_ov", F.coalesce(ov, F.lit(0)))
+    out = per_day.groupBy("_rid", *keep).agg(F.sum("_ov").cast("long").alias("business_seconds"))
+    return out.drop("_rid")
 
 
 def milestones(history: DataFrame, key: str, ts: str, state: str, states: Sequence[str]) -> DataFrame:

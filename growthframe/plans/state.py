@@ -205,3 +205,39 @@ def k105(spark, sf):
     m = ST.milestones(load(spark, sf, "events"), "user_id", "ts", "event_type", ["signup", "click", "purchase"])
     return m.withColumn("hours_signup_to_click", F.round("hours_signup_to_click", 4)) \
         .withColumn("hours_click_to_purchase", F.round("hours_click_to_purchase", 4))
+
+
+# Fixed values of the stand-in: opening-hours versions (valid from, ISO weekday, opens, closes);
+# Saturday opening appears with the second version.
+HOURS_HISTORY = ([("1990-01-01 00:00:00", d, 9 * 3600, 18 * 3600) for d in range(1, 6)]
+                 + [("1998-01-01 00:00:00", d, 8 * 3600, 19 * 3600) for d in range(1, 6)]
+                 + [("1998-01-01 00:00:00", 6, 10 * 3600, 16 * 3600)])
+
+
+def _hours_history_sql():
+    rows = ", ".join(f"(TIMESTAMP '{v}', {d}, {o}, {c})" for v, d, o, c in HOURS_HISTORY)
+    return f"h AS (SELECT * FROM (VALUES {rows}) v(valid_from, iso_weekday, open_seconds, close_seconds))"
+
+
+@paired("k104_business_seconds_hours_asof", f"""
+WITH o AS (SELECT o_orderkey, o_orderdate + to_seconds((o_orderkey * 7919) % 86400) AS s FROM orders),
+o2 AS (SELECT o_orderkey, s, s + to_seconds(o_orderkey % 200000) AS e FROM o),
+{_hours_history_sql()},
+d AS (SELECT o_orderkey, s, e, CAST(unnest(generate_series(CAST(s AS DATE), CAST(e AS DATE), INTERVAL 1 DAY)) AS DATE) AS day FROM o2),
+j AS (SELECT d.*, h.open_seconds, h.close_seconds, h.valid_from FROM d LEFT JOIN h
+      ON h.iso_weekday = isodow(d.day) AND h.valid_from <= d.s),
+p AS (SELECT o_orderkey, s, e, day, arg_max(open_seconds, valid_from) AS op, arg_max(close_seconds, valid_from) AS cl
+      FROM j GROUP BY 1, 2, 3, 4)
+SELECT o_orderkey, s AS start_ts, e AS end_ts,
+  CAST(SUM(COALESCE(greatest(0, least(epoch(e), epoch(CAST(day AS TIMESTAMP)) + cl)
+                              - greatest(epoch(s), epoch(CAST(day AS TIMESTAMP)) + op)), 0)) AS BIGINT) AS business_seconds
+FROM p GROUP BY 1, 2, 3
+""", covers=("K104", "J7"))
+def k104h(spark, sf):
+    o = load(spark, sf, "orders").select(
+        "o_orderkey", (F.col("o_orderdate") + F.make_interval(secs=((F.col("o_orderkey") * 7919) % 86400)))
+        .alias("start_ts"))
+    o = o.withColumn("end_ts", F.col("start_ts") + F.make_interval(secs=(F.col("o_orderkey") % 200000)))
+    hours = spark.createDataFrame(HOURS_HISTORY, "valid_from string, iso_weekday int, open_seconds long, close_seconds long") \
+        .withColumn("valid_from", F.col("valid_from").cast("timestamp_ntz"))
+    return ST.business_seconds(o, "start_ts", "end_ts", hours)
