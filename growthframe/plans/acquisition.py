@@ -390,7 +390,7 @@ def k27(spark, sf):
     COALESCE(arg_max(utm_source, CASE WHEN utm_source IS NOT NULL THEN (touchpoint_timestamp, touchpoint_id) END), '(none)') AS ch_last
   FROM t GROUP BY 1),
 cev AS (SELECT s.contact_id, s.date_lead, s.date_mql, s.date_won, f.ch_first, f.ch_last FROM stages s JOIN flags f USING (contact_id)),
-ind AS (SELECT contact_id, 'leads' AS indicator, date_lead AS indicator_date, 1.0 AS value, ch_first, ch_last FROM cev WHERE date_lead IS NOT NULL
+ind AS (SELECT contact_id, 'leads' AS indicator, date_lead AS indicator_date, CAST(1.0 AS DOUBLE) AS value, ch_first, ch_last FROM cev WHERE date_lead IS NOT NULL
         UNION ALL SELECT contact_id, 'mqls', date_mql, 1.0, ch_first, ch_last FROM cev WHERE date_mql IS NOT NULL
         UNION ALL SELECT contact_id, 'won', date_won, 1.0, ch_first, ch_last FROM cev WHERE date_won IS NOT NULL),
 m AS (SELECT indicator, indicator_date, value, 'first_touch' AS model, ch_first AS channel FROM ind

@@ -62,7 +62,7 @@ def k45(spark, sf):
 
 @paired("k46_metric_layer", K44_CTE + f"""
 , m AS (SELECT CAST(date_trunc('month', d) AS DATE) AS month, SUM(amount) AS revenue, COUNT(*) AS n_orders,
-               count_if(is_first_order) AS new_customers, COUNT(DISTINCT customer_id) AS customers FROM c GROUP BY 1),
+               CAST(count_if(is_first_order) AS BIGINT) AS new_customers, COUNT(DISTINCT customer_id) AS customers FROM c GROUP BY 1),
 sp AS (SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS month, SUM(l_extendedprice * l_discount) AS spend
        FROM lineitem GROUP BY 1)
 SELECT m.month, {R2.format(x="m.revenue")} AS revenue, m.n_orders, m.new_customers, m.customers, {R2.format(x="sp.spend")} AS spend,
@@ -255,8 +255,8 @@ def k59(spark, sf):
 
 @paired("k60_accounts_growth", f"""
 WITH s AS (SELECT CAST(ts AS DATE) AS d FROM events WHERE event_type = 'signup'),
-g AS (SELECT count_if(d BETWEEN DATE '2024-01-16' AND DATE '2024-01-30') AS current,
-             count_if(d BETWEEN DATE '2024-01-01' AND DATE '2024-01-15') AS previous FROM s)
+g AS (SELECT CAST(count_if(d BETWEEN DATE '2024-01-16' AND DATE '2024-01-30') AS BIGINT) AS current,
+             CAST(count_if(d BETWEEN DATE '2024-01-01' AND DATE '2024-01-15') AS BIGINT) AS previous FROM s)
 SELECT current, previous, {R4.format(x="current * 15.0 / NULLIF(previous * 15.0, 0) - 1")} AS growth_rate FROM g
 """, covers=("K60",))
 def k60(spark, sf):

@@ -164,7 +164,7 @@ def k12(spark, sf):
   FROM kept WHERE hit_type = 'PAGE' OR ts = last_t
 ), g AS (
   SELECT page_path AS page, SUM((epoch_us(next_ts) - epoch_us(ts)) / 1e6) AS total_time_on_page,
-         count_if(hit_type = 'PAGE') AS pageviews, count_if(hit_type = 'PAGE' AND NOT is_exit) AS non_exit_pageviews
+         CAST(count_if(hit_type = 'PAGE') AS BIGINT) AS pageviews, CAST(count_if(hit_type = 'PAGE' AND NOT is_exit) AS BIGINT) AS non_exit_pageviews
   FROM k2 GROUP BY 1
 )
 SELECT page, CAST(ROUND(CAST(total_time_on_page AS DECIMAL(38,6)), 3) AS DOUBLE) AS total_time_on_page, pageviews,
@@ -178,10 +178,10 @@ def k13(spark, sf):
 
 @paired("k14_bounce_rate", WEB_SQL + """
 , n AS (SELECT session_id, COUNT(*) AS visit_hits FROM hits GROUP BY 1)
-SELECT page_path AS page, count_if(is_entrance) AS total_entrances,
-       count_if(hit_type = 'PAGE' AND visit_hits = 1) AS total_no_of_bounces,
-       CAST(ROUND(CAST(count_if(hit_type = 'PAGE' AND visit_hits = 1) / count_if(is_entrance) * 100 AS DECIMAL(38,6)), 2) AS DOUBLE) AS bounce_rate
-FROM hits JOIN n USING (session_id) GROUP BY 1 HAVING count_if(is_entrance) > 0
+SELECT page_path AS page, CAST(count_if(is_entrance) AS BIGINT) AS total_entrances,
+       CAST(count_if(hit_type = 'PAGE' AND visit_hits = 1) AS BIGINT) AS total_no_of_bounces,
+       CAST(ROUND(CAST(count_if(hit_type = 'PAGE' AND visit_hits = 1) / CAST(count_if(is_entrance) AS BIGINT) * 100 AS DECIMAL(38,6)), 2) AS DOUBLE) AS bounce_rate
+FROM hits JOIN n USING (session_id) GROUP BY 1 HAVING CAST(count_if(is_entrance) AS BIGINT) > 0
 """, covers=("K14", "A5", "A6"))
 def k14(spark, sf):
     return EV.bounce_rate(hits(spark, sf), "session_id", "page_path")
@@ -220,9 +220,9 @@ def k16b(spark, sf):
 
 @paired("k17_page_session_table", WEB_SQL + """
 , n AS (SELECT session_id, COUNT(*) AS visit_hits FROM hits GROUP BY 1)
-SELECT session_id, page_path, count_if(is_entrance) AS entrances, count_if(is_exit) AS exits,
-       count_if(hit_type = 'PAGE') AS pageviews, count_if(hit_type = 'EVENT') AS events,
-       count_if(is_entrance AND visit_hits = 1) AS bounces, MIN(ts) AS first_hit, MAX(ts) AS last_hit,
+SELECT session_id, page_path, CAST(count_if(is_entrance) AS BIGINT) AS entrances, CAST(count_if(is_exit) AS BIGINT) AS exits,
+       CAST(count_if(hit_type = 'PAGE') AS BIGINT) AS pageviews, CAST(count_if(hit_type = 'EVENT') AS BIGINT) AS events,
+       CAST(count_if(is_entrance AND visit_hits = 1) AS BIGINT) AS bounces, MIN(ts) AS first_hit, MAX(ts) AS last_hit,
        (MAX(epoch_us(ts)) - MIN(epoch_us(ts))) / 1e6 AS seconds_on_page
 FROM hits JOIN n USING (session_id) GROUP BY 1, 2
 """, covers=("K17",))

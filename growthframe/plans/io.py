@@ -61,7 +61,7 @@ def s3(spark, sf):
 
 @paired("s6_append_monthly_summary", """
 SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, COUNT(*) AS orders,
-       count_if(o_orderstatus = 'F') AS fulfilled, COUNT(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 END) AS urgent
+       CAST(count_if(o_orderstatus = 'F') AS BIGINT) AS fulfilled, COUNT(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 END) AS urgent
 FROM orders GROUP BY 1
 """, covers=("S6", "A5", "A3"))
 def s6(spark, sf):

@@ -80,7 +80,7 @@ def k109(spark, sf):
 _REL_SQL = DAILY_SQL + """
 , sh AS (SELECT d.website, d.event_name, d.m_events, o.off, CAST(d.date + to_days(o.off) AS DATE) AS target_date
          FROM daily d CROSS JOIN (VALUES (0), (7), (14), (21)) o(off)),
-g AS (SELECT website, event_name, target_date AS date, SUM(CASE WHEN off = 0 THEN m_events END) AS event_count,
+g AS (SELECT website, event_name, target_date AS date, CAST(SUM(CASE WHEN off = 0 THEN m_events END) AS BIGINT) AS event_count,
              SUM(CASE WHEN off > 0 THEN m_events END) AS s, COUNT(CASE WHEN off > 0 THEN 1 END) AS wk FROM sh GROUP BY 1, 2, 3),
 r AS (SELECT website, event_name, date, event_count, CASE WHEN wk = 3 THEN s / 3 END AS l4w_mean FROM g WHERE event_count IS NOT NULL),
 r2 AS (SELECT *, event_count / l4w_mean - 1 AS variation,
@@ -106,7 +106,7 @@ def k110(spark, sf):
 
 @paired("k111_alert_record", _REL_SQL + """
 , a AS (SELECT * FROM r2 WHERE is_alert)
-SELECT 'relative_variation' AS alert_type, website, event_name, date, 0.35 AS threshold_decrease,
+SELECT 'relative_variation' AS alert_type, website, event_name, date, CAST(0.35 AS DOUBLE) AS threshold_decrease,
   CAST(ROUND(CAST(variation AS DECIMAL(38,6)), 4) AS DOUBLE) AS current_variation,
   MIN(date) OVER (PARTITION BY website, event_name ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS first_alert_date,
   LAG(date) OVER (PARTITION BY website, event_name ORDER BY date) AS previous_alert_date,
@@ -139,9 +139,9 @@ def k112(spark, sf):
 
 @paired("k113_check", """
 WITH o AS (SELECT
-  COUNT(o_orderkey) - COUNT(DISTINCT o_orderkey) AS r0, count_if(o_custkey IS NULL) AS r1,
-  count_if(o_orderstatus IS NOT NULL AND o_orderstatus NOT IN ('F', 'O')) AS r2,
-  count_if(o_orderpriority IN ('0-NONE')) AS r3 FROM orders),
+  COUNT(o_orderkey) - COUNT(DISTINCT o_orderkey) AS r0, CAST(count_if(o_custkey IS NULL) AS BIGINT) AS r1,
+  CAST(count_if(o_orderstatus IS NOT NULL AND o_orderstatus NOT IN ('F', 'O')) AS BIGINT) AS r2,
+  CAST(count_if(o_orderpriority IN ('0-NONE')) AS BIGINT) AS r3 FROM orders),
 l AS (SELECT COUNT(*) - COUNT(DISTINCT (l_orderkey, l_linenumber)) AS r0 FROM lineitem),
 rel AS (SELECT COUNT(*) AS failures FROM (SELECT DISTINCT l_orderkey FROM lineitem) x
         WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders))

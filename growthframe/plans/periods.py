@@ -140,7 +140,10 @@ SELECT strftime(s.d, '%Y-%m-%d') AS id, s.d AS date_actual, year(s.d) AS year_nu
 FROM spine s LEFT JOIN hd ON hd.holiday_date = s.d
 """, covers=("K92", "F-d2", "F-d3", "F-d8", "M5", "M6"))
 def k92(spark, sf):
-    return CA.calendar(_spine(spark, sf))
+    cal = CA.calendar(_spine(spark, sf))
+    ints = ["year_number", "quarter_number", "month_number", "week_number_in_year", "day_number_in_month",
+            "day_number_in_week"]
+    return cal.select(*[F.col(c).cast("long").alias(c) if c in ints else F.col(c) for c in cal.columns])
 
 
 @paired("k29_daily_goals", _BOUNDS_SQL + ", yrs AS (SELECT DISTINCT year(d) AS year FROM spine)" + _holiday_sql("yrs") + f"""
@@ -148,7 +151,7 @@ def k92(spark, sf):
 cal AS (SELECT s.d, CAST(date_trunc('month', s.d) AS DATE) AS month,
                dayname(s.d) NOT IN ('Saturday', 'Sunday') AND hd.holiday_date IS NULL AS is_business_day
         FROM spine s LEFT JOIN hd ON hd.holiday_date = s.d),
-bd AS (SELECT month, count_if(is_business_day) AS business_days FROM cal GROUP BY 1),
+bd AS (SELECT month, CAST(count_if(is_business_day) AS BIGINT) AS business_days FROM cal GROUP BY 1),
 goals AS (SELECT CAST(date_trunc('month', o_orderdate) + INTERVAL 12 MONTH AS DATE) AS month, SUM(o_totalprice) * 1.1 AS goal
           FROM orders GROUP BY 1)
 SELECT g.month, c.d, c.is_business_day,
@@ -174,7 +177,7 @@ FROM g
 """, covers=("K94", "W1", "O1"))
 def k94(spark, sf):
     li = load(spark, sf, "lineitem")
-    g = li.groupBy("l_returnflag", "l_linestatus", F.year("l_shipdate").alias("ship_year")).agg(
+    g = li.groupBy("l_returnflag", "l_linestatus", F.year("l_shipdate").cast("long").alias("ship_year")).agg(
         F.sum("l_quantity").alias("qty"))
     out = PE.blank_repeats(g, ["l_returnflag", "l_linestatus"], ["l_returnflag", "l_linestatus", "ship_year"])
     return out.withColumn("_row", F.col("_row").cast("long"))
@@ -184,7 +187,7 @@ def k94(spark, sf):
 WITH o AS (SELECT o_custkey, CAST(o_orderdate AS DATE) AS d FROM orders WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1999-01-01' AND DATE '1999-06-30'),
 p AS (SELECT greatest(CAST(date_trunc('week', d) AS DATE), DATE '1999-01-01') AS period_start,
              least(CAST(date_trunc('week', d) AS DATE) + 6, DATE '1999-06-30') AS period_end, o_custkey, COUNT(*) AS n FROM o GROUP BY 1, 2, 3)
-SELECT period_start, period_end, SUM(n) AS rows, COUNT(*) AS entities, AVG(n) AS avg_rows_per_entity FROM p GROUP BY 1, 2
+SELECT period_start, period_end, CAST(SUM(n) AS BIGINT) AS rows, COUNT(*) AS entities, AVG(n) AS avg_rows_per_entity FROM p GROUP BY 1, 2
 """, covers=("K95", "F-d3", "F-d7", "A15"))
 def k95(spark, sf):
     o = load(spark, sf, "orders")
@@ -195,7 +198,7 @@ def k95(spark, sf):
 WITH o AS (SELECT o_custkey, CAST(o_orderdate AS DATE) AS d FROM orders WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1999-01-15' AND DATE '1999-12-31'),
 p AS (SELECT greatest(CAST(date_trunc('month', d) AS DATE), DATE '1999-01-15') AS period_start,
              least(last_day(d), DATE '1999-12-31') AS period_end, o_custkey, COUNT(*) AS n FROM o GROUP BY 1, 2, 3)
-SELECT period_start, period_end, SUM(n) AS rows, COUNT(*) AS entities, AVG(n) AS avg_rows_per_entity FROM p GROUP BY 1, 2
+SELECT period_start, period_end, CAST(SUM(n) AS BIGINT) AS rows, COUNT(*) AS entities, AVG(n) AS avg_rows_per_entity FROM p GROUP BY 1, 2
 """, covers=("K95",))
 def k95m(spark, sf):
     o = load(spark, sf, "orders")
@@ -235,7 +238,7 @@ FROM j
 """, covers=("K96", "X6"))
 def k96b(spark, sf):
     o = load(spark, sf, "orders")
-    m = o.groupBy(F.col("o_orderpriority").alias("store"), F.year("o_orderdate").alias("y")).agg(
+    m = o.groupBy(F.col("o_orderpriority").alias("store"), F.year("o_orderdate").cast("long").alias("y")).agg(
         F.avg(F.when(F.col("o_orderstatus") == "F", 1.0).otherwise(0.0)).alias("rate"))
     p = m.select("store", (F.col("y") + 1).alias("y"), F.col("rate").alias("previous"))
     j = m.join(p, ["store", "y"])

@@ -423,7 +423,7 @@ SELECT user_id,
   MIN(CASE WHEN event_type = 'signup' THEN ts END) AS first_signup,
   MAX(CASE WHEN event_type = 'click' THEN ts END) AS last_click,
   COUNT(DISTINCT CASE WHEN event_type = 'purchase' THEN CAST(ts AS DATE) END) AS purchase_days,
-  count_if(event_type = 'error') AS errors
+  CAST(count_if(event_type = 'error') AS BIGINT) AS errors
 FROM events GROUP BY 1
 """, covers=("A3", "A4", "A5"))
 def a3(spark, sf):
@@ -442,7 +442,7 @@ def a3(spark, sf):
 SELECT o_custkey,
   CAST(ROUND(CAST(SUM(CASE WHEN o_orderstatus = 'F' THEN o_totalprice ELSE 0 END)
      / NULLIF(SUM(CASE WHEN o_orderstatus = 'O' THEN o_totalprice ELSE 0 END), 0) AS DECIMAL(38,6)), 4) AS DOUBLE) AS f_to_o,
-  NULLIF(SUM(CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END), 0) AS partial_orders
+  CAST(NULLIF(SUM(CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END), 0) AS BIGINT) AS partial_orders
 FROM orders GROUP BY 1
 HAVING SUM(CASE WHEN o_orderstatus IN ('F', 'O') THEN o_totalprice ELSE 0 END) > 0
 """, covers=("A6", "A7", "F-m2", "M3"))

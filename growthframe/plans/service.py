@@ -27,7 +27,7 @@ def k115(spark, sf):
 @paired("k116_first_assignments", """
 WITH x AS (SELECT *, SUM(CASE WHEN event_type = 'signup' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id
              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS seg FROM events),
-g AS (SELECT user_id, seg AS segment, MIN(CASE WHEN event_type = 'signup' THEN ts END) AS segment_start,
+g AS (SELECT user_id, CAST(seg AS BIGINT) AS segment, MIN(CASE WHEN event_type = 'signup' THEN ts END) AS segment_start,
              MIN(CASE WHEN event_type = 'click' THEN ts END) AS first_assignment FROM x WHERE seg > 0 GROUP BY 1, 2)
 SELECT *, (epoch_us(first_assignment) - epoch_us(segment_start)) / 6e7 AS minutes_to_assignment FROM g
 """, covers=("K116", "W11"))
@@ -41,8 +41,8 @@ def k116(spark, sf):
 @paired("k117_on_time_rate", """
 WITH t AS (SELECT l.l_suppkey, CAST(o.o_orderdate AS DATE) + 90 AS due, CAST(l.l_shipdate AS DATE) AS done
            FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey)
-SELECT l_suppkey, count_if(done IS NOT NULL) AS completed_tasks, count_if(done <= due) AS on_time_tasks,
-       count_if(done <= due) / NULLIF(count_if(done IS NOT NULL), 0) AS on_time_rate
+SELECT l_suppkey, CAST(count_if(done IS NOT NULL) AS BIGINT) AS completed_tasks, CAST(count_if(done <= due) AS BIGINT) AS on_time_tasks,
+       CAST(count_if(done <= due) AS BIGINT) / NULLIF(CAST(count_if(done IS NOT NULL) AS BIGINT), 0) AS on_time_rate
 FROM t GROUP BY 1
 """, covers=("K117",))
 def k117(spark, sf):

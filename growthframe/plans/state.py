@@ -58,7 +58,7 @@ WITH o AS (SELECT o_custkey, CAST(o_orderdate AS DATE) AS s,
 d AS (SELECT o_custkey, urgent, unnest(generate_series(s, COALESCE(e, DATE '2001-08-01'), INTERVAL 1 DAY)) AS d FROM o
       WHERE COALESCE(e, DATE '2001-08-01') >= s),
 f AS (SELECT o_custkey, CAST(d AS DATE) AS d, bool_or(true) AS is_open, bool_or(urgent) AS is_urgent FROM d GROUP BY 1, 2)
-SELECT d, count_if(is_open) AS customers_open, count_if(is_urgent) AS customers_urgent FROM f GROUP BY 1
+SELECT d, CAST(count_if(is_open) AS BIGINT) AS customers_open, CAST(count_if(is_urgent) AS BIGINT) AS customers_urgent FROM f GROUP BY 1
 """, covers=("K98", "J5", "M25"))
 def k98(spark, sf):
     o = load(spark, sf, "orders")

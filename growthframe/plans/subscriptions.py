@@ -65,8 +65,8 @@ def k80(spark, sf):
 
 @paired("k81_apply_discount", _PLAN_SQL + f"""
 , d AS (SELECT *, CASE WHEN l_returnflag = 'A' THEN l_discount * 100 END AS sub_pct,
-               CASE WHEN l_returnflag = 'N' THEN 50.0 END AS sub_amt,
-               CASE WHEN l_linestatus = 'F' THEN 5.0 END AS cust_pct, 10.0 AS cust_amt FROM n)
+               CASE WHEN l_returnflag = 'N' THEN CAST(50.0 AS DOUBLE) END AS sub_amt,
+               CASE WHEN l_linestatus = 'F' THEN CAST(5.0 AS DOUBLE) END AS cust_pct, CAST(10.0 AS DOUBLE) AS cust_amt FROM n)
 SELECT l_orderkey, l_linenumber, COALESCE(sub_pct, cust_pct) AS eff_percent_off, COALESCE(sub_amt, cust_amt) AS eff_amount_off,
   {R4.format(x='''greatest(CASE WHEN COALESCE(sub_pct, cust_pct) IS NOT NULL THEN mrr * (1 - COALESCE(sub_pct, cust_pct) / 100.0)
                     WHEN COALESCE(sub_amt, cust_amt) IS NOT NULL THEN mrr - COALESCE(sub_amt, cust_amt) ELSE mrr END, 0.0)''')} AS mrr_discounted
