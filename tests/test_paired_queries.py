@@ -34,3 +34,21 @@ def test_query_matches_oracle(spark, duck, name):
     drows = cur.fetchall()
     assert sorted(sdf.columns) == sorted(dcols)
     assert rows_key(srows, sdf.columns) == rows_key(drows, dcols)
+
+
+_SPARK_TYPES = {"int": "int32", "bigint": "int64", "smallint": "int16", "tinyint": "int8", "double": "double",
+                "float": "float", "string": "string", "boolean": "bool", "date": "date", "timestamp_ntz": "timestamp"}
+_DUCK_TYPES = {"INTEGER": "int32", "BIGINT": "int64", "SMALLINT": "int16", "TINYINT": "int8", "DOUBLE": "double",
+               "FLOAT": "float", "VARCHAR": "string", "BOOLEAN": "bool", "DATE": "date", "TIMESTAMP": "timestamp"}
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_column_types_match_oracle(spark, duck, name):
+    sdf = QUERIES[name](spark, SF_SMALL)
+    rel = duck.sql(ORACLES[name])
+    dtypes = dict(zip(rel.columns, map(str, rel.types)))
+    for f in sdf.schema.fields:
+        s = _SPARK_TYPES.get(f.dataType.simpleString())
+        d = _DUCK_TYPES.get(dtypes[f.name])
+        if s is not None or d is not None:  # scalar columns: same family and width
+            assert s == d, (f.name, f.dataType.simpleString(), dtypes[f.name])
