@@ -221,3 +221,22 @@ def t3(spark, sf):
     twice = s.unionByName(s)  # every event delivered twice
     out = TW.run_available_now(TW.dedupe_stream(twice), "t3_dedupe")
     return out.select("event_id", "user_id", "event_type")
+
+
+@paired("s11_upsert_partitions", """
+SELECT o_orderkey, o_custkey, CASE WHEN o_orderstatus = 'P' THEN 'F' ELSE o_orderstatus END AS o_orderstatus,
+       CAST(date_trunc('year', o_orderdate) AS DATE) AS order_year,
+       CASE WHEN o_orderstatus = 'P' OR o_orderdate >= TIMESTAMP '2000-01-01' THEN 2 ELSE 1 END AS version
+FROM orders
+""", covers=("S11", "S9", "S15"))
+def s11p(spark, sf):
+    o = load(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate",
+                                         F.to_date(F.date_trunc("year", "o_orderdate")).alias("order_year"))
+    path = _scratch(spark, "upsert-partitioned")
+    base = o.filter(F.col("o_orderdate") < F.lit("2000-01-01").cast("timestamp_ntz")).withColumn("version", F.lit(1))
+    SK.write_table(base.drop("o_orderdate"), path, ["order_year"])
+    updates = o.filter(F.col("o_orderstatus") == "P").withColumn("o_orderstatus", F.lit("F"))
+    new = o.filter(F.col("o_orderdate") >= F.lit("2000-01-01").cast("timestamp_ntz"))
+    delta = updates.unionByName(new).dropDuplicates(["o_orderkey"]).withColumn("version", F.lit(2)).drop("o_orderdate")
+    out = SK.upsert_partitions(spark, path, delta, ["o_orderkey"], ["version"], "order_year")
+    return out.select("o_orderkey", "o_custkey", "o_orderstatus", "order_year", "version")

@@ -129,6 +129,23 @@ def upsert(spark: SparkSession, base: DataFrame, delta: DataFrame, keys: Sequenc
     return spark.read.parquet(target)
 
 
+def upsert_partitions(spark: SparkSession, path: str, delta: DataFrame, keys: Sequence[str],
+                      order: Sequence[str], partition_col: str) -> DataFrame:
+    """S11 in place on a partitioned table: only the partitions the delta touches are read
+    (partition pruning through a semi join on the partition values), merged with the delta
+    (latest row per key), staged under the checkpoint folder and written back with dynamic
+    partition overwrite. Untouched partitions are neither read nor rewritten. A key is
+    assumed to stay in its partition (e.g. partitioned by creation date)."""
+    touched = delta.select(partition_col).distinct()
+    base = spark.read.parquet(path)
+    # join on the partition column: dynamic partition pruning skips untouched directories
+    scope = base.join(touched, partition_col, "left_semi")
+    merged = latest_per_key(scope.unionByName(delta, allowMissingColumns=True), keys, order)
+    staged = staging(spark, merged, "upsert")
+    insert_overwrite_partitions(staged, path, [partition_col])
+    return spark.read.parquet(path)
+
+
 def historize(spark: SparkSession, history_path: str, snapshot: DataFrame, keys: Sequence[str],
               tracked: Sequence[str], ts_col: str, as_of) -> int:
     """Append to a history table only the snapshot rows whose tracked columns differ
