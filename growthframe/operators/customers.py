@@ -237,3 +237,19 @@ def customer_migration(orders: DataFrame, customer: str, store: str, date: str,
                     (F.size("stores_p1") == 1).alias("only_one_store_p1"),
                     (F.size("stores_p2") == 1).alias("only_one_store_p2"),
                     (F.col("stores_p1") != F.col("stores_p2")).alias("migrated"))
+
+
+def retention_item_counts(lines: DataFrame, customer: str, date: str, order_id: str, item: str,
+                          cur: tuple, prev: tuple) -> DataFrame:
+    """K57 item sets: for each period and number-of-orders bucket, how many customers bought
+    each item. The reference concatenates every customer's distinct item list into one array
+    per bucket (an unbounded array in one row); the same multiset is kept here as
+    (bucket, item, customers) rows, a distributed aggregate."""
+    d = F.to_date(F.col(date))
+    lab = F.when(d.between(F.lit(cur[0]).cast("date"), F.lit(cur[1]).cast("date")), "current") \
+        .when(d.between(F.lit(prev[0]).cast("date"), F.lit(prev[1]).cast("date")), "previous")
+    x = lines.withColumn("period", lab).filter(F.col("period").isNotNull())
+    per_customer = x.groupBy("period", customer).agg(F.countDistinct(order_id).alias("n_orders"))
+    items = x.filter(F.col(item).isNotNull()).select("period", customer, item).distinct()
+    j = items.join(per_customer, ["period", customer])
+    return j.groupBy("period", "n_orders", item).agg(F.count("*").alias("customers"))

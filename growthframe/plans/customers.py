@@ -311,3 +311,23 @@ FROM g
 def k63(spark, sf):
     return CU.customer_migration(orders(spark, sf), "customer_id", "store", "created_at",
                                  ("1996-01-01", "1996-12-31"), ("1997-01-01", "1997-12-31"))
+
+
+@paired("k57_retention_item_sets", """
+WITH x AS (SELECT o.o_custkey AS customer_id, o.o_orderkey AS order_id, p.p_brand AS brand,
+                  CASE WHEN CAST(o.o_orderdate AS DATE) BETWEEN DATE '2000-01-01' AND DATE '2000-12-31' THEN 'current'
+                       WHEN CAST(o.o_orderdate AS DATE) BETWEEN DATE '1999-01-01' AND DATE '1999-12-31' THEN 'previous' END AS period
+           FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey JOIN part p ON p.p_partkey = l.l_partkey),
+cs AS (SELECT period, customer_id, list_distinct(list(brand)) AS brand, COUNT(DISTINCT order_id) AS orders_count
+       FROM x WHERE period IS NOT NULL GROUP BY 1, 2),
+oc AS (SELECT period, orders_count, flatten(list(brand)) AS brand FROM cs GROUP BY 1, 2),
+u AS (SELECT period, orders_count, unnest(brand) AS brand FROM oc)
+SELECT period, orders_count AS n_orders, brand AS p_brand, COUNT(*) AS customers FROM u GROUP BY 1, 2, 3
+""", covers=("K57", "A11", "A9"))
+def k57b(spark, sf):
+    li = load(spark, sf, "lineitem")
+    o = load(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    p = load(spark, sf, "part").select("p_partkey", "p_brand")
+    x = li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
+    return CU.retention_item_counts(x, "o_custkey", "o_orderdate", "o_orderkey", "p_brand",
+                                    ("2000-01-01", "2000-12-31"), ("1999-01-01", "1999-12-31"))
