@@ -7,8 +7,6 @@ alert history is read back (self-read) and passed in; suppression is computed fr
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 

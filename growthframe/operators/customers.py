@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from growthframe.functions.semantics import months_diff, round_half_up, safe_divide
-from growthframe.operators.common import bucketed_lag, bucketed_running_sum, with_group_agg
+from growthframe.operators.common import bucketed_lag, bucketed_running_sum
 from growthframe.operators.ranking import exact_ntile
 
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from growthframe.operators import acquisition as AQ
-from growthframe.plans.events import MEDIUMS, SOURCES, _sql_list, sessions_events, web_events
+from growthframe.plans.events import MEDIUMS, SOURCES, _sql_list, web_events
 from growthframe.plans.registry import paired
 from growthframe.sources.tables import load
 

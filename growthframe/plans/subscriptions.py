@@ -7,7 +7,6 @@ monthly recurring revenue per customer = ``orders`` summed per customer and mont
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from growthframe.functions.semantics import round_half_up
