@@ -223,9 +223,16 @@ def store_new_customers(orders: DataFrame, customer: str, store: str, date: str)
     return per_store, omni
 
 
-def customer_migration(orders: DataFrame, customer: str, store: str, date: str, p1: tuple, p2: tuple) -> DataFrame:
+def customer_migration(orders: DataFrame, customer: str, store: str, date: str, p1: tuple, p2: tuple,
+                       stores: Sequence[str] | None = None, clusters: dict[str, str] | None = None) -> DataFrame:
     """Per customer the stores bought from in period 1 and period 2, only-one-store flags
-    and whether the customer moved (sets differ)."""
+    and whether the customer moved (sets differ). ``stores`` restricts the stores considered;
+    ``clusters`` maps stores to store clusters, compared instead of single stores."""
+    if stores is not None:
+        orders = orders.filter(F.col(store).isin(list(stores)))
+    if clusters:
+        m = F.create_map(*[F.lit(x) for kv in clusters.items() for x in kv])
+        orders = orders.withColumn(store, F.coalesce(m[F.col(store)], F.col(store)))
     d = F.to_date(F.col(date))
     in1 = d.between(F.lit(p1[0]).cast("date"), F.lit(p1[1]).cast("date"))
     in2 = d.between(F.lit(p2[0]).cast("date"), F.lit(p2[1]).cast("date"))

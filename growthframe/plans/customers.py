@@ -331,3 +331,26 @@ def k57b(spark, sf):
     x = li.join(o, li.l_orderkey == o.o_orderkey).join(p, li.l_partkey == p.p_partkey)
     return CU.retention_item_counts(x, "o_custkey", "o_orderdate", "o_orderkey", "p_brand",
                                     ("2000-01-01", "2000-12-31"), ("1999-01-01", "1999-12-31"))
+
+
+# Fixed values of the stand-in: store clusters (urgent priorities form one cluster).
+STORE_CLUSTERS = {"1-URGENT": "priority", "2-HIGH": "priority", "3-MEDIUM": "standard", "4-NOT SPECIFIED": "standard"}
+
+
+@paired("k63_customer_migration_clusters", O_SQL + """
+, x AS (SELECT customer_id, d, CASE store WHEN '1-URGENT' THEN 'priority' WHEN '2-HIGH' THEN 'priority'
+                                          WHEN '3-MEDIUM' THEN 'standard' WHEN '4-NOT SPECIFIED' THEN 'standard' END AS store
+        FROM o WHERE store <> '5-LOW'
+          AND (d BETWEEN DATE '1996-01-01' AND DATE '1996-12-31' OR d BETWEEN DATE '1997-01-01' AND DATE '1997-12-31')),
+g AS (SELECT customer_id,
+        list_sort(list_distinct(list(CASE WHEN d BETWEEN DATE '1996-01-01' AND DATE '1996-12-31' THEN store END))) AS s1,
+        list_sort(list_distinct(list(CASE WHEN d BETWEEN DATE '1997-01-01' AND DATE '1997-12-31' THEN store END))) AS s2
+      FROM x GROUP BY 1)
+SELECT customer_id, array_to_string(s1, ',') AS stores_p1, array_to_string(s2, ',') AS stores_p2,
+       len(s1) = 1 AS only_one_store_p1, len(s2) = 1 AS only_one_store_p2, s1 != s2 AS migrated
+FROM g
+""", covers=("K63",))
+def k63c(spark, sf):
+    return CU.customer_migration(orders(spark, sf), "customer_id", "store", "created_at",
+                                 ("1996-01-01", "1996-12-31"), ("1997-01-01", "1997-12-31"),
+                                 stores=list(STORE_CLUSTERS), clusters=STORE_CLUSTERS)
