@@ -125,14 +125,30 @@ def customer_day_revenue(orders: DataFrame, lines: DataFrame, customers: DataFra
     return g.join(customers.select(customer, *demo), customer, "left")
 
 
+# Comment patterns that carry a refunded amount, tried in this order.
+REFUND_PATTERNS = [
+    r"Nous avons remboursé ([0-9]+(?:\.[0-9]+)?) €",
+    r"We refunded €([0-9]+(?:\.[0-9]+)?)",
+    r"([0-9]+(?:\.[0-9]+)?) € \(dans la devise de base du magasin\)",
+    r"€([0-9]+(?:\.[0-9]+)?) \(in store's base currency\)",
+    r"Gift card was created for refund for amount ([0-9]+(?:\.[0-9]+)?) with code",
+]
+
+
+def refund_amount(comment: str | Column, patterns=REFUND_PATTERNS) -> Column:
+    """Refunded amount found in an order comment: the first pattern that matches wins, 0 when
+    none does (regex misses are NULL, M2)."""
+    return F.coalesce(*[regex_group(comment, p, 1).cast("double") for p in patterns], F.lit(0.0))
+
+
 def omnichannel_daily(web: DataFrame, retail: DataFrame, customer: str, date: str, amount: str, store: str,
                       comment: str) -> DataFrame:
     """Two order systems unified per day and customer: web and retail revenue, refunds
-    parsed from a retail comment ("refund <amount>"), distinct stores over the customer's
+    parsed from order comments (:data:`REFUND_PATTERNS`), distinct stores over the customer's
     whole history (pre-aggregated distinct count joined back, not COUNT(DISTINCT) OVER)."""
     w = web.select(customer, F.to_date(F.col(date)).alias("day"), F.col(amount).alias("web_revenue"),
                    F.lit(0.0).alias("retail_revenue"), F.lit(0.0).alias("refunds"), F.col(store).alias("store"))
-    refund = F.coalesce(regex_group(comment, r"refund (\d+(?:\.\d+)?)", 1).cast("double"), F.lit(0.0))
+    refund = refund_amount(comment)
     r = retail.select(customer, F.to_date(F.col(date)).alias("day"), F.lit(0.0).alias("web_revenue"),
                       F.col(amount).alias("retail_revenue"), refund.alias("refunds"), F.col(store).alias("store"))
     u = w.unionByName(r)

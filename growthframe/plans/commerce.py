@@ -197,10 +197,12 @@ FROM u JOIN s USING (o_custkey) GROUP BY 1, 2
 def k76(spark, sf):
     o = load(spark, sf, "orders")
     web = o.filter(F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"))
+    amt = F.format_string("%.2f", round_half_up(F.col("o_totalprice") * 0.1, 2))
+    # stand-in comments in two of the recognised wordings (by order key parity)
+    text = F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit("We refunded €"), amt)) \
+        .otherwise(F.concat(F.lit("Gift card was created for refund for amount "), amt, F.lit(" with code GC")))
     retail = o.filter(~F.col("o_orderpriority").isin("1-URGENT", "2-HIGH")).withColumn(
-        "comment", F.when(F.col("o_orderstatus") == "P",
-                          F.concat(F.lit("refund "), round_half_up(F.col("o_totalprice") * 0.1, 2).cast("string")))
-        .otherwise(F.lit("ok")))
+        "comment", F.when(F.col("o_orderstatus") == "P", text).otherwise(F.lit("ok")))
     web = web.withColumn("comment", F.lit(None).cast("string"))
     out = OF.omnichannel_daily(web, retail, "o_custkey", "o_orderdate", "o_totalprice", "o_orderpriority", "comment")
     return out.select("day", "o_custkey", round_half_up("web_revenue", 2).alias("web_revenue"),

@@ -162,3 +162,12 @@ def test_epoch_arithmetic_is_session_zone_free(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", prev)
     assert out[0] == out[1] and out[0][1] == dt.datetime(1995, 4, 2, 2, 46, 44)
+
+
+def test_k76_refund_patterns(spark):
+    from growthframe.operators.order_facts import refund_amount
+    rows = [("Nous avons remboursé 12.5 €",), ("We refunded €7",), ("3.25 € (dans la devise de base du magasin)",),
+            ("€4.75 (in store's base currency)",), ("Gift card was created for refund for amount 30 with code X",),
+            ("no refund here",), (None,)]
+    df = spark.createDataFrame(rows, "c string")
+    assert [r[0] for r in df.select(refund_amount("c")).collect()] == [12.5, 7.0, 3.25, 4.75, 30.0, 0.0, 0.0]
