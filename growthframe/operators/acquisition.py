@@ -273,7 +273,9 @@ def map_patterns(facts: DataFrame, mapping: DataFrame, pattern_cols: Sequence[tu
         if n_keys > max_broadcast_rows:
             raise ValueError(f"mapping ({n_map} rows) and distinct keys ({n_keys}) both exceed the broadcast "
                              f"bound {max_broadcast_rows}; split the mapping by literal prefix first")
-        matched = F.broadcast(k).join(m, cond, "right").filter(F.col("m." + sort_col).isNotNull())
+        # keys broadcast, mapping streamed; only matches are needed here (unmatched facts get
+        # the "unmapped" label from the final left join)
+        matched = F.broadcast(k).join(m, cond, "inner")
     matched = matched.select(*[F.col(f"k.{f}").alias(f) for f in keys],
                              *[F.col(f"m.{o}").alias(o) for o in outputs], F.col(f"m.{sort_col}").alias("_sort"))
     if mode == "best":

@@ -134,3 +134,17 @@ def test_exact_percentile_equals_percentile(spark, rows, q):
     ours = {r["g"]: r[name] for r in exact_percentile(df, "v", [q], ["g"], num_partitions=3).collect()}
     ref = {r["g"]: r["x"] for r in df.groupBy("g").agg(F.percentile("v", q).alias("x")).collect()}
     assert ours.keys() == ref.keys() and all(abs(ours[k] - ref[k]) < 1e-9 for k in ref)
+
+
+def test_map_patterns_fallback_equals_broadcast_mapping(spark):
+    from growthframe.operators.acquisition import map_patterns
+    from growthframe.plans.acquisition import _mapping_df
+    from growthframe.plans.events import web_events
+    facts = web_events(spark, SF_SMALL).filter(F.col("event_type").isin("click", "view")).select(
+        "event_id", "utm_source", "utm_medium")
+    cols = [("utm_source", "p_source"), ("utm_medium", "p_medium")]
+    for mode in ("best", "all"):
+        a = map_patterns(facts, _mapping_df(spark), cols, ["source_name", "channel"], mode=mode)
+        b = map_patterns(facts, _mapping_df(spark), cols, ["source_name", "channel"], mode=mode, max_broadcast_rows=7)
+        key = ["event_id", "source_name", "channel"]
+        assert sorted(map(tuple, a.select(*key).collect())) == sorted(map(tuple, b.select(*key).collect()))
