@@ -29,14 +29,19 @@ def main_reason(df: DataFrame, keys: Sequence[str], reason: str) -> DataFrame:
 
 def dominant_category(lines: DataFrame, order: str, category: str, qty: str) -> DataFrame:
     """category(ies) holding the largest quantity in each order, with a persona label:
-    the single dominant category, or 'mixed' when several tie."""
+    the single dominant category, or 'mixed' when several tie.
+
+    Two aggregates and no join back: the per-order list of (quantity, category) pairs is
+    bounded by the number of categories, and the maximum and ties are picked inside it."""
     per = lines.groupBy(order, category).agg(F.sum(qty).alias("cat_qty"))
-    top = per.groupBy(order).agg(F.max("cat_qty").alias("_mx"))
-    dom = per.join(top, order).filter(F.col("cat_qty") == F.col("_mx"))
-    return dom.groupBy(order).agg(
-        F.array_sort(F.collect_list(category)).alias("dominant_categories"),
-        F.max("cat_qty").alias("dominant_qty"),
-        F.when(F.count("*") == 1, F.first(category)).otherwise(F.lit("mixed")).alias("persona"))
+    g = per.groupBy(order).agg(F.max("cat_qty").alias("dominant_qty"),
+                               F.collect_list(F.struct(F.col("cat_qty").alias("q"), F.col(category).alias("c")))
+                               .alias("_cats"))
+    top = F.array_sort(F.transform(F.filter("_cats", lambda s: s["q"] == F.col("dominant_qty")), lambda s: s["c"]))
+    return g.select(order, top.alias("dominant_categories"), "dominant_qty").select(
+        order, "dominant_categories", "dominant_qty",
+        F.when(F.size("dominant_categories") == 1, F.col("dominant_categories")[0]).otherwise(F.lit("mixed"))
+        .alias("persona"))
 
 
 def product_period_compare(lines: DataFrame, product: str, date: str, price: str, qty: str,

@@ -128,8 +128,11 @@ def rollup_by_scale(df: DataFrame, date: str, entity: str, scale: str, start, en
 def wide_union_kpis(df: DataFrame, specs: Sequence[tuple[str, str, str]], grain: str = "day") -> DataFrame:
     """Many measures, each dated by its own date column and counting distinct ids:
     (measure, date column, id column). Each row emits one (measure, date, id) struct per spec
-    with a non-NULL date (one explode), then ONE aggregate: one scan instead of one per measure."""
+    with a non-NULL date (one explode), then ONE aggregate: one scan instead of one per measure.
+    Ids keep their native type when all specs share it (cheaper hashing than strings)."""
+    types = {df.schema[idc].dataType.simpleString() for _, _, idc in specs}
+    id_col = (lambda c: F.col(c)) if len(types) == 1 else (lambda c: F.col(c).cast("string"))
     arr = F.array(*[F.struct(F.lit(m).alias("measure"), trunc_date(F.col(dc), grain).alias("d"),
-                             F.col(idc).cast("string").alias("id")) for m, dc, idc in specs])
+                             id_col(idc).alias("id")) for m, dc, idc in specs])
     x = df.select(F.explode(F.filter(arr, lambda s: s["d"].isNotNull())).alias("s")).select("s.*")
     return x.groupBy("measure", "d").agg(F.countDistinct("id").alias("value"))
