@@ -76,6 +76,20 @@ def bucketed_lag(df: DataFrame, keys: Sequence[str], ts: str, tie: str, cols: Se
     return x.drop("_b", "_pl", "_first")
 
 
+def bucketed_lead(df: DataFrame, keys: Sequence[str], ts: str, tie: str, cols: Sequence[str],
+                  bucket: str = "month", prefix: str = "next_") -> DataFrame:
+    """``LEAD(c) OVER (PARTITION BY keys ORDER BY ts, tie)`` for each column, skew-safe: the last
+    row of a bucket takes the first row of the key's next active bucket."""
+    x, bk, over_b = _bucketed(df, keys, ts, bucket)
+    wb = Window.partitionBy(*bk).orderBy(ts, tie)
+    first = x.groupBy(*bk).agg(F.min_by(F.struct(*[F.col(c) for c in cols]), F.struct(ts, tie)).alias("_bf"))
+    first = first.withColumn("_nf", F.lead("_bf").over(over_b)).drop("_bf")
+    x = x.join(first, bk).withColumn("_last", F.lead(F.lit(1)).over(wb).isNull())
+    for c in cols:
+        x = x.withColumn(prefix + c, F.when(F.col("_last"), F.col("_nf")[c]).otherwise(F.lead(c).over(wb)))
+    return x.drop("_b", "_nf", "_last")
+
+
 def bucketed_running_sum(df: DataFrame, keys: Sequence[str], ts: str, tie: str, value: str, name: str,
                          bucket: str = "month", exclusive: bool = False) -> DataFrame:
     """``SUM(value) OVER (PARTITION BY keys ORDER BY ts, tie ROWS UNBOUNDED PRECEDING TO

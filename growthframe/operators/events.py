@@ -1,9 +1,9 @@
 """Web events and sessions.
 
-Per-visitor ordered logic (gaps, previous page, next hit) uses windows partitioned by the
-visitor or the visit. A visit is short, so visit-partitioned windows are naturally bounded.
-``sessionize`` partitions by visitor: one visitor's history is sorted in one task, which a
-single hot visitor (a bot) would stress and AQE cannot split. Per-session measures are
+Ordered per-visitor and per-visit logic (gaps, hit numbers, previous page, next hit) runs on
+windows partitioned by (visitor or visit, time bucket) with the boundary values carried by
+small per-bucket aggregates (``common.bucketed_*``), so a bot visitor or visit is spread over
+its active hours or days instead of being one sorted task. Per-session measures are
 aggregates (partial, map-side) rather than windows wherever the rule allows.
 """
 
@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from growthframe.functions.semantics import epoch_micros, first_non_null, param_value, regex_group, round_half_up
+from growthframe.operators.common import bucketed_lag, bucketed_lead, bucketed_row_number, with_group_agg
 
 
 def event_params(df: DataFrame, arr: str, keys: dict[str, tuple[str, str]]) -> DataFrame:
@@ -100,15 +101,18 @@ def session_rollup(df: DataFrame, session: str, ts: str, page: str, utm_cols: Se
 
 
 def visit_hits(df: DataFrame, visit: str, ts: str, event_id: str, is_page: Column,
-               is_interaction: Column) -> DataFrame:
-    """UA-style hit attributes inside each visit: hit number, entrance / exit flags, type."""
-    w = Window.partitionBy(visit).orderBy(ts, event_id)
-    wd = Window.partitionBy(visit).orderBy(F.col(ts).desc(), F.col(event_id).desc())
-    return (df.withColumn("hit_number", F.row_number().over(w))
+               is_interaction: Column, bucket: str = "hour") -> DataFrame:
+    """UA-style hit attributes inside each visit: hit number, entrance / exit flags, type.
+
+    Hit numbers are hour-bucketed row numbers and the exit hit is the visit's last hit (a
+    ``max_by`` aggregate joined back), so a bot visit with millions of hits is not one task."""
+    x = bucketed_row_number(df, [visit], ts, event_id, "hit_number", bucket)
+    last = x.groupBy(visit).agg(F.max_by(F.col(event_id), F.struct(ts, event_id)).alias("_exit_id"))
+    return (x.join(last, visit)
             .withColumn("is_entrance", F.col("hit_number") == 1)
-            .withColumn("is_exit", F.row_number().over(wd) == 1)
+            .withColumn("is_exit", F.col(event_id) == F.col("_exit_id"))
             .withColumn("hit_type", F.when(is_page, "PAGE").otherwise("EVENT"))
-            .withColumn("is_interaction", is_interaction))
+            .withColumn("is_interaction", is_interaction).drop("_exit_id"))
 
 
 def page_journey(df: DataFrame, visit: str, ts: str, event_id: str, page: str, sep: str = " > ") -> DataFrame:
@@ -121,16 +125,15 @@ def page_journey(df: DataFrame, visit: str, ts: str, event_id: str, page: str, s
 
 
 def session_bounds(sessions: DataFrame, user: str, start: str, session: str) -> DataFrame:
-    """Each session's start and end, end = next session's start (NULL for the last)."""
-    w = Window.partitionBy(user).orderBy(start, session)
-    return sessions.select(user, session, F.col(start).alias("session_start"),
-                           F.lead(start).over(w).alias("session_end"))
+    """Each session's start and end, end = next session's start (NULL for the last);
+    month-bucketed lead (skew-safe)."""
+    x = bucketed_lead(sessions.select(user, session, start), [user], start, session, [start], "month", "_n_")
+    return x.select(user, session, F.col(start).alias("session_start"), F.col(f"_n_{start}").alias("session_end"))
 
 
 def previous_page(df: DataFrame, visit: str, ts: str, event_id: str, page: str) -> DataFrame:
     """(page, previous page) transition counts inside visits, self-transitions dropped."""
-    w = Window.partitionBy(visit).orderBy(ts, event_id)
-    x = df.withColumn("previous_page", F.lag(page).over(w))
+    x = bucketed_lag(df, [visit], ts, event_id, [page], "hour", "_p_").withColumnRenamed(f"_p_{page}", "previous_page")
     return (x.filter(F.col(page) != F.col("previous_page"))
             .groupBy(F.col(page).alias("page"), "previous_page").agg(F.count("*").alias("pageviews")))
 
@@ -141,12 +144,10 @@ def time_on_page(hits: DataFrame, visit: str, ts: str, event_id: str, page: str)
     Only PAGE hits and the visit's last interaction are kept (the last interaction closes
     the last page); ``nextTime`` is the next kept hit. Seconds, NULL when no non-exit view."""
     is_page = F.col("hit_type") == "PAGE"
-    w_all = Window.partitionBy(visit)
     x = hits.filter(is_page | F.col("is_interaction"))
-    x = x.withColumn("_last_t", F.max(ts).over(w_all))
+    x = with_group_agg(x, [visit], F.max(ts).alias("_last_t"))
     x = x.filter(is_page | (F.col(ts) == F.col("_last_t")))
-    w = Window.partitionBy(visit).orderBy(ts, event_id)
-    x = x.withColumn("_next", F.lead(ts).over(w))
+    x = bucketed_lead(x, [visit], ts, event_id, [ts], "hour", "_n_").withColumnRenamed(f"_n_{ts}", "_next")
     x = x.withColumn("_dt", (_micros("_next") - _micros(ts)) / 1e6)
     g = x.groupBy(F.col(page).alias("page")).agg(
         F.sum("_dt").alias("total_time_on_page"), F.count_if(is_page).alias("pageviews"),

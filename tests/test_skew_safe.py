@@ -65,3 +65,17 @@ def test_bucketed_window_helpers_equal_plain_windows(spark, bucket):
     a = x.select("o_orderkey", F.round("rs", 2), F.round("rx", 2), F.col("lg_o_orderstatus"), "rn")
     b = ref.select("o_orderkey", F.round("rs", 2), F.round("rx", 2), "lg", "rn")
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+@pytest.mark.parametrize("bucket", ["hour", "day"])
+def test_bucketed_lead_equals_plain_lead(spark, bucket):
+    from pyspark.sql import Window
+
+    from growthframe.operators.common import bucketed_lead
+
+    e = load(spark, SF_SMALL, "events").withColumn("user_id", F.col("user_id") % 2)  # two hot visitors
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
+    ref = e.select("event_id", F.lead("ts").over(w).alias("n_ts"), F.lead("event_type").over(w).alias("n_type"))
+    got = bucketed_lead(e, ["user_id"], "ts", "event_id", ["ts", "event_type"], bucket, "n_") \
+        .select("event_id", F.col("n_ts"), F.col("n_event_type").alias("n_type"))
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, ref.collect()))
