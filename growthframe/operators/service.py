@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from growthframe.functions.semantics import epoch_micros, epoch_seconds
+from growthframe.operators.common import bucketed_running_sum
 
 
 def reply_pairs(messages: DataFrame, conv: str, order: str, role: str, team_role: str, customer_role: str,
@@ -33,9 +34,9 @@ def reply_pairs(messages: DataFrame, conv: str, order: str, role: str, team_role
 def first_assignments(events: DataFrame, key: str, ts: str, tie: str, is_start, is_assignment) -> DataFrame:
     """K116: the first assignment after each conversation start or reopening: segments are
     numbered by a running count of start events; the first assignment per segment is a
-    ``min_by`` aggregate."""
-    w = Window.partitionBy(key).orderBy(ts, tie).rowsBetween(Window.unboundedPreceding, 0)
-    x = events.withColumn("_segment", F.sum(is_start.cast("int")).over(w))
+    aggregate. The running count is month-bucketed (skew-safe)."""
+    x = bucketed_running_sum(events.withColumn("_is_start", is_start.cast("long")), [key], ts, tie, "_is_start",
+                             "_segment").drop("_is_start")
     x = x.filter(F.col("_segment") > 0)
     g = x.groupBy(key, "_segment").agg(
         F.min(F.when(is_start, F.col(ts))).alias("segment_start"),

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from growthframe.functions.semantics import epoch_micros, epoch_seconds, iso_weekday
-from growthframe.operators.common import bucketed_lag
+from growthframe.operators.common import bucketed_lag, bucketed_lead
 
 
 def status_changes(history: DataFrame, keys: Sequence[str], order: Sequence[str], status: str,
@@ -36,12 +36,14 @@ def first_status_date(history: DataFrame, keys: Sequence[str], ts: str, status:
     return history.groupBy(*keys).agg(F.min(F.when(F.col(status) == value, F.col(ts))).alias(f"first_{value}_at"))
 
 
-def version_intervals(history: DataFrame, keys: Sequence[str], ts: str, tie: str, end_default: Column) -> DataFrame:
-    """Validity interval of each version: [its day, next version's day) or up to
-    ``end_default`` (e.g. tomorrow) for the open last version (J5 "open end")."""
-    w = Window.partitionBy(*keys).orderBy(ts, tie)
-    return history.withColumn("valid_from", F.col(ts)).withColumn(
-        "valid_to", F.coalesce(F.lead(ts).over(w), end_default))
+def version_intervals(history: DataFrame, keys: Sequence[str], ts: str, tie: str, end_default: Column,
+                      bucket: str = "month") -> DataFrame:
+    """Validity interval of each version: [its time, next version's time) or up to
+    ``end_default`` (e.g. tomorrow) for the open last version (J5 "open end"). The next
+    version comes from a bucketed lead (skew-safe)."""
+    x = bucketed_lead(history, keys, ts, tie, [ts], bucket, "_nv_")
+    return x.withColumn("valid_from", F.col(ts)).withColumn(
+        "valid_to", F.coalesce(F.col(f"_nv_{ts}"), end_default)).drop(f"_nv_{ts}")
 
 
 def range_join(facts: DataFrame, intervals: DataFrame, keys: Sequence[str], ts: str) -> DataFrame:
