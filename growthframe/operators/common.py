@@ -111,12 +111,17 @@ def bucketed_running_sum(df: DataFrame, keys: Sequence[str], ts: str, tie: str,
 
 
 def bucketed_row_number(df: DataFrame, keys: Sequence[str], ts: str, tie: str, name: str,
-                        bucket: str = "month") -> DataFrame:
-    """``ROW_NUMBER() OVER (PARTITION BY keys ORDER BY ts, tie)``, skew-safe."""
+                        bucket: str = "month", last_name: str | None = None) -> DataFrame:
+    """``ROW_NUMBER() OVER (PARTITION BY keys ORDER BY ts, tie)``, skew-safe. With ``last_name``
+    also a flag for the key's last row (last row of its last active bucket), from the same
+    per-bucket table: no extra aggregate."""
     x, bk, over_b = _bucketed(df, keys, ts, bucket)
     wb = Window.partitionBy(*bk).orderBy(ts, tie)
     cnt = x.groupBy(*bk).agg(F.count("*").alias("_bn"))
-    cnt = cnt.withColumn("_before", F.coalesce(F.sum("_bn").over(
-        over_b.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_bn")
-    x = x.join(cnt, bk)
-    return x.withColumn(name, F.col("_before") + F.row_number().over(wb)).drop("_b", "_before")
+    cnt = (cnt.withColumn("_before", F.coalesce(F.sum("_bn").over(
+        over_b.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+           .withColumn("_last_bucket", F.lead("_b").over(over_b).isNull()).drop("_bn"))
+    x = x.join(cnt, bk).withColumn(name, F.col("_before") + F.row_number().over(wb))
+    if last_name:
+        x = x.withColumn(last_name, F.col("_last_bucket") & F.lead(F.lit(1)).over(wb).isNull())
+    return x.drop("_b", "_before", "_last_bucket")

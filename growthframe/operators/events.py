@@ -104,15 +104,13 @@ def visit_hits(df: DataFrame, visit: str, ts: str, event_id: str, is_page: Colum
                is_interaction: Column, bucket: str = "hour") -> DataFrame:
     """UA-style hit attributes inside each visit: hit number, entrance / exit flags, type.
 
-    Hit numbers are hour-bucketed row numbers and the exit hit is the visit's last hit (a
-    ``max_by`` aggregate joined back), so a bot visit with millions of hits is not one task."""
-    x = bucketed_row_number(df, [visit], ts, event_id, "hit_number", bucket)
-    last = x.groupBy(visit).agg(F.max_by(F.col(event_id), F.struct(ts, event_id)).alias("_exit_id"))
-    return (x.join(last, visit)
-            .withColumn("is_entrance", F.col("hit_number") == 1)
-            .withColumn("is_exit", F.col(event_id) == F.col("_exit_id"))
+    Hit numbers and the exit flag come from one hour-bucketed row numbering (the last row of
+    the visit's last active hour is the exit), so a bot visit with millions of hits is spread
+    over its hours instead of being one sorted task."""
+    x = bucketed_row_number(df, [visit], ts, event_id, "hit_number", bucket, last_name="is_exit")
+    return (x.withColumn("is_entrance", F.col("hit_number") == 1)
             .withColumn("hit_type", F.when(is_page, "PAGE").otherwise("EVENT"))
-            .withColumn("is_interaction", is_interaction).drop("_exit_id"))
+            .withColumn("is_interaction", is_interaction))
 
 
 def page_journey(df: DataFrame, visit: str, ts: str, event_id: str, page: str, sep: str = " > ") -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from growthframe.operators import events as EV
 from growthframe.plans.registry import paired
+from growthframe.session import materialize
 from growthframe.sources.tables import load
 
 # Fixed values of the stand-in: utm source / medium chosen by k % 5 on click events.
@@ -39,7 +40,9 @@ def sessions_events(spark, sf):
 
 
 def hits(spark, sf):
-    s = sessions_events(spark, sf)
+    # the sessionized events feed several branches (numbering, exits, next hits): written
+    # once to the checkpoint folder, as a production job would keep a sessions table
+    s = materialize(sessions_events(spark, sf))
     return EV.visit_hits(s, "session_id", "ts", "event_id", F.col("event_type") == "view",
                          F.col("event_type").isin("click", "purchase", "signup"))
 

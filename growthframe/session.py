@@ -63,3 +63,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for a written intermediate table."""
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/{name}"
+
+
+def materialize(df):
+    """Write ``df`` once to the shared checkpoint folder and continue from the written copy
+    (a reliable checkpoint). Used where one expensive derivation feeds several branches of a
+    plan (e.g. sessionized events feeding hit-level measures): the branches read the files
+    instead of recomputing the derivation, and the lineage is cut for fault tolerance."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
