@@ -79,3 +79,15 @@ def test_bucketed_lead_equals_plain_lead(spark, bucket):
     got = bucketed_lead(e, ["user_id"], "ts", "event_id", ["ts", "event_type"], bucket, "n_") \
         .select("event_id", F.col("n_ts"), F.col("n_event_type").alias("n_type"))
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, ref.collect()))
+
+
+def test_bucketed_row_number_last_flag(spark):
+    from pyspark.sql import Window
+
+    from growthframe.operators.common import bucketed_row_number
+
+    e = load(spark, SF_SMALL, "events").withColumn("user_id", F.col("user_id") % 3)
+    w = Window.partitionBy("user_id").orderBy(F.col("ts").desc(), F.col("event_id").desc())
+    ref = e.select("event_id", (F.row_number().over(w) == 1).alias("is_last"))
+    got = bucketed_row_number(e, ["user_id"], "ts", "event_id", "rn", "hour", last_name="is_last")
+    assert sorted(map(tuple, got.select("event_id", "is_last").collect())) == sorted(map(tuple, ref.collect()))
