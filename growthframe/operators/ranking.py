@@ -26,7 +26,8 @@ def exact_row_number(df: DataFrame, order: Sequence[Column | str], partition_col
     ``order`` must be a total order (add a unique tie-breaker). Ascending only; negate a
     numeric key for descending order."""
     keys = [F.col(c) for c in partition_cols] + [F.col(o) if isinstance(o, str) else o for o in order]
-    n = num_partitions or df.sparkSession.sparkContext.defaultParallelism * 2
+    # sized like any shuffle of the job (spark.sql.shuffle.partitions, set to the data size)
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
     part = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
     part = part.withColumn("_pid", F.spark_partition_id()).withColumn("_mid", F.monotonically_increasing_id())
     if materialize:
