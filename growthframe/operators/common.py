@@ -58,11 +58,29 @@ def explode_scopes(df: DataFrame, scopes: Sequence[tuple[str, Column]], name: st
 # what crosses a bucket boundary with a small per-(keys, bucket) aggregate and a window over
 # buckets (one row per key and active bucket), joined back on (keys, bucket).
 
-def _bucketed(df: DataFrame, keys: Sequence[str], ts: str, bucket: str):
-    x = df.withColumn("_b", F.date_trunc(bucket, F.col(ts)))
+def _bucketed(df: DataFrame, keys: Sequence[str], ts: str, bucket: str | int):
+    """Bucket = a time unit for date_trunc ("hour", "day", "month") or, for an integer order
+    column (turn, sequence number), a bucket width."""
+    b = F.floor(F.col(ts) / bucket) if isinstance(bucket, int) else F.date_trunc(bucket, F.col(ts))
+    x = df.withColumn("_b", b)
     return x, [*keys, "_b"], Window.partitionBy(*keys).orderBy("_b")
 
 
+def bucketed_last_non_null(df: DataFrame, keys: Sequence[str], ts: str, tie: str, col: Column, name: str,
+                           bucket: str | int = "month") -> DataFrame:
+    """``LAST_VALUE(col IGNORE NULLS) OVER (PARTITION BY keys ORDER BY ts, tie ROWS BETWEEN
+    UNBOUNDED PRECEDING AND 1 PRECEDING)``, skew-safe: inside the bucket a running window,
+    from earlier buckets the last non-NULL value of each bucket carried forward."""
+    x, bk, over_b = _bucketed(df.withColumn("_v", col), keys, ts, bucket)
+    wb = Window.partitionBy(*bk).orderBy(ts, tie).rowsBetween(Window.unboundedPreceding, -1)
+    per = x.groupBy(*bk).agg(F.max_by("_v", F.when(F.col("_v").isNotNull(), F.struct(ts, tie))).alias("_bl"))
+    per = per.withColumn("_carry", F.last("_bl", ignorenulls=True).over(
+        over_b.rowsBetween(Window.unboundedPreceding, -1))).drop("_bl")
+    x = x.join(per, bk)
+    return x.withColumn(name, F.coalesce(F.last("_v", ignorenulls=True).over(wb), F.col("_carry"))) \
+        .drop("_b", "_v", "_carry")
+
+
 def bucketed_lag(df: DataFrame, keys: Sequence[str], ts: str, tie: str, cols: Sequence[str],
                  bucket: str = "month", prefix: str = "prev_") -> DataFrame:
     """``LAG(c) OVER (PARTITION BY keys ORDER BY ts, tie)`` for each column, skew-safe."""

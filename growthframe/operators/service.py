@@ -2,30 +2,30 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from growthframe.functions.semantics import epoch_micros, epoch_seconds
-from growthframe.operators.common import bucketed_running_sum
+from growthframe.operators.common import bucketed_lag, bucketed_last_non_null, bucketed_running_sum
 
 
 def reply_pairs(messages: DataFrame, conv: str, order: str, role: str, team_role: str, customer_role: str,
-                ts: str | None = None) -> DataFrame:
+                ts: str | None = None, bucket: int = 1000) -> DataFrame:
     """K115: one row per run of consecutive team replies: the run's first reply paired with the
     latest customer message before it; distance in turns, and response seconds when a
-    timestamp column exists. Runs come from a change flag and a running sum (windows within
-    one conversation, which is short)."""
-    w = Window.partitionBy(conv).orderBy(order)
-    x = messages.withColumn("_new_run", F.coalesce(F.lag(role).over(w) != F.col(role), F.lit(True)))
-    x = x.withColumn("_run", F.sum(F.col("_new_run").cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    cust = F.when(F.col(role) == customer_role, F.col(order))
-    x = x.withColumn("_last_customer", F.last(cust, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)))
+    timestamp column exists.
+
+    The previous role and the last customer turn come from turn-bucketed windows (blocks of
+    ``bucket`` turns) with the values carried across blocks, so one endless conversation is
+    not one sorted task."""
+    x = bucketed_lag(messages, [conv], order, order, [role], bucket, prefix="_p_")
+    x = x.withColumn("_new_run", F.coalesce(F.col(f"_p_{role}") != F.col(role), F.lit(True))).drop(f"_p_{role}")
+    is_cust = F.col(role) == customer_role
+    x = bucketed_last_non_null(x, [conv], order, order, F.when(is_cust, F.col(order)), "_last_customer", bucket)
     cols = [conv, F.col(order).alias("reply_turn"), F.col("_last_customer").alias("customer_turn"),
             (F.col(order) - F.col("_last_customer")).alias("turn_distance")]
     if ts:
-        cust_ts = F.when(F.col(role) == customer_role, F.col(ts))
-        x = x.withColumn("_last_customer_ts", F.last(cust_ts, ignorenulls=True).over(
-            w.rowsBetween(Window.unboundedPreceding, -1)))
+        x = bucketed_last_non_null(x, [conv], order, order, F.when(is_cust, F.col(ts)), "_last_customer_ts", bucket)
         cols.append((epoch_seconds(ts) - epoch_seconds("_last_customer_ts")).alias("response_seconds"))
     firsts = x.filter((F.col(role) == team_role) & F.col("_new_run") & F.col("_last_customer").isNotNull())
     return firsts.select(*cols)

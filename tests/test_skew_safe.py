@@ -91,3 +91,12 @@ def test_bucketed_row_number_last_flag(spark):
     ref = e.select("event_id", (F.row_number().over(w) == 1).alias("is_last"))
     got = bucketed_row_number(e, ["user_id"], "ts", "event_id", "rn", "hour", last_name="is_last")
     assert sorted(map(tuple, got.select("event_id", "is_last").collect())) == sorted(map(tuple, ref.collect()))
+
+
+def test_reply_pairs_small_turn_buckets_equal_one_bucket(spark):
+    from growthframe.operators.service import reply_pairs
+    c = load(spark, SF_SMALL, "conversations")
+    cols = ["conv_id", "reply_turn", "customer_turn", "turn_distance"]
+    a = reply_pairs(c, "conv_id", "turn", "role", "assistant", "user", bucket=2)
+    b = reply_pairs(c, "conv_id", "turn", "role", "assistant", "user", bucket=1_000_000)
+    assert _rows(a, cols) == _rows(b, cols)
