@@ -260,3 +260,16 @@ def retention_item_counts(lines: DataFrame, customer: str, date: str, order_id:
     items = x.filter(F.col(item).isNotNull()).select("period", customer, item).distinct()
     j = items.join(per_customer, ["period", customer])
     return j.groupBy("period", "n_orders", item).agg(F.count("*").alias("customers"))
+
+
+def rolling_window_metrics(daily: DataFrame, day: str, sums: Sequence[str], days: int = 30,
+                           keys: Sequence[str] = ()) -> DataFrame:
+    """K46 rolling measures: trailing ``days``-day sums of daily measures (RANGE frame on the
+    day number, so missing days count as 0) per key. The input is a daily aggregate: one row
+    per key and day, bounded by the calendar."""
+    dn = F.datediff(F.col(day), F.lit("1970-01-01").cast("date"))
+    w = (Window.partitionBy(*keys) if keys else Window).orderBy(dn).rangeBetween(-(days - 1), 0)
+    out = daily
+    for s in sums:
+        out = out.withColumn(f"{s}_{days}d", F.sum(s).over(w))
+    return out

@@ -354,3 +354,46 @@ def k63c(spark, sf):
     return CU.customer_migration(orders(spark, sf), "customer_id", "store", "created_at",
                                  ("1996-01-01", "1996-12-31"), ("1997-01-01", "1997-12-31"),
                                  stores=list(STORE_CLUSTERS), clusters=STORE_CLUSTERS)
+
+
+@paired("k46_rolling_30d_roas", f"""
+WITH sp AS (SELECT CAST(l_shipdate AS DATE) AS d, SUM(l_extendedprice * l_discount) AS spend FROM lineitem GROUP BY 1),
+rv AS (SELECT CAST(o_orderdate AS DATE) AS d, SUM(o_totalprice) AS revenue FROM orders GROUP BY 1),
+daily AS (SELECT COALESCE(sp.d, rv.d) AS d, COALESCE(sp.spend, 0.0) AS spend, COALESCE(rv.revenue, 0.0) AS revenue
+          FROM sp FULL JOIN rv ON sp.d = rv.d),
+r AS (SELECT d, spend, revenue,
+        SUM(spend) OVER (ORDER BY d RANGE BETWEEN INTERVAL 29 DAY PRECEDING AND CURRENT ROW) AS spend_30d,
+        SUM(revenue) OVER (ORDER BY d RANGE BETWEEN INTERVAL 29 DAY PRECEDING AND CURRENT ROW) AS revenue_30d FROM daily)
+SELECT d, {R2.format(x="spend_30d")} AS spend_30d, {R2.format(x="revenue_30d")} AS revenue_30d,
+       {R4.format(x="revenue_30d / NULLIF(spend_30d, 0)")} AS roas_30d
+FROM r
+""", covers=("K46", "X4", "W11"))
+def k46r(spark, sf):
+    li = load(spark, sf, "lineitem")
+    o = load(spark, sf, "orders")
+    sp = li.groupBy(F.to_date("l_shipdate").alias("d")).agg(F.sum(F.col("l_extendedprice") * F.col("l_discount"))
+                                                            .alias("spend"))
+    rv = o.groupBy(F.to_date("o_orderdate").alias("d")).agg(F.sum("o_totalprice").alias("revenue"))
+    daily = sp.join(rv, "d", "full").fillna(0.0, ["spend", "revenue"])
+    # one row per calendar day: the rolling window runs over a table bounded by the calendar
+    r = CU.rolling_window_metrics(daily, "d", ["spend", "revenue"], 30)
+    return r.select("d", round_half_up("spend_30d", 2).alias("spend_30d"),
+                    round_half_up("revenue_30d", 2).alias("revenue_30d"),
+                    round_half_up(safe_divide("revenue_30d", "spend_30d"), 4).alias("roas_30d"))
+
+
+@paired("k46_still_active_rate", f"""
+WITH c AS (SELECT o_orderpriority AS store, o_custkey, MAX(CAST(o_orderdate AS DATE)) AS last_d FROM orders GROUP BY 1, 2)
+SELECT store, COUNT(*) AS customers, CAST(count_if(last_d >= DATE '2001-08-01' - INTERVAL 12 MONTH) AS BIGINT) AS active_customers,
+       {R4.format(x="least(count_if(last_d >= DATE '2001-08-01' - INTERVAL 12 MONTH) / COUNT(*) * 1.25, 1.0)")} AS still_active_rate_capped
+FROM c GROUP BY 1
+""", covers=("K46",))
+def k46s(spark, sf):
+    o = orders(spark, sf)
+    c = o.groupBy("store", "customer_id").agg(F.to_date(F.max("created_at")).alias("last_d"))
+    active = F.col("last_d") >= F.add_months(F.lit("2001-08-01").cast("date"), -12)
+    base = {"customers": F.count("*"), "active_customers": F.count_if(active)}
+    # stand-in target: 80 % of the customer base active; the ratio to the target is capped at 1
+    derived = {"still_active_rate_capped": round_half_up(
+        F.least(safe_divide("active_customers", "customers") * 1.25, F.lit(1.0)), 4)}
+    return CU.metric_layer(c, ["store"], base, derived)
