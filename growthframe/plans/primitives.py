@@ -536,15 +536,15 @@ def a16(spark, sf):
 
 
 @paired("a17_exact_median", """
-SELECT o_orderpriority, quantile_cont(o_totalprice, 0.5) AS median_price,
-       quantile_cont(o_totalprice, 0.9) AS p90_price
+SELECT o_orderpriority, CAST(ROUND(CAST(quantile_cont(o_totalprice, 0.5) AS DECIMAL(38,6)), 4) AS DOUBLE) AS median_price,
+       CAST(ROUND(CAST(quantile_cont(o_totalprice, 0.9) AS DECIMAL(38,6)), 4) AS DOUBLE) AS p90_price
 FROM orders GROUP BY 1
 """, covers=("A17",))
 def a17(spark, sf):
     o = T(spark, sf, "orders")
     from growthframe.operators.ranking import exact_percentile
     q = exact_percentile(o, "o_totalprice", [0.5, 0.9], ["o_orderpriority"])
-    return q.select("o_orderpriority", F.col("p50").alias("median_price"), F.col("p90").alias("p90_price"))
+    return q.select("o_orderpriority", S.round_half_up("p50", 4).alias("median_price"), S.round_half_up("p90", 4).alias("p90_price"))
 
 
 @paired("a18_mode_with_ties", """
@@ -673,14 +673,14 @@ def w14(spark, sf):
 
 
 @paired("w16_percentile_over", """
-SELECT p_partkey, p_type, quantile_cont(p_retailprice, 0.5) OVER (PARTITION BY p_type) AS type_median
+SELECT p_partkey, p_type, CAST(ROUND(CAST(quantile_cont(p_retailprice, 0.5) OVER (PARTITION BY p_type) AS DECIMAL(38,6)), 4) AS DOUBLE) AS type_median
 FROM part
 """, covers=("W16",))
 def w16(spark, sf):
     from growthframe.operators.common import with_group_agg
     p = T(spark, sf, "part").select("p_partkey", "p_type", "p_retailprice")
     from growthframe.operators.ranking import exact_percentile
-    med = exact_percentile(p, "p_retailprice", [0.5], ["p_type"]).withColumnRenamed("p50", "type_median")
+    med = exact_percentile(p, "p_retailprice", [0.5], ["p_type"]).select("p_type", S.round_half_up("p50", 4).alias("type_median"))
     return p.join(med, "p_type", "left").select(
         "p_partkey", "p_type", "type_median")
 
