@@ -40,11 +40,12 @@ def zero_event_alerts(daily: DataFrame, history: DataFrame, holidays: DataFrame,
     last = history.filter(F.col("alert_type") == "zero_event").groupBy(*PAIR).agg(
         F.max("alert_date").alias("last_alert_date"), F.min("alert_date").alias("first_alert_date"))
     x = x.join(last, PAIR, "left")
-    hol = holidays.select(F.col("holiday_date")).distinct()
-    # holidays: a few rows per year
-    x = x.withColumn("monitored_date", mon).join(F.broadcast(hol), F.col("monitored_date") == F.col("holiday_date"), "left")
+    # the monitored day is one date for the whole run: whether it is a holiday is a scalar
+    # subquery over the holiday table, not a join
+    is_holiday = holidays.agg(F.count_if(F.col("holiday_date") == mon)).scalar() > 0
+    x = x.withColumn("monitored_date", mon)
     b2b_ok = (~F.col("website").like(b2b_pattern)) | (
-        ~F.dayofweek("monitored_date").isin(1, 7) & F.col("holiday_date").isNull())
+        ~F.dayofweek("monitored_date").isin(1, 7) & ~is_holiday)
     since = F.datediff(a, F.col("last_alert_date"))
     new = (F.col("minus_1") == 0) & (F.col("minus_2") > 0) & (F.col("last_alert_date").isNull() | (since >= 1))
     all_empty = F.lit(True)
