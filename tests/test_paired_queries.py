@@ -3,11 +3,13 @@
 import pytest
 
 import __spark_entry__ as E
+from growthframe.plans import registry
 from tests.conftest import SF_SMALL
 from tools.check_oracle import rows_key
 
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
+registry.load_all()
+QUERIES = dict(registry.QUERIES)
+ORACLES = dict(registry.ORACLES)
 
 
 def test_entry_runs(spark):
