@@ -9,6 +9,14 @@ from pyspark.sql import functions as F
 
 from growthframe.llm.common import table
 from growthframe.llm.line_dedup import dedup_lines
+from growthframe.llm.simhash import near_duplicates
+
+
+def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, fingerprint, component_id`` of every document."""
+    found = near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    hexed = F.lpad(F.lower(F.hex("fp")), 16, "0")
+    return found.select(F.col("id").alias("doc_id"), hexed.alias("fingerprint"), F.col("component").alias("component_id"))
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,6 +62,7 @@ FROM documents d LEFT JOIN per_doc p ON d.doc_id = p.doc_id AND d.text = p.text
 """
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op10_line_dedup": op10_line_dedup,
 }
 ORACLES: dict[str, str] = {
