@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from growthframe.llm.common import table
 from growthframe.llm.line_dedup import dedup_lines
+from growthframe.llm.quality import quality
 from growthframe.llm.simhash import near_duplicates
 
 
@@ -19,6 +20,11 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), hexed.alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id``, the base statistics, ``base_failed``, ``kept``, perplexity and band of every document."""
+    return quality(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``doc_id, n_lines, n_removed, n_runs, kept_sha256`` of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -63,6 +69,7 @@ FROM documents d LEFT JOIN per_doc p ON d.doc_id = p.doc_id AND d.text = p.text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op3_quality_rules": op3_quality_rules,
     "op10_line_dedup": op10_line_dedup,
 }
 ORACLES: dict[str, str] = {
