@@ -11,6 +11,7 @@ from growthframe.llm.common import table
 from growthframe.llm.line_dedup import dedup_lines
 from growthframe.llm.quality import quality
 from growthframe.llm.simhash import near_duplicates
+from growthframe.llm.token_counts import token_counts
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -25,6 +26,11 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
 
 
+def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, n_bytes, n_tokens, over_limit`` and the length that fits 4096 tokens, of every document."""
+    return token_counts(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``doc_id, n_lines, n_removed, n_runs, kept_sha256`` of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -70,6 +76,7 @@ FROM documents d LEFT JOIN per_doc p ON d.doc_id = p.doc_id AND d.text = p.text
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op3_quality_rules": op3_quality_rules,
+    "op4_token_counts": op4_token_counts,
     "op10_line_dedup": op10_line_dedup,
 }
 ORACLES: dict[str, str] = {
