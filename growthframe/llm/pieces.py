@@ -41,6 +41,7 @@ class Vocabulary:
         self.inner = {p[k:k + 2] for p in self.ids for k in range(len(p) - 1)}
         assert not any(x[0] != SPACE and x[1] == SPACE for x in self.inner)
         assert not any(p.startswith(SPACE * 2) and p.strip(SPACE) for p in self.ids)
+        self._all = {c for p in self.ids for c in p}
         self._ends: dict[str, set[int]] = {}
         for p in self.ids:
             self._ends.setdefault(p[-TAIL:], set()).add(len(p))
@@ -156,7 +157,14 @@ class Vocabulary:
         return self._blank[n]
 
     def segments(self, unit: str) -> list[str]:
-        """``unit`` cut wherever no piece spans two neighbours: encodings join without change."""
+        """``unit`` cut only where no piece spans two neighbours: encodings join without change.
+
+        Any such cut will do. A plain word needs none, or one before its last mark; other units are cut wherever they can be."""
+        if len(unit) < 64 and self._all.issuperset(unit):
+            if unit[-1].isalnum():
+                return [unit]
+            if len(unit) > 1 and unit[-2].isalnum() and unit[-2:] not in self.inner:
+                return [unit[:-1], unit[-1]]
         cuts = [0, *(k for k in range(1, len(unit)) if unit[k - 1:k + 1] not in self.inner), len(unit)]
         return [unit[a:b] for a, b in zip(cuts, cuts[1:])]
 

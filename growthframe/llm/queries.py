@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from growthframe.llm.common import table
 from growthframe.llm.line_dedup import dedup_lines
+from growthframe.llm.piece_codec import encode
 from growthframe.llm.quality import quality
 from growthframe.llm.simhash import near_duplicates
 from growthframe.llm.token_counts import token_counts
@@ -31,6 +32,11 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op7_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, ids, n_tokens, round_trip`` of every document."""
+    return encode(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``doc_id, n_lines, n_removed, n_runs, kept_sha256`` of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -77,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op4_token_counts": op4_token_counts,
+    "op7_piece_codec": op7_piece_codec,
     "op10_line_dedup": op10_line_dedup,
 }
 ORACLES: dict[str, str] = {

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from growthframe.llm.pieces import SPACE, TAIL, Vocabulary, units
 
 #: Units whose counts a task remembers; the memory is then begun anew, which changes time only.
-REMEMBERED = 400_000
+REMEMBERED = 800_000
 
 
 class PrefixCounter:
