@@ -12,6 +12,7 @@ from growthframe.llm.line_dedup import dedup_lines
 from growthframe.llm.piece_codec import encode
 from growthframe.llm.quality import quality
 from growthframe.llm.simhash import near_duplicates
+from growthframe.llm.substring_dedup import remove_repeats
 from growthframe.llm.token_counts import token_counts
 
 
@@ -22,6 +23,12 @@ def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), hexed.alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, n_bytes, n_removed, n_spans, kept_sha256`` of every document."""
+    found = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``doc_id``, the base statistics, ``base_failed``, ``kept``, perplexity and band of every document."""
     return quality(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
@@ -81,6 +88,7 @@ FROM documents d LEFT JOIN per_doc p ON d.doc_id = p.doc_id AND d.text = p.text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op4_token_counts": op4_token_counts,
     "op7_piece_codec": op7_piece_codec,
