@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from growthframe.llm.common import table
 from growthframe.llm.line_dedup import dedup_lines
 from growthframe.llm.piece_codec import encode
+from growthframe.llm.pii import KINDS, find_pii
 from growthframe.llm.quality import quality
 from growthframe.llm.simhash import near_duplicates
 from growthframe.llm.substring_dedup import remove_repeats
@@ -44,6 +45,20 @@ def op7_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans`` of every document."""
+    found = find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in ("email", "ip", "card", "phone")]
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["first"].cast("string"), s["past"].cast("string"))), ",")
+
+    order = F.array(*[F.lit(k) for k in KINDS])
+    both = F.concat("base", "added")
+    keyed = F.transform(both, lambda s: F.struct(F.array_position(order, s["kind"]).alias("n"), s["first"].alias("first"), s["past"].alias("past"), s["kind"].alias("kind")))
+    return found.select(F.col("id").alias("doc_id"), *counts, F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.array_sort(keyed)).alias("spans"))
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``doc_id, n_lines, n_removed, n_runs, kept_sha256`` of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -92,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
     "op4_token_counts": op4_token_counts,
     "op7_piece_codec": op7_piece_codec,
+    "op8_pii": op8_pii,
     "op10_line_dedup": op10_line_dedup,
 }
 ORACLES: dict[str, str] = {
