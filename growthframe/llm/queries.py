@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from growthframe.llm.common import table
 from growthframe.llm.line_dedup import dedup_lines
 from growthframe.llm.piece_codec import encode
-from growthframe.llm.pii import KINDS, find_pii
+from growthframe.llm.pii import BASE, KINDS, find_pii
 from growthframe.llm.quality import quality
 from growthframe.llm.simhash import near_duplicates
 from growthframe.llm.substring_dedup import remove_repeats
@@ -48,7 +48,7 @@ def op7_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans`` of every document."""
     found = find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    counts = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in ("email", "ip", "card", "phone")]
+    counts = [F.expr(f"cast(size(filter(base, s -> s.kind = '{k}')) AS bigint)").alias(f"n_{k}") for k in BASE]
 
     def joined(spans):
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["first"].cast("string"), s["past"].cast("string"))), ",")
