@@ -15,6 +15,7 @@ from growthframe.llm.quality import quality
 from growthframe.llm.simhash import near_duplicates
 from growthframe.llm.substring_dedup import remove_repeats
 from growthframe.llm.token_counts import token_counts
+from growthframe.llm.toxicity import score
 
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,6 +60,12 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), *counts, F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.array_sort(keyed)).alias("spans"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, held_out, score, predicted`` of every document; learnt from `labels` outside the held-out quarter."""
+    found = score(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+    return found.withColumnRenamed("id", "doc_id")
+
+
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``doc_id, n_lines, n_removed, n_runs, kept_sha256`` of every document."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -108,6 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_token_counts": op4_token_counts,
     "op7_piece_codec": op7_piece_codec,
     "op8_pii": op8_pii,
+    "op9_toxicity": op9_toxicity,
     "op10_line_dedup": op10_line_dedup,
 }
 ORACLES: dict[str, str] = {
