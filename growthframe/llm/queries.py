@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from growthframe.llm.common import table
+from growthframe.llm.decontaminate import find_leaks
 from growthframe.llm.line_dedup import dedup_lines
 from growthframe.llm.piece_codec import encode
 from growthframe.llm.pii import BASE, KINDS, find_pii
@@ -41,6 +42,12 @@ def op4_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, item_id, cosine, n_common, n_item`` of every benchmark item in every document."""
+    found = find_leaks(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), "item_id", F.round("cosine", 3).alias("cosine"), "n_common", "n_item")
+
+
 def op7_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``doc_id, ids, n_tokens, round_trip`` of every document."""
     return encode(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -113,6 +120,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op4_token_counts": op4_token_counts,
+    "op5_decontamination": op5_decontamination,
     "op7_piece_codec": op7_piece_codec,
     "op8_pii": op8_pii,
     "op9_toxicity": op9_toxicity,
