@@ -13,11 +13,15 @@ from growthframe.llm.line_dedup import dedup_lines
 from growthframe.llm.piece_codec import encode
 from growthframe.llm.pii import BASE, KINDS, find_pii
 from growthframe.llm.quality import quality
+from growthframe.llm.sharding import assign_shards
 from growthframe.llm.simhash import near_duplicates
 from growthframe.llm.substring_dedup import remove_repeats
 from growthframe.llm.token_counts import token_counts
 from growthframe.llm.toxicity import score
 
+#: Byte limit of a shard in the registered query: small, so that the small tables split as well.
+SHARD_BYTES = 1 << 20
+
 
 def op1_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``doc_id, fingerprint, component_id`` of every document."""
@@ -48,6 +52,27 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "item_id", F.round("cosine", 3).alias("cosine"), "n_common", "n_item")
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, n_bytes, shard, depth, shard_bytes`` of every document, in shards of at most 1 MiB."""
+    return assign_shards(table(spark, sf_dir, "documents").select("doc_id", "text"), SHARD_BYTES).drop("text")
+
+
+OP6_SQL = f"""
+WITH hashed AS (
+  SELECT doc_id, strlen(coalesce(text, '')) AS n_bytes,
+         ('0x' || substr(md5(coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))), 1, 15))::BIGINT AS h
+  FROM documents
+), prefixed AS (
+  SELECT h.*, r.depth, h.h >> (60 - r.depth)::INTEGER AS prefix FROM hashed h, range(0, 61) r(depth)
+), nodes AS (
+  SELECT depth, prefix, sum(n_bytes)::BIGINT AS shard_bytes FROM prefixed GROUP BY ALL HAVING sum(n_bytes) <= {SHARD_BYTES}
+)
+SELECT doc_id, n_bytes, CASE WHEN depth = 0 THEN '' ELSE lpad(bin(prefix), depth::INTEGER, '0') END AS shard, depth, shard_bytes
+FROM prefixed JOIN nodes USING (depth, prefix)
+QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY depth) = 1
+"""
+
+
 def op7_piece_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``doc_id, ids, n_tokens, round_trip`` of every document."""
     return encode(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -121,11 +146,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_quality_rules": op3_quality_rules,
     "op4_token_counts": op4_token_counts,
     "op5_decontamination": op5_decontamination,
+    "op6_sharding": op6_sharding,
     "op7_piece_codec": op7_piece_codec,
     "op8_pii": op8_pii,
     "op9_toxicity": op9_toxicity,
     "op10_line_dedup": op10_line_dedup,
 }
 ORACLES: dict[str, str] = {
+    "op6_sharding": OP6_SQL.strip(),
     "op10_line_dedup": OP10_SQL.strip(),
 }
