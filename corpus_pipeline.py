@@ -8,27 +8,55 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from growthframe.llm.common import saved, table
+from growthframe.llm.decontaminate import drop_leaks
 from growthframe.llm.line_dedup import dedup_lines
+from growthframe.llm.piece_codec import encode
+from growthframe.llm.quality import keep_good
+from growthframe.llm.simhash import keep_one
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and whose perplexity lies in their language's band."""
+    return keep_good(docs)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Delete later copies of repeated line runs; a document of which no word is left goes."""
-    done = dedup_lines(docs).withColumn("n_chars", F.length("text"))
+    """Delete later copies of repeated line runs; a document of which no word is left goes. ``n_chars`` follows the text."""
+    done = dedup_lines(docs).withColumn("n_chars", F.length("text").cast("long"))
     emptied = (F.col("n_removed") > 0) & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
     return done.where(~emptied).select(*docs.columns)
 
 
+def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group."""
+    return keep_one(docs)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold no benchmark item."""
+    return drop_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as piece ids, with their number and whether they decode to the text."""
+    return encode(docs)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality_rules", quality_stage),
     ("line_dedup", line_stage),
+    ("simhash_near_dedup", simhash_stage),
+    ("benchmark_decontamination", decontamination_stage),
+    ("piece_encoding", encoding_stage),
 ]
 
-#: A language model and approximate searches are not SQL: the stages are tested against brute force.
+#: A language model, approximate search and an encoder are not SQL: tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the whole of ``documents``; what the last one returns."""
     docs = table(spark, sf_dir, "documents")
-    for k, (name, stage) in enumerate(STAGES):
-        out = stage(spark, docs, sf_dir)
-        docs = out if k == len(STAGES) - 1 else saved(out, name)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = saved(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
