@@ -4,16 +4,17 @@ from __future__ import annotations
 
 import re
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from growthframe.session import scratch_path
 
 #: What separates words everywhere in this subpackage: space and the bytes 0x09 to 0x0D.
 SPACES = rb"[\x20\x09-\x0D]"
 _SPACE = re.compile(SPACES)
+#: Rows and bytes of the batches that tasks take; a batch holds one row at least.
+BATCH_ROWS, BATCH_BYTES = 2000, 1 << 24
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,9 +31,11 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def text_key(text_col: str):
-    """Key of a whole text: equal texts share it (SHA-256), so per-text results join back without a row id."""
-    return F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)
+def arrow_map(df: DataFrame, of: Callable, schema: str) -> DataFrame:
+    """``df.mapInArrow`` over batches of so few rows that whole texts and what is derived from them stay small in memory."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df.mapInArrow(of, schema)
 
 
 def word_pieces(data: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:

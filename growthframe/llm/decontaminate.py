@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from growthframe.llm.common import arrow_map
 from growthframe.llm.word_stream import chunks, words_of
 
 #: Buckets of hashed terms and latent dimensions: every matrix that is gathered or broadcast has TERMS x RANK cells at most.
@@ -37,8 +38,8 @@ def _words(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.
             yield batch, first, *words_of(texts)
 
 
-def term_weights(texts: DataFrame) -> np.ndarray:
-    """Inverse document frequency of each term, from all documents."""
+def term_weights(texts: DataFrame) -> tuple[np.ndarray, int]:
+    """Inverse document frequency of each term, from all documents, and how many documents have words."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen, n = np.zeros(TERMS, np.int64), 0
@@ -50,11 +51,11 @@ def term_weights(texts: DataFrame) -> np.ndarray:
                 n += len(np.unique(text))
         yield pa.record_batch([pa.array(np.arange(TERMS + 1), pa.int32()), pa.array(np.append(seen, n))], names=["term", "n"])
 
-    rows = texts.mapInArrow(of, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()  # TERMS + 1 rows
+    rows = arrow_map(texts, of, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()  # TERMS + 1 rows
     n = np.zeros(TERMS + 1)
     for r in rows:
         n[r["term"]] = r["n"]
-    return np.log((1 + n[-1]) / (1 + n[:-1])).astype(np.float32)
+    return np.log((1 + n[-1]) / (1 + n[:-1])).astype(np.float32), int(n[-1])
 
 
 def _gram_times(texts: DataFrame, weights: np.ndarray, matrix: np.ndarray) -> np.ndarray:
@@ -71,7 +72,7 @@ def _gram_times(texts: DataFrame, weights: np.ndarray, matrix: np.ndarray) -> np
         cells = (total * weights[:, None]).reshape(-1)
         yield pa.record_batch([pa.array(np.arange(len(cells)), pa.int32()), pa.array(cells)], names=["cell", "value"])
 
-    found = texts.mapInArrow(of, "cell int, value double").groupBy("cell").agg(F.sum("value").alias("value")).toArrow()  # TERMS * RANK rows
+    found = arrow_map(texts, of, "cell int, value double").groupBy("cell").agg(F.sum("value").alias("value")).toArrow()  # TERMS * RANK rows
     out = np.zeros(TERMS * RANK)
     out[found["cell"].to_numpy()] = found["value"].to_numpy()
     return out.reshape(TERMS, RANK)
@@ -82,14 +83,15 @@ def latent_space(docs: DataFrame, text_col: str = "text", seed: int = 1) -> np.n
 
     A random matrix is sent through X'X and orthogonalised; X'X in that basis gives singular values and
     right singular vectors. Vectors are scaled by weight over singular value, so that a passage's sum of them is its
-    latent vector with equal variance in all directions."""
+    latent vector with equal variance in all directions. Directions are trusted by the number of documents: with
+    few of them, against the rank, the scale is nearly the same for all directions."""
     texts = docs.select(F.col(text_col).cast("binary").alias("text"))
-    weights = term_weights(texts)
+    weights, n = term_weights(texts)
     start = np.random.default_rng(seed).standard_normal((TERMS, RANK))
     basis = np.linalg.qr(_gram_times(texts, weights, start))[0]
     small = basis.T @ _gram_times(texts, weights, basis)
     value, turn = np.linalg.eigh((small + small.T) / 2)
-    scale = np.sqrt(np.maximum(value, max(1e-12, value.max() * 1e-9)))
+    scale = np.sqrt(np.maximum(value, 0) + max(value.max(), 1e-9) * RANK / max(1, n))
     return (basis @ turn / scale * weights[:, None]).astype(np.float32)
 
 
@@ -176,7 +178,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
     found = None
     for k in range(n):
         rows = [(r["item"], r["text"]) for r in items.where(F.pmod(F.xxhash64("text"), F.lit(n)) == k).collect()]
-        one = slim.mapInArrow(_searcher(docs.sparkSession.sparkContext.broadcast((space, rows)), least, share, answer_share, slim.schema["id"].dataType, items.schema["item"].dataType),
+        one = arrow_map(slim, _searcher(docs.sparkSession.sparkContext.broadcast((space, rows)), least, share, answer_share, slim.schema["id"].dataType, items.schema["item"].dataType),
                               f"id {slim.schema['id'].dataType.simpleString()}, key long, item_id {kind}, cosine double, n_common long, n_item long")
         found = one if found is None else found.union(one)
     return found

@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from growthframe.llm.common import arrow_map
 from growthframe.llm.pieces import SPACE, Vocabulary, units
 
 #: Units whose pieces a task remembers, and characters that are indexed at a time.
@@ -166,7 +167,7 @@ def _encoded(docs: DataFrame, text_col: str, path: str | None, schema: str) -> D
                 yield pa.record_batch([batch.column(0), new], names=["row", "tokens"])
 
     kept = docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text"))
-    return kept.mapInArrow(of, f"row {schema}, tokens struct<ids: array<int>, n_tokens: bigint, round_trip: boolean>")
+    return arrow_map(kept, of, f"row {schema}, tokens struct<ids: array<int>, n_tokens: bigint, round_trip: boolean>")
 
 
 def encode(docs: DataFrame, text_col: str = "text", path: str | None = None) -> DataFrame:
@@ -193,4 +194,4 @@ def decode(tokens: DataFrame, ids_col: str = "ids", text_col: str = "text", path
             yield pa.record_batch([batch.column(0), pa.array(texts, pa.string())], names=["row", "text"])
 
     kept = tokens.select(F.struct(*[c for c in tokens.columns if c != text_col]).alias("row"), F.col(ids_col).alias("ids"))
-    return kept.mapInArrow(of, f"row {kept.schema['row'].dataType.simpleString()}, text string").select("row.*", F.col("text").alias(text_col))
+    return arrow_map(kept, of, f"row {kept.schema['row'].dataType.simpleString()}, text string").select("row.*", F.col("text").alias(text_col))

@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from growthframe.llm.common import arrow_map
+
 KINDS = ("email", "ip", "card", "phone", "secret")
 BASE = KINDS[:4]
 
@@ -171,7 +173,7 @@ def vote_table(docs: DataFrame, text_col: str = "text") -> DataFrame:
                 met.update(f"{KINDS.index(kind)}:" + "".join(map(str, seen)) for kind, _, _, seen in _spans_of(text)[1])
         yield pa.record_batch([pa.array(met.keys(), pa.string()), pa.array(met.values(), pa.int64())], names=["pattern", "n"])
 
-    return docs.select(F.col(text_col).alias("text")).mapInArrow(of, "pattern string, n long").groupBy("pattern").agg(F.sum("n").alias("n"))
+    return arrow_map(docs.select(F.col(text_col).alias("text")), of, "pattern string, n long").groupBy("pattern").agg(F.sum("n").alias("n"))
 
 
 def reliabilities(votes: np.ndarray, counts: np.ndarray, rounds: int = 60) -> tuple[np.ndarray, np.ndarray, float]:
@@ -252,7 +254,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", le
 
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     kind = "array<struct<kind: string, first: bigint, past: bigint>>"
-    return slim.mapInArrow(of, f"id {slim.schema['id'].dataType.simpleString()}, base {kind}, added {kind}")
+    return arrow_map(slim, of, f"id {slim.schema['id'].dataType.simpleString()}, base {kind}, added {kind}")
 
 
 def mask_pii(docs: DataFrame, text_col: str = "text", least: float = 0.5) -> DataFrame:
@@ -275,5 +277,5 @@ def mask_pii(docs: DataFrame, text_col: str = "text", least: float = 0.5) -> Dat
             yield pa.record_batch([batch.column(0), pa.array(out, pa.string())], names=["row", "text"])
 
     kept = docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text"))
-    done = kept.mapInArrow(of, f"row {docs.schema.simpleString()}, text string")
+    done = arrow_map(kept, of, f"row {docs.schema.simpleString()}, text string")
     return done.select(*[F.col("text").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns])

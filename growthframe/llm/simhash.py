@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from growthframe.llm.common import saved, word_pieces
+from growthframe.llm.common import arrow_map, saved, word_pieces
 from growthframe.llm.components import connected_components
 
 #: A fingerprint's population is counted in PARTS words of 16 bits.
@@ -78,7 +78,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.record_batch([batch.column(0), batch.column(1), pa.array(fp, pa.int64())], names=["id", "key", "fp"])
 
     text = F.col(text_col)
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("key"), text.cast("binary").alias("text")).mapInArrow(of, "id long, key long, fp long")
+    return arrow_map(docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("key"), text.cast("binary").alias("text")), of, "id long, key long, fp long")
 
 
 def _offsets(radius: int) -> list[int]:
@@ -148,7 +148,7 @@ def hamming_links(prints: DataFrame, fp: str = "fp", radius: int = 3) -> DataFra
     to = to.join(other, "to").select("to", "tile", "block", "fps", F.explode(F.sequence(F.lit(0), F.col("m") - 1)).alias("slot"))
     to = to.where("to != tile OR slot >= block").select("to", "slot", F.col("fps").alias("far"))
     own = blocks.select(F.col("tile").alias("to"), F.col("block").alias("slot"), F.col("fps").alias("own"))
-    return own.join(to, ["to", "slot"]).select("own", "far").mapInArrow(_compare(radius), "u long, v long")
+    return arrow_map(own.join(to, ["to", "slot"]).select("own", "far"), _compare(radius), "u long, v long")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, radius: int = 3, seed: int = 42) -> DataFrame:

@@ -10,11 +10,11 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from growthframe.llm.common import saved
+from growthframe.llm.common import arrow_map, saved
 from growthframe.llm.suffixes import Q, buckets, joined_bytes, refine, samples
 
 #: Bytes of text that are sorted into buckets at a time; a longer text is taken in overlapping parts.
-CHUNK = 1 << 22
+CHUNK = 1 << 20
 #: Starts that are judged together in the last refinement: what they add on a side fits in a long.
 STEP = 8
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -74,8 +74,8 @@ def _block_rows(length: int):
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole_batch in batches:
-            for k in range(0, whole_batch.num_rows, 500):
-                batch = whole_batch.slice(k, 500)
+            for k in range(0, whole_batch.num_rows, 200):
+                batch = whole_batch.slice(k, 200)
                 texts = [zstandard.decompress(t) for t in batch.column(1).to_pylist()]
                 lists = batch.column(2)
                 counts = np.diff(lists.offsets.to_numpy())
@@ -156,7 +156,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if not 256 + Q <= length <= 448:
         raise ValueError("length must lie between 320 and 448 bytes")
     slim = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(text_col, F.lit(""))).alias("key"), F.col(text_col).cast("binary").alias("text"))
-    found = slim.select("key", "text").mapInArrow(_suffix_rows(length), "gram long, whole long, key long, place long")
+    found = arrow_map(slim.select("key", "text"), _suffix_rows(length), "gram long, whole long, key long, place long")
     shared = found.groupBy("gram").agg(F.min("whole").alias("one"), F.max("whole").alias("two"), F.count("*").alias("n")).where("n > 1")
     inside = saved(found.join(shared.select("gram", (F.col("one") != F.col("two")).alias("mixed")), "gram"), "suffixes")
 
@@ -168,9 +168,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spans = spans.select("key", begin.alias("first"), (begin + F.shiftright("place", 10).bitwiseAND(F.lit(1023)) + length).alias("past"))
 
     per_text = wholes.groupBy(F.col("at.key").alias("key")).agg(F.collect_list(F.struct(F.col("at.place").alias("place"), "gram", (F.col("n") > 1).alias("many"))).alias("suffixes"))
-    packed = slim.mapInArrow(_packed, "id " + slim.schema["id"].dataType.simpleString() + ", key long, text binary")
+    packed = arrow_map(slim, _packed, "id " + slim.schema["id"].dataType.simpleString() + ", key long, text binary")
     texts = packed.groupBy("key").agg(F.first("text").alias("text"))
-    blocks = texts.join(per_text, "key").select("key", "text", "suffixes").mapInArrow(
+    blocks = arrow_map(texts.join(per_text, "key").select("key", "text", "suffixes"), 
         _block_rows(length), "core long, left long, right long, low byte, high byte, key long, at long, many boolean")
     blocks = saved(blocks, "blocks")
     same = [f"min({c}) = max({c})" for c in ("left", "right")]
@@ -187,4 +187,4 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spans = spans.union(settled).union(ends).distinct()
     of = spans.groupBy("key").agg(F.collect_list(F.struct("first", "past")).alias("spans"))
     kept = packed.join(of.withColumnRenamed("key", "k"), F.col("key") == F.col("k"), "left").select("id", "text", "spans")
-    return kept.mapInArrow(_cut, f"id {slim.schema['id'].dataType.simpleString()}, n_bytes long, n_removed long, spans array<struct<first: bigint, past: bigint>>, kept binary")
+    return arrow_map(kept, _cut, f"id {slim.schema['id'].dataType.simpleString()}, n_bytes long, n_removed long, spans array<struct<first: bigint, past: bigint>>, kept binary")

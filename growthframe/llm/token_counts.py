@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from growthframe.llm.common import arrow_map
 from growthframe.llm.pieces import SPACE, TAIL, Vocabulary, units
 
 #: Units whose counts a task remembers; the memory is then begun anew, which changes time only.
@@ -163,7 +164,7 @@ def _measured(docs: DataFrame, text_col: str, path: str | None, budget: int) ->
             yield pa.record_batch([rows, new], names=["row", "tokens"])
 
     kept = docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text"))
-    return kept.mapInArrow(of, f"row {docs.schema.simpleString()}, tokens struct<n_bytes: bigint, n_tokens: bigint, fit_chars: bigint>")
+    return arrow_map(kept, of, f"row {docs.schema.simpleString()}, tokens struct<n_bytes: bigint, n_tokens: bigint, fit_chars: bigint>")
 
 
 def token_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None, limit: int = 4096) -> DataFrame:

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from growthframe.llm.common import word_pieces
+from growthframe.llm.common import arrow_map, word_pieces
 
 #: Words of a window, and words by which windows move on: every word lies in two.
 WINDOW, STEP = 32, 16
@@ -283,6 +283,6 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 yield pa.record_batch([batch.column(0), pa.array(found, pa.float64())], names=["id", "score"])
 
     slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
-    out = slim.mapInArrow(of, f"id {slim.schema['id'].dataType.simpleString()}, score double")
+    out = arrow_map(slim, of, f"id {slim.schema['id'].dataType.simpleString()}, score double")
     held = F.coalesce(F.crc32(F.col("id").cast("string")) % 4 == 2, F.lit(False))
     return out.select("id", held.alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
