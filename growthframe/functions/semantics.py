@@ -226,5 +226,6 @@ def blank_to_null(x: ColumnOrName) -> Column:
 
 
 def ratio_capped(a: ColumnOrName, b: ColumnOrName, cap: float = 1.0) -> Column:
-    """Guarded ratio capped at ``cap`` (win rate, still-active rate)."""
-    return F.least(F.try_divide(_c(a), _c(b)), F.lit(cap))
+    """Guarded ratio capped at ``cap`` (win rate, still-active rate); NULL when it can't be formed."""
+    r = F.try_divide(_c(a), _c(b))
+    return F.when(r > cap, F.lit(cap)).otherwise(r)

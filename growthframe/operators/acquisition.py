@@ -236,50 +236,59 @@ def utm_cascade(df: DataFrame, origins: Sequence[tuple[str, Sequence[str]]], fie
 def decode_click_id(sessions: DataFrame, clicks: DataFrame, click_col: str, order: Sequence[str],
                     dims: Sequence[str]) -> DataFrame:
     """K5: latest click-stat row per click id (``max_by`` aggregate, combinable map-side)
-    joined to the sessions; ad dimensions override the session's utm fields."""
+    joined to the sessions. A session with a click id takes its ad dimensions, also where the click
+    is not known (NULL); see :func:`override_by_click`."""
     latest = clicks.groupBy(click_col).agg(
         F.max_by(F.struct(*[F.col(d) for d in dims]), F.struct(*[F.col(o) for o in order])).alias("_c"))
     latest = latest.select(click_col, *[F.col(f"_c.{d}").alias(f"click_{d}") for d in dims])
     return sessions.join(latest, click_col, "left")
 
 
+def override_by_click(click_col: str, click_dim: str, own: str) -> Column:
+    """The ad dimension for sessions with a click id (NULL included), else the session's own field."""
+    return F.when(F.col(click_col).isNotNull(), F.col(click_dim)).otherwise(F.col(own))
+
+
 # ----------------------------------------------------------------------------- K8
 
+_HOOKS = "array<struct<n:int,whole:boolean,v:string>>"
+
+
+def _beginning(n: int, col: str):
+    return lambda size: F.struct(F.lit(n).alias("n"), F.lit(False).alias("whole"), F.lower(F.substring(F.col(col), F.lit(1), size)).alias("v"))
+
+
 def map_patterns(facts: DataFrame, mapping: DataFrame, pattern_cols: Sequence[tuple[str, str]],
                  outputs: Sequence[str], sort_col: str = "sort", mode: str = "best",
-                 unmapped: str = "Unmapped", max_broadcast_rows: int = 100_000) -> DataFrame:
+                 unmapped: str = "Unmapped") -> DataFrame:
     """K8: LIKE mapping table where a NULL pattern is a wildcard.
 
     ``pattern_cols`` = [(fact column, mapping pattern column)], matched case-insensitively.
-    Scale: only the DISTINCT fact keys are matched (a LIKE join cannot be an equi-join, so
-    Spark plans a broadcast nested loop), then the result is joined back on the keys with an
-    equi-join. The mapping side is broadcast only after its row count is checked; beyond
-    ``max_broadcast_rows`` the distinct keys are broadcast instead when they are smaller.
+    Only the DISTINCT fact keys are matched. A mapping row hangs on one of its patterns: one
+    without ``%`` or ``_`` is found by an equi-join on the lower-cased key, else one that ends in its only
+    ``%`` by an equi-join on the key's beginnings. Only rows without such a pattern (true infix patterns, wildcards
+    alone) are compared with every distinct key. The result is joined back on the keys.
 
     ``mode="all"`` keeps every matching mapping row (the reference's behaviour, M11);
-    ``mode="best"`` keeps the lowest ``sort`` (most specific) match."""
+    ``mode="best"`` keeps the lowest ``sort`` (most specific) match, of equals the lowest outputs."""
     keys = [f for f, _ in pattern_cols]
-    dk = facts.select(*keys).distinct()
+    k = facts.select(*keys).distinct().alias("k")
     cond = reduce(lambda a, b: a & b, [
         F.col(f"m.{p}").isNull() | F.like(F.lower(F.col(f"k.{f}")), F.lower(F.col(f"m.{p}")))
         for f, p in pattern_cols])
-    m = mapping.alias("m")
-    k = dk.alias("k")
-    n_map = mapping.count()  # a seed table: one tiny action to prove the broadcast bound
-    if n_map <= max_broadcast_rows:
-        matched = k.join(F.broadcast(m), cond, "left")
-    else:
-        n_keys = dk.count()
-        if n_keys > max_broadcast_rows:
-            raise ValueError(f"mapping ({n_map} rows) and distinct keys ({n_keys}) both exceed the broadcast "
-                             f"bound {max_broadcast_rows}; split the mapping by literal prefix first")
-        # keys broadcast, mapping streamed; only matches are needed here (unmatched facts get
-        # the "unmapped" label from the final left join)
-        matched = F.broadcast(k).join(m, cond, "inner")
-    matched = matched.select(*[F.col(f"k.{f}").alias(f) for f in keys],
-                             *[F.col(f"m.{o}").alias(o) for o in outputs], F.col(f"m.{sort_col}").alias("_sort"))
+    low = [F.lower(F.col(p)) for _, p in pattern_cols]
+    whole = [F.when(~x.rlike(r"[%_\\\\]"), F.struct(F.lit(n).alias("n"), F.lit(True).alias("whole"), x.alias("v"))) for n, x in enumerate(low)]
+    start = [F.when(x.rlike(r"^[^%_\\\\]+%$"), F.struct(F.lit(n).alias("n"), F.lit(False).alias("whole"), F.rtrim(x, F.lit("%")).alias("v"))) for n, x in enumerate(low)]
+    m = mapping.withColumn("_hook", F.coalesce(*whole, *start))
+    hooks = [F.concat(F.array(F.struct(F.lit(n).alias("n"), F.lit(True).alias("whole"), F.lower(F.col(f)).alias("v"))),
+                      F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(f))), _beginning(n, f))) for n, f in enumerate(keys)]
+    hooked = k.select("*", F.explode(F.flatten(F.array(*[F.coalesce(h, F.array().cast(_HOOKS)) for h in hooks]))).alias("_h")).alias("k")
+    found = [hooked.join(m.where("_hook IS NOT NULL").alias("m"), (F.col("k._h") == F.col("m._hook")) & cond),
+             k.join(m.where("_hook IS NULL").alias("m"), cond)]
+    pick = [*[F.col(f"k.{f}").alias(f) for f in keys], *[F.col(f"m.{o}").alias(o) for o in outputs], F.col(f"m.{sort_col}").alias("_sort")]
+    matched = found[0].select(*pick).union(found[1].select(*pick))
     if mode == "best":
-        best = matched.groupBy(*keys).agg(F.min_by(F.struct(*outputs), F.col("_sort")).alias("_b"))
+        best = matched.groupBy(*keys).agg(F.min_by(F.struct(*outputs), F.struct("_sort", *outputs)).alias("_b"))
         matched = best.select(*keys, *[F.col(f"_b.{o}").alias(o) for o in outputs])
     elif mode == "all":
         matched = matched.drop("_sort")
@@ -525,8 +534,11 @@ def latest_identity(df: DataFrame, events: DataFrame, key: str, id_col: str, ord
 
 def form_values(df: DataFrame, json_col: str, names: Sequence[str]) -> DataFrame:
     """A JSON array of {name, value} pairs pivoted to one column per field name; forms
-    with an empty or missing array are kept with NULL fields. ``from_json`` once to a map."""
+    with an empty or missing array are kept with NULL fields; of a repeated name the first value counts."""
     arr = F.from_json(F.col(json_col), "array<struct<name:string,value:string>>")
-    m = F.map_from_entries(F.transform(arr, lambda e: F.struct(e["name"], e["value"])))
-    x = df.withColumn("_m", m)
-    return x.select("*", *[F.element_at(F.col("_m"), F.lit(n)).alias(f"field_{n}") for n in names]).drop("_m")
+    x = df.withColumn("_m", arr)
+    return x.select("*", *[F.get(F.filter("_m", _named(n)), F.lit(0))["value"].alias(f"field_{n}") for n in names]).drop("_m")
+
+
+def _named(name: str):
+    return lambda e: e["name"] == name

@@ -26,7 +26,7 @@ def zero_event_alerts(daily: DataFrame, history: DataFrame, holidays: DataFrame,
     """K109: pairs seen in the lookback window with no event on the monitored day (as_of - 1).
 
     'new' alert: the day before had events, and no alert of this kind in the last day.
-    'repeated' alert: 8 empty days in a row and no alert in the last 7 days. B2B sites are
+    'repeated' alert: 8 empty days in a row and the last alert at least 7 days ago. B2B sites are
     not alerted on weekends or public holidays. Per-day counts minus_1..minus_8 come from
     ONE conditional aggregate over the last 8 days."""
     a = F.lit(as_of).cast("date")
@@ -51,7 +51,7 @@ def zero_event_alerts(daily: DataFrame, history: DataFrame, holidays: DataFrame,
     all_empty = F.lit(True)
     for k in range(1, 9):
         all_empty = all_empty & (F.col(f"minus_{k}") == 0)
-    repeated = all_empty & (F.col("last_alert_date").isNull() | (since >= 7))
+    repeated = F.coalesce(all_empty & (since >= 7), F.lit(False))  # only what was alerted before repeats
     out = x.filter(b2b_ok & (new | repeated))
     return out.select(F.lit("zero_event").alias("alert_type"), *PAIR, "monitored_date",
                       new.alias("is_new_alert"), F.col("last_alert_date").alias("previous_alert_date"),

@@ -15,8 +15,8 @@ def with_group_agg(df: DataFrame, keys: Sequence[str], *aggs: Column) -> DataFra
     (a third of the rows) then becomes one huge task. Aggregating first is partial
     (map-side combine) and the result has one row per key, so the join back is a normal
     shuffle join that AQE's skew handling can split on the big side."""
-    agg = df.groupBy(*keys).agg(*aggs)
-    return df.join(agg, list(keys), "left")
+    x = df.withColumn("_g", F.struct(*keys))
+    return x.join(x.groupBy("_g").agg(*aggs), "_g", "left").drop("_g")
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str],
@@ -34,13 +34,6 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column |
     return out.select("_row.*")
 
 
-def row_number_filter(df: DataFrame, keys: Sequence[str], order: Sequence[Column], n: int = 1,
-                      name: str = "_rn") -> DataFrame:
-    """QUALIFY ROW_NUMBER() OVER (...) <= n (W18) for n > 1 (top-k per key)."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(name, F.row_number().over(w)).filter(F.col(name) <= n).drop(name)
-
-
 def explode_scopes(df: DataFrame, scopes: Sequence[tuple[str, Column]], name: str = "scope") -> DataFrame:
     """One scan, several scopes: each row is repeated once per scope whose condition holds.
 
@@ -57,13 +50,17 @@ def explode_scopes(df: DataFrame, scopes: Sequence[tuple[str, Column]], name: st
 # partition). The helpers below partition the window by (keys, time bucket) instead and carry
 # what crosses a bucket boundary with a small per-(keys, bucket) aggregate and a window over
 # buckets (one row per key and active bucket), joined back on (keys, bucket).
+#
+# Keys and bucket are one struct column, which is never NULL itself: rows with a NULL key stay
+# together, as in a window partition, and rows with a NULL time form the key's first bucket, as
+# SQL sorts them. The join back and the window share one partitioning on that column.
 
 def _bucketed(df: DataFrame, keys: Sequence[str], ts: str, bucket: str | int):
     """Bucket = a time unit for date_trunc ("hour", "day", "month") or, for an integer order
     column (turn, sequence number), a bucket width."""
     b = F.floor(F.col(ts) / bucket) if isinstance(bucket, int) else F.date_trunc(bucket, F.col(ts))
-    x = df.withColumn("_b", b)
-    return x, [*keys, "_b"], Window.partitionBy(*keys).orderBy("_b")
+    x = df.withColumn("_g", F.struct(F.struct(*keys).alias("k"), b.alias("b")))
+    return x, Window.partitionBy("_g.k").orderBy("_g.b")
 
 
 def bucketed_last_non_null(df: DataFrame, keys: Sequence[str], ts: str, tie: str, col: Column, name: str,
@@ -71,41 +68,41 @@ def bucketed_last_non_null(df: DataFrame, keys: Sequence[str], ts: str, tie: str
     """``LAST_VALUE(col IGNORE NULLS) OVER (PARTITION BY keys ORDER BY ts, tie ROWS BETWEEN
     UNBOUNDED PRECEDING AND 1 PRECEDING)``, skew-safe: inside the bucket a running window,
     from earlier buckets the last non-NULL value of each bucket carried forward."""
-    x, bk, over_b = _bucketed(df.withColumn("_v", col), keys, ts, bucket)
-    wb = Window.partitionBy(*bk).orderBy(ts, tie).rowsBetween(Window.unboundedPreceding, -1)
-    per = x.groupBy(*bk).agg(F.max_by("_v", F.when(F.col("_v").isNotNull(), F.struct(ts, tie))).alias("_bl"))
+    x, over_b = _bucketed(df.withColumn("_v", col), keys, ts, bucket)
+    wb = Window.partitionBy("_g").orderBy(ts, tie).rowsBetween(Window.unboundedPreceding, -1)
+    per = x.groupBy("_g").agg(F.max_by("_v", F.when(F.col("_v").isNotNull(), F.struct(ts, tie))).alias("_bl"))
     per = per.withColumn("_carry", F.last("_bl", ignorenulls=True).over(
         over_b.rowsBetween(Window.unboundedPreceding, -1))).drop("_bl")
-    x = x.join(per, bk)
+    x = x.join(per, "_g")
     return x.withColumn(name, F.coalesce(F.last("_v", ignorenulls=True).over(wb), F.col("_carry"))) \
-        .drop("_b", "_v", "_carry")
+        .drop("_g", "_v", "_carry")
 
 
 def bucketed_lag(df: DataFrame, keys: Sequence[str], ts: str, tie: str, cols: Sequence[str],
                  bucket: str = "month", prefix: str = "prev_") -> DataFrame:
     """``LAG(c) OVER (PARTITION BY keys ORDER BY ts, tie)`` for each column, skew-safe."""
-    x, bk, over_b = _bucketed(df, keys, ts, bucket)
-    wb = Window.partitionBy(*bk).orderBy(ts, tie)
-    last = x.groupBy(*bk).agg(F.max_by(F.struct(*[F.col(c) for c in cols]), F.struct(ts, tie)).alias("_bl"))
+    x, over_b = _bucketed(df, keys, ts, bucket)
+    wb = Window.partitionBy("_g").orderBy(ts, tie)
+    last = x.groupBy("_g").agg(F.max_by(F.struct(*[F.col(c) for c in cols]), F.struct(ts, tie)).alias("_bl"))
     last = last.withColumn("_pl", F.lag("_bl").over(over_b)).drop("_bl")
-    x = x.join(last, bk).withColumn("_first", F.row_number().over(wb) == 1)
+    x = x.join(last, "_g").withColumn("_first", F.row_number().over(wb) == 1)
     for c in cols:
         x = x.withColumn(prefix + c, F.when(F.col("_first"), F.col("_pl")[c]).otherwise(F.lag(c).over(wb)))
-    return x.drop("_b", "_pl", "_first")
+    return x.drop("_g", "_pl", "_first")
 
 
 def bucketed_lead(df: DataFrame, keys: Sequence[str], ts: str, tie: str, cols: Sequence[str],
                   bucket: str = "month", prefix: str = "next_") -> DataFrame:
     """``LEAD(c) OVER (PARTITION BY keys ORDER BY ts, tie)`` for each column, skew-safe: the last
     row of a bucket takes the first row of the key's next active bucket."""
-    x, bk, over_b = _bucketed(df, keys, ts, bucket)
-    wb = Window.partitionBy(*bk).orderBy(ts, tie)
-    first = x.groupBy(*bk).agg(F.min_by(F.struct(*[F.col(c) for c in cols]), F.struct(ts, tie)).alias("_bf"))
+    x, over_b = _bucketed(df, keys, ts, bucket)
+    wb = Window.partitionBy("_g").orderBy(ts, tie)
+    first = x.groupBy("_g").agg(F.min_by(F.struct(*[F.col(c) for c in cols]), F.struct(ts, tie)).alias("_bf"))
     first = first.withColumn("_nf", F.lead("_bf").over(over_b)).drop("_bf")
-    x = x.join(first, bk).withColumn("_last", F.lead(F.lit(1)).over(wb).isNull())
+    x = x.join(first, "_g").withColumn("_last", F.lead(F.lit(1)).over(wb).isNull())
     for c in cols:
         x = x.withColumn(prefix + c, F.when(F.col("_last"), F.col("_nf")[c]).otherwise(F.lead(c).over(wb)))
-    return x.drop("_b", "_nf", "_last")
+    return x.drop("_g", "_nf", "_last")
 
 
 def bucketed_running_sum(df: DataFrame, keys: Sequence[str], ts: str, tie: str, value: str, name: str,
@@ -113,19 +110,19 @@ def bucketed_running_sum(df: DataFrame, keys: Sequence[str], ts: str, tie: str,
     """``SUM(value) OVER (PARTITION BY keys ORDER BY ts, tie ROWS UNBOUNDED PRECEDING TO
     CURRENT ROW)`` (or to 1 PRECEDING when ``exclusive``), skew-safe. NULL when no row is summed,
     as in SQL."""
-    x, bk, over_b = _bucketed(df, keys, ts, bucket)
-    wb = Window.partitionBy(*bk).orderBy(ts, tie)
-    tot = x.groupBy(*bk).agg(F.sum(value).alias("_bt"), F.count(value).alias("_bn"))
+    x, over_b = _bucketed(df, keys, ts, bucket)
+    wb = Window.partitionBy("_g").orderBy(ts, tie)
+    tot = x.groupBy("_g").agg(F.sum(value).alias("_bt"), F.count(value).alias("_bn"))
     tot = (tot.withColumn("_before", F.sum("_bt").over(over_b.rowsBetween(Window.unboundedPreceding, -1)))
            .withColumn("_before_n", F.sum("_bn").over(over_b.rowsBetween(Window.unboundedPreceding, -1)))
            .drop("_bt", "_bn"))
-    x = x.join(tot, bk)
+    x = x.join(tot, "_g")
     frame = wb.rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0)
     inside = F.sum(value).over(frame)
     n_inside = F.count(value).over(frame)
     total_n = F.coalesce(F.col("_before_n"), F.lit(0)) + n_inside
     s = F.coalesce(F.col("_before"), F.lit(0)) + F.coalesce(inside, F.lit(0))
-    return x.withColumn(name, F.when(total_n > 0, s)).drop("_b", "_before", "_before_n")
+    return x.withColumn(name, F.when(total_n > 0, s)).drop("_g", "_before", "_before_n")
 
 
 def bucketed_row_number(df: DataFrame, keys: Sequence[str], ts: str, tie: str, name: str,
@@ -133,13 +130,13 @@ def bucketed_row_number(df: DataFrame, keys: Sequence[str], ts: str, tie: str, n
     """``ROW_NUMBER() OVER (PARTITION BY keys ORDER BY ts, tie)``, skew-safe. With ``last_name``
     also a flag for the key's last row (last row of its last active bucket), from the same
     per-bucket table: no extra aggregate."""
-    x, bk, over_b = _bucketed(df, keys, ts, bucket)
-    wb = Window.partitionBy(*bk).orderBy(ts, tie)
-    cnt = x.groupBy(*bk).agg(F.count("*").alias("_bn"))
+    x, over_b = _bucketed(df, keys, ts, bucket)
+    wb = Window.partitionBy("_g").orderBy(ts, tie)
+    cnt = x.groupBy("_g").agg(F.count("*").alias("_bn"))
     cnt = (cnt.withColumn("_before", F.coalesce(F.sum("_bn").over(
         over_b.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-           .withColumn("_last_bucket", F.lead("_b").over(over_b).isNull()).drop("_bn"))
-    x = x.join(cnt, bk).withColumn(name, F.col("_before") + F.row_number().over(wb))
+           .withColumn("_last_bucket", F.lead(F.lit(1)).over(over_b).isNull()).drop("_bn"))
+    x = x.join(cnt, "_g").withColumn(name, F.col("_before") + F.row_number().over(wb))
     if last_name:
         x = x.withColumn(last_name, F.col("_last_bucket") & F.lead(F.lit(1)).over(wb).isNull())
-    return x.drop("_b", "_before", "_last_bucket")
+    return x.drop("_g", "_before", "_last_bucket")

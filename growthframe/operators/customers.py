@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from growthframe.functions.semantics import months_diff, round_half_up, safe_divide
+from growthframe.functions.semantics import months_diff, ratio_capped, round_half_up, safe_divide
 from growthframe.operators.common import bucketed_lag, bucketed_running_sum
 from growthframe.operators.ranking import exact_ntile
 
@@ -85,12 +85,13 @@ def ltv_subgroups(groups: DataFrame, customer: str, n: int = 4) -> DataFrame:
 def group_transitions(orders: DataFrame, customer: str, date: str, order_id: str, amount: str,
                       cuts: Sequence[tuple[float, str]]) -> DataFrame:
     """Running customer value after each order, the value before it, the value group
-    (``cuts`` = ascending (lower bound, label)) and a transition label when it changes.
+    (``cuts`` = ascending (lower bound, label)) and a transition label when an order lifts the value
+    over a bound (none on a first order, none downwards).
 
     Running sums are bucketed by month (skew-safe: a customer with a huge history is spread
     over its active months)."""
     x = bucketed_running_sum(orders, [customer], date, order_id, amount, "running_value")
-    x = bucketed_running_sum(x, [customer], date, order_id, amount, "previous_value", exclusive=True)
+    x = bucketed_lag(x, [customer], date, order_id, ["running_value"], prefix="_before_").withColumnRenamed("_before_running_value", "previous_value")
 
     def label(c: Column) -> Column:
         out = None
@@ -100,9 +101,10 @@ def group_transitions(orders: DataFrame, customer: str, date: str, order_id: str
 
     x = x.withColumn("value_group", label(F.col("running_value"))) \
         .withColumn("previous_group", label(F.col("previous_value")))
-    return x.withColumn("transition", F.when(F.col("previous_group").isNull(), F.concat(F.lit("new -> "), "value_group"))
-                        .when(F.col("previous_group") != F.col("value_group"),
-                              F.concat("previous_group", F.lit(" -> "), "value_group")))
+    crossed = F.lit(False)
+    for lo, _ in cuts:
+        crossed = crossed | ((F.col("previous_value") < lo) & (F.col("running_value") >= lo))
+    return x.withColumn("transition", F.when(crossed, F.concat("previous_group", F.lit(" -> "), "value_group")))
 
 
 def customer_status(orders: DataFrame, customer: str, date: str, order_id: str, start, end,
@@ -201,11 +203,11 @@ def accounts_growth(created: DataFrame, date: str, cur: tuple, prev: tuple) -> D
 
 
 def win_rate(created: DataFrame, first_orders: DataFrame, keys: Sequence[str], date: str) -> DataFrame:
-    """First orders / account creations per day and key, capped at 1."""
+    """Account creations per first order, by day and key, capped at 1; NULL without first orders."""
     a = created.groupBy(*keys, F.to_date(F.col(date)).alias("d")).agg(F.count("*").alias("creations"))
     b = first_orders.groupBy(*keys, F.to_date(F.col(date)).alias("d")).agg(F.count("*").alias("first_orders"))
     j = a.join(b, [*keys, "d"], "full").fillna(0, ["creations", "first_orders"])
-    return j.withColumn("win_rate", F.least(F.try_divide(F.col("first_orders"), F.col("creations")), F.lit(1.0)))
+    return j.withColumn("win_rate", ratio_capped("creations", "first_orders"))
 
 
 def store_new_customers(orders: DataFrame, customer: str, store: str, date: str) -> DataFrame:

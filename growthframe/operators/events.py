@@ -60,32 +60,32 @@ def sessionize(df: DataFrame, user: str, ts: str, event_id: str, gap_minutes: in
                 .withColumn("session_number", F.sum(F.col("is_session_start").cast("long")).over(run)))
 
     b = F.date_trunc(bucket, F.col(ts))
-    x = df.withColumn("_b", b)
-    keys = [user, "_b"]
-    wb = Window.partitionBy(*keys).orderBy(ts, event_id)
-    across = Window.partitionBy(user).orderBy("_b")
+    # one struct of user and bucket: NULL users and NULL times keep their rows
+    x = df.withColumn("_g", F.struct(F.col(user).alias("u"), b.alias("b")))
+    wb = Window.partitionBy("_g").orderBy(ts, event_id)
+    across = Window.partitionBy("_g.u").orderBy("_g.b")
     before = across.rowsBetween(Window.unboundedPreceding, -1)
     # 1) last event time of the previous active bucket, for each bucket's first event
-    last_t = x.groupBy(*keys).agg(F.max(ts).alias("_last_t"))
+    last_t = x.groupBy("_g").agg(F.max(ts).alias("_last_t"))
     last_t = last_t.withColumn("_prev_bucket_t", F.lag("_last_t").over(across)).drop("_last_t")
-    x = x.join(last_t, keys)
+    x = x.join(last_t, "_g")
     prev = F.coalesce(F.lag(ts).over(wb), F.col("_prev_bucket_t"))
     start = prev.isNull() | ((_micros(ts) - _micros(prev)) >= gap) | marker
     x = x.withColumn("is_session_start", start).drop("_prev_bucket_t")
     # 2) sessions opened before the bucket: count and id of the session still open
-    per = x.groupBy(*keys).agg(
+    per = x.groupBy("_g").agg(
         F.count_if("is_session_start").alias("_starts"),
         F.max_by(F.col(event_id), F.when(F.col("is_session_start"), F.struct(ts, event_id))).alias("_last_start"))
     per = (per.withColumn("_starts_before", F.coalesce(F.sum("_starts").over(before), F.lit(0)))
            .withColumn("_open_id", F.last("_last_start", ignorenulls=True).over(before))
            .drop("_starts", "_last_start"))
-    x = x.join(per, keys)
+    x = x.join(per, "_g")
     run = wb.rowsBetween(Window.unboundedPreceding, 0)
     in_bucket_id = F.last(F.when(F.col("is_session_start"), F.col(event_id)), ignorenulls=True).over(run)
     return (x.withColumn("session_id", F.coalesce(in_bucket_id, F.col("_open_id")))
             .withColumn("session_number",
                         F.col("_starts_before") + F.sum(F.col("is_session_start").cast("long")).over(run))
-            .drop("_b", "_starts_before", "_open_id"))
+            .drop("_g", "_starts_before", "_open_id"))
 
 
 def session_rollup(df: DataFrame, session: str, ts: str, page: str, utm_cols: Sequence[str],

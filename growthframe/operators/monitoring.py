@@ -45,7 +45,7 @@ def check(df: DataFrame, rules: Sequence[dict], table: str = "table") -> DataFra
             e = F.count_if(F.col(cols[0]).isNull())
         elif kind == "unique":
             key = F.struct(*[F.col(c) for c in cols]) if len(cols) > 1 else F.col(cols[0])
-            e = F.count(key) - F.countDistinct(*[F.col(c) for c in cols])
+            e = F.count(key) - F.countDistinct(key)  # a combination with a NULL member is a value
         elif kind == "accepted_values":
             e = F.count_if(F.col(cols[0]).isNotNull() & ~F.col(cols[0]).isin(list(r["values"])))
         elif kind == "not_accepted_values":

@@ -43,11 +43,14 @@ def eav_labels(products: DataFrame, attributes: DataFrame, json_col: str, codes:
     to a map; ids are exploded and resolved with ONE equi-join on (code, id) against the
     option table, then regrouped per product; single-valued codes keep one label."""
     arr = F.from_json(F.col(json_col), "array<struct<attribute_code:string,value:string>>")
-    m = F.map_from_entries(F.transform(arr, lambda e: F.struct(e["attribute_code"], e["value"])))
-    base = products.withColumn("_m", m)
+    base = products.withColumn("_m", arr)
+
+    def first(code: str) -> Column:  # of a repeated code the first value counts
+        return F.get(F.filter("_m", lambda e: e["attribute_code"] == code), F.lit(0))["value"]
+
     ids = base.select(
         "product_id",
-        F.explode(F.array(*[F.struct(F.lit(c).alias("attribute_code"), F.element_at("_m", F.lit(c)).alias("raw"))
+        F.explode(F.array(*[F.struct(F.lit(c).alias("attribute_code"), first(c).alias("raw"))
                             for c in codes])).alias("a")).select("product_id", "a.*")
     ids = ids.withColumn("option_id", F.explode(F.split(F.col("raw"), ","))).withColumn("option_id",
                                                                                           F.trim("option_id"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from growthframe.functions.semantics import round_half_up, safe_divide
+from growthframe.operators.common import with_group_agg
 
 
 def modes(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -16,8 +17,7 @@ def modes(df: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     Counts are a partial aggregate; the max per key is a second small aggregate joined back,
     so no window has to hold a whole key in one task."""
     c = df.groupBy(*keys, value).agg(F.count("*").alias("n"))
-    mx = c.groupBy(*keys).agg(F.max("n").alias("_mx"))
-    return c.join(mx, list(keys)).filter(F.col("n") == F.col("_mx")).drop("_mx")
+    return with_group_agg(c, keys, F.max("n").alias("_mx")).filter(F.col("n") == F.col("_mx")).drop("_mx")
 
 
 def main_reason(df: DataFrame, keys: Sequence[str], reason: str) -> DataFrame:
@@ -78,8 +78,7 @@ def allocate_discount(lines: DataFrame, order: str, line_amount: str, order_tota
     """K106: pro-rata share of the order-level difference (order total minus line sum) per line.
 
     The line sum per order is a partial aggregate joined back (no partition-only window)."""
-    s = lines.groupBy(order).agg(F.sum(line_amount).alias("_lines_total"))
-    j = lines.join(s, order)
+    j = with_group_agg(lines, [order], F.sum(line_amount).alias("_lines_total"))
     share = safe_divide(F.col(line_amount), F.col("_lines_total"))
     return j.withColumn("allocated_adjustment", (F.col(order_total) - F.col("_lines_total")) * share) \
         .withColumn("line_share", share).drop("_lines_total")

@@ -36,7 +36,10 @@ def exact_row_number(df: DataFrame, order: Sequence[Column | str], partition_col
         # rankings do not re-run their inputs) and survives executor loss
         checkpoint_dir(df.sparkSession)
         part = part.checkpoint(eager=True)
-    gkeys = list(partition_cols)
+    # the group as one struct column, never NULL itself: the group of a NULL key is a group
+    gkeys = ["_g"] if partition_cols else []
+    if partition_cols:
+        part = part.withColumn("_g", F.struct(*partition_cols))
     # a partition holds a contiguous key range, so inside it each group is a contiguous run;
     # the first id of the run anchors the local numbering of that group in that partition
     counts = part.groupBy("_pid", *gkeys).agg(F.count("*").alias("_n"), F.min("_mid").alias("_first"))
@@ -54,7 +57,7 @@ def exact_row_number(df: DataFrame, order: Sequence[Column | str], partition_col
     # groups the table has partitions x groups rows and AQE picks the join from its size
     out = part.join(F.broadcast(offsets) if not gkeys else offsets, ["_pid", *gkeys])
     out = (out.withColumn(name, F.col("_off") + (F.col("_mid") - F.col("_first")) + 1)
-           .drop("_pid", "_mid", "_off", "_first"))
+           .drop("_pid", "_mid", "_off", "_first", "_g"))
     return out if keep_total else out.drop("_total")
 
 

@@ -64,7 +64,11 @@ def _asof_union(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts:
     rtype = right.select(F.struct(*values).alias("s")).schema["s"].dataType
     l_ = left.select(*lcols, F.col(left_ts).alias("_t"), F.lit(left_side).alias("_side"),
                      F.lit(None).cast(rtype).alias("_r"))
-    r_ = right.select(*keys, F.col(right_ts).alias("_t"), F.lit(right_side).alias("_side"),
+    # a NULL key or time matches nothing, as in a join
+    known = F.lit(True)
+    for c in (*keys, right_ts):
+        known = known & F.col(c).isNotNull()
+    r_ = right.filter(known).select(*keys, F.col(right_ts).alias("_t"), F.lit(right_side).alias("_side"),
                       F.struct(*values).alias("_r"))
     for c in lcols:
         if c not in keys:
@@ -75,7 +79,7 @@ def _asof_union(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts:
 def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: str, right_ts: str,
               values: Sequence[str], prefix: str = "asof_", bucket: str | None = "day") -> DataFrame:
     """For each left row, the right row with the latest ``right_ts <= left_ts``
-    (same keys). Both sides are unioned with a side marker and a running
+    (same keys; of equal times the greatest values). Both sides are unioned with a side marker and a running
     ``last(struct, ignorenulls)`` is taken ordered by (time, side), right before left on
     equal times ("at or before"). No inequality join.
 
@@ -85,16 +89,15 @@ def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: s
     forward by a window over the (small) per-bucket table and joined back on (key, bucket)."""
     u, lcols = _asof_union(left, right, keys, left_ts, right_ts, values, 1, 0)
     if bucket is None:
-        w = Window.partitionBy(*keys).orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
+        w = Window.partitionBy(*keys).orderBy("_t", "_side", "_r").rowsBetween(Window.unboundedPreceding, 0)
         u = u.withColumn("_last", F.last("_r", ignorenulls=True).over(w))
     else:
-        u = u.withColumn("_b", F.date_trunc(bucket, F.col("_t")))
-        bk = [*keys, "_b"]
-        w = Window.partitionBy(*bk).orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
-        per = u.groupBy(*bk).agg(F.max_by(F.col("_r"), F.when(F.col("_side") == 0, F.col("_t"))).alias("_bl"))
+        u = u.withColumn("_g", F.struct(F.struct(*keys).alias("k"), F.date_trunc(bucket, F.col("_t")).alias("b")))
+        w = Window.partitionBy("_g").orderBy("_t", "_side", "_r").rowsBetween(Window.unboundedPreceding, 0)
+        per = u.groupBy("_g").agg(F.max_by(F.col("_r"), F.when(F.col("_side") == 0, F.struct("_t", "_r"))).alias("_bl"))
         per = per.withColumn("_carry", F.last("_bl", ignorenulls=True).over(
-            Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1))).drop("_bl")
-        u = u.join(per, bk).withColumn("_last", F.coalesce(F.last("_r", ignorenulls=True).over(w), F.col("_carry")))
+            Window.partitionBy("_g.k").orderBy("_g.b").rowsBetween(Window.unboundedPreceding, -1))).drop("_bl")
+        u = u.join(per, "_g").withColumn("_last", F.coalesce(F.last("_r", ignorenulls=True).over(w), F.col("_carry")))
     out = u.filter(F.col("_side") == 1)
     return out.select(*lcols, *[F.col("_last")[v].alias(prefix + v) for v in values])
 
@@ -106,17 +109,17 @@ def asof_join_forward(left: DataFrame, right: DataFrame, keys: Sequence[str], le
     backwards from later buckets)."""
     u, lcols = _asof_union(left, right, keys, left_ts, right_ts, values, 0, 1)
     if bucket is None:
-        w = Window.partitionBy(*keys).orderBy("_t", "_side").rowsBetween(0, Window.unboundedFollowing)
+        w = Window.partitionBy(*keys).orderBy("_t", "_side", "_r").rowsBetween(0, Window.unboundedFollowing)
         u = u.withColumn("_next", F.first("_r", ignorenulls=True).over(w))
     else:
-        u = u.withColumn("_b", F.date_trunc(bucket, F.col("_t")))
-        bk = [*keys, "_b"]
-        w = Window.partitionBy(*bk).orderBy("_t", "_side").rowsBetween(0, Window.unboundedFollowing)
-        per = u.groupBy(*bk).agg(F.min_by(F.col("_r"), F.when(F.col("_side") == 1, F.col("_t"))).alias("_bf"))
+        u = u.withColumn("_g", F.struct(F.struct(*keys).alias("k"), F.date_trunc(bucket, F.col("_t")).alias("b")))
+        w = Window.partitionBy("_g").orderBy("_t", "_side", "_r").rowsBetween(0, Window.unboundedFollowing)
+        per = u.groupBy("_g").agg(F.min_by(F.col("_r"), F.when(F.col("_side") == 1, F.struct("_t", "_r"))).alias("_bf"))
         per = per.withColumn("_carry", F.first("_bf", ignorenulls=True).over(
-            Window.partitionBy(*keys).orderBy("_b").rowsBetween(1, Window.unboundedFollowing))).drop("_bf")
-        u = u.join(per, bk).withColumn("_next", F.coalesce(F.first("_r", ignorenulls=True).over(w), F.col("_carry")))
-    return u.filter(F.col("_side") == 0).select(*lcols, *[F.col("_next")[v].alias(prefix + v) for v in values])
+            Window.partitionBy("_g.k").orderBy("_g.b").rowsBetween(1, Window.unboundedFollowing))).drop("_bf")
+        u = u.join(per, "_g").withColumn("_next", F.coalesce(F.first("_r", ignorenulls=True).over(w), F.col("_carry")))
+    dated = F.col("_t").isNotNull()  # NULL times sort first, before every right row
+    return u.filter(F.col("_side") == 0).select(*lcols, *[F.when(dated, F.col("_next")[v]).alias(prefix + v) for v in values])
 
 
 def intervals_to_days(df: DataFrame, keys: Sequence[str], start: str, end: str, flags: dict[str, Column],
@@ -145,25 +148,26 @@ def state_asof_days(history: DataFrame, keys: Sequence[str], ts: str, tie: str,
     return iv.select(*keys, value, F.explode(F.sequence("d", "_to")).alias("day"))
 
 
-def open_items_by_day(items: DataFrame, item: str, created: str, completed: str, end) -> DataFrame:
-    """K101: per day, the number of distinct items open (created on or before the day and not
-    completed before it; open until ``end`` when never completed)."""
-    s = F.to_date(F.col(created))
-    e = F.coalesce(F.date_sub(F.to_date(F.col(completed)), 1), F.lit(end).cast("date"))
-    # sweep: +1 on the first open day, -1 the day after the last; a running sum over a day
-    # spine gives the open count. Work is O(items + days) instead of O(items x open days)
-    # (an item open for years would otherwise explode into one row per day).
-    iv = items.select(item, s.alias("_s"), e.alias("_e")).filter(F.col("_e") >= F.col("_s")) \
-        .groupBy(item).agg(F.min("_s").alias("_s"), F.max("_e").alias("_e"))  # one interval per item
-    changes = iv.select(F.col("_s").alias("d"), F.lit(1).alias("_c")).unionByName(
-        iv.select(F.date_add("_e", 1).alias("d"), F.lit(-1).alias("_c"))).groupBy("d").agg(F.sum("_c").alias("_c"))
-    lo = iv.agg(F.min("_s")).scalar()
-    hi = iv.agg(F.max("_e")).scalar()
-    days = items.sparkSession.range(1).select(F.explode(F.sequence(lo, hi)).alias("d"))
-    # one row per calendar day: the running window is over a bounded table
-    x = days.join(changes, "d", "left").withColumn(
-        "open_items", F.sum(F.coalesce("_c", F.lit(0))).over(Window.orderBy("d").rowsBetween(Window.unboundedPreceding, 0)))
-    return x.filter(F.col("open_items") > 0).select("d", F.col("open_items").cast("long").alias("open_items"))
+def open_items_by_day(items: DataFrame, item: str, owner: str, due: str, completed: str, end) -> DataFrame:
+    """K101: per owner and day, the number of distinct items that are due: from the due day up
+    to and including the day of completion (until ``end`` when never completed). An item that is
+    reopened has several intervals; overlapping ones count once, gaps between them don't count.
+
+    A sweep: intervals of one (owner, item) that touch are merged, then +1 on the first day and
+    -1 on the day after the last; the running sum is taken over an owner's change days and spread
+    to the days in between. Work is O(items + days), not items x open days."""
+    e = F.coalesce(F.to_date(F.col(completed)), F.lit(end).cast("date"))
+    iv = items.select(F.col(owner).alias("owner"), F.col(item).alias("_i"), F.to_date(F.col(due)).alias("_s"), e.alias("_e")).filter("_e >= _s")
+    w = Window.partitionBy("owner", "_i").orderBy("_s", "_e")
+    reach = F.max("_e").over(w.rowsBetween(Window.unboundedPreceding, -1))
+    iv = iv.withColumn("_n", F.coalesce((F.col("_s") > F.date_add(reach, 1)).cast("int"), F.lit(0)))
+    iv = iv.withColumn("_n", F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    iv = iv.groupBy("owner", "_i", "_n").agg(F.min("_s").alias("_s"), F.max("_e").alias("_e"))
+    step = F.explode(F.array(F.struct(F.col("_s").alias("d"), F.lit(1).alias("c")), F.struct(F.date_add("_e", 1).alias("d"), F.lit(-1).alias("c"))))
+    changes = iv.select("owner", step.alias("x")).groupBy("owner", F.col("x.d").alias("d")).agg(F.sum("x.c").alias("c"))
+    by_day = Window.partitionBy("owner").orderBy("d")  # an owner has one row per change day
+    x = changes.withColumn("open_items", F.sum("c").over(by_day.rowsBetween(Window.unboundedPreceding, 0))).withColumn("_to", F.date_sub(F.lead("d").over(by_day), 1))
+    return x.filter("open_items > 0").select("owner", F.explode(F.sequence("d", "_to")).alias("d"), F.col("open_items").cast("long").alias("open_items"))
 
 
 def daily_state_fact(open_days: DataFrame, owners: DataFrame, activity: DataFrame, won: DataFrame,
@@ -191,18 +195,17 @@ def business_seconds(df: DataFrame, start: str, end: str, hours: DataFrame, stor
 
     ``hours`` = (iso_weekday, open_seconds, close_seconds) since midnight, optionally per
     ``store`` and with a ``valid_from`` time when opening hours change: the version in force
-    at ``start`` (as of the order time) applies. The table is small (stores x 7 x versions)
-    and broadcast. Each row is expanded to the days it spans and the overlaps of [start, end]
+    at ``start`` (as of the order time) applies. Each row is expanded to the days it spans and the overlaps of [start, end]
     with each day's opening window are summed: time before an opening counts from the
-    opening, negative overlaps count 0."""
+    opening, negative overlaps count 0. A row with a NULL start or end has 0."""
     s, e = F.col(start), F.col(end)
     keys = ["iso_weekday"] + ([store] if store else [])
     x = df.withColumn("_rid", F.monotonically_increasing_id())
-    x = x.withColumn("_day", F.explode(F.sequence(F.to_date(s), F.to_date(e))))
+    x = x.withColumn("_day", F.explode_outer(F.sequence(F.to_date(s), F.to_date(e))))
     x = x.withColumn("iso_weekday", iso_weekday("_day"))
     h = hours if "valid_from" in hours.columns else hours.withColumn("valid_from", F.lit(None).cast("timestamp_ntz"))
-    # bounded configuration table: stores x weekdays x versions
-    x = x.join(F.broadcast(h.select(*keys, "open_seconds", "close_seconds", "valid_from")), keys, "left")
+    # grows with stores and versions: the planner decides on a broadcast from its size
+    x = x.join(h.select(*keys, "open_seconds", "close_seconds", "valid_from"), keys, "left")
     version = F.struct("open_seconds", "close_seconds")
     # the version in force at the start: latest valid_from <= start (an undated version
     # always applies); no version in force -> NULL -> 0 seconds, the row is kept

@@ -168,7 +168,7 @@ def _mapping_sql():
     return f"mapping AS (SELECT * FROM (VALUES {rows}) m(p_source, p_medium, source_name, channel, sort))"
 
 
-_K8_FACTS = """, facts AS (SELECT event_id, utm_source, utm_medium FROM web WHERE event_type IN ('click', 'view')), """
+_K8_FACTS = """, facts AS (SELECT event_id, utm_source, utm_medium FROM web), """
 
 
 @paired("k8_map_patterns_best", WEB_BASE_SQL + _K8_FACTS + _mapping_sql() + """
@@ -184,8 +184,7 @@ SELECT event_id, COALESCE(source_name, 'Unmapped') AS source_name, COALESCE(chan
 FROM best WHERE rn = 1
 """, covers=("K8", "J8", "S3", "W1", "P6"))
 def k8_best(spark, sf):
-    facts = web_events(spark, sf).filter(F.col("event_type").isin("click", "view")).select(
-        "event_id", "utm_source", "utm_medium")
+    facts = web_events(spark, sf).select("event_id", "utm_source", "utm_medium")
     out = AQ.map_patterns(facts, _mapping_df(spark), [("utm_source", "p_source"), ("utm_medium", "p_medium")],
                           ["source_name", "channel"], mode="best")
     return out.select("event_id", "source_name", "channel")
@@ -198,8 +197,7 @@ FROM facts f LEFT JOIN mapping m
  AND (m.p_medium IS NULL OR lower(f.utm_medium) LIKE lower(m.p_medium))
 """, covers=("K8", "M11", "J8"))
 def k8_all(spark, sf):
-    facts = web_events(spark, sf).filter(F.col("event_type").isin("click", "view")).select(
-        "event_id", "utm_source", "utm_medium")
+    facts = web_events(spark, sf).select("event_id", "utm_source", "utm_medium")
     out = AQ.map_patterns(facts, _mapping_df(spark), [("utm_source", "p_source"), ("utm_medium", "p_medium")],
                           ["source_name", "channel"], mode="all")
     return out.select("event_id", "source_name", "channel")
@@ -232,23 +230,23 @@ def k4(spark, sf):
 
 
 @paired("k5_decode_click_id", WEB_BASE_SQL + """
-, g AS (SELECT *, 'g' || CAST(k % 37 AS VARCHAR) AS gclid FROM web),
+, g AS (SELECT *, CASE WHEN k % 5 > 0 THEN 'g' || CAST(k % 37 AS VARCHAR) END AS gclid FROM web),
 clicks AS (SELECT g.gclid, g.ts, g.event_id, p.p_brand AS campaign, p.p_type AS ad_group
            FROM g JOIN part p ON p.p_partkey = g.k WHERE g.event_type = 'click'),
 latest AS (SELECT gclid, campaign AS click_campaign, ad_group AS click_ad_group FROM (
    SELECT *, ROW_NUMBER() OVER (PARTITION BY gclid ORDER BY ts DESC, event_id DESC) AS rn FROM clicks) WHERE rn = 1)
 SELECT g.event_id, g.gclid, l.click_campaign, l.click_ad_group,
-       COALESCE(l.click_campaign, g.utm_campaign) AS campaign
+       CASE WHEN g.gclid IS NULL THEN g.utm_campaign ELSE l.click_campaign END AS campaign
 FROM g LEFT JOIN latest l USING (gclid) WHERE g.event_type = 'purchase'
 """, covers=("K5", "W18", "O3", "J2"))
 def k5(spark, sf):
-    w = web_events(spark, sf).withColumn("gclid", F.concat(F.lit("g"), (F.col("k") % 37).cast("string")))
+    w = web_events(spark, sf).withColumn("gclid", F.when(F.col("k") % 5 > 0, F.concat(F.lit("g"), (F.col("k") % 37).cast("string"))))
     p = load(spark, sf, "part").select("p_partkey", F.col("p_brand").alias("campaign"), F.col("p_type").alias("ad_group"))
     clicks = w.filter(F.col("event_type") == "click").join(p, w.k == p.p_partkey)
     s = w.filter(F.col("event_type") == "purchase")
     out = AQ.decode_click_id(s, clicks, "gclid", ["ts", "event_id"], ["campaign", "ad_group"])
     return out.select("event_id", "gclid", "click_campaign", "click_ad_group",
-                      F.coalesce("click_campaign", "utm_campaign").alias("campaign"))
+                      AQ.override_by_click("gclid", "click_campaign", "utm_campaign").alias("campaign"))
 
 
 @paired("k19_touchpoints", TOUCH_SQL + """

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from growthframe.functions.semantics import round_half_up, safe_divide
+from growthframe.functions.semantics import ratio_capped, round_half_up, safe_divide
 from growthframe.operators import customers as CU
 from growthframe.operators.calendar import spine_from_bounds
 from growthframe.operators.common import with_group_agg
@@ -87,7 +87,7 @@ def k46(spark, sf):
                     round_half_up(safe_divide("spend", "new_customers"), 4).alias("cac"),
                     round_half_up(safe_divide("revenue", "n_orders"), 4).alias("aov"),
                     round_half_up(safe_divide("revenue", "spend"), 4).alias("roas"),
-                    round_half_up(F.least(safe_divide("new_customers", "customers"), F.lit(1.0)), 4)
+                    round_half_up(ratio_capped("new_customers", "customers"), 4)
                     .alias("new_customer_share"))
 
 
@@ -150,8 +150,7 @@ def _cut_sql(x):
 p AS (SELECT *, LAG(rv) OVER (PARTITION BY customer_id ORDER BY created_at, order_id) AS pv FROM r),
 g AS (SELECT *, {_cut_sql('rv')} AS value_group, {_cut_sql('pv')} AS previous_group FROM p)
 SELECT order_id, customer_id, {R2.format(x="rv")} AS running_value, {R2.format(x="pv")} AS previous_value, value_group, previous_group,
-  CASE WHEN previous_group IS NULL THEN 'new -> ' || value_group
-       WHEN previous_group != value_group THEN previous_group || ' -> ' || value_group END AS transition
+  CASE WHEN pv < rv AND previous_group != value_group THEN previous_group || ' -> ' || value_group END AS transition
 FROM g
 """, covers=("K50", "W5", "W11"))
 def k50(spark, sf):
@@ -269,7 +268,8 @@ def k60(spark, sf):
 b AS (SELECT store, d, COUNT(*) AS first_orders FROM c WHERE is_first_order GROUP BY 1, 2)
 SELECT COALESCE(a.store, b.store) AS store, COALESCE(a.d, b.d) AS d, COALESCE(a.creations, 0) AS creations,
        COALESCE(b.first_orders, 0) AS first_orders,
-       least(COALESCE(b.first_orders, 0) / NULLIF(COALESCE(a.creations, 0), 0), 1.0) AS win_rate
+       CASE WHEN b.first_orders > 0 THEN CASE WHEN COALESCE(a.creations, 0) >= b.first_orders THEN 1.0::DOUBLE
+       ELSE COALESCE(a.creations, 0) / b.first_orders END END AS win_rate
 FROM a FULL JOIN b ON a.store = b.store AND a.d = b.d
 """, covers=("K61", "F-m4"))
 def k61(spark, sf):
@@ -395,5 +395,5 @@ def k46s(spark, sf):
     base = {"customers": F.count("*"), "active_customers": F.count_if(active)}
     # stand-in target: 80 % of the customer base active; the ratio to the target is capped at 1
     derived = {"still_active_rate_capped": round_half_up(
-        F.least(safe_divide("active_customers", "customers") * 1.25, F.lit(1.0)), 4)}
+        ratio_capped(F.col("active_customers") * 1.25, "customers"), 4)}
     return CU.metric_layer(c, ["store"], base, derived)

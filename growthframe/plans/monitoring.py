@@ -59,7 +59,7 @@ def _zero_sql(as_of: str, name: str, hist: str | None) -> str:
   FROM {name}_x LEFT JOIN hol ON hol.holiday_date = monitored_date
   WHERE (website NOT LIKE '%B2B%' OR (dayofweek(monitored_date) NOT IN (0, 6) AND hol.holiday_date IS NULL))
     AND ((minus_1 = 0 AND minus_2 > 0 AND (last_alert_date IS NULL OR date_diff('day', last_alert_date, DATE '{as_of}') >= 1))
-      OR ({empty} AND (last_alert_date IS NULL OR date_diff('day', last_alert_date, DATE '{as_of}') >= 7))))"""
+      OR ({empty} AND date_diff('day', last_alert_date, DATE '{as_of}') >= 7)))"""
 
 
 @paired("k109_zero_event_alerts", DAILY_SQL + _zero_sql("2024-01-21", "prev", None)
@@ -175,11 +175,10 @@ def k114(spark, sf):
 
 @paired("s14_table_last_modified", None, covers=("S14",))
 def s14(spark, sf):
-    """Newest file modification time per table, from the file metadata column; ordered
-    and limited as a top-k report. No SQL form over the tables (DuckDB exposes no mtime)."""
+    """Newest file modification time per table, from the file metadata column. No SQL form over the tables (DuckDB exposes no mtime)."""
     parts = [load(spark, sf, t).select(F.lit(t).alias("table_name"),
                                        F.col("_metadata.file_modification_time").alias("mtime")) for t in TABLES]
     from functools import reduce
     u = reduce(lambda a, b: a.unionByName(b), parts)
     return u.groupBy("table_name").agg(F.max("mtime").alias("last_modified_time")) \
-        .orderBy(F.col("last_modified_time").desc(), "table_name").limit(10)
+        .orderBy(F.col("last_modified_time").desc(), "table_name")

@@ -1,9 +1,8 @@
 """Registry of paired queries: a Spark callable and, where SQL can express it, an oracle.
 
 Each plan module decorates a ``(spark, sf_dir) -> DataFrame`` function with
-``@paired(name, sql)``. The oracle is written in the reference's literal form (its CTEs,
-range joins, windows) for DuckDB; the Spark side uses the operator's rewritten form, so the
-pair really tests the rewrite.
+``@paired(name, sql)``. The oracle states the result from the rule, in SQL of its own, for DuckDB;
+it shares neither plan nor helper tables with the operator, so the pair tests the operator.
 """
 
 from __future__ import annotations

@@ -103,19 +103,19 @@ def k100b(spark, sf):
     return ST.first_status_date(e, ["user_id"], "ts", "status", "inactive")
 
 
+# Stand-in: four successive order keys are one item that is opened again and again; the owner is the priority.
 @paired("k101_open_items_by_day", """
-WITH o AS (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS s,
-                  CASE WHEN o_orderstatus = 'O' THEN NULL ELSE CAST(o_orderdate AS DATE) + CAST(o_orderkey % 20 AS INTEGER) END AS c
+WITH o AS (SELECT o_orderpriority AS owner, o_orderkey // 4 AS item, CAST(o_orderdate AS DATE) AS s,
+                  CASE WHEN o_orderstatus = 'O' AND o_orderkey % 5 = 0 THEN DATE '2001-08-01' ELSE CAST(o_orderdate AS DATE) + CAST(o_orderkey % 20 AS INTEGER) END AS e
            FROM orders),
-d AS (SELECT o_orderkey, unnest(generate_series(s, COALESCE(c - INTERVAL 1 DAY, DATE '2001-08-01'), INTERVAL 1 DAY)) AS d FROM o
-      WHERE COALESCE(c - INTERVAL 1 DAY, DATE '2001-08-01') >= s)
-SELECT CAST(d AS DATE) AS d, COUNT(DISTINCT o_orderkey) AS open_items FROM d GROUP BY 1
+d AS (SELECT owner, item, CAST(unnest(generate_series(s, e, INTERVAL 1 DAY)) AS DATE) AS d FROM o WHERE e >= s)
+SELECT owner, d, COUNT(DISTINCT item) AS open_items FROM d GROUP BY 1, 2
 """, covers=("K101", "A4"))
 def k101(spark, sf):
-    o = load(spark, sf, "orders").withColumn(
-        "c", F.when(F.col("o_orderstatus") == "O", F.lit(None).cast("date"))
-        .otherwise(F.date_add(F.to_date("o_orderdate"), (F.col("o_orderkey") % 20).cast("int"))))
-    return ST.open_items_by_day(o, "o_orderkey", "o_orderdate", "c", "2001-08-01")
+    o = load(spark, sf, "orders").withColumn("item", F.floor(F.col("o_orderkey") / 4))
+    o = o.withColumn("c", F.when((F.col("o_orderstatus") == "O") & (F.col("o_orderkey") % 5 == 0), F.lit(None).cast("date"))
+                     .otherwise(F.date_add(F.to_date("o_orderdate"), (F.col("o_orderkey") % 20).cast("int"))))
+    return ST.open_items_by_day(o, "item", "o_orderpriority", "o_orderdate", "c", "2001-08-01")
 
 
 @paired("k102_daily_state_fact", """

@@ -67,12 +67,12 @@ def k80(spark, sf):
                CASE WHEN l_returnflag = 'N' THEN CAST(50.0 AS DOUBLE) END AS sub_amt,
                CASE WHEN l_linestatus = 'F' THEN CAST(5.0 AS DOUBLE) END AS cust_pct, CAST(10.0 AS DOUBLE) AS cust_amt FROM n)
 SELECT l_orderkey, l_linenumber, COALESCE(sub_pct, cust_pct) AS eff_percent_off, COALESCE(sub_amt, cust_amt) AS eff_amount_off,
-  {R4.format(x='''greatest(CASE WHEN COALESCE(sub_pct, cust_pct) IS NOT NULL THEN mrr * (1 - COALESCE(sub_pct, cust_pct) / 100.0)
-                    WHEN COALESCE(sub_amt, cust_amt) IS NOT NULL THEN mrr - COALESCE(sub_amt, cust_amt) ELSE mrr END, 0.0)''')} AS mrr_discounted
-FROM d WHERE mrr IS NOT NULL
+  {R4.format(x='''CASE WHEN COALESCE(sub_pct, cust_pct) IS NOT NULL THEN mrr * (1 - COALESCE(sub_pct, cust_pct) / 100.0)
+                    WHEN mrr IS NULL THEN NULL ELSE greatest(mrr - COALESCE(sub_amt, cust_amt, 0.0), 0.0) END''')} AS mrr_discounted
+FROM d
 """, covers=("K81", "M1", "F-m4"))
 def k81(spark, sf):
-    p = _plans(spark, sf).filter(F.col("mrr").isNotNull())
+    p = _plans(spark, sf)
     p = p.select("*", F.when(F.col("l_returnflag") == "A", F.col("l_discount") * 100).alias("sub_pct"),
                  F.when(F.col("l_returnflag") == "N", F.lit(50.0)).alias("sub_amt"),
                  F.when(F.col("l_linestatus") == "F", F.lit(5.0)).alias("cust_pct"), F.lit(10.0).alias("cust_amt"))
@@ -82,23 +82,24 @@ def k81(spark, sf):
 
 
 _MONTHLY_SQL = """
-WITH cm AS (SELECT o_custkey AS customer_id, CAST(date_trunc('month', o_orderdate) AS DATE) AS month,
-                   SUM(o_totalprice) AS mrr FROM orders GROUP BY 1, 2)"""
+WITH cm AS (SELECT o_custkey AS customer_id, CASE WHEN o_orderkey % 3 = 0 THEN 'USD' ELSE 'EUR' END AS currency,
+                   CAST(date_trunc('month', o_orderdate) AS DATE) AS month, SUM(o_totalprice) AS mrr FROM orders GROUP BY 1, 2, 3)"""
+_KEYS = ["customer_id", "currency"]
 
 
 def _monthly(spark, sf):
     o = load(spark, sf, "orders")
-    return o.groupBy(F.col("o_custkey").alias("customer_id"),
+    return o.groupBy(F.col("o_custkey").alias("customer_id"), F.when(F.col("o_orderkey") % 3 == 0, "USD").otherwise("EUR").alias("currency"),
                      F.to_date(F.date_trunc("month", "o_orderdate")).alias("month")).agg(F.sum("o_totalprice").alias("mrr"))
 
 
 @paired("k82_fx_convert", f"""
 WITH r AS (SELECT CAST(o_orderdate AS DATE) AS rate_date, 1 + (COUNT(*) % 10) / 100.0 AS rate FROM orders GROUP BY 1),
 lr AS (SELECT CAST(date_trunc('month', rate_date) AS DATE) AS month, arg_max(rate, rate_date) AS month_rate FROM r GROUP BY 1),
-m AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, CASE WHEN o_orderstatus = 'F' THEN 'USD' ELSE 'EUR' END AS currency,
+m AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, CASE o_orderstatus WHEN 'F' THEN 'USD' WHEN 'P' THEN 'usd' ELSE 'EUR' END AS currency,
              SUM(o_totalprice) AS amount FROM orders GROUP BY 1, 2)
 SELECT m.month, m.currency, {R2.format(x="m.amount")} AS amount, lr.month_rate,
-  {R2.format(x="CASE WHEN m.currency = 'USD' THEN m.amount / lr.month_rate ELSE m.amount END")} AS amount_converted
+  {R2.format(x="CASE WHEN m.currency IN ('USD', 'usd') THEN m.amount / lr.month_rate ELSE m.amount END")} AS amount_converted
 FROM m LEFT JOIN lr USING (month)
 """, covers=("K82", "O3", "W18"))
 def k82(spark, sf):
@@ -106,7 +107,7 @@ def k82(spark, sf):
     rates = o.groupBy(F.to_date("o_orderdate").alias("rate_date")).agg(
         (1 + (F.count("*") % 10) / 100.0).alias("rate"))
     m = o.groupBy(F.to_date(F.date_trunc("month", "o_orderdate")).alias("month"),
-                  F.when(F.col("o_orderstatus") == "F", "USD").otherwise("EUR").alias("currency")).agg(
+                  F.when(F.col("o_orderstatus") == "F", "USD").when(F.col("o_orderstatus") == "P", "usd").otherwise("EUR").alias("currency")).agg(
         F.sum("o_totalprice").alias("amount"))
     out = SU.fx_convert(m, rates, "month", "currency", "amount", "rate_date", "rate")
     return out.select("month", "currency", round_half_up("amount", 2).alias("amount"), "month_rate",
@@ -114,41 +115,35 @@ def k82(spark, sf):
 
 
 _DENSE_SQL = _MONTHLY_SQL + f"""
-, f AS (SELECT customer_id, MIN(month) AS m0 FROM cm GROUP BY 1),
-sp AS (SELECT customer_id, CAST(unnest(generate_series(m0, DATE '{AS_OF}', INTERVAL 1 MONTH)) AS DATE) AS month FROM f),
-dense AS (SELECT sp.customer_id, sp.month, COALESCE(cm.mrr, 0.0) AS mrr FROM sp LEFT JOIN cm USING (customer_id, month))"""
+, f AS (SELECT customer_id, currency, MIN(month) AS m0 FROM cm GROUP BY 1, 2),
+sp AS (SELECT customer_id, currency, CAST(unnest(generate_series(m0, DATE '{AS_OF}', INTERVAL 1 MONTH)) AS DATE) AS month FROM f),
+dense AS (SELECT sp.customer_id, sp.currency, sp.month, COALESCE(cm.mrr, 0.0) AS mrr FROM sp LEFT JOIN cm USING (customer_id, currency, month))"""
 
 
 @paired("k83_dense_months", _DENSE_SQL + f"""
-SELECT customer_id, month, {R2.format(x="mrr")} AS mrr FROM dense
+SELECT customer_id, currency, month, {R2.format(x="mrr")} AS mrr FROM dense
 """, covers=("K83", "K91", "K118"))
 def k83(spark, sf):
-    d = SU.dense_months(_monthly(spark, sf), "customer_id", "month", "mrr", AS_OF)
-    return d.select("customer_id", "month", round_half_up("mrr", 2).alias("mrr"))
+    d = SU.dense_months(_monthly(spark, sf), _KEYS, "month", "mrr", AS_OF)
+    return d.select(*_KEYS, "month", round_half_up("mrr", 2).alias("mrr"))
 
 
+# from the definition: this month's row beside the row of the month before, and the first month with revenue
 @paired("k84_mrr_movements", _DENSE_SQL + f"""
-, c AS (SELECT *, COALESCE(LAG(mrr) OVER (PARTITION BY customer_id ORDER BY month), 0.0) AS prev_mrr,
-               COALESCE(MAX(CASE WHEN mrr > 0 THEN 1 ELSE 0 END) OVER (PARTITION BY customer_id ORDER BY month
-                        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS had_prior_mrr FROM dense)
-SELECT customer_id, month, {R2.format(x="mrr")} AS mrr, {R2.format(x="prev_mrr")} AS prev_mrr, had_prior_mrr,
-  CASE WHEN mrr > 0 AND prev_mrr = 0 AND had_prior_mrr = 0 THEN 'new'
-       WHEN mrr > 0 AND prev_mrr = 0 AND had_prior_mrr = 1 THEN 'reactivation'
-       WHEN mrr > prev_mrr AND prev_mrr > 0 THEN 'expansion'
-       WHEN mrr < prev_mrr AND mrr > 0 THEN 'contraction'
-       WHEN mrr = prev_mrr AND mrr > 0 THEN 'retained'
-       WHEN mrr = 0 AND prev_mrr > 0 THEN 'churned' END AS mrr_type,
-  {R2.format(x='''CASE WHEN mrr > 0 AND prev_mrr = 0 THEN mrr WHEN mrr > prev_mrr AND prev_mrr > 0 THEN mrr - prev_mrr
-       WHEN mrr < prev_mrr AND mrr > 0 THEN mrr - prev_mrr WHEN mrr = prev_mrr AND mrr > 0 THEN mrr
-       WHEN mrr = 0 AND prev_mrr > 0 THEN -prev_mrr END''')} AS mrr_delta
-FROM c WHERE NOT (mrr = 0 AND prev_mrr = 0)
+, pair AS (SELECT d.customer_id, d.currency, d.month, d.mrr AS cur, COALESCE(b.mrr, 0.0) AS bef,
+                  EXISTS (SELECT 1 FROM cm e WHERE e.customer_id = d.customer_id AND e.currency = d.currency AND e.month < d.month AND e.mrr > 0) AS ever_before
+           FROM dense d LEFT JOIN cm b ON b.customer_id = d.customer_id AND b.currency = d.currency AND b.month = CAST(d.month - INTERVAL 1 MONTH AS DATE))
+SELECT customer_id, currency, month, {R2.format(x="cur")} AS mrr, {R2.format(x="bef")} AS prev_mrr, ever_before,
+  CASE WHEN least(cur, bef) > 0 THEN CASE sign(cur - bef) WHEN 1 THEN 'expansion' WHEN 0 THEN 'retained' ELSE 'contraction' END
+       WHEN bef > 0 THEN 'churned' WHEN ever_before THEN 'reactivation' ELSE 'new' END AS mrr_type,
+  {R2.format(x="CASE WHEN cur = bef THEN cur ELSE cur - bef END")} AS mrr_delta
+FROM pair WHERE cur + bef > 0
 """, covers=("K84", "W5", "W12"))
 def k84(spark, sf):
-    d = SU.dense_months(_monthly(spark, sf), "customer_id", "month", "mrr", AS_OF)
-    m = SU.mrr_movements(d, "customer_id", "month", "mrr")
-    return m.select("customer_id", "month", round_half_up("mrr", 2).alias("mrr"),
-                    round_half_up("prev_mrr", 2).alias("prev_mrr"), "had_prior_mrr", "mrr_type",
-                    round_half_up("mrr_delta", 2).alias("mrr_delta"))
+    d = SU.dense_months(_monthly(spark, sf), _KEYS, "month", "mrr", AS_OF)
+    m = SU.mrr_movements(d, _KEYS, "month", "mrr")
+    return m.select(*_KEYS, "month", round_half_up("mrr", 2).alias("mrr"), round_half_up("prev_mrr", 2).alias("prev_mrr"),
+                    "ever_before", "mrr_type", round_half_up("mrr_delta", 2).alias("mrr_delta"))
 
 
 _WIN_SQL = """
@@ -158,7 +153,8 @@ c AS (SELECT o.*, CAST(date_trunc('month', f.fd) AS DATE) AS cohort_month, date_
       FROM o JOIN f USING (o_custkey)),
 size AS (SELECT cohort_month, COUNT(DISTINCT o_custkey) AS cohort_size FROM c GROUP BY 1),
 win AS (SELECT c.cohort_month, w.window_months, SUM(c.o_totalprice) AS cumulative_revenue
-        FROM c CROSS JOIN (SELECT unnest(range(1, 13)) AS window_months) w WHERE c.month_rank <= w.window_months GROUP BY 1, 2),
+        FROM c CROSS JOIN (SELECT unnest(range(1, 13)) AS window_months) w WHERE c.month_rank <= w.window_months GROUP BY 1, 2
+        UNION ALL SELECT cohort_month, NULL, SUM(o_totalprice) FROM c GROUP BY 1),
 wl AS (SELECT win.*, size.cohort_size, win.cumulative_revenue / NULLIF(size.cohort_size, 0) AS ltv FROM win JOIN size USING (cohort_month))"""
 
 

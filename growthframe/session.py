@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every growthframe job relies on. AQE re-plans joins and coalesces
 # shuffle partitions at runtime; skew-join splitting handles a hot key (one
@@ -24,16 +27,14 @@ BASE_CONF = {
 
 def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
               app: str = "growthframe", extra: dict | None = None) -> SparkSession:
-    """Local session for tests and the bench; on a cluster pass ``master=None`` and let
-    spark-submit decide. ``shuffle_partitions`` should be sized to the data
-    (roughly input bytes / 128 MB); AQE coalesces the excess."""
+    """Session with the settings above. ``master`` is set only when given (tests, the bench):
+    under spark-submit the submitted master and driver memory stand. ``shuffle_partitions`` should be sized to the
+    data (roughly input bytes / 128 MB); AQE coalesces the excess."""
     builder = SparkSession.builder.appName(app)
-    if master is None:
-        cpus = os.environ.get("BENCH_CPUS", "*")
-        master = f"local[{cpus}]"
-    builder = builder.master(master)
     conf = dict(BASE_CONF)
-    conf["spark.driver.memory"] = os.environ.get("GF_DRIVER_MEMORY", "16g")
+    if master is not None:
+        builder = builder.master(master)
+        conf["spark.driver.memory"] = os.environ.get("GF_DRIVER_MEMORY", "16g")
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
@@ -41,18 +42,28 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(spark)
+    if _one_machine(spark):
+        checkpoint_dir(spark)
     return spark
 
 
+def _one_machine(spark: SparkSession) -> bool:
+    master = spark.sparkContext.master
+    return master.startswith("local") and not master.startswith("local-cluster")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
     On a cluster ``spark.checkpoint.dir`` names a shared, durable folder and is used as
-    is. Only when it is unset (local tests) a private temporary folder is created."""
+    is; without it this is an error, as a folder of one machine can't be read by the others. Only in a
+    local session a private temporary folder is created, and removed at exit."""
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not _one_machine(spark):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="gf-ckpt-")
+        atexit.register(shutil.rmtree, current, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", current)
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(current)
@@ -60,15 +71,24 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for a written intermediate table."""
+    """A path of this application under the shared checkpoint folder, for an intermediate table."""
     base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}"
+    return f"{base}/{spark.sparkContext.applicationId}/{name}"
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Remove every intermediate table of this application; frames read from them are void."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(scratch_path(spark, "")[:-1])
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def materialize(df):
-    """Write ``df`` once to the shared checkpoint folder and continue from the written copy
-    (a reliable checkpoint). Used where one expensive derivation feeds several branches of a
-    plan (e.g. sessionized events feeding hit-level measures): the branches read the files
-    instead of recomputing the derivation, and the lineage is cut for fault tolerance."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def materialize(df: DataFrame) -> DataFrame:
+    """``df`` written once as Parquet to the shared checkpoint folder and read back. Used where
+    one expensive derivation feeds several branches of a plan (e.g. sessionized events feeding
+    hit-level measures): each branch reads only the columns it needs, the lineage is cut, and a lost
+    executor costs nothing but the read."""
+    spark = df.sparkSession
+    path = scratch_path(spark, f"tables/{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -46,12 +46,26 @@ def staging(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def _delete_partitions(spark: SparkSession, path: str, col: str, values: Sequence) -> None:
+    """Remove the directories of partition values; NULL and escaped values are named as Spark names them."""
+    name = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    for v in values:
+        _delete(spark, f"{path.rstrip('/')}/{name(col, None if v is None else str(v))}")
+
+
+def _lost(before: DataFrame, after: DataFrame, col: str) -> list:
+    """Partition values of ``before`` that ``after`` has no row of (one value per partition)."""
+    b, a = before.select(col).distinct(), after.select(F.col(col).alias("_a")).distinct()
+    return [r[0] for r in b.join(a, b[col].eqNullSafe(a["_a"]), "left_anti").collect()]
+
+
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite") -> None:
     """CREATE OR REPLACE TABLE (``mode="overwrite"``), optionally partitioned."""
-    w = df.write.mode(mode)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
+    if not partition_by:
+        df.write.mode(mode).parquet(path)
+        return
+    # rows of a partition come together first (few files each); a large partition is split
+    df.hint("rebalance", *partition_by).write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
 def create_view(df: DataFrame, name: str) -> DataFrame:
@@ -67,13 +81,8 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
 
 def insert_overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str]) -> None:
     """Replace exactly the partitions present in ``df`` (dynamic partition overwrite)."""
-    spark = df.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        df.write.mode("overwrite").partitionBy(*partition_by).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+    (df.hint("rebalance", *partition_by).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_by).parquet(path))
 
 
 def delete_where(spark: SparkSession, path: str, cond: Column, partition_col: str,
@@ -84,14 +93,12 @@ def delete_where(spark: SparkSession, path: str, cond: Column, partition_col: st
     t = spark.read.parquet(path)
     scope = t if touched is None else t.filter(touched)
     keep = staging(spark, scope.filter(~F.coalesce(cond, F.lit(False))), "delete")
-    parts = scope.select(partition_col).distinct()
-    emptied = parts.join(keep.select(partition_col).distinct(), partition_col, "left_anti")
-    # partitions that lose every row must disappear: they are absent from the rewrite, so
-    # remove their directories (a handful of metadata operations on the driver)
-    for r in emptied.collect():
-        _delete(spark, f"{path.rstrip('/')}/{partition_col}={r[0]}")
+    # partitions that lose every row are absent from the rewrite: their directories go once it
+    # is done (a handful of metadata operations on the driver)
+    emptied = _lost(scope, keep, partition_col)
     if keep.head(1):
         insert_overwrite_partitions(keep, path, [partition_col])
+    _delete_partitions(spark, path, partition_col, emptied)
 
 
 def overwrite_lookback(df: DataFrame, path: str, date_col: str, days: int, as_of) -> None:
@@ -101,12 +108,12 @@ def overwrite_lookback(df: DataFrame, path: str, date_col: str, days: int, as_of
     spark = df.sparkSession
     a = F.lit(str(as_of)).cast("date")
     new = df.filter((F.col(date_col) >= F.date_sub(a, days)) & (F.col(date_col) <= a))
+    stale = []
     if path_exists(spark, path):
         old = spark.read.parquet(path).filter((F.col(date_col) >= F.date_sub(a, days)) & (F.col(date_col) <= a))
-        stale = old.select(date_col).distinct().join(new.select(date_col).distinct(), date_col, "left_anti")
-        for r in stale.collect():  # window days that no longer have rows: at most `days` + 1
-            _delete(spark, f"{path.rstrip('/')}/{date_col}={r[0]}")
+        stale = _lost(old, new, date_col)  # window days that no longer have rows: at most `days` + 1
     insert_overwrite_partitions(new, path, [date_col])
+    _delete_partitions(spark, path, date_col, stale)
 
 
 def edge_safe_window(compute: Callable[[DataFrame], DataFrame], source: DataFrame, read_col: str,
@@ -131,18 +138,21 @@ def upsert(spark: SparkSession, base: DataFrame, delta: DataFrame, keys: Sequenc
 
 def upsert_partitions(spark: SparkSession, path: str, delta: DataFrame, keys: Sequence[str],
                       order: Sequence[str], partition_col: str) -> DataFrame:
-    """S11 in place on a partitioned table: only the partitions the delta touches are read
-    (partition pruning through a semi join on the partition values), merged with the delta
+    """S11 in place on a partitioned table: the partitions the delta touches, and those that hold an
+    older version of its keys (found from the key columns alone), are merged with the delta
     (latest row per key), staged under the checkpoint folder and written back with dynamic
-    partition overwrite. Untouched partitions are neither read nor rewritten. A key is
-    assumed to stay in its partition (e.g. partitioned by creation date)."""
-    touched = delta.select(partition_col).distinct()
+    partition overwrite; partitions left without rows are removed after that. A key may move to
+    another partition. Other partitions are not rewritten."""
     base = spark.read.parquet(path)
+    held = base.select(*keys, partition_col).join(delta.select(*keys).distinct(), list(keys), "left_semi").select(partition_col)
+    touched = delta.select(partition_col).union(held).distinct().select(F.col(partition_col).alias("_p"))
     # join on the partition column: dynamic partition pruning skips untouched directories
-    scope = base.join(touched, partition_col, "left_semi")
+    scope = base.join(touched, base[partition_col].eqNullSafe(touched["_p"]), "left_semi")
     merged = latest_per_key(scope.unionByName(delta, allowMissingColumns=True), keys, order)
     staged = staging(spark, merged, "upsert")
+    emptied = _lost(scope, staged, partition_col)
     insert_overwrite_partitions(staged, path, [partition_col])
+    _delete_partitions(spark, path, partition_col, emptied)
     return spark.read.parquet(path)
 
 

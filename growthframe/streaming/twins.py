@@ -3,7 +3,7 @@
 Sources are Parquet directories read incrementally (``readStream``); late data is bounded by
 a watermark equal to the reference's lookback (3 days for events). Checkpoints live under
 the shared ``spark.checkpoint.dir`` so a restarted query resumes exactly once. Sinks are
-``foreachBatch`` writers (Parquet, idempotent per batch id) or, for tests, the memory sink.
+``foreachBatch`` writers (Parquet, idempotent per batch id).
 """
 
 from __future__ import annotations
@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from growthframe.functions.semantics import civil_from_instant, instant_from_civil
-from growthframe.session import scratch_path
+from growthframe.session import checkpoint_dir, scratch_path
+from growthframe.sources.sinks import path_exists
 
 EVENTS_SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("ts", T.TimestampNTZType()),
@@ -58,28 +59,29 @@ def dedupe_stream(stream: DataFrame, key: str = "event_id", watermark: str = "3
     return stream.withWatermark("ts", watermark).dropDuplicatesWithinWatermark([key])
 
 
-def run_available_now(df: DataFrame, name: str, output_mode: str = "append") -> DataFrame:
-    """Drain everything available into a memory table and return it as a batch DataFrame
-    (tests and paired checks). The checkpoint is a fresh folder under the shared
-    checkpoint directory."""
+def run_available_now(df: DataFrame, name: str) -> DataFrame:
+    """Drain everything available into the Parquet sink and read it back as a batch DataFrame.
+
+    In append mode a window comes out once the watermark has passed it: what lies within the
+    watermark's delay of the newest event stays in the state for the next run."""
     spark = df.sparkSession
-    ckpt = scratch_path(spark, f"stream-ckpt/{name}-{uuid.uuid4().hex}")
-    table = f"{name}_{uuid.uuid4().hex[:8]}"
-    q = (df.writeStream.format("memory").queryName(table).outputMode(output_mode)
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return spark.table(table)
+    path = scratch_path(spark, f"streams/{name}-{uuid.uuid4().hex}")
+    to_parquet_foreach_batch(df, path, f"{name}-{uuid.uuid4().hex}", available_now=True).awaitTermination()
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], df.schema)
+    return spark.read.schema(df.schema).parquet(path).drop("batch_id")
 
 
-def to_parquet_foreach_batch(df: DataFrame, path: str, name: str, keys: list[str] | None = None):
+def to_parquet_foreach_batch(df: DataFrame, path: str, name: str, keys: list[str] | None = None, available_now: bool = False):
     """Production sink: ``foreachBatch`` writes each micro-batch to Parquet; with ``keys`` the
-    batch is first de-duplicated on them. Idempotent on replay because the batch id is part
-    of the written partition."""
+    batch is first de-duplicated on them. Idempotent on replay because the batch id names the
+    written partition. The checkpoint lies under the shared folder by ``name`` alone, so a restarted job goes on."""
     spark = df.sparkSession
-    ckpt = scratch_path(spark, f"stream-ckpt/{name}")
+    ckpt = f"{checkpoint_dir(spark).rstrip('/')}/stream-ckpt/{name}"
 
     def write(batch: DataFrame, batch_id: int) -> None:
         b = batch.dropDuplicates(keys) if keys else batch
-        b.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        b.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
-    return df.writeStream.foreachBatch(write).option("checkpointLocation", ckpt).start()
+    w = df.writeStream.foreachBatch(write).option("checkpointLocation", ckpt)
+    return (w.trigger(availableNow=True) if available_now else w).start()
