@@ -34,10 +34,10 @@ def hierarchy_reconcile(levels: Sequence[DataFrame], ids: Sequence[str], measure
         x = lv.select(date, *measures, F.explode(sign_rows).alias("_k")).select(date, *measures, "_k.*")
         parts.append(x)
     u = reduce(lambda a, b: a.unionByName(b), parts)
-    g = u.groupBy(date, *ids).agg(*[F.sum((F.col(m) * F.col("s")).cast("decimal(38,9)")).alias(m) for m in measures])
+    g = u.groupBy(date, *ids).agg(*[F.sum((F.col(m) * F.col("s")).cast("decimal(28,9)")).alias(m) for m in measures])
     # exact sums: what cancels out is 0, whatever the order of addition
     nonzero = reduce(lambda a, b: a | b, [F.col(m) != 0 for m in measures])
-    return g.filter(nonzero).withColumns({m: F.col(m).cast(df_types[m]) for m in measures})
+    return g.filter(nonzero).withColumns({m: F.col(m).cast(levels[0].schema[m].dataType) for m in measures})
 
 
 def latest_dim(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -136,15 +136,18 @@ def test_exact_percentile_equals_percentile(spark, rows, q):
     assert ours.keys() == ref.keys() and all(abs(ours[k] - ref[k]) < 1e-9 for k in ref)
 
 
-def test_map_patterns_fallback_equals_broadcast_mapping(spark):
+def test_map_patterns_by_kind_equals_like_join(spark):
+    """Whole values, beginnings, infix patterns and wildcards, with NULLs and ties, against one LIKE join."""
     from growthframe.operators.acquisition import map_patterns
-    from growthframe.plans.acquisition import _mapping_df
-    from growthframe.plans.events import web_events
-    facts = web_events(spark, SF_SMALL).filter(F.col("event_type").isin("click", "view")).select(
-        "event_id", "utm_source", "utm_medium")
-    cols = [("utm_source", "p_source"), ("utm_medium", "p_medium")]
-    for mode in ("best", "all"):
-        a = map_patterns(facts, _mapping_df(spark), cols, ["source_name", "channel"], mode=mode)
-        b = map_patterns(facts, _mapping_df(spark), cols, ["source_name", "channel"], mode=mode, max_broadcast_rows=7)
-        key = ["event_id", "source_name", "channel"]
-        assert sorted(map(tuple, a.select(*key).collect())) == sorted(map(tuple, b.select(*key).collect()))
+    values = ["google", "Google Ads", "goo", "bing%", "a_b", None, "", "fb.com", "x"]
+    facts = spark.createDataFrame([(10 * i + j, a, b) for i, a in enumerate(values) for j, b in enumerate(values)], "id int, s string, m string")
+    patterns = ["google", "GOO%", "%goo%", "a_b", "a\\\\_b", None, "", "%", "b%g%", "fb.com"]
+    mapping = spark.createDataFrame([(a, b, f"{i}-{j}", (i * j) % 4) for i, a in enumerate(patterns) for j, b in enumerate(patterns)],
+                                    "ps string, pm string, out string, sort int")
+    cond = F.expr("(ps IS NULL OR lower(s) LIKE lower(ps)) AND (pm IS NULL OR lower(m) LIKE lower(pm))")
+    plain = facts.join(mapping, cond, "left")
+    got = map_patterns(facts, mapping, [("s", "ps"), ("m", "pm")], ["out"], mode="all").select("id", "out")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, plain.select("id", F.coalesce("out", F.lit("Unmapped"))).collect()))
+    best = plain.groupBy("id").agg(F.min_by("out", F.struct("sort", "out")).alias("out"))
+    got = map_patterns(facts, mapping, [("s", "ps"), ("m", "pm")], ["out"]).select("id", "out")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, best.select("id", F.coalesce("out", F.lit("Unmapped"))).collect()))
