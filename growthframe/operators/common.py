@@ -140,3 +140,16 @@ def bucketed_row_number(df: DataFrame, keys: Sequence[str], ts: str, tie: str, n
     if last_name:
         x = x.withColumn(last_name, F.col("_last_bucket") & F.lead(F.lit(1)).over(wb).isNull())
     return x.drop("_g", "_before", "_last_bucket")
+
+
+def bucketed_running_extreme(df: DataFrame, keys: Sequence[str], ts: str, tie: str, value: str, name: str, greatest: bool,
+                             bucket: str = "month", exclusive: bool = False) -> DataFrame:
+    """``MAX(value)`` (``greatest``) or ``MIN(value)`` over the rows up to the current one (or the one
+    before it, when ``exclusive``) of a key, skew-safe; NULL values are passed over."""
+    x, over_b = _bucketed(df, keys, ts, bucket)
+    wb = Window.partitionBy("_g").orderBy(ts, tie)
+    one, two = (F.max, F.greatest) if greatest else (F.min, F.least)
+    per = x.groupBy("_g").agg(one(value).alias("_bx"))
+    per = per.withColumn("_before", one("_bx").over(over_b.rowsBetween(Window.unboundedPreceding, -1))).drop("_bx")
+    inside = one(value).over(wb.rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0))
+    return x.join(per, "_g").withColumn(name, two(F.col("_before"), inside)).drop("_g", "_before")

@@ -118,10 +118,10 @@ def rules_case_sql(rules, s, m):
 SELECT event_id, utm_source, utm_medium,
   {rules_case_sql(AQ.SOURCE_NAME_RULES, 'utm_source', 'utm_medium')} AS session_source_name,
   {rules_case_sql(AQ.CHANNEL_RULES, 'utm_source', 'utm_medium')} AS session_channel
-FROM web WHERE utm_source IS NOT NULL
+FROM web
 """, covers=("K7", "P4", "P6", "P9"))
 def k7(spark, sf):
-    w = web_events(spark, sf).filter(F.col("utm_source").isNotNull())
+    w = web_events(spark, sf)
     return AQ.channel_grouping(w, "utm_source", "utm_medium").select(
         "event_id", "utm_source", "utm_medium", "session_source_name", "session_channel")
 

@@ -10,7 +10,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from growthframe.functions import semantics as S
-from growthframe.operators.common import latest_per_key
+from growthframe.operators.common import (bucketed_last_non_null, bucketed_lead, bucketed_row_number, bucketed_running_extreme,
+                                          bucketed_running_sum, latest_per_key, with_group_agg)
 from growthframe.plans.registry import paired
 from growthframe.sources.tables import load
 
@@ -34,10 +35,10 @@ def p1(spark, sf):
 
 
 @paired("p2_select_except", """
-SELECT * EXCLUDE (o_totalprice, o_orderdate) FROM orders WHERE o_orderstatus = 'F'
+SELECT * EXCLUDE (o_totalprice, o_orderdate) FROM orders
 """, covers=("P2",))
 def p2(spark, sf):
-    return T(spark, sf, "orders").filter(F.col("o_orderstatus") == "F").drop("o_totalprice", "o_orderdate")
+    return T(spark, sf, "orders").drop("o_totalprice", "o_orderdate")
 
 
 @paired("p3_typed_nulls_union", """
@@ -89,10 +90,10 @@ SELECT p_partkey, p_name,
   p_name LIKE '%ring%' AS has_ring,
   p_name NOT LIKE 'small%' AS not_small,
   p_name LIKE ('%' || lower(p_type) || '%') AS name_mentions_type
-FROM part WHERE p_name LIKE '%e%'
+FROM part
 """, covers=("P6",))
 def p6(spark, sf):
-    p = T(spark, sf, "part").filter(F.col("p_name").like("%e%"))
+    p = T(spark, sf, "part")
     return p.select("p_partkey", "p_name", F.col("p_name").like("%ring%").alias("has_ring"),
                     (~F.col("p_name").like("small%")).alias("not_small"),
                     F.expr("p_name LIKE concat('%', lower(p_type), '%')").alias("name_mentions_type"))
@@ -212,17 +213,14 @@ def p15(spark, sf):
 # ------------------------------------------------------------------ 2.3 joins
 
 @paired("j1_inner_multi_key", """
-SELECT l.l_orderkey, l.l_partkey, l.l_suppkey, s.s_name, n.n_name
-FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
-JOIN nation n ON s.s_nationkey = n.n_nationkey AND n.n_regionkey = n.n_regionkey
-WHERE l.l_returnflag = 'R'
+SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, b.returned
+FROM lineitem l JOIN (SELECT l_partkey, l_suppkey, COUNT(*) AS returned FROM lineitem WHERE l_returnflag = 'R' GROUP BY ALL) b
+  ON l.l_partkey = b.l_partkey AND l.l_suppkey = b.l_suppkey
 """, covers=("J1",))
 def j1(spark, sf):
-    li = T(spark, sf, "lineitem").filter(F.col("l_returnflag") == "R")
-    s = T(spark, sf, "supplier")
-    n = T(spark, sf, "nation")
-    j = li.join(s, li.l_suppkey == s.s_suppkey).join(n, (s.s_nationkey == n.n_nationkey))
-    return j.select("l_orderkey", "l_partkey", "l_suppkey", "s_name", "n_name")
+    li = T(spark, sf, "lineitem")
+    back = li.filter(F.col("l_returnflag") == "R").groupBy("l_partkey", "l_suppkey").agg(F.count("*").alias("returned"))
+    return li.join(back, ["l_partkey", "l_suppkey"]).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "returned")
 
 
 @paired("j2_left_expression_keys", """
@@ -255,12 +253,8 @@ SELECT a.user_id, a.event_id, a.ts AS valid_from, b.ts AS valid_to
 FROM h a LEFT JOIN h b ON a.user_id = b.user_id AND b.rn = a.rn + 1
 """, covers=("J4",))
 def j4(spark, sf):
-    e = T(spark, sf, "events")
-    h = e.withColumn("rn", F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id")))
-    a, b = h.alias("a"), h.alias("b")
-    return a.join(b, (F.col("a.user_id") == F.col("b.user_id")) & (F.col("b.rn") == F.col("a.rn") + 1), "left") \
-        .select(F.col("a.user_id").alias("user_id"), F.col("a.event_id").alias("event_id"),
-                F.col("a.ts").alias("valid_from"), F.col("b.ts").alias("valid_to"))
+    e = bucketed_lead(T(spark, sf, "events"), ["user_id"], "ts", "event_id", ["ts"], "day")
+    return e.select("user_id", "event_id", F.col("ts").alias("valid_from"), F.col("next_ts").alias("valid_to"))
 
 
 @paired("j10_anti_join", """
@@ -566,9 +560,8 @@ SELECT o_orderkey, ROW_NUMBER() OVER (PARTITION BY o_custkey ORDER BY o_orderdat
 FROM orders
 """, covers=("W1", "M15"))
 def w1(spark, sf):
-    o = T(spark, sf, "orders")
-    return o.select("o_orderkey", F.row_number().over(
-        Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")).cast("long").alias("order_rank"))
+    o = bucketed_row_number(T(spark, sf, "orders"), ["o_custkey"], "o_orderdate", "o_orderkey", "order_rank")
+    return o.select("o_orderkey", F.col("order_rank").cast("long").alias("order_rank"))
 
 
 @paired("w3_dense_rank_previous", """
@@ -603,11 +596,9 @@ SELECT event_id, user_id,
 FROM events
 """, covers=("W7", "W8"))
 def w7(spark, sf):
-    e = T(spark, sf, "events")
-    w = Window.partitionBy("user_id").orderBy("ts")
-    full = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    return e.select("event_id", "user_id", F.coalesce(F.lead("event_type").over(w),
-                                                      F.first("event_type").over(full)).alias("next_type"))
+    e = bucketed_lead(T(spark, sf, "events"), ["user_id"], "ts", "event_id", ["event_type"], "day")
+    e = with_group_agg(e, ["user_id"], F.min_by("event_type", F.struct("ts", "event_id")).alias("first_type"))
+    return e.select("event_id", "user_id", F.coalesce("next_event_type", "first_type").alias("next_type"))
 
 
 @paired("w9_last_value_ignore_nulls", """
@@ -620,13 +611,10 @@ FROM x
 def w9(spark, sf):
     x = T(spark, sf, "events").select("user_id", "ts", "event_id",
                                       F.when(F.col("event_type") == "purchase", F.col("value")).alias("pv"))
-    w = Window.partitionBy("user_id").orderBy("ts")
-    return x.select("event_id",
-                    F.last("pv", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-                    .alias("last_purchase_value"),
-                    F.first("pv", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding,
-                                                                       Window.unboundedFollowing))
-                    .alias("first_purchase_value"))
+    x = bucketed_last_non_null(x, ["user_id"], "ts", "event_id", F.col("pv"), "before", "day")
+    first = F.min_by("pv", F.when(F.col("pv").isNotNull(), F.struct("ts", "event_id")))
+    x = with_group_agg(x, ["user_id"], first.alias("first_purchase_value"))
+    return x.select("event_id", F.coalesce("pv", "before").alias("last_purchase_value"), "first_purchase_value")
 
 
 @paired("w10_last_value_default_frame", """
@@ -636,10 +624,12 @@ FROM d
 """, covers=("W10",))
 def w10(spark, sf):
     d = T(spark, sf, "orders").select("o_custkey", F.to_date("o_orderdate").alias("d"), "o_orderkey")
-    # default frame = RANGE UNBOUNDED PRECEDING .. CURRENT ROW: ties on the day are peers; take
-    # the largest key among the peers so the result is deterministic on both engines
-    w = Window.partitionBy("o_custkey").orderBy("d").rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    return d.select("o_orderkey", F.max("o_orderkey").over(w).alias("last_key_on_or_before_day"))
+    # default frame = RANGE UNBOUNDED PRECEDING .. CURRENT ROW: ties on the day are peers, so the
+    # window runs over one row per customer and day; the largest key is the same on both engines
+    day = d.groupBy("o_custkey", "d").agg(F.max("o_orderkey").alias("k"))
+    w = Window.partitionBy("o_custkey").orderBy("d")
+    return d.join(day.withColumn("last_key_on_or_before_day", F.max("k").over(w)), ["o_custkey", "d"]).select(
+        "o_orderkey", "last_key_on_or_before_day")
 
 
 @paired("w11_running_sum_rows", """
@@ -650,13 +640,12 @@ SELECT o_orderkey,
 FROM orders
 """, covers=("W11", "W12", "W15"))
 def w11(spark, sf):
-    o = T(spark, sf, "orders")
-    w = Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
-    return o.select("o_orderkey",
-                    S.round_half_up(F.sum("o_totalprice").over(w.rowsBetween(Window.unboundedPreceding, 0)), 2)
-                    .alias("running_spent"),
-                    F.max("o_totalprice").over(w.rowsBetween(Window.unboundedPreceding, -1)).alias("max_before"),
-                    F.min("o_totalprice").over(w).alias("running_min"))
+    o = T(spark, sf, "orders").select("o_custkey", "o_orderdate", "o_orderkey", "o_totalprice")
+    key = (["o_custkey"], "o_orderdate", "o_orderkey", "o_totalprice")
+    o = bucketed_running_sum(o, *key, "running")
+    o = bucketed_running_extreme(o, *key, "max_before", True, exclusive=True)
+    o = bucketed_running_extreme(o, *key, "running_min", False)
+    return o.select("o_orderkey", S.round_half_up("running", 2).alias("running_spent"), "max_before", "running_min")
 
 
 @paired("w14_count_distinct_over", """
@@ -665,7 +654,6 @@ SELECT event_id, user_id,
 FROM events e
 """, covers=("W14",))
 def w14(spark, sf):
-    from growthframe.operators.common import with_group_agg
     e = T(spark, sf, "events").select("event_id", "user_id", "event_type")
     # COUNT(DISTINCT) OVER is not supported by Spark: pre-aggregate the distinct count and join back
     return with_group_agg(e, ["user_id"], F.countDistinct("event_type").alias("user_types")).select(
@@ -677,7 +665,6 @@ SELECT p_partkey, p_type, CAST(ROUND(CAST(quantile_cont(p_retailprice, 0.5) OVER
 FROM part
 """, covers=("W16",))
 def w16(spark, sf):
-    from growthframe.operators.common import with_group_agg
     p = T(spark, sf, "part").select("p_partkey", "p_type", "p_retailprice")
     from growthframe.operators.ranking import exact_percentile
     med = exact_percentile(p, "p_retailprice", [0.5], ["p_type"]).select("p_type", S.round_half_up("p50", 4).alias("type_median"))

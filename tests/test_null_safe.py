@@ -80,3 +80,11 @@ def test_caps_floors_and_cases(spark):
     plans = spark.sql("SELECT CAST(NULL AS double) AS m, CAST(NULL AS double) AS p, 5.0D AS a UNION ALL SELECT 3.0D, NULL, 5.0D UNION ALL SELECT 10.0D, 150.0D, NULL")
     got = [r["mrr_discounted"] for r in SU.apply_discount(plans, "m", "p", "a", "p", "a").orderBy("m").collect()]
     assert got == [None, 0.0, -5.0]
+
+
+def test_running_extremes(holes):
+    w = Window.partitionBy("user_id").orderBy(*ORDER)
+    k = (["user_id"], *ORDER, "value")
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    same(C.bucketed_running_extreme(holes, *k, "x", True, exclusive=True), holes.withColumn("x", F.max("value").over(before)), "event_id", "x")
+    same(C.bucketed_running_extreme(holes, *k, "x", False), holes.withColumn("x", F.min("value").over(w.rowsBetween(Window.unboundedPreceding, 0))), "event_id", "x")
