@@ -40,19 +40,14 @@ def zero_event_alerts(daily: DataFrame, history: DataFrame, holidays: DataFrame,
     last = history.filter(F.col("alert_type") == "zero_event").groupBy(*PAIR).agg(
         F.max("alert_date").alias("last_alert_date"), F.min("alert_date").alias("first_alert_date"))
     x = x.join(last, PAIR, "left")
-    # the monitored day is one date for the whole run: whether it is a holiday is a scalar
-    # subquery over the holiday table, not a join
-    is_holiday = holidays.agg(F.count_if(F.col("holiday_date") == mon)).scalar() > 0
     x = x.withColumn("monitored_date", mon)
-    b2b_ok = (~F.col("website").like(b2b_pattern)) | (
-        ~F.dayofweek("monitored_date").isin(1, 7) & ~is_holiday)
     since = F.datediff(a, F.col("last_alert_date"))
     new = (F.col("minus_1") == 0) & (F.col("minus_2") > 0) & (F.col("last_alert_date").isNull() | (since >= 1))
     all_empty = F.lit(True)
     for k in range(1, 9):
         all_empty = all_empty & (F.col(f"minus_{k}") == 0)
     repeated = F.coalesce(all_empty & (since >= 7), F.lit(False))  # only what was alerted before repeats
-    out = x.filter(b2b_ok & (new | repeated))
+    out = x.filter(_alerting_day(mon, holidays, b2b_pattern) & (new | repeated))
     return out.select(F.lit("zero_event").alias("alert_type"), *PAIR, "monitored_date",
                       new.alias("is_new_alert"), F.col("last_alert_date").alias("previous_alert_date"),
                       F.coalesce("first_alert_date", "monitored_date").alias("first_alert_date"),
@@ -61,13 +56,45 @@ def zero_event_alerts(daily: DataFrame, history: DataFrame, holidays: DataFrame,
                                F.col("monitored_date").cast("string")).alias("rationale"))
 
 
+def _alerting_day(monitored: Column, holidays: DataFrame, b2b_pattern: str) -> Column:
+    """B2B sites are not alerted on weekends and public holidays; the monitored day is one date for
+    the whole run, so whether it is a holiday is a scalar subquery over the holiday table."""
+    is_holiday = holidays.agg(F.count_if(F.col("holiday_date") == monitored)).scalar() > 0
+    return ~F.col("website").like(b2b_pattern) | (~F.dayofweek(monitored).isin(1, 7) & ~is_holiday)
+
+
+def variation_alerts(flags: DataFrame, history: DataFrame, holidays: DataFrame, as_of, persistence: int = 7,
+                     b2b_pattern: str = "%B2B%") -> DataFrame:
+    """K110 / K111: the relative-variation alerts of the monitored day (``as_of`` - 1), from
+    :func:`relative_variation`.
+
+    'new': alerting, not alerting the day before, and no alert of this kind in the last day. 'repeated':
+    alerting through all ``persistence`` days before as well, and the last alert at least 7 days ago. A pair
+    that was never alerted can't repeat."""
+    a = F.lit(as_of).cast("date")
+    mon = F.date_sub(a, 1)
+    last = history.filter(F.col("alert_type") == "relative_variation").groupBy(*PAIR).agg(
+        F.max("alert_date").alias("previous_alert_date"), F.min("alert_date").alias("_first"))
+    x = flags.filter((F.col("date") == mon) & F.col("is_alert")).join(last, PAIR, "left")
+    since = F.datediff(a, F.col("previous_alert_date"))
+    new = (F.col("minus_1_alert") == F.lit(False)) & (since.isNull() | (since >= 1))
+    lasting = since >= 7
+    for k in range(1, persistence + 1):
+        lasting = lasting & F.col(f"minus_{k}_alert")
+    x = x.withColumn("is_new_alert", F.coalesce(new, F.lit(False)))
+    x = x.filter((F.col("is_new_alert") | F.coalesce(lasting, F.lit(False))) & _alerting_day(mon, holidays, b2b_pattern))
+    return x.select(F.lit("relative_variation").alias("alert_type"), *PAIR, F.col("date").alias("monitored_date"), "variation",
+                    "is_new_alert", "previous_alert_date", F.coalesce("_first", "date").alias("first_alert_date"))
+
+
 def relative_variation(daily: DataFrame, threshold: float = 0.65, floor: float = 3000, weeks: int = 4,
-                       persistence: int = 7) -> DataFrame:
+                       persistence: int = 7, exempt: str | None = None) -> DataFrame:
     """K110: each (pair, day) against the mean of the same weekday over the previous
     ``weeks`` weeks. The weekly self-shift is ONE explode of offsets (0, 7, 14, ...) and one
     aggregate, not ``weeks`` self-joins. The mean is NULL unless all weeks are present (M19).
-    An alert needs count < threshold x mean and mean >= floor; ``lag`` 1..persistence gives
-    how many of the previous days were also alerting."""
+    An alert needs count < threshold x mean and mean >= floor (events whose name matches the regular
+    expression ``exempt`` need no floor); ``lag`` 1..persistence tells for each of the previous days whether it
+    was alerting."""
     offs = F.explode(F.array(*[F.lit(7 * w) for w in range(weeks + 1)]))
     x = daily.select(*PAIR, "date", "m_events", offs.alias("_off"))
     x = x.withColumn("target_date", F.date_add("date", F.col("_off")))
@@ -79,8 +106,11 @@ def relative_variation(daily: DataFrame, threshold: float = 0.65, floor: float =
     mean = F.when(F.col("_weeks") == weeks, F.col("_sum") / weeks)
     g = g.select(*PAIR, F.col("target_date").alias("date"), "event_count", mean.alias("l4w_mean"))
     g = g.withColumn("variation", F.try_divide(F.col("event_count"), F.col("l4w_mean")) - 1)
+    enough = F.col("l4w_mean") >= floor
+    if exempt:
+        enough = enough | F.col("event_name").rlike(exempt)
     g = g.withColumn("is_alert", F.coalesce((F.col("event_count") < threshold * F.col("l4w_mean"))
-                                            & (F.col("l4w_mean") >= floor), F.lit(False)))
+                                            & enough, F.lit(False)))
     w = Window.partitionBy(*PAIR).orderBy("date")
     for k in range(1, persistence + 1):
         g = g.withColumn(f"minus_{k}_alert", F.lag("is_alert", k).over(w))

@@ -104,6 +104,49 @@ def k110(spark, sf):
         round_half_up("variation", 4).alias("variation"), "is_alert", *[f"minus_{k}_alert" for k in range(1, 8)])
 
 
+# Two settings over the stand-in's volumes: four weeks with a floor, from which clicks are exempt; and a
+# threshold that every day falls under, so that alerts last and repeat after the first run's alerts.
+_SETTINGS = {"strict": (0.65, 2, 4), "lasting": (50.0, 0, 1)}
+
+
+def _variation_sql(label: str, threshold: float, floor: int, weeks: int, as_of: str, history: str) -> str:
+    # each day beside the same weekday of the weeks before; a day without volume has no row of its own
+    return f""",
+{label}_v AS (SELECT t.website, t.event_name, t.date, t.m_events / (SUM(p.m_events) / {weeks}.0) - 1 AS variation,
+    COUNT(p.date) = {weeks} AND t.m_events < {threshold} * SUM(p.m_events) / {weeks}.0
+      AND (SUM(p.m_events) / {weeks}.0 >= {floor} OR t.event_name = 'click') AS bad
+  FROM daily t LEFT JOIN daily p ON p.website = t.website AND p.event_name = t.event_name
+    AND date_diff('day', p.date, t.date) IN ({", ".join(str(7 * w) for w in range(1, weeks + 1))})
+  GROUP BY t.website, t.event_name, t.date, t.m_events),
+{label}_l AS (SELECT *, {", ".join(f"LAG(bad, {k}) OVER (PARTITION BY website, event_name ORDER BY date) AS b{k}" for k in range(1, 8))} FROM {label}_v),
+{label} AS (SELECT l.*, h.last_date, h.first_date, COALESCE(NOT l.b1 AND (h.last_date IS NULL OR date_diff('day', h.last_date, DATE '{as_of}') >= 1), false) AS fresh,
+    COALESCE(b1 AND b2 AND b3 AND b4 AND b5 AND b6 AND b7 AND date_diff('day', h.last_date, DATE '{as_of}') >= 7, false) AS again
+  FROM {label}_l l LEFT JOIN (SELECT website, event_name, MAX(d) AS last_date, MIN(d) AS first_date FROM {history} GROUP BY ALL) h USING (website, event_name)
+  WHERE l.date = DATE '{as_of}' - 1 AND l.bad AND (l.website NOT LIKE '%B2B%'
+    OR (dayofweek(l.date) BETWEEN 1 AND 5 AND l.date NOT IN (SELECT holiday_date FROM hol))))"""
+
+
+@paired("k110_variation_alerts", DAILY_SQL + """,
+none AS (SELECT website, event_name, date AS d FROM daily WHERE false)""" + _variation_sql("strict", *_SETTINGS["strict"], "2024-01-30", "none") + """,
+hist AS (SELECT website, event_name, MIN(date) + 13 AS d FROM daily GROUP BY ALL HAVING COUNT(*) % 2 = 0)""" + _variation_sql("lasting", *_SETTINGS["lasting"], "2024-01-30", "hist") + """
+SELECT label, website, event_name, date AS monitored_date, CAST(ROUND(CAST(variation AS DECIMAL(38,6)), 4) AS DOUBLE) AS variation,
+       fresh AS is_new_alert, last_date AS previous_alert_date, COALESCE(first_date, date) AS first_alert_date
+FROM (SELECT 'strict' AS label, * FROM strict UNION ALL SELECT 'lasting', * FROM lasting) WHERE fresh OR again
+""", covers=("K110", "K111", "T5", "M19"))
+def k110_alerts(spark, sf):
+    d = daily(spark, sf)
+    hol = public_holidays(load(spark, sf, "events").select(F.year("ts").alias("year")).distinct())
+    kind = F.lit("relative_variation").alias("alert_type")
+    old = d.groupBy(*AL.PAIR).agg(F.date_add(F.min("date"), 13).alias("alert_date"), F.count("*").alias("n")).filter("n % 2 = 0").select(*AL.PAIR, kind, "alert_date")
+    out = None
+    for label, (threshold, floor, weeks) in _SETTINGS.items():
+        flags = AL.relative_variation(d, threshold, floor, weeks, exempt="^click$")
+        one = AL.variation_alerts(flags, old if label == "lasting" else old.limit(0), hol, "2024-01-30").withColumn("label", F.lit(label))
+        out = one if out is None else out.union(one)
+    return out.select("label", "website", "event_name", "monitored_date", round_half_up("variation", 4).alias("variation"),
+                      "is_new_alert", "previous_alert_date", "first_alert_date")
+
+
 @paired("k111_alert_record", _REL_SQL + """
 , a AS (SELECT * FROM r2 WHERE is_alert)
 SELECT 'relative_variation' AS alert_type, website, event_name, date, CAST(0.35 AS DOUBLE) AS threshold_decrease,
