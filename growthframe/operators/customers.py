@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from growthframe.functions.semantics import months_diff, ratio_capped, round_half_up, safe_divide
-from growthframe.operators.common import bucketed_lag, bucketed_running_sum
+from growthframe.operators.common import bucketed_lag, bucketed_running_sum, with_group_agg
 from growthframe.operators.ranking import exact_ntile
 
 
@@ -23,12 +23,42 @@ def monthly_cohort_orders(orders: DataFrame, customer: str, date: str, order_id:
                     (F.col(order_id) == F.col("_f.o")).alias("is_first_order")).drop("_f")
 
 
+def periods_between(start: Column, end: Column, grain: str) -> Column:
+    """Whole calendar periods (days, Monday weeks, months) from one date to another."""
+    if grain == "month":
+        return months_diff(end, start)
+    trunc = (lambda x: F.to_date(F.date_trunc("week", x))) if grain == "week" else F.to_date
+    days = F.datediff(trunc(end), trunc(start))
+    return F.floor(days / 7) if grain == "week" else days
+
+
+def cohort_orders(orders: DataFrame, customer: str, date: str, grain: str) -> DataFrame:
+    """Every order with its customer's cohort (period of the first order) and the rank of its own
+    period in the cohort's life (1 = the first one), by day, week or month."""
+    x = with_group_agg(orders, [customer], F.min(date).alias("_first"))
+    first = F.to_date(F.date_trunc(grain, F.col("_first")))
+    return x.withColumn("cohort", first).withColumn("period_rank", (periods_between(F.col("_first"), F.col(date), grain) + 1).cast("int")).drop("_first")
+
+
+def cohort_retention(cohorted: DataFrame, cohort: str, rank: str, customer: str, measure: str, t: int, as_of, grain: str = "month") -> DataFrame:
+    """Per cohort the share of its customers without an order in period ``t`` (churn) and the revenue
+    of that period against the first one (NRR), where the cohort is ``t`` periods old at ``as_of``."""
+    at = F.col(rank) == t + 1
+    g = cohorted.groupBy(cohort).agg(
+        F.countDistinct(customer).alias("cohort_size"), F.countDistinct(F.when(at, F.col(customer))).alias("active"),
+        F.sum(F.when(at, F.col(measure)).otherwise(0.0)).alias("_t"), F.sum(F.when(F.col(rank) == 1, F.col(measure)).otherwise(0.0)).alias("_0"))
+    old = periods_between(F.col(cohort), F.lit(as_of).cast("date"), grain) >= t
+    return g.select(cohort, "cohort_size", F.when(old, F.col("active")).alias("active"),
+                    F.when(old, round_half_up(1 - safe_divide("active", "cohort_size"), 4)).alias("churn_rate"),
+                    F.when(old, round_half_up(safe_divide("_t", "_0"), 4)).alias("nrr"))
+
+
 def cohort_at(cohorted: DataFrame, cohort: str, rank: str, measure: str, t: int, as_of, cohort_size: str,
-              cumulative: bool = True) -> DataFrame:
+              cumulative: bool = True, grain: str = "month") -> DataFrame:
     """Per cohort, the measure at period ``t`` (rank t+1) or up to it (cumulative),
-    counted only when the cohort is at least ``t`` full periods old at ``as_of``; and the
+    counted only when the cohort is at least ``t`` periods (``grain``) old at ``as_of``; and the
     ratio to the cohort size (CVR, LTV, ARPP, ROAS-style fields)."""
-    old_enough = months_diff(F.lit(as_of).cast("date"), F.col(cohort)) >= t
+    old_enough = periods_between(F.col(cohort), F.lit(as_of).cast("date"), grain) >= t
     inside = (F.col(rank) <= t + 1) if cumulative else (F.col(rank) == t + 1)
     g = cohorted.groupBy(cohort).agg(F.sum(F.when(inside, F.col(measure)).otherwise(0.0)).alias("_v"),
                                      F.max(cohort_size).alias("cohort_size"))

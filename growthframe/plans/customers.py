@@ -60,6 +60,37 @@ def k45(spark, sf):
     return CU.cohort_at(c, "cohort_month", "month_rank", "amount", 3, "2001-08-01", "cohort_size")
 
 
+def _grain_sql(grain: str) -> str:
+    between = {"day": "date_diff('day', {0}, {1})", "week": "(CAST(date_trunc('week', {1}) AS DATE) - CAST(date_trunc('week', {0}) AS DATE)) // 7", "month": "date_diff('month', {0}, {1})"}[grain]
+    return O_SQL + f"""
+, f AS (SELECT customer_id, MIN(created_at) AS first_at FROM o GROUP BY 1),
+c AS (SELECT o.*, CAST(date_trunc('{grain}', first_at) AS DATE) AS cohort, {between.format("first_at", "created_at")} AS t FROM o JOIN f USING (customer_id)),
+age AS (SELECT cohort, COUNT(DISTINCT customer_id) AS cohort_size, {between.format("cohort", "DATE '2001-08-01'")} AS age FROM c GROUP BY 1)"""
+
+
+def _by_grain(grain: str, t: int):
+    """Cohort value up to period ``t``, per customer, churn and NRR at ``t``, by day, week or month."""
+    sql = _grain_sql(grain) + f"""
+SELECT age.cohort, age.cohort_size, {R2.format(x=f"CASE WHEN age >= {t} THEN SUM(CASE WHEN t <= {t} THEN amount ELSE 0 END) END")} AS value_t{t},
+  {R4.format(x=f"CASE WHEN age >= {t} THEN SUM(CASE WHEN t <= {t} THEN amount ELSE 0 END) / age.cohort_size END")} AS per_customer_t{t},
+  CASE WHEN age >= {t} THEN COUNT(DISTINCT CASE WHEN t = {t} THEN customer_id END) END AS active,
+  {R4.format(x=f"CASE WHEN age >= {t} THEN 1 - COUNT(DISTINCT CASE WHEN t = {t} THEN customer_id END) / age.cohort_size END")} AS churn_rate,
+  {R4.format(x=f"CASE WHEN age >= {t} THEN SUM(CASE WHEN t = {t} THEN amount ELSE 0 END) / NULLIF(SUM(CASE WHEN t = 0 THEN amount ELSE 0 END), 0) END")} AS nrr
+FROM c JOIN age USING (cohort) GROUP BY age.cohort, age.cohort_size, age.age
+"""
+
+    @paired(f"k45_cohort_{grain}", sql, covers=("K45", "A6"))
+    def query(spark, sf):
+        c = CU.cohort_orders(orders(spark, sf), "customer_id", "created_at", grain)
+        kept = CU.cohort_retention(c, "cohort", "period_rank", "customer_id", "amount", t, "2001-08-01", grain)
+        c = with_group_agg(c, ["cohort"], F.countDistinct("customer_id").alias("cohort_size"))
+        return CU.cohort_at(c, "cohort", "period_rank", "amount", t, "2001-08-01", "cohort_size", grain=grain).join(kept.drop("cohort_size"), "cohort")
+
+
+for _grain, _t in (("day", 30), ("week", 8), ("month", 3)):
+    _by_grain(_grain, _t)
+
+
 @paired("k46_metric_layer", K44_CTE + f"""
 , m AS (SELECT CAST(date_trunc('month', d) AS DATE) AS month, SUM(amount) AS revenue, COUNT(*) AS n_orders,
                CAST(count_if(is_first_order) AS BIGINT) AS new_customers, COUNT(DISTINCT customer_id) AS customers FROM c GROUP BY 1),
