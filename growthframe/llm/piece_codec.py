@@ -25,7 +25,11 @@ class Codec:
         self._codes = np.zeros(0x110000, np.uint16)  # the line end, which is in no piece, separates segments: 0
         self._codes[[*map(ord, chars)]] = np.arange(1, len(chars) + 1)
         self._width = 2 * v.longest
-        low = sorted((self._spelled(p).tobytes(), i) for p, i in v.ids.items())
+        joined, at, low = self._spelled("\n".join(v.ids)).tobytes(), 0, []
+        for p, i in v.ids.items():
+            low.append((joined[at:at + 2 * len(p)], i))
+            at += 2 * len(p) + 2
+        low.sort()
         self._low = np.array([x for x, _ in low], f"S{self._width}")
         self._high = np.array([x.ljust(self._width, b"\xff") for x, _ in low], f"S{self._width}")
         self._piece = np.array([i for _, i in low], np.int64)
@@ -78,7 +82,7 @@ class Codec:
         begins, start, end, piece = self._edges(segments)
         lengths = np.diff(begins) - 1
         depth = end - begins[np.searchsorted(begins, start, "right") - 1]
-        by_place = np.lexsort((end, depth))
+        by_place = np.argsort(depth.astype(np.uint16) if lengths.max() < 1 << 16 else depth, kind="stable")
         start, end, piece, depth = start[by_place], end[by_place], piece[by_place], depth[by_place]
         last, before = np.full(begins[-1] + 1, -1, np.int64), np.full(begins[-1] + 1, -1, np.int64)
         edge = np.searchsorted(depth, np.arange(1, lengths.max() + 2))
