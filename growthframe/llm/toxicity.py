@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -19,7 +20,7 @@ GRAMS, WORD_SIZE, GRAM_SIZE, STATE = 1 << 13, 8, 12, 8
 #: A word has a vector of its own if so many documents of the sample hold it.
 COMMON = 4
 #: Windows of a document that take part in a training step, drawn anew each time.
-MOST = 16
+MOST = 12
 SIZE = WORD_SIZE + GRAM_SIZE
 #: Bounds of the training sample: labelled documents of each class, and bytes of one of them (longer ones are not drawn).
 PER_CLASS, LONGEST = 1500, 1 << 16
@@ -116,7 +117,7 @@ def new_model(known: np.ndarray, seed: int = 7) -> dict:
     return p | {"wa": draw(2 * STATE, STATE), "va": draw(STATE), "wo": draw(2 * STATE), "bo": np.float32(-3)}
 
 
-def train(texts: list[bytes], labels: list[int], rounds: int = 8, rate: float = 0.01, decay: float = 0.02, seed: int = 7) -> dict:
+def train(texts: list[bytes], labels: list[int], rounds: int = 6, rate: float = 0.02, decay: float = 0.02, seed: int = 7) -> dict:
     """Fit the network to documents of which some window is toxic or none is (Adam)."""
     rng = np.random.default_rng(seed)
     words: dict[bytes, int] = {}
@@ -181,10 +182,11 @@ def train(texts: list[bytes], labels: list[int], rounds: int = 8, rate: float =
             grad["words"][0] = 0
             np.add.at(grad["grams"], member, (dx[:, WORD_SIZE:] / sizes[need][:, None])[rows])
             step += 1
+            pace = rate * max(0.05, 1 - step / (rounds * math.ceil(len(order) / 96)))
             for k, g in grad.items():
                 moment[k] = 0.9 * moment[k] + 0.1 * g
                 speed[k] = 0.999 * speed[k] + 0.001 * g * g
-                p[k] = (p[k] * (1 - rate * decay) - rate * (moment[k] / (1 - 0.9 ** step)) / (np.sqrt(speed[k] / (1 - 0.999 ** step)) + 1e-8)).astype(np.float32)
+                p[k] = (p[k] * (1 - pace * decay) - pace * (moment[k] / (1 - 0.9 ** step)) / (np.sqrt(speed[k] / (1 - 0.999 ** step)) + 1e-8)).astype(np.float32)
     return p | {"known": known}
 
 
