@@ -17,7 +17,7 @@ from growthframe.llm.word_stream import chunks, words_of
 BITS, RANK = 10, 128
 TERMS = 1 << BITS
 #: Words of the passages that the decomposition is fitted to; words of a block, by which search windows move on.
-PASSAGE, BLOCK = 48, 8
+PASSAGE, BLOCK = 96, 8
 #: Benchmark items that are searched for at a time.
 ITEMS = 20_000
 
@@ -99,14 +99,16 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / (np.linalg.norm(x, axis=1, keepdims=True) + 1e-12)
 
 
-def lcs(marks: dict[int, int], size: int, other: list[int]) -> int:
-    """Length of the longest common subsequence of an item (bit masks of its words' places) and other words, 64 and more at a time."""
+def lcs(marks: dict[int, int], size: int, other: list[int], least: int = 0) -> int:
+    """Length of the longest common subsequence of an item (bit masks of its words' places) and other words, 64 and
+    more at a time; 0 if too few words are shared for it to reach ``least``."""
+    shared = [marks[w] for w in other if w in marks]
+    if len(shared) < least:
+        return 0
     row = full = (1 << size) - 1
-    for w in other:
-        m = marks.get(w)
-        if m is not None:
-            hit = row & m
-            row = ((row + hit) | (row - hit)) & full
+    for m in shared:
+        hit = row & m
+        row = ((row + hit) | (row - hit)) & full
     return size - row.bit_count()
 
 
@@ -114,7 +116,7 @@ class Items:
     """A block of benchmark items: latent vectors by window size, and what the alignment needs."""
 
     def __init__(self, space: np.ndarray, rows: list[tuple], share: float, answer_share: float):
-        self.space, self.by_window = space, {}
+        self.space, self.by_window = np.concatenate([space, np.zeros((1, RANK), np.float32)]), {}  # the last term is none
         groups: dict[int, list] = {}
         for item, text in rows:
             h, _ = words_of([(text or "").encode()])
@@ -133,29 +135,58 @@ class Items:
 
     def search(self, h: np.ndarray, text: np.ndarray, least: float) -> Iterator[tuple[int, object, float, int, int]]:
         """(text, item, cosine, common words, item's words) of every item found, over all windows of the texts."""
+        if not self.by_window:
+            return
         place = _places(text)
-        begin = np.flatnonzero(place % BLOCK == 0)
-        whose = text[begin]
-        sums = np.zeros((len(begin) + 1, RANK))
-        np.cumsum(np.add.reduceat(self.space[_terms(h)], begin, axis=0, dtype=np.float32), axis=0, out=sums[1:], dtype=np.float64)
-        past = np.searchsorted(whose, whose, "right")  # block after the last one of the text
-        edge = np.append(begin, len(h))
-        first_word = begin - place[begin]
+        docs, first = np.unique(text, return_index=True)
+        words = np.diff(np.append(first, len(text)))
+        blocks = -(-words // BLOCK)
+        # a text's blocks in a row, then as many empty ones as the widest window has: no window reaches the next text
+        gap = max(self.by_window) // BLOCK
+        begin = np.cumsum(blocks + gap) - blocks - gap
+        whose = np.repeat(np.arange(len(docs)), words)
+        terms = np.full((int(begin[-1] + blocks[-1]) + gap, BLOCK), TERMS)
+        terms[begin[whose] + place // BLOCK, place % BLOCK] = _terms(h)
+        sums = self.space[terms[:, 0]]
+        for k in range(1, BLOCK):
+            sums += self.space[terms[:, k]]
+        owner = np.repeat(np.arange(len(docs)), blocks)
+        inside = np.arange(len(owner)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
         for window, (vectors, items) in self.by_window.items():
-            end = np.minimum(np.arange(len(begin)) + window // BLOCK, past)
-            at = np.flatnonzero((end - np.arange(len(begin)) == window // BLOCK) | (place[begin] == 0))
-            cosine = _unit(sums[end[at]] - sums[at]).astype(np.float32) @ vectors.T
+            m = window // BLOCK
+            starts = (inside <= blocks[owner] - m) | (inside == 0)
+            doc, at = owner[starts], inside[starts]
+            z = _moving_sum(sums, m)[begin[doc] + at]
+            cosine = z @ vectors.T
+            cosine /= np.sqrt(np.einsum("ij,ij->i", z, z))[:, None] + 1e-12
             done = set()
-            for i, j in zip(*np.nonzero(cosine >= least)):
-                doc, (item, marks, n, need, answer, size, enough) = int(whose[at[i]]), items[j]
-                if (doc, j) in done:
+            for i, j in zip(*(x.tolist() for x in np.nonzero(cosine >= least))):
+                d = int(doc[i])
+                if (d, j) in done:
                     continue
-                low, high = max(begin[at[i]] - BLOCK, first_word[at[i]]), min(edge[end[at[i]]] + BLOCK, edge[past[at[i]]])
-                words = h[low:high].tolist()
-                common = lcs(marks, n, words)
-                if common >= need and lcs(answer, size, words) >= enough:
-                    done.add((doc, j))
-                    yield doc, item, float(cosine[i, j]), common, n
+                item, marks, n, need, answer, size, enough = items[j]
+                low = max(0, (at[i] - 1) * BLOCK)
+                near = h[first[d] + low:first[d] + min(words[d], (at[i] + m + 1) * BLOCK)].tolist()
+                common = lcs(marks, n, near, need)
+                if common >= need and lcs(answer, size, near, enough) >= enough:
+                    done.add((d, j))
+                    yield int(docs[d]), item, float(cosine[i, j]), common, n
+
+
+def _moving_sum(rows: np.ndarray, m: int) -> np.ndarray:
+    """Sum of ``m`` rows from each row on (fewer at the end), by doubling."""
+    out, done, power, size = None, 0, rows, 1
+    while True:
+        if m & size:
+            if out is None:
+                out = power.copy()
+            else:
+                out[:len(rows) - done] += power[done:]
+            done += size
+        if done == m:
+            return out
+        power = np.concatenate([power[:len(rows) - size] + power[size:], power[len(rows) - size:]])
+        size *= 2
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",

@@ -9,7 +9,7 @@ import numpy as np
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 #: Bytes of joined texts that are taken at a time.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 
 
 def _tables() -> tuple[np.ndarray, np.ndarray]:
