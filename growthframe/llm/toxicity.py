@@ -151,10 +151,11 @@ def train(texts: list[bytes], labels: list[int], rounds: int = 6, rate: float =
         x = np.concatenate([p["words"][own[need]], mean / sizes[need][:, None]], 1)
         return x, live, [need, at.reshape(part.shape), rows, member]
 
+    batch = min(96, max(16, len(usable) // 20))
     for _ in range(rounds):
         order = rng.permutation(usable)
-        for first in range(0, len(order), 96):
-            picked = order[first:first + 96]
+        for first in range(0, len(order), batch):
+            picked = order[first:first + batch]
             columns = np.concatenate([g if len(g) <= MOST else np.sort(rng.choice(g, MOST, replace=False)) for g in (groups[k] for k in picked)])
             x, live, (need, at, rows, member) = inputs(columns)
             gates = [(x @ p["w" + s] + p["c" + s])[at] for s in "fb"]
@@ -182,7 +183,7 @@ def train(texts: list[bytes], labels: list[int], rounds: int = 6, rate: float =
             grad["words"][0] = 0
             np.add.at(grad["grams"], member, (dx[:, WORD_SIZE:] / sizes[need][:, None])[rows])
             step += 1
-            pace = rate * max(0.05, 1 - step / (rounds * math.ceil(len(order) / 96)))
+            pace = rate * max(0.05, 1 - step / (rounds * math.ceil(len(order) / batch)))
             for k, g in grad.items():
                 moment[k] = 0.9 * moment[k] + 0.1 * g
                 speed[k] = 0.999 * speed[k] + 0.001 * g * g
