@@ -14,7 +14,7 @@ from growthframe.llm.common import arrow_map, saved
 from growthframe.llm.suffixes import Q, buckets, joined_bytes, refine, samples
 
 #: Bytes of text that are sorted into buckets at a time; a longer text is taken in overlapping parts.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 #: Starts that are judged together in the last refinement: what they add on a side fits in a long.
 STEP = 8
 _MIX = np.uint64(0x9E3779B97F4A7C15)
