@@ -158,7 +158,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     slim = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(text_col, F.lit(""))).alias("key"), F.col(text_col).cast("binary").alias("text"))
     found = arrow_map(slim.select("key", "text"), _suffix_rows(length), "gram long, whole long, key long, place long")
     shared = found.groupBy("gram").agg(F.min("whole").alias("one"), F.max("whole").alias("two"), F.count("*").alias("n")).where("n > 1")
-    inside = saved(found.join(shared.select("gram", (F.col("one") != F.col("two")).alias("mixed")), "gram"), "suffixes")
+    # written first: a join of two plain shuffles can be split where a gram holds a large share of the rows
+    shared = saved(shared.select("gram", (F.col("one") != F.col("two")).alias("mixed")), "grams")
+    inside = saved(found.join(shared, "gram"), "suffixes")
 
     mixed = inside.where("mixed")
     wholes = saved(mixed.groupBy("gram", "whole").agg(F.count("*").alias("n"), F.min(F.struct("key", "place")).alias("at")), "contexts")
@@ -176,12 +178,13 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     same = [f"min({c}) = max({c})" for c in ("left", "right")]
     full = f"min(high) = {STEP - 1} AND max(low) = 0"
     groups = blocks.groupBy("core").agg(F.count("*").alias("n"), F.expr(" AND ".join([*same, full])).alias("equal")).where("n > 1")
-    known = blocks.join(groups.select("core", "equal"), "core")
+    known = blocks.join(saved(groups.select("core", "equal"), "cores"), "core")
     settled = known.where("equal AND NOT many").select("key", (F.col("at") - (STEP - 1)).alias("first"), (F.col("at") + length).alias("past"))
     # the string that starts d bytes further back has d more bytes on the left and d fewer on the right
     single = known.where("NOT equal").select("core", "left", "right", "key", "at", "many", F.explode(F.sequence(F.col("low").cast("int"), F.col("high").cast("int"))).alias("d"))
     single = single.selectExpr("core", "d", "left & (shiftleft(1L, 8 * d) - 1) AS l", "shiftright(right, 8 * d) AS r", "key", "at", "many")
     again = single.groupBy("core", "d", "l", "r").agg(F.count("*").alias("n")).where("n > 1").select("core", "d", "l", "r")
+    again = saved(again, "strings")
     ends = single.where("NOT many").join(again, ["core", "d", "l", "r"]).selectExpr("key", "at - d AS first", f"at - d + {length} AS past")
 
     spans = spans.union(settled).union(ends).distinct()
