@@ -1,4 +1,4 @@
-"""Benchmark decontamination: latent semantic search for benchmark items, then word alignment and an answer check."""
+"""Benchmark decontamination: shared word runs and latent semantic search for benchmark items, then word alignment and an answer check."""
 
 from __future__ import annotations
 
@@ -20,6 +20,9 @@ TERMS = 1 << BITS
 PASSAGE, BLOCK = 96, 8
 #: Benchmark items that are searched for at a time.
 ITEMS = 20_000
+#: Successive words that make a candidate by themselves (all of an item of fewer words), and what their hashes are built with.
+RUN = 3
+_STEP = np.uint64(0xD6E8FEB86659FD93)
 
 
 def _terms(hashes: np.ndarray) -> np.ndarray:
@@ -32,6 +35,16 @@ def _places(text: np.ndarray) -> np.ndarray:
     return np.arange(len(text)) - np.maximum.accumulate(np.where(new, np.arange(len(text)), 0))
 
 
+def _runs(h: np.ndarray, size: int) -> np.ndarray:
+    """Hash of the ``size`` words from each word on, across the ends of texts; those of fewer words are left out."""
+    n = max(0, len(h) - size + 1)
+    out = np.zeros(n, np.uint64)
+    for k in range(size):
+        out = out * _STEP + h[k:n + k]
+    out ^= out >> np.uint64(32)
+    return out * _STEP
+
+
 def _words(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, int, np.ndarray, np.ndarray]]:
     for batch in batches:
         for first, texts in chunks([t or b"" for t in batch.column(column).to_pylist()]):
@@ -113,11 +126,12 @@ def lcs(marks: dict[int, int], size: int, other: list[int], least: int = 0) -> i
 
 
 class Items:
-    """A block of benchmark items: latent vectors by window size, and what the alignment needs."""
+    """A block of benchmark items: latent vectors by window size, their word runs, and what the alignment needs."""
 
     def __init__(self, space: np.ndarray, rows: list[tuple], share: float, answer_share: float):
         self.space, self.by_window = np.concatenate([space, np.zeros((1, RANK), np.float32)]), {}  # the last term is none
         groups: dict[int, list] = {}
+        runs: dict[int, list] = {}
         for item, text in rows:
             h, _ = words_of([(text or "").encode()])
             n = len(h)
@@ -127,11 +141,32 @@ class Items:
                     window += max(BLOCK, int(window * 0.7) // BLOCK * BLOCK)
                 need = n if n < 8 else max(8, math.ceil(share * n))
                 last = h[n - math.ceil(n / 3):].tolist()  # the answer: the last third of the item's words
-                groups.setdefault(window, []).append((item, h, need, last, math.ceil(answer_share * len(last))))
+                found = groups.setdefault(window, [])
+                own = _runs(h, min(RUN, n))
+                runs.setdefault(min(RUN, n), []).append((own, np.full(len(own), window), np.full(len(own), len(found)), np.arange(len(own))))
+                found.append((item, h, need, last, math.ceil(answer_share * len(last))))
         masks = lambda words: {w: sum(1 << k for k, x in enumerate(words) if x == w) for w in set(words)}
         for window, found in groups.items():
             vectors = _unit(np.stack([space[_terms(h)].sum(0) for _, h, _, _, _ in found]))
             self.by_window[window] = vectors.astype(np.float32), [(i, masks(h.tolist()), len(h), need, masks(a), len(a), enough) for i, h, need, a, enough in found]
+        self.runs = {}  # by run length: which leading bits occur, sorted hashes, and window, item and place of each
+        for size, parts in runs.items():
+            own, *rest = map(np.concatenate, zip(*parts))
+            order, bits = np.argsort(own, kind="stable"), min(24, max(12, int(len(own)).bit_length() + 4))
+            met = np.zeros(1 << bits, bool)
+            met[own >> np.uint64(64 - bits)] = True
+            self.runs[size] = np.uint64(64 - bits), met, own[order], [x[order] for x in rest]
+
+    def candidates(self, h: np.ndarray, text: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+        """(word of ``h``, window, item's number, place in the item) of every run that a text and an item share."""
+        for size, (shift, met, own, rest) in self.runs.items():
+            run = _runs(h, size)
+            at = np.flatnonzero(met[run >> shift])
+            at = at[text[at] == text[at + size - 1]]
+            low, high = np.searchsorted(own, run[at], "left"), np.searchsorted(own, run[at], "right")
+            times = high - low
+            hit = np.repeat(low - np.cumsum(times) + times, times) + np.arange(times.sum())
+            yield np.repeat(at, times), *[x[hit] for x in rest]
 
     def search(self, h: np.ndarray, text: np.ndarray, least: float) -> Iterator[tuple[int, object, float, int, int]]:
         """(text, item, cosine, common words, item's words) of every item found, over all windows of the texts."""
@@ -152,6 +187,13 @@ class Items:
             sums += self.space[terms[:, k]]
         owner = np.repeat(np.arange(len(docs)), blocks)
         inside = np.arange(len(owner)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+        shared: dict[int, list] = {}
+        for word, window, j, offset in self.candidates(h, text):
+            # where the item would begin; candidates that begin in one block of a text are one
+            begins = place[word] - offset
+            key = np.unique(np.stack([window, whose[word], j, begins // BLOCK]), axis=1, return_index=True)[1]
+            for w, *rest in zip(*(x[key].tolist() for x in (window, whose[word], j, begins))):
+                shared.setdefault(w, []).append(rest)
         for window, (vectors, items) in self.by_window.items():
             m = window // BLOCK
             starts = (inside <= blocks[owner] - m) | (inside == 0)
@@ -160,17 +202,25 @@ class Items:
             cosine = z @ vectors.T
             cosine /= np.sqrt(np.einsum("ij,ij->i", z, z))[:, None] + 1e-12
             done = set()
+
+            def aligned(d: int, j: int, low: int, high: int) -> int:
+                """Words that the item and these of the text have in common, in order; 0 if too few, or too few of the answer."""
+                _, marks, n, need, answer, size, enough = items[j]
+                near = h[first[d] + max(0, low):first[d] + min(words[d], high)].tolist()
+                common = lcs(marks, n, near, need)
+                return common if common >= need and lcs(answer, size, near, enough) >= enough else 0
+
             for i, j in zip(*(x.tolist() for x in np.nonzero(cosine >= least))):
                 d = int(doc[i])
-                if (d, j) in done:
-                    continue
-                item, marks, n, need, answer, size, enough = items[j]
-                low = max(0, (at[i] - 1) * BLOCK)
-                near = h[first[d] + low:first[d] + min(words[d], (at[i] + m + 1) * BLOCK)].tolist()
-                common = lcs(marks, n, near, need)
-                if common >= need and lcs(answer, size, near, enough) >= enough:
+                if (d, j) not in done and (common := aligned(d, j, (at[i] - 1) * BLOCK, (at[i] + m + 1) * BLOCK)):
+                    done.add((d, j))
+                    yield int(docs[d]), items[j][0], float(cosine[i, j]), common, items[j][2]
+            for d, j, begins in shared.get(window, ()):
+                low = begins - (window - items[j][2]) // 2 - BLOCK  # as many words as a window of the other way, around the item
+                if (d, j) not in done and (common := aligned(d, j, low, low + window + 2 * BLOCK)):
                     done.add((d, j))
-                    yield int(docs[d]), item, float(cosine[i, j]), common, n
+                    near = cosine[np.searchsorted(doc, d):np.searchsorted(doc, d, "right"), j]
+                    yield int(docs[d]), items[j][0], float(near.max()), common, items[j][2]
 
 
 def _moving_sum(rows: np.ndarray, m: int) -> np.ndarray:
@@ -193,10 +243,13 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", te
                least: float = 0.45, share: float = 0.6, answer_share: float = 0.5) -> DataFrame:
     """``(id, key, item_id, cosine, n_common, n_item)``: items of ``benchmark`` that documents hold, also in other words.
 
-    Every item is a query against every window of every document. Windows whose latent vectors have a cosine
-    of ``least`` or more with the item's are aligned: the longest common subsequence must have ``share``
+    Every item is a query against every window of every document, in two ways: places that share ``RUN`` successive
+    words with the item (all of them, for an item of fewer) are candidates whatever their cosine, so no item that
+    stands there word for word is lost; so are windows whose latent vectors have a cosine of ``least`` or more
+    with the item's. Candidates are aligned: the longest common subsequence must have ``share``
     of the item's words (8 at least; all, for an item of fewer), and the item's last third, its answer,
-    ``answer_share`` of its words. Words are lower-cased runs of letters, digits and characters beyond ASCII.
+    ``answer_share`` of its words. ``cosine`` is that of the first window found, or the document's highest for
+    the item if only a shared run led to it. Words are lower-cased runs of letters, digits and characters beyond ASCII.
 
     Items are searched for in blocks of ``ITEMS``, so what is broadcast is bounded. NULL or empty
     texts and items match nothing; repeated rows give repeated results (``key`` is a hash of the text); an empty

@@ -55,6 +55,26 @@ def test_leaks_exact_and_reworded(spark, docs_of, odd):
     assert all(slow_lcs(words[i], texts[d]) >= 0.6 * len(words[i]) for d, i in got)  # nothing clean is found
 
 
+def test_verbatim_items_of_any_length_are_found_anywhere(spark, docs_of):
+    rng = random.Random(8)
+    hosts = [r["text"].split() for r in table(spark, SF_MID, "documents").orderBy("doc_id").collect() if len(r["text"].split()) > 150]
+    whole = [r["text"].split() for r in table(spark, SF_MID, "benchmark").orderBy("item_id").collect()]
+    items = [(k, " ".join(whole[k % len(whole)][2:][:n])) for k, n in enumerate((1, 2, 3, 5, 7, 60) * 20)]
+    rows = []
+    for k, text in items:
+        host = hosts[k % len(hosts)]
+        at = rng.randrange(len(host))
+        rows.append((k, " ".join(host[:at] + [text] + host[at:])))
+    found = {(r["id"], r["item_id"]) for r in find_leaks(docs_of(rows).select("doc_id", "text"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert [k for k, _ in items if (k, k) not in found] == []
+
+
+def test_shared_runs_stay_inside_texts(spark, docs_of):
+    docs = docs_of([(k, t) for k, t in enumerate(["alpha beta", "gamma delta", "beta gamma", "alpha beta gamma delta", "x alpha beta gamma"])], 1).select("doc_id", "text")
+    items = spark.createDataFrame([(1, "alpha beta gamma delta"), (2, "gamma")], "item_id long, text string")
+    assert sorted((r["id"], r["item_id"], r["n_common"]) for r in find_leaks(docs, items).collect()) == [(1, 2, 1), (2, 2, 1), (3, 1, 4), (3, 2, 1), (4, 2, 1)]
+
+
 def test_leaky_rows_go_and_empty_tables(spark, docs_of):
     text = "which river flows through the old town of stone bridges and copper roofs before it meets the sea near the lighthouse"
     docs = docs_of([(1, f"prelude words {text} and more"), (2, "a clean text about other things entirely with enough words to make a passage"), (None, text), (None, "clean"), (3, None), (4, "")])
