@@ -51,24 +51,34 @@ def _words(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.
             yield batch, first, *words_of(texts)
 
 
+def _passages(text: np.ndarray) -> np.ndarray:
+    """Number of each word's passage: PASSAGE words of one text, fewer at its end."""
+    return np.cumsum(_places(text) % PASSAGE == 0) - 1
+
+
 def term_weights(texts: DataFrame) -> tuple[np.ndarray, int]:
-    """Inverse document frequency of each term, from all documents, and how many documents have words."""
+    """Inverse frequency of each term, from the passages of all documents, and how many documents have words.
+
+    It is counted over the passages that the decomposition is fitted to, so that long documents, in which every
+    term occurs, leave the terms apart; no weight is 0, so that what all passages hold can still be found."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen, n = np.zeros(TERMS, np.int64), 0
+        seen, passages, n = np.zeros(TERMS, np.int64), 0, 0
         for _, _, h, text in _words(batches, 0):
             if len(text):
-                has = np.zeros((int(text[-1]) + 1, TERMS), bool)
-                has[text, _terms(h)] = True
+                passage = _passages(text)
+                has = np.zeros((int(passage[-1]) + 1, TERMS), bool)
+                has[passage, _terms(h)] = True
                 seen += has.sum(0)
+                passages += len(has)
                 n += len(np.unique(text))
-        yield pa.record_batch([pa.array(np.arange(TERMS + 1), pa.int32()), pa.array(np.append(seen, n))], names=["term", "n"])
+        yield pa.record_batch([pa.array(np.arange(TERMS + 2), pa.int32()), pa.array(np.append(seen, [passages, n]))], names=["term", "n"])
 
-    rows = arrow_map(texts, of, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()  # TERMS + 1 rows
-    n = np.zeros(TERMS + 1)
+    rows = arrow_map(texts, of, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()  # TERMS + 2 rows
+    n = np.zeros(TERMS + 2)
     for r in rows:
         n[r["term"]] = r["n"]
-    return np.log((1 + n[-1]) / (1 + n[:-1])).astype(np.float32), int(n[-1])
+    return np.log((1.5 + n[-2]) / (0.5 + n[:-2])).astype(np.float32), int(n[-1])
 
 
 def _gram_times(texts: DataFrame, weights: np.ndarray, matrix: np.ndarray) -> np.ndarray:
@@ -79,7 +89,7 @@ def _gram_times(texts: DataFrame, weights: np.ndarray, matrix: np.ndarray) -> np
         total = np.zeros((TERMS, RANK))
         for _, _, h, text in _words(batches, 0):
             if len(text):
-                passage = np.cumsum(_places(text) % PASSAGE == 0) - 1
+                passage = _passages(text)
                 x = np.bincount(passage * TERMS + _terms(h), minlength=(passage[-1] + 1) * TERMS).reshape(-1, TERMS).astype(np.float32)
                 total += x.T @ (x @ scaled)
         cells = (total * weights[:, None]).reshape(-1)

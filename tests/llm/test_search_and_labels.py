@@ -7,7 +7,7 @@ import numpy as np
 import corpus_pipeline
 from growthframe.llm import pii, toxicity
 from growthframe.llm.common import saved, table
-from growthframe.llm.decontaminate import drop_leaks, find_leaks, lcs
+from growthframe.llm.decontaminate import drop_leaks, find_leaks, lcs, term_weights
 from tests.conftest import SF_MID, SF_SMALL
 
 # Decontamination ----------------------------------------------------------------------------------
@@ -75,6 +75,27 @@ def test_shared_runs_stay_inside_texts(spark, docs_of):
     assert sorted((r["id"], r["item_id"], r["n_common"]) for r in find_leaks(docs, items).collect()) == [(1, 2, 1), (2, 2, 1), (3, 1, 4), (3, 2, 1), (4, 2, 1)]
 
 
+def test_reworded_items_in_one_or_only_very_long_documents(spark, docs_of):
+    rng = random.Random(9)
+    words = [w for r in table(spark, SF_MID, "documents").orderBy("doc_id").collect() for w in r["text"].split()]
+    items = [(r["item_id"], r["text"].split()) for r in table(spark, SF_MID, "benchmark").orderBy("item_id").collect() if len(r["text"].split()) >= 20][:20]
+    known = spark.createDataFrame([(i, " ".join(w)) for i, w in items], "item_id long, text string")
+    for n in (1, 8):  # documents of 20,000 words; every third word of an item is another one, so that no run of three is left
+        rows = []
+        for d in range(n):
+            host = words[20_000 * d:20_000 * (d + 1)]
+            for k, (_, item) in enumerate(items):
+                new = [rng.choice(words) if at % 3 == 2 else w for at, w in enumerate(item)]
+                at = 900 * (k + 1) + rng.randrange(100)
+                host = host[:at] + new + host[at:]
+            rows.append((d, " ".join(host)))
+        docs = docs_of(rows).select("doc_id", "text")
+        weights, documents = term_weights(docs.selectExpr("cast(text AS binary) AS text"))
+        assert documents == n and (weights > 0).all()
+        found = {(r["id"], r["item_id"]) for r in find_leaks(docs, known).collect()}
+        assert len(found & {(d, i) for d in range(n) for i, _ in items}) >= 0.8 * n * len(items)
+
+
 def test_leaky_rows_go_and_empty_tables(spark, docs_of):
     text = "which river flows through the old town of stone bridges and copper roofs before it meets the sea near the lighthouse"
     docs = docs_of([(1, f"prelude words {text} and more"), (2, "a clean text about other things entirely with enough words to make a passage"), (None, text), (None, "clean"), (3, None), (4, "")])
