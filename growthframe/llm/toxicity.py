@@ -17,6 +17,8 @@ from growthframe.llm.common import arrow_map, word_pieces
 WINDOW, STEP = 32, 16
 #: Buckets of character 3-grams, sizes of the vectors of words and 3-grams, and of the state in each direction.
 GRAMS, WORD_SIZE, GRAM_SIZE, STATE = 1 << 13, 8, 12, 8
+#: Bytes of a word; a longer one counts as successive words.
+LONG = 48
 #: A word has a vector of its own if so many documents of the sample hold it.
 COMMON = 4
 #: Windows of a document that take part in a training step, drawn anew each time.
@@ -28,10 +30,18 @@ PER_CLASS, LONGEST = 1500, 1 << 16
 
 def _grams(word: bytes) -> list[int]:
     """Buckets of a lower-cased word's character 3-grams."""
-    edged = b"<" + word[:48] + b">"
+    edged = b"<" + word + b">"
     return [zlib.crc32(edged[k:k + 3]) % GRAMS for k in range(len(edged) - 2)]
 
 
+def _pieces(words: list[bytes]) -> list[bytes]:
+    """The words, those of over ``LONG`` bytes as successive pieces of at most so many, which overlap by two bytes,
+    so that no 3-gram is lost: text without spaces takes part in windows piece by piece."""
+    if max(map(len, words), default=0) <= LONG:
+        return words
+    return [w[k:k + LONG] for w in words for k in range(0, max(1, len(w) - 2), LONG - 2)]
+
+
 def _own(known: np.ndarray, words: list[bytes]) -> np.ndarray:
     """Rows of the words' own vectors; row 0, all zero, is that of the others."""
     h = np.fromiter(map(zlib.crc32, words), np.int64, len(words))
@@ -121,7 +131,7 @@ def train(texts: list[bytes], labels: list[int], rounds: int = 6, rate: float =
     """Fit the network to documents of which some window is toxic or none is (Adam)."""
     rng = np.random.default_rng(seed)
     words: dict[bytes, int] = {}
-    docs = [np.array([words.setdefault(w, len(words)) for ws in word_pieces(t.lower()) for w in ws], np.int64) for t in texts]
+    docs = [np.array([words.setdefault(w, len(words)) for ws in word_pieces(t.lower()) for w in _pieces(ws)], np.int64) for t in texts]
     y = np.array(labels, np.float32)
     usable = [k for k, d in enumerate(docs) if len(d)]
     held = np.bincount(np.concatenate([np.zeros(0, np.int64), *map(np.unique, docs)]), minlength=len(words))
@@ -240,7 +250,7 @@ class Scorer:
         for k, text in enumerate(texts):
             carry: list[bytes] = []
             for piece in word_pieces(text.lower()):
-                piece = carry + piece  # the last words of a piece begin the next one
+                piece = carry + _pieces(piece)  # the last words of a piece begin the next one
                 at = _windows(len(piece))
                 begins.append(at + len(words))
                 ends.append(np.minimum(at + WINDOW, len(piece)) + len(words))
@@ -271,7 +281,7 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     The network is trained on `training_rows`, a sample of bounded size, and sees words and their
     characters alone. A text scores as its highest window; windows of ``WINDOW`` words start every
-    ``STEP`` words over the whole text. Texts without words (or NULL) get the score of the bias. Repeated
+    ``STEP`` words over the whole text; a word of over ``LONG`` bytes counts as successive words. Texts without words (or NULL) get the score of the bias. Repeated
     rows give repeated results; NULL ids are not held out; other columns play no part; an empty table gives
     an empty one, and without labels of both classes the untrained network scores."""
     rows = sorted((r["id"], r["text"], r["toxic"]) for r in training_rows(docs, labels, id_col, text_col, per_class).collect())

@@ -209,6 +209,30 @@ def test_held_out_accuracy_and_odd_rows(spark, docs_of, odd):
     assert toxicity.score(docs_of([]), known).count() == 0
 
 
+def test_texts_without_spaces_are_scored_to_their_end():
+    rng = random.Random(12)
+    calm, harsh = "天地人山川水木花鳥春夏秋冬朝夕日月星雲雨", "醜惡死罵"
+    for join in ("", "_", "\u00a0"):
+        texts, labels = [], []
+        for k in range(360):
+            text = rng.choices(calm, k=rng.randint(60, 400))
+            if k % 3 == 0:  # the harsh part is the end, far from the first bytes
+                text[-16:] = rng.choices(harsh, k=16)
+            texts.append(join.join(text).encode())
+            labels.append(int(k % 3 == 0))
+        found = toxicity.Scorer(toxicity.train(texts[:270], labels[:270])).score(texts[270:])
+        assert np.mean((found >= 0.3) == labels[270:]) >= 0.95
+
+
+def test_long_words_are_cut_without_losing_a_byte():
+    short = [b"word", b"x" * toxicity.LONG]
+    assert toxicity._pieces(short) == short
+    for n in (49, 50, 94, 95, 500, 300_001):
+        word = bytes(random.Random(n).choices(range(33, 127), k=n))
+        pieces = toxicity._pieces([b"a", word, b"b"])[1:-1]
+        assert pieces[0] + b"".join(p[2:] for p in pieces[1:]) == word and 2 < min(map(len, pieces)) and max(map(len, pieces)) <= toxicity.LONG
+
+
 def test_every_word_lies_in_a_window():
     for n in (1, 31, 32, 33, 47, 48, 49, 500):
         starts = toxicity._windows(n)
