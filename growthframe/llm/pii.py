@@ -86,7 +86,7 @@ _CANDIDATES = (
     ("ip", re.compile(r"(?<![0-9A-Fa-f:.])(?:[0-9]{1,3}(?:\.[0-9]{1,3}){3}|[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{0,4}){3,7})(?![0-9A-Fa-f:])")),
     ("card", re.compile(r"(?<![0-9A-Za-z])(?:[0-9]{4}(?:[ -]?[0-9]{4}){3}|[0-9]{13,19}|[0-9]{4}[ -][0-9]{6}[ -][0-9]{5})(?![0-9A-Za-z])")),
     ("phone", re.compile(r"\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?(?:[ .-]?[0-9]{2,4}){2,3}(?![0-9])|(?<![0-9.])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])")),
-    ("secret", re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,128}(?![A-Za-z0-9+/_-])")),
+    ("secret", re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}")),
 )
 
 #: Fixed lists of the gazetteer: top-level domains, card issuers' first digits, country codes, first letters of known keys.

@@ -152,6 +152,18 @@ def test_labelers_find_what_patterns_drop(docs_of, odd):
     assert pii.find_pii(docs_of([])).count() == 0
 
 
+def test_long_secrets_are_found_and_masked_whole(docs_of):
+    rng = random.Random(14)
+    signs = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_-"
+    secrets = {k: "".join(rng.choices(signs, k=n)) for k, n in enumerate((40, 128, 129, 342, 683, 2000) * 10)}
+    rows = [(k, f"token: {s} stays") for k, s in secrets.items()]
+    rows.append((900, f"token: eyJ{secrets[0]}1.eyJ{secrets[4]}2.{secrets[3]} stays"))  # three parts, as signed tokens have
+    got = {r["id"]: r for r in pii.find_pii(docs_of(rows)).collect()}
+    assert all([(s["kind"], s["first"], s["past"]) for s in got[k]["added"]] == [("secret", 7, 7 + len(s_))] for k, s_ in secrets.items())
+    masked = {r["doc_id"]: r["text"] for r in pii.mask_pii(docs_of(rows)).collect()}
+    assert {masked[k] for k in secrets} == {"token: [secret] stays"} and masked[900] == "token: [secret].[secret].[secret] stays"
+
+
 def test_reliabilities_favour_the_good_labelers():
     rng = np.random.default_rng(0)
     truth = rng.random(4000) < 0.3
