@@ -1,4 +1,4 @@
-"""Line de-duplication: repeated line runs found by prefix doubling over line-ID sequences (native)."""
+"""Line de-duplication: repeated line runs found by hashes of fixed runs of lines (native)."""
 
 from __future__ import annotations
 
@@ -12,10 +12,10 @@ WORD = "[^\\\\x20\\\\x09-\\\\x0D]+"
 def _runs(docs: DataFrame, id_col: str, text_col: str, min_lines: int, min_words: int) -> DataFrame:
     """``(id, key, first, last, size, name)``: the smallest qualifying line runs of each document.
 
-    The suffixes of a document's line-ID sequence are named by prefix doubling: the name of 2n
-    lines is a hash of two names of n lines, and the name of any length m between is a hash of the
-    two overlapping names of the largest power of two. Equal (name, size) means equal lines, that
-    is, suffixes in one interval of the suffix array whose common prefix has that length."""
+    Runs of fixed length stand in for a suffix array with LCP intervals: the name of 2n lines is a hash of
+    two names of n lines, up to ``min_lines`` only, and the name of any length m between is a hash of the two
+    overlapping names of the largest power of two. Equal (name, size) means equal lines; longer runs that
+    documents share are not followed further."""
     base = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(text_col)).alias("key"), F.split(text_col, "\n", -1).alias("lines"))
     seq = F.expr(f"filter(transform(lines, (x, i) -> struct(i AS ln, xxhash64(x) AS h, regexp_count(x, '{WORD}') AS w)), s -> s.w > 0)")
     # repeated rows of one document are that document once
