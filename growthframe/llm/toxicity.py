@@ -1,4 +1,4 @@
-"""Toxicity: a bidirectional gated recurrent network with attention pooling, trained in numpy, over all overlapping windows."""
+"""Toxicity: a bidirectional gated recurrent network with attention pooling, trained in numpy, over overlapping windows."""
 
 from __future__ import annotations
 
