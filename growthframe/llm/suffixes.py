@@ -44,6 +44,8 @@ def samples(grams: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndar
     Equal strings choose the same place in them, so strings need to be compared with those alone whose
     chosen q-grams are equal. Returns the runs of starts that choose one place: first start, last start, place."""
     n = len(grams)
+    if n < length:
+        return (np.zeros(0, np.int64),) * 3
     bits = np.uint64(max(1, int(n).bit_length()))
     low = (grams >> bits << bits) | np.arange(n, dtype=np.uint64)
     width, size = length - Q + 1, 1

@@ -111,3 +111,26 @@ def test_no_lines_and_no_rows(docs_of):
     assert dedup_lines(docs_of([])).count() == 0
     (row,) = dedup_lines(docs_of([(1, None)])).collect()
     assert (row["text"], row["n_lines"], row["n_removed"]) == (None, 0, 0)
+
+
+def test_short_texts_and_short_remainders(docs_of):
+    rng = random.Random(5)
+    for n in range(0, 401):
+        data, bounds = joined_bytes([bytes(rng.randrange(256) for _ in range(n))])
+        grams, = buckets(data, 64)
+        first, last, place = samples(grams, bounds, 400)
+        assert len(first) == (n >= 400)
+    for rows in ([(1, "x" * 100)], [(1, "abc")], [(1, "a" * 2), (2, "b" * 11)], [(k, "y" * (9 + k % 7)) for k in range(5)] + [(9, "y" * 401)] * 2):
+        got = remove_repeats(docs_of(rows)).select("id", "n_bytes", "n_removed", F.size("spans"), F.sha2("kept", 256)).collect()
+        assert sorted(map(tuple, got), key=repr) == brute_bytes(rows)
+
+
+def test_short_last_part_of_a_batch(docs_of, monkeypatch):
+    from growthframe.llm import substring_dedup
+
+    monkeypatch.setattr(substring_dedup, "CHUNK", 500)
+    rng = random.Random(6)
+    rows = [(k, "".join(rng.choice("abcde ") for _ in range(rng.choice((1, 3, 7, 30, 33, 63, 127, 500, 505, 700))))) for k in range(60)]
+    rows += [(100 + k, rows[k][1] + rows[k + 1][1]) for k in range(30)]
+    got = remove_repeats(docs_of(rows)).select("id", "n_bytes", "n_removed", F.size("spans"), F.sha2("kept", 256)).collect()
+    assert sorted(map(tuple, got), key=repr) == brute_bytes(rows)
