@@ -163,7 +163,7 @@ def _encoded(docs: DataFrame, text_col: str, path: str | None, schema: str) -> D
                 batch = whole.slice(k, 2000)
                 texts = [t or "" for t in batch.column(1).to_pylist()]
                 ids = codec.encode(texts)
-                same = [codec.decode(x) == t.replace(SPACE, " ").encode("utf-8", "replace") for x, t in zip(ids, texts)]
+                same = [codec.decode(x) == t.encode("utf-8", "replace") for x, t in zip(ids, texts)]
                 ends = np.cumsum([0, *map(len, ids)])
                 values = np.concatenate([np.zeros(0, "<u2"), *ids]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(values))
@@ -178,8 +178,8 @@ def encode(docs: DataFrame, text_col: str = "text", path: str | None = None) ->
     """``docs`` with ``ids``, ``n_tokens`` and ``round_trip`` in place of ``text_col`` (and of columns of these names).
 
     ``ids`` are those of the model's own library for the whole text: no begin, end or special tokens, a
-    special token's string in a text is ordinary text. ``round_trip`` says that decoding gave the text back
-    (a literal space mark decodes as a space, as in the library). A NULL or empty text has no ids. Repeated rows
+    special token's string in a text is ordinary text. ``round_trip`` says that decoding gave the text back:
+    false where it holds a literal space mark, which decodes as a space, as in the library. A NULL or empty text has no ids. Repeated rows
     give repeated results; an empty table gives an empty one."""
     out = _encoded(docs, text_col, path, docs.schema.simpleString())
     new = ("ids", "n_tokens", "round_trip")
