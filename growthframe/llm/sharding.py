@@ -9,6 +9,8 @@ from growthframe.llm.common import saved
 
 #: Hash bits in all, and bits by which a directory may grow in one round.
 HASH_BITS, ROUND_BITS = 60, 12
+#: Rows that are numbered together where rows of one hash are dealt into parts.
+SLOT = 1 << 16
 
 
 def _hash(id_col: str, text_col: str):
@@ -52,8 +54,8 @@ def assign_shards(docs: DataFrame, limit: int, id_col: str = "doc_id", text_col:
     suffice, the next round goes on below the full cells alone.
 
     Rows that agree in id and text can't be told apart by any hash bit: where they exceed the limit together
-    they are dealt into parts by their number (``shard`` ends in ``.part``). A single row over the limit is a
-    shard of its own. NULL ids hash by their text; an empty table gives an empty one."""
+    they are dealt into parts by their number (``shard`` ends in ``.part``), for which they are written once: numbers
+    taken from a plan that runs twice needn't agree. A single row over the limit is a shard of its own (part 0). NULL ids hash by their text; an empty table gives an empty one."""
     new = ("n_bytes", "shard", "depth", "shard_bytes")
     rows = docs.select(F.struct(*[c for c in docs.columns if c not in new]).alias("row"), F.octet_length(F.coalesce(F.col(text_col), F.lit(""))).cast("long").alias("n_bytes"), _hash(id_col, text_col).alias("h"))
     return _assigned(rows, limit).select("row.*", *new)
@@ -67,12 +69,14 @@ def _assigned(rows: DataFrame, limit: int) -> DataFrame:
         at = F.shiftright("h", HASH_BITS - index)
         one = rows.join(directory, at == directory.cell).select("row", "n_bytes", F.when(F.col("depth") == 0, "").otherwise(bits).alias("shard"), F.col("depth").cast("long").alias("depth"), "shard_bytes")
         done = one if done is None else done.union(one)
-    # repeats of one row: numbered within each input partition, from where the partitions before it end
-    same = rows.withColumn("p", F.spark_partition_id()).join(full.withColumnRenamed("h", "g"), F.col("h") == F.col("g"))
-    number = F.row_number().over(Window.partitionBy("h", "p").orderBy("n_bytes")) - 1
-    held = same.groupBy("h", "p").agg(F.count("*").alias("c"))
-    before = held.select(F.col("h").alias("h0"), F.col("p").alias("p0"), (F.sum("c").over(Window.partitionBy("h").orderBy("p")) - F.col("c")).alias("before"))
-    numbered = same.withColumn("k", number).join(before, (F.col("h") == F.col("h0")) & (F.col("p") == F.col("p0")))
+    # rows of the full hashes: written once with a number that stays, dealt into slots of about SLOT rows, counted slot by slot
+    slot = F.floor(F.rand(7) * F.ceil(F.col("n") / SLOT)).cast("int")
+    same = rows.join(full.withColumnRenamed("h", "g"), F.col("h") == F.col("g")).withColumn("slot", slot).withColumn("number", F.monotonically_increasing_id())
+    same = saved(same, "full-rows")
+    held = same.groupBy("h", "slot").agg(F.count("*").alias("c"))
+    before = held.select(F.col("h").alias("h0"), F.col("slot").alias("slot0"), (F.sum("c").over(Window.partitionBy("h").orderBy("slot")) - F.col("c")).alias("before"))
+    numbered = same.withColumn("k", F.row_number().over(Window.partitionBy("h", "slot").orderBy("number")) - 1)
+    numbered = numbered.join(before, (F.col("h") == F.col("h0")) & (F.col("slot") == F.col("slot0")))
     each = F.greatest(F.lit(1), F.floor(F.lit(limit) / F.col("most")))
     part = F.floor((F.col("before") + F.col("k")) / each)
     name = F.lpad(F.conv(F.col("h").cast("string"), 10, 2), HASH_BITS, "0")

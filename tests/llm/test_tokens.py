@@ -1,6 +1,8 @@
 import random
 
+import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 
@@ -106,7 +108,9 @@ def test_shards_fit_and_only_large_buckets_split(docs_of, odd):
     assert not any(a != b and b.startswith(a) for a in names for b in names)  # prefix-free
     for s in names:  # a bucket's parent was too large
         assert not s or sum(n for t, n in sizes.items() if t.startswith(s[:-1])) > limit
-    assert len([s for s in sizes if "." in s]) == -(-300 // (limit // 300))
+    parts = {s for s in sizes if "." in s}
+    assert len({r["shard"] for r in out if r["doc_id"] == 77 and r["n_bytes"] == 300} & parts) == -(-300 // (limit // 300))
+    assert [(r["doc_id"], r["n_bytes"]) for r in out if r["shard"] in parts and r["doc_id"] != 77] == [(10, 5000)]  # over the limit by itself
 
 
 def test_shards_of_nothing(docs_of):
@@ -114,3 +118,21 @@ def test_shards_of_nothing(docs_of):
     (row,) = assign_shards(docs_of([(1, "abc")]), 100).collect()
     assert (row["shard"], row["depth"], row["shard_bytes"]) == ("", 0, 3)
     assert np.isclose(row["n_bytes"], 3)
+
+
+@pytest.mark.parametrize(("parts", "aqe"), [(1, "true"), (7, "true"), (11, "false")])
+def test_no_row_is_lost_whatever_the_partitions(spark, docs_of, parts, aqe):
+    from growthframe.llm.queries import op6_sql
+
+    rng = random.Random(3)
+    rows = [(k, "z" * rng.randint(0, 900)) for k in range(300)] + [(77, "hot" * 100)] * 90 + [(78, "long" * 1500), (79, "x" * 4001), (79, "x" * 4001), (None, "y" * 5000), (None, None)]
+    duck = duckdb.connect()
+    duck.register("documents", pa.table({"doc_id": pa.array([r[0] for r in rows], pa.int64()), "text": pa.array([r[1] for r in rows])}))
+    expect = duck.execute(op6_sql(4000)).fetchall()
+    assert len(expect) == len(rows)
+    spark.conf.set("spark.sql.adaptive.enabled", aqe)
+    try:
+        got = assign_shards(docs_of(rows, parts), 4000).select("doc_id", "n_bytes", "shard", "depth", "shard_bytes").collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sorted(map(tuple, got), key=repr) == sorted(expect, key=repr)
