@@ -23,7 +23,7 @@ BITS = 6
 PAD = 0
 _MASK = (1 << BITS) - 1
 #: Characters that are joined before they are counted or scored.
-_CHARS = 1 << 23
+_CHARS = 1 << 20
 
 
 def _symbol(cp: int) -> int:
@@ -95,17 +95,25 @@ def _pieces(text: str) -> list[str]:
 def count_grams(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``(gram, n)``: the raw count of every n-gram of the highest order, over all documents.
 
-    Each task counts its own texts into one array of 2^24 cells and sends the cells it has met."""
+    Each task counts its own texts into one array of 2^24 cells (64 MiB) and sends the cells it has met."""
     table = alphabet()
 
+    def sent(cells: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for at in range(0, len(cells), 1 << 20):
+            met = np.flatnonzero(cells[at:at + (1 << 20)])
+            if len(met):
+                yield pa.record_batch([pa.array(met + at, pa.int32()), pa.array(cells[met + at], pa.int64())], names=["gram", "n"])
+
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells = np.zeros(1 << (ORDER * BITS), np.int64)
+        cells, n = np.zeros(1 << (ORDER * BITS), np.uint32), 0
         for held in _batched(p for b in batches for t in b.column(0).to_pylist() if t for p in _pieces(t)):
-            cells += np.bincount(_grams(held, table)[0], minlength=len(cells))
-        met = np.flatnonzero(cells)
-        for k in range(0, len(met), 1 << 16):
-            part = met[k:k + (1 << 16)]
-            yield pa.record_batch([pa.array(part, pa.int32()), pa.array(cells[part], pa.int64())], names=["gram", "n"])
+            grams = _grams(held, table)[0]
+            n += len(grams)
+            if n >= 1 << 32:  # a cell might overflow
+                yield from sent(cells)
+                cells[:], n = 0, len(grams)
+            np.add.at(cells, grams, np.uint32(1))
+        yield from sent(cells)
 
     sent = arrow_map(docs.select(F.col(text_col).alias("text")), of, "gram int, n long")
     return sent.groupBy("gram").agg(F.sum("n").alias("n"))
@@ -167,14 +175,17 @@ def log_prob(model: list, grams: np.ndarray) -> np.ndarray:
 def perplexities(model: list, texts: list[str], table: np.ndarray, scratch: np.ndarray) -> np.ndarray:
     """Mean negative log probability of a character of each text (NaN for an empty one).
 
-    ``scratch`` has a cell for each key: the arrays are searched once for each n-gram that occurs."""
+    ``scratch`` has a cell for each key, NaN until its n-gram occurs: the arrays are searched once for each."""
     sums, n = np.zeros(len(texts)), np.array([*map(len, texts)])
     parts = [(i, p) for i, t in enumerate(texts) if t for p in _pieces(t)]
     for held in _batched_pairs(parts):
         grams, starts = _grams([p for _, p in held], table)
-        met = np.flatnonzero(np.bincount(grams, minlength=1)) if len(grams) > 1 << 20 else np.unique(grams)
-        scratch[met] = log_prob(model, met)
-        np.add.at(sums, [i for i, _ in held], np.add.reduceat(scratch[grams], starts[:-1], dtype=np.float64))
+        logs = scratch[grams]
+        new = np.unique(grams[np.isnan(logs)])
+        if len(new):
+            scratch[new] = log_prob(model, new)
+            logs = scratch[grams]
+        np.add.at(sums, [i for i, _ in held], np.add.reduceat(logs, starts[:-1], dtype=np.float64))
     with np.errstate(invalid="ignore"):
         return -sums / n
 
@@ -243,7 +254,7 @@ def scored(docs: DataFrame, model: list, text_col: str = "text", full: bool = Tr
     kinds = [pa.field(c, pa.int64()) for c in STATISTICS] + [pa.field("base_failed", pa.bool_()), pa.field("nll", pa.float64()), pa.field("n_chars", pa.int64())]
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scratch = np.zeros(size, np.float32)
+        scratch = np.full(size, np.nan, np.float32)
         for whole in batches:
             for k in range(0, whole.num_rows, 2000):
                 batch = whole.slice(k, 2000)
@@ -310,8 +321,8 @@ def quality(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_
 
 
 def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """The rows of ``docs`` that `quality` keeps, unchanged."""
+    """The rows of ``docs`` that `quality` keeps, unchanged. Rows are scored once and written with their score."""
     model = train(docs, text_col)
-    found = scored(docs, model, text_col).select("row", F.col("row")[lang_col].alias("lang"), "quality")
-    limits = saved(bands(saved(_values(found), "perplexities")), "bands")
+    found = saved(scored(docs, model, text_col), "scored").select("row", F.col("row")[lang_col].alias("lang"), "quality")
+    limits = saved(bands(_values(found)), "bands")
     return judged(found, limits).where("kept").select("row.*")
