@@ -18,6 +18,7 @@ from growthframe.llm.simhash import near_duplicates
 from growthframe.llm.substring_dedup import remove_repeats
 from growthframe.llm.token_counts import token_counts
 from growthframe.llm.toxicity import score
+from growthframe.llm.whitening import whiten
 
 #: Byte limit of a shard in the registered query: small, so that the small tables split as well and hold single rows over it.
 SHARD_BYTES = 1 << 16
@@ -149,6 +150,11 @@ SELECT d.doc_id, coalesce(p.n_lines, 0) AS n_lines, coalesce(p.n_removed, 0) AS
 FROM documents d LEFT JOIN per_doc p ON d.doc_id = p.doc_id AND d.text = p.text
 """
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``vec_id, component, n, deviation, whitened, explained, identity_error``: eight components of every valid vector."""
+    return whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding")).withColumnRenamed("id", "vec_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash_near_dedup": op1_simhash_near_dedup,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -160,6 +166,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_toxicity": op9_toxicity,
     "op10_line_dedup": op10_line_dedup,
+    "op13_whitening": op13_whitening,
 }
 ORACLES: dict[str, str] = {
     "op6_sharding": op6_sql(SHARD_BYTES).strip(),
