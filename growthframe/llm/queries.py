@@ -15,6 +15,7 @@ from growthframe.llm.pii import BASE, KINDS, find_pii
 from growthframe.llm.quality import quality
 from growthframe.llm.sharding import assign_shards
 from growthframe.llm.simhash import near_duplicates
+from growthframe.llm.spelling import spelling_variants
 from growthframe.llm.substring_dedup import remove_repeats
 from growthframe.llm.token_counts import token_counts
 from growthframe.llm.toxicity import score
@@ -150,6 +151,11 @@ SELECT d.doc_id, coalesce(p.n_lines, 0) AS n_lines, coalesce(p.n_removed, 0) AS
 FROM documents d LEFT JOIN per_doc p ON d.doc_id = p.doc_id AND d.text = p.text
 """
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``word, form, root, n, n_near, form_n`` of every frequent word of the documents."""
+    return spelling_variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``vec_id, component, n, deviation, whitened, explained, identity_error``: eight components of every valid vector."""
     return whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding")).withColumnRenamed("id", "vec_id")
@@ -166,6 +172,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_pii": op8_pii,
     "op9_toxicity": op9_toxicity,
     "op10_line_dedup": op10_line_dedup,
+    "op11_spelling_variants": op11_spelling_variants,
     "op13_whitening": op13_whitening,
 }
 ORACLES: dict[str, str] = {
