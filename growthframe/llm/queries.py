@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from growthframe.llm.common import table
 from growthframe.llm.decontaminate import find_leaks
+from growthframe.llm.jaccard_join import jaccard_components
 from growthframe.llm.line_dedup import dedup_lines
 from growthframe.llm.piece_codec import encode
 from growthframe.llm.pii import BASE, KINDS, find_pii
@@ -156,6 +157,12 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op12_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, n_shingles, component_id`` of every document: sets of 3-word shingles with 90 % of their union in common."""
+    found = jaccard_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", F.col("component").alias("component_id"))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``vec_id, component, n, deviation, whitened, explained, identity_error``: eight components of every valid vector."""
     return whiten(table(spark, sf_dir, "embeddings").select("vec_id", "embedding")).withColumnRenamed("id", "vec_id")
@@ -173,6 +180,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": op9_toxicity,
     "op10_line_dedup": op10_line_dedup,
     "op11_spelling_variants": op11_spelling_variants,
+    "op12_jaccard_join": op12_jaccard_join,
     "op13_whitening": op13_whitening,
 }
 ORACLES: dict[str, str] = {
