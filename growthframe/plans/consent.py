@@ -112,3 +112,91 @@ def k68(spark, sf):
     out = CO.store_optin_kpis(x, "user_id", "store", "ts", "optin_at", "first_switch_ts")
     return out.select("store", "d", "buyers", "buyers_opted_in", "new_optins",
                       F.col("opted_in_buyers_cumulative").cast("long").alias("opted_in_buyers_cumulative"))
+
+
+# Nulled keys and times: every eleventh k has no customer, every thirteenth no time, and first orders are not made unique.
+@paired("k66_null_keys_and_ties", """
+WITH hist AS (SELECT CASE WHEN CAST(json_extract_string(props, '$.k') AS BIGINT) % 11 = 0 THEN NULL ELSE user_id % 40 END AS user_id,
+                     CASE WHEN CAST(json_extract_string(props, '$.k') AS BIGINT) % 13 = 0 THEN NULL ELSE date_trunc('hour', ts) END AS ts,
+                     event_id, event_type, CASE WHEN event_type = 'error' THEN NULL ELSE value > 250 END AS optin FROM events),
+p AS (SELECT event_id, user_id, ts FROM hist WHERE event_type = 'purchase'),
+hh AS (SELECT user_id, ts, optin FROM hist WHERE user_id IS NOT NULL AND ts IS NOT NULL AND event_type <> 'purchase'),
+u AS (SELECT user_id, ts, arg_max(optin, COALESCE(optin::INT, -1)) AS hi, arg_min(optin, COALESCE(optin::INT, -1)) AS lo FROM hh GROUP BY 1, 2)
+SELECT p.event_id, p.user_id, p.ts, b.hi AS optin_before, a.lo AS optin_after
+FROM p ASOF LEFT JOIN u b ON p.user_id = b.user_id AND p.ts > b.ts ASOF LEFT JOIN u a ON p.user_id = a.user_id AND p.ts <= a.ts
+""".replace("arg_max(optin, COALESCE(optin::INT, -1))", "CASE WHEN bool_or(optin) THEN true WHEN bool_or(NOT optin) THEN false END")
+   .replace("arg_min(optin, COALESCE(optin::INT, -1))", "CASE WHEN bool_or(optin IS NULL) THEN NULL WHEN bool_or(NOT optin) THEN false ELSE true END"), covers=("K66", "J7", "M15"))
+def k66_null(spark, sf):
+    e = load(spark, sf, "events")
+    k = F.get_json_object("props", "$.k").cast("long")
+    h = e.select("event_id", "event_type", F.when(k % 11 != 0, F.col("user_id") % 40).alias("user_id"), F.when(k % 13 != 0, F.date_trunc("hour", "ts")).alias("ts"),
+                 F.when(F.col("event_type") != "error", F.col("value") > 250).alias("optin"))
+    p = h.filter("event_type = 'purchase'").select("event_id", "user_id", "ts")
+    return CO.optin_before_after(p, h.filter("event_type != 'purchase'"), "user_id", "ts", "ts", "optin").select("event_id", "user_id", "ts", "optin_before", "optin_after")
+
+
+# Stand-ins: contacts = events % 60 users; consents by value, by k and by a written birthday (two formats, a placeholder, junk).
+_CONTACTS_SQL = """
+WITH e AS (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events),
+hist AS (SELECT user_id % 60 AS c, ts, event_id, CASE WHEN event_type = 'error' THEN NULL ELSE value > 250 END AS email,
+                CASE WHEN k % 7 = 0 THEN NULL ELSE k % 3 = 0 END AS phone,
+                CASE k % 6 WHEN 0 THEN '1980-02-30' WHEN 1 THEN '1980-02-28' WHEN 2 THEN '28/02/1980' WHEN 3 THEN '1900-01-01' WHEN 4 THEN '01/01/1900' END AS birthdate
+         FROM e WHERE event_type <> 'purchase'),
+h AS (SELECT c, ts, event_id, CAST(ts AS DATE) AS d, email, phone,
+             COALESCE((try_strptime(birthdate, '%Y-%m-%d') IS NOT NULL AND left(birthdate, 4) <> '1900')
+                   OR (try_strptime(birthdate, '%d/%m/%Y') IS NOT NULL AND right(birthdate, 4) <> '1900'), false) AS birthday FROM hist),
+o AS (SELECT CASE WHEN k % 11 <> 0 THEN user_id % 60 END AS c, event_id AS o, 'store_' || CAST(k % 3 AS VARCHAR) AS store, CAST(ts AS DATE) AS d
+      FROM e WHERE event_type = 'purchase')
+"""
+
+
+def _contacts(spark, sf):
+    e = load(spark, sf, "events").withColumn("k", F.get_json_object("props", "$.k").cast("long"))
+    m = F.col("k") % 6
+    birth = F.when(m == 0, "1980-02-30").when(m == 1, "1980-02-28").when(m == 2, "28/02/1980").when(m == 3, "1900-01-01").when(m == 4, "01/01/1900")
+    h = e.filter("event_type != 'purchase'").select((F.col("user_id") % 60).alias("c"), "ts", "event_id", F.when(F.col("event_type") != "error", F.col("value") > 250).alias("email"),
+                                                    F.when(F.col("k") % 7 != 0, F.col("k") % 3 == 0).alias("phone"), birth.alias("birthdate"))
+    h = h.withColumn("birthday", CO.valid_birthday("birthdate"))
+    o = e.filter("event_type = 'purchase'").select(F.when(F.col("k") % 11 != 0, F.col("user_id") % 60).alias("c"), F.col("event_id").alias("o"),
+                                                  F.concat(F.lit("store_"), (F.col("k") % 3).cast("string")).alias("store"), "ts")
+    return o, h
+
+
+def _recount(k):
+    return f""",
+  COUNT(DISTINCT CASE WHEN {k} <= d THEN c END) AS {k}, COUNT(DISTINCT CASE WHEN {k} BETWEEN DATE '2024-01-10' AND d THEN c END) AS new_{k},
+  COUNT(DISTINCT CASE WHEN {k} = first THEN c END) AS {k}_at_first, COUNT(DISTINCT CASE WHEN {k} = first AND {k} >= DATE '2024-01-10' THEN c END) AS new_{k}_at_first,
+  COUNT(DISTINCT CASE WHEN {k}_now THEN c END) AS {k}_now"""
+
+
+@paired("k68_store_consent_report", _CONTACTS_SQL + """
+, days AS (SELECT CAST(unnest(generate_series(DATE '2024-01-10', DATE '2024-01-28', INTERVAL 1 DAY)) AS DATE) AS d),
+first AS (SELECT store, c, MIN(d) AS first FROM o WHERE c IS NOT NULL GROUP BY 1, 2),
+per AS (SELECT days.d, h.c, MIN(CASE WHEN email THEN h.d END) AS email, MIN(CASE WHEN phone THEN h.d END) AS phone, MIN(CASE WHEN birthday THEN h.d END) AS birthday,
+               arg_max(email, (ts, event_id)) FILTER (email IS NOT NULL) AS email_now, arg_max(phone, (ts, event_id)) FILTER (phone IS NOT NULL) AS phone_now,
+               arg_max(birthday, (ts, event_id)) AS birthday_now
+        FROM days JOIN h ON h.d <= days.d GROUP BY 1, 2),
+x AS (SELECT days.d, o.store, o.c, o.o, o.d AS od, f.first, per.* EXCLUDE (d, c)
+      FROM days JOIN o ON o.d <= days.d LEFT JOIN first f ON f.store = o.store AND f.c = o.c LEFT JOIN per ON per.d = days.d AND per.c = o.c)
+SELECT store, d, COUNT(DISTINCT CASE WHEN od = d THEN c END) AS buyers, COUNT(DISTINCT c) AS customers, COUNT(DISTINCT CASE WHEN od >= d - 4 THEN c END) AS active,
+  COUNT(DISTINCT CASE WHEN c IS NOT NULL THEN o END) / COUNT(DISTINCT o) AS linked_rate,
+  COUNT(DISTINCT CASE WHEN od = d AND first >= DATE '2024-01-10' AND email = first THEN c END) AS buyers_email_at_first""" + "".join(map(_recount, ("email", "phone", "birthday"))) + """
+FROM x GROUP BY 1, 2
+""", covers=("K68", "A4", "W15", "F-d1"))
+def k68_report(spark, sf):
+    o, h = _contacts(spark, sf)
+    return CO.store_consent_report(o, h, "c", "o", "store", "ts", "ts", "event_id", "2024-01-10", "2024-01-28", 4)
+
+
+@paired("k65_first_purchase_optins", _CONTACTS_SQL + """
+, hh AS (SELECT *, LAG(COALESCE(email, false)) OVER w AS pe, LAG(COALESCE(phone, false)) OVER w AS pp FROM h WINDOW w AS (PARTITION BY c ORDER BY ts, event_id)),
+f AS (SELECT c, MIN((d, store)) AS f FROM o GROUP BY 1),
+x AS (SELECT f.c, f.f[1] AS fd, f.f[2] AS store, hh.event_id, COALESCE(email, false) AS e, COALESCE(pe, false) AS pe, COALESCE(phone, false) AS ph, COALESCE(pp, false) AS pp
+      FROM f LEFT JOIN hh ON hh.c = f.c AND hh.d >= f.f[1] QUALIFY row_number() OVER (PARTITION BY f.c ORDER BY hh.ts, hh.event_id) = 1)
+SELECT c, fd AS first_purchase_date, store, e AND NOT pe AS email_switched, NOT pe AS email_was_out, CASE WHEN e AND NOT pe THEN store END AS email_switch_store,
+  CASE WHEN e AND NOT pe THEN fd END AS email_switch_date, ph AND NOT pp AS phone_switched, NOT pp AS phone_was_out, CASE WHEN ph AND NOT pp THEN store END AS phone_switch_store,
+  CASE WHEN ph AND NOT pp THEN fd END AS phone_switch_date FROM x
+""", covers=("K65", "J7", "O3"))
+def k65_first(spark, sf):
+    o, h = _contacts(spark, sf)
+    return CO.first_purchase_optins(o, h, "c", "ts", "store", "ts", "event_id", ["email", "phone"])

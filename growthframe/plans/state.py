@@ -147,6 +147,60 @@ def k102(spark, sf):
     return f.select("o_custkey", "d", "owner", "activity", round_half_up("won_revenue", 2).alias("won_revenue"))
 
 
+# Stand-ins: a stay is an order (open for o_orderkey % 23 days, every seventh without an end and then until the horizon, those with
+# o_orderkey % 31 = 0 end before they start); its owner is the customer; every third order hands the customer to the executive
+# named after its priority for o_orderkey % 400 days, every fifth of them without an end; the other orders carry flags.
+_SPANS_SQL = """
+WITH o AS (SELECT o_orderkey AS k, o_custkey AS owner, o_orderpriority AS p, CAST(o_orderdate AS DATE) AS s FROM orders),
+h AS (SELECT MAX(s) + 30 AS hz FROM o),
+stay AS (SELECT k AS stay, owner, s, CASE WHEN k % 7 = 0 THEN (SELECT hz FROM h) WHEN k % 31 = 0 THEN s - 3 ELSE s + CAST(k % 23 AS INTEGER) END AS e
+         FROM o WHERE k % 3 = 1 AND s > (SELECT hz FROM h) - 500),
+att AS (SELECT owner, p AS executive, s, CASE WHEN k % 5 = 0 THEN (SELECT hz FROM h) ELSE s + CAST(k % 400 AS INTEGER) END AS e FROM o WHERE k % 3 = 0),
+flg AS (SELECT owner, 'flag_' || substr(p, 1, 1) AS flag, s + 2 AS s, CASE WHEN k % 6 = 2 THEN (SELECT hz FROM h) ELSE s + CAST(k % 60 AS INTEGER) END AS e FROM o WHERE k % 3 <> 0),
+days AS (SELECT stay, owner, CAST(unnest(generate_series(s, e, INTERVAL 1 DAY)) AS DATE) AS d FROM stay WHERE s <= e)
+"""
+_FLAGS = ["flag_1", "flag_2", "flag_3"]
+
+
+def _spans(spark, sf):
+    o = load(spark, sf, "orders").select(F.col("o_orderkey").alias("k"), F.col("o_custkey").alias("owner"), F.col("o_orderpriority").alias("p"), F.to_date("o_orderdate").alias("start"))
+    hz = F.date_add(F.lit(o.agg(F.max("start")).first()[0]), 30)  # a bound read from the data first, then a literal (S18)
+    none = F.lit(None).cast("date")
+    stays = o.filter((F.col("k") % 3 == 1) & (F.col("start") > F.date_sub(hz, 500))).select(
+        F.col("k").alias("stay"), "owner", "start",
+        F.when(F.col("k") % 7 == 0, none).when(F.col("k") % 31 == 0, F.date_sub("start", 3)).otherwise(F.date_add("start", (F.col("k") % 23).cast("int"))).alias("end"))
+    att = o.filter("k % 3 = 0").select("owner", F.col("p").alias("executive"), "start", F.when(F.col("k") % 5 != 0, F.date_add("start", (F.col("k") % 400).cast("int"))).alias("end"))
+    flg = o.filter("k % 3 != 0").select("owner", F.concat(F.lit("flag_"), F.substring("p", 1, 1)).alias("flag"), F.date_add("start", 2).alias("start"),
+                                        F.when(F.col("k") % 6 != 2, F.date_add("start", (F.col("k") % 60).cast("int"))).alias("end"))
+    return o, hz, stays, att, flg
+
+
+@paired("k102_executive_and_flags", _SPANS_SQL + """
+, f AS (SELECT days.stay, days.d, bool_or(flg.flag = 'flag_1') AS flag_1, bool_or(flg.flag = 'flag_2') AS flag_2, bool_or(flg.flag = 'flag_3') AS flag_3
+        FROM days JOIN flg ON flg.owner = days.owner AND days.d BETWEEN flg.s AND flg.e GROUP BY 1, 2),
+x AS (SELECT DISTINCT days.stay, days.owner, att.executive, days.d
+      FROM days LEFT JOIN att ON att.owner = days.owner AND days.d BETWEEN att.s AND att.e),
+seen AS (SELECT owner, s AS last_seen FROM o)
+SELECT x.stay, x.owner, x.executive, x.d, COALESCE(f.flag_1, false) AS flag_1, COALESCE(f.flag_2, false) AS flag_2, COALESCE(f.flag_3, false) AS flag_3,
+       seen.last_seen, COALESCE(date_diff('day', seen.last_seen, x.d) > 10, false) AS seen_long_ago
+FROM x LEFT JOIN f ON f.stay = x.stay AND f.d = x.d ASOF LEFT JOIN (SELECT DISTINCT owner, last_seen FROM seen) seen ON seen.owner = x.owner AND x.d >= seen.last_seen
+""", covers=("K102", "J5", "S18"))
+def k102_flags(spark, sf):
+    o, hz, stays, att, flg = _spans(spark, sf)
+    seen = o.select("owner", F.col("start").alias("d"))
+    return ST.daily_state_segments(stays, att, flg, seen, "stay", "owner", _FLAGS, hz).select("stay", "owner", "executive", "d", *_FLAGS, "last_seen", "seen_long_ago")
+
+
+@paired("k102_overlaps", _SPANS_SQL + """
+SELECT stay.stay, stay.owner, att.executive, greatest(stay.s, att.s) AS overlap_start, least(stay.e, att.e) AS overlap_end
+FROM stay LEFT JOIN att ON att.owner = stay.owner AND stay.s <= stay.e AND att.s <= att.e AND stay.s <= att.e AND att.s <= stay.e
+""".replace("greatest(stay.s, att.s)", "CASE WHEN att.s IS NOT NULL THEN greatest(stay.s, att.s) END").replace("least(stay.e, att.e)", "CASE WHEN att.s IS NOT NULL THEN least(stay.e, att.e) END"), covers=("K102", "J5"))
+def k102_overlaps(spark, sf):
+    _, hz, stays, att, _ = _spans(spark, sf)
+    x = ST.overlap_join(stays, att.withColumnsRenamed({"start": "_as", "end": "_ae"}), ["owner"], ["start", "end"], ["_as", "_ae"], hz)
+    return x.select("stay", "owner", "executive", "overlap_start", "overlap_end")
+
+
 @paired("k103_price_per_unit", """
 WITH x AS (SELECT DISTINCT n.n_name AS city, p.p_type, p.p_partkey, p.p_retailprice / p.p_size AS price_per_unit
            FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey JOIN supplier s ON s.s_suppkey = l.l_suppkey
@@ -179,8 +233,8 @@ h AS (SELECT * FROM (VALUES (1, 32400, 64800), (2, 32400, 64800), (3, 32400, 648
 d AS (SELECT o_orderkey, s, e, CAST(unnest(generate_series(CAST(s AS DATE), CAST(e AS DATE), INTERVAL 1 DAY)) AS DATE) AS day FROM o2),
 j AS (SELECT d.*, h.open_seconds, h.close_seconds FROM d LEFT JOIN h ON h.iso_weekday = isodow(d.day))
 SELECT o_orderkey, s AS start_ts, e AS end_ts,
-  CAST(SUM(COALESCE(greatest(0, least(epoch(e), epoch(CAST(day AS TIMESTAMP)) + close_seconds)
-                              - greatest(epoch(s), epoch(CAST(day AS TIMESTAMP)) + open_seconds)), 0)) AS BIGINT) AS business_seconds
+  CAST(SUM(CASE WHEN open_seconds IS NULL THEN 0 ELSE greatest(0, least(epoch(e), epoch(CAST(day AS TIMESTAMP)) + close_seconds)
+                              - greatest(epoch(s), epoch(CAST(day AS TIMESTAMP)) + open_seconds)) END) AS BIGINT) AS business_seconds
 FROM j GROUP BY 1, 2, 3
 """, covers=("K104", "F-d9", "F-d10", "M6"))
 def k104(spark, sf):
@@ -229,8 +283,8 @@ j AS (SELECT d.*, h.open_seconds, h.close_seconds, h.valid_from FROM d LEFT JOIN
 p AS (SELECT o_orderkey, s, e, day, arg_max(open_seconds, valid_from) AS op, arg_max(close_seconds, valid_from) AS cl
       FROM j GROUP BY 1, 2, 3, 4)
 SELECT o_orderkey, s AS start_ts, e AS end_ts,
-  CAST(SUM(COALESCE(greatest(0, least(epoch(e), epoch(CAST(day AS TIMESTAMP)) + cl)
-                              - greatest(epoch(s), epoch(CAST(day AS TIMESTAMP)) + op)), 0)) AS BIGINT) AS business_seconds
+  CAST(SUM(CASE WHEN op IS NULL THEN 0 ELSE greatest(0, least(epoch(e), epoch(CAST(day AS TIMESTAMP)) + cl)
+                              - greatest(epoch(s), epoch(CAST(day AS TIMESTAMP)) + op)) END) AS BIGINT) AS business_seconds
 FROM p GROUP BY 1, 2, 3
 """, covers=("K104", "J7"))
 def k104h(spark, sf):
@@ -241,3 +295,31 @@ def k104h(spark, sf):
     hours = spark.createDataFrame(HOURS_HISTORY, "valid_from string, iso_weekday int, open_seconds long, close_seconds long") \
         .withColumn("valid_from", F.col("valid_from").cast("timestamp_ntz"))
     return ST.business_seconds(o, "start_ts", "end_ts", hours)
+
+
+# Fixed values of the stand-in: hours by store (o_orderkey % 3) and version; store 1 has a midday break, store 2 opens later for the first time.
+STORE_HOURS = ([("1990-01-01 00:00:00", 0, d, 32400, 64800) for d in range(1, 6)] + [("1995-06-14 12:00:00", 0, d, 28800, 68400) for d in range(1, 7)]
+               + [("1999-01-01 00:00:00", 0, 7, 36000, 50400)]
+               + [("1990-01-01 00:00:00", 1, d, a, b) for d in range(1, 7) for a, b in ((28800, 43200), (50400, 68400))]
+               + [("1997-03-05 09:30:00", 2, d, 36000, 72000) for d in range(2, 7)])
+
+
+@paired("k104_business_seconds_version_changes", f"""
+WITH h AS (SELECT * FROM (VALUES {", ".join(f"(TIMESTAMP '{v}', {k}, {d}, {a}, {b})" for v, k, d, a, b in STORE_HOURS)}) v(valid_from, store, iso_weekday, a, b)),
+v AS (SELECT store, valid_from, LEAD(valid_from, 1, TIMESTAMP '2100-01-01') OVER (PARTITION BY store ORDER BY valid_from) AS valid_to FROM (SELECT DISTINCT store, valid_from FROM h)),
+o AS (SELECT o_orderkey, o_orderkey % 3 AS store, o_orderdate + to_seconds((o_orderkey * 7919) % 86400) AS s FROM orders),
+o2 AS (SELECT *, CASE WHEN o_orderkey % 97 = 0 THEN NULL WHEN o_orderkey % 89 = 0 THEN s - INTERVAL 5 DAY ELSE s + to_seconds((o_orderkey * 104729) % 34560000) END AS e FROM o),
+d AS (SELECT o_orderkey, store, s, e, CAST(unnest(generate_series(CAST(s AS DATE), CAST(e AS DATE), INTERVAL 1 DAY)) AS TIMESTAMP) AS day FROM o2 WHERE e >= s),
+x AS (SELECT d.o_orderkey, greatest(0, epoch(least(d.e, v.valid_to, d.day + to_seconds(h.b))) - epoch(greatest(d.s, v.valid_from, d.day + to_seconds(h.a)))) AS sec
+      FROM d JOIN h ON h.store = d.store AND h.iso_weekday = isodow(d.day) JOIN v ON v.store = h.store AND v.valid_from = h.valid_from
+      WHERE v.valid_from <= d.e AND v.valid_to >= d.s),
+t AS (SELECT o_orderkey, SUM(sec) AS sec FROM x GROUP BY 1)
+SELECT o2.o_orderkey, o2.store, o2.s AS start_ts, o2.e AS end_ts, CAST(COALESCE(t.sec, 0) AS BIGINT) AS business_seconds FROM o2 LEFT JOIN t USING (o_orderkey)
+""", covers=("K104", "J7", "W11"))
+def k104v(spark, sf):
+    k = F.col("o_orderkey")
+    o = load(spark, sf, "orders").select("o_orderkey", (k % 3).alias("store"), (F.col("o_orderdate") + F.make_interval(secs=(k * 7919) % 86400)).alias("start_ts"))
+    end = F.when(k % 97 == 0, F.lit(None).cast("timestamp_ntz")).when(k % 89 == 0, F.col("start_ts") - F.expr("INTERVAL 5 DAYS")) \
+        .otherwise(F.col("start_ts") + F.make_interval(secs=(k * 104729) % 34560000))
+    hours = spark.createDataFrame(STORE_HOURS, "valid_from string, store long, iso_weekday int, open_seconds long, close_seconds long")
+    return ST.business_seconds(o.withColumn("end_ts", end), "start_ts", "end_ts", hours.withColumn("valid_from", F.col("valid_from").cast("timestamp_ntz")), "store", "instant")
