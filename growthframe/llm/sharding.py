@@ -22,15 +22,18 @@ def _hash(id_col: str, text_col: str):
 def _buckets(rows: DataFrame, limit: int) -> tuple[list[tuple[int, DataFrame]], DataFrame]:
     """Directories ``(cell, depth, prefix, shard_bytes)`` with the bits by which they are indexed, and the full hashes whose rows are still too many bytes."""
     sizes = saved(rows.groupBy("h").agg(F.sum("n_bytes").alias("bytes"), F.count("*").alias("n"), F.max("n_bytes").alias("most")), "hash-sizes")
-    left, above, out = sizes, 0, []
+    total = sizes.agg(F.sum("bytes")).first()[0] or 0
+    # the first directory has some cells for each shard that the bytes need, so that only uneven cells go to a further round
+    left, above, step, out, alone = sizes, 0, min(HASH_BITS, max(ROUND_BITS, (total // limit).bit_length() + 3)), [], None
     while True:
-        top = above + ROUND_BITS
+        top = min(above + step, HASH_BITS)
+        step = ROUND_BITS
         # one row for each cell of the round, then one for each prefix of a cell: small beside the rows
-        cells = left.groupBy(F.shiftright("h", HASH_BITS - top).alias("cell")).agg(F.sum("bytes").alias("bytes"))
+        cells = left.groupBy(F.shiftright("h", HASH_BITS - top).alias("cell")).agg(F.sum("bytes").alias("bytes"), F.min("h").alias("low"), F.max("h").alias("high"))
         depth = F.explode(F.sequence(F.lit(above), F.lit(top))).alias("depth")
-        nodes = cells.select("cell", "bytes", depth).selectExpr("depth", f"shiftright(cell, {top} - depth) AS prefix", "bytes")
-        nodes = saved(nodes.groupBy("depth", "prefix").agg(F.sum("bytes").alias("bytes")), "nodes")
-        fit = nodes.where(F.col("bytes") <= limit)
+        nodes = cells.select("cell", "bytes", "low", "high", depth).selectExpr("depth", f"shiftright(cell, {top} - depth) AS prefix", "bytes", "low", "high")
+        nodes = saved(nodes.groupBy("depth", "prefix").agg(F.sum("bytes").alias("bytes"), F.min("low").alias("low"), F.max("high").alias("high")), "nodes")
+        fit = nodes.where(F.col("bytes") <= limit).drop("low", "high")
         parent = nodes.where(F.col("bytes") > limit).selectExpr("depth + 1 AS depth", "prefix AS parent")
         leaves = fit.withColumn("parent", F.shiftright("prefix", 1)).join(parent, ["depth", "parent"], "left_semi").drop("parent")
         leaves = leaves.union(fit.where(F.col("depth") == 0)) if above == 0 else leaves
@@ -38,10 +41,14 @@ def _buckets(rows: DataFrame, limit: int) -> tuple[list[tuple[int, DataFrame]],
         if bits is not None:
             span = F.expr(f"sequence(shiftleft(prefix, {bits} - depth), shiftleft(prefix + 1, {bits} - depth) - 1)")
             out.append((bits, leaves.select(F.explode(span).alias("cell"), "depth", "prefix", F.col("bytes").alias("shard_bytes"))))
-        full = nodes.where((F.col("depth") == top) & (F.col("bytes") > limit)).select(F.col("prefix").alias("cell"))
+        full = nodes.where((F.col("depth") == top) & (F.col("bytes") > limit))
+        # a full cell of one hash can't split any further
+        one = full.where("low = high").select(F.col("low").alias("h"))
+        alone = one if alone is None else alone.union(one)
+        full = full.where("low != high").select(F.col("prefix").alias("cell"))
+        if full.isEmpty():
+            return out, sizes.join(alone, "h", "left_semi")
         left = left.join(full, F.shiftright(left.h, HASH_BITS - top) == full.cell, "left_semi")
-        if full.isEmpty() or top == HASH_BITS:
-            return out, left
         above = top
 
 
@@ -50,8 +57,8 @@ def assign_shards(docs: DataFrame, limit: int, id_col: str = "doc_id", text_col:
 
     A row's bytes are those of its text in UTF-8 (NULL: none). ``shard`` spells the ``depth`` hash bits that name
     the bucket; a bucket over ``limit`` bytes splits on one more bit, others stay, until all fit. The
-    directory of a round is indexed by as many bits as its deepest bucket has; where 12 more bits don't
-    suffice, the next round goes on below the full cells alone.
+    directory of a round is indexed by as many bits as its deepest bucket has; the first round has bits for some cells per
+    shard that all bytes need, and where they don't suffice, the next round goes 12 bits on below the full cells alone.
 
     Rows that agree in id and text can't be told apart by any hash bit: where they exceed the limit together
     they are dealt into parts by their number (``shard`` ends in ``.part``), for which they are written once: numbers
