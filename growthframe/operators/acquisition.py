@@ -251,11 +251,47 @@ def override_by_click(click_col: str, click_dim: str, own: str) -> Column:
 
 # ----------------------------------------------------------------------------- K8
 
-_HOOKS = "array<struct<n:int,whole:boolean,v:string>>"
+_HOOKS = "array<struct<n: int, kind: int, v: string>>"
 
 
-def _beginning(n: int, col: str):
-    return lambda size: F.struct(F.lit(n).alias("n"), F.lit(False).alias("whole"), F.lower(F.substring(F.col(col), F.lit(1), size)).alias("v"))
+#: Kinds of hooks: the whole value, its beginning, one of its q-grams, nothing at all (rows of wildcards alone).
+_WHOLE, _START, _GRAM, _ANY = 0, 1, 2, 3
+#: Letters of a q-gram; shorter literal pieces of a pattern are taken whole.
+_Q = 3
+
+
+def _hook(n: int, kind: int, v: Column) -> Column:
+    return F.struct(F.lit(n).alias("n"), F.lit(kind).alias("kind"), v.alias("v"))
+
+
+def _pattern_hooks(cols: Sequence[str]) -> Column:
+    """The hooks on which a mapping row may hang, any of which a matching key has: one for a pattern without wildcards, else one for a
+    pattern that only ends in ``%``, else the q-grams of all literal pieces."""
+    low = [F.lower(F.col(c)) for c in cols]
+    whole = [F.when(~x.rlike(r"[%_\\\\]"), _hook(n, _WHOLE, x)) for n, x in enumerate(low)]
+    start = [F.when(x.rlike(r"^[^%_\\\\]+%$"), _hook(n, _START, F.rtrim(x, F.lit("%")))) for n, x in enumerate(low)]
+    grams = []
+    for n, x in enumerate(low):
+        pieces = F.filter(F.split(F.when(~x.contains("\\"), x), "[%_]"), lambda p: p != "")
+        size = F.least(F.lit(_Q), F.array_max(F.transform(pieces, lambda p: F.length(p))))
+        long = F.filter(pieces, lambda p: F.length(p) >= size)
+        each = F.transform(long, lambda p: F.transform(F.sequence(F.lit(1), F.length(p) - size + 1), lambda i: _hook(n, _GRAM, F.substring(p, i, size))))
+        grams.append(F.coalesce(F.flatten(each), F.array().cast(_HOOKS)))
+    one = F.coalesce(*whole, *start)
+    found = F.array_distinct(F.concat(*grams))
+    return F.when(one.isNotNull(), F.array(one)).when(F.size(found) > 0, found).otherwise(F.array(_hook(0, _ANY, F.lit(""))))
+
+
+def _key_hooks(keys: Sequence[str], used: Column) -> Column:
+    """All hooks of a fact key of the kinds and sizes that occur in the mapping (``used``): not one for each letter."""
+    out = [F.array(_hook(0, _ANY, F.lit("")))]
+    for n, f in enumerate(keys):
+        x, size = F.lower(F.col(f)), F.length(F.lower(F.col(f)))
+        starts = F.transform(F.filter(used, lambda u: (u["n"] == n) & (u["kind"] == _START) & (u["size"] <= size)), lambda u: _hook(n, _START, F.substring(x, F.lit(1), u["size"])))
+        grams = F.flatten(F.transform(F.filter(used, lambda u: (u["n"] == n) & (u["kind"] == _GRAM) & (u["size"] <= size)),
+                                      lambda u: F.transform(F.sequence(F.lit(1), size - u["size"] + 1), lambda i: _hook(n, _GRAM, F.substring(x, i, u["size"])))))
+        out.append(F.coalesce(F.concat(F.array(_hook(n, _WHOLE, x)), starts, F.array_distinct(grams)), F.array().cast(_HOOKS)))
+    return F.concat(*out)
 
 
 def map_patterns(facts: DataFrame, mapping: DataFrame, pattern_cols: Sequence[tuple[str, str]],
@@ -264,34 +300,37 @@ def map_patterns(facts: DataFrame, mapping: DataFrame, pattern_cols: Sequence[tu
     """K8: LIKE mapping table where a NULL pattern is a wildcard.
 
     ``pattern_cols`` = [(fact column, mapping pattern column)], matched case-insensitively.
-    Only the DISTINCT fact keys are matched. A mapping row hangs on one of its patterns: one
-    without ``%`` or ``_`` is found by an equi-join on the lower-cased key, else one that ends in its only
-    ``%`` by an equi-join on the key's beginnings. Only rows without such a pattern (true infix patterns, wildcards
-    alone) are compared with every distinct key. The result is joined back on the keys.
+    Only the DISTINCT fact keys are matched, through an inverted index over the patterns: a mapping row hangs on
+    one hook (a whole value, a beginning, or else the q-gram of its literal pieces that the fewest keys have), and keys and
+    rows meet by equality of hooks; LIKE is only checked on what meets. Only rows of wildcards alone meet every
+    key. The result is joined back on the keys.
 
     ``mode="all"`` keeps every matching mapping row (the reference's behaviour, M11);
     ``mode="best"`` keeps the lowest ``sort`` (most specific) match, of equals the lowest outputs."""
     keys = [f for f, _ in pattern_cols]
-    k = facts.select(*keys).distinct().alias("k")
-    cond = reduce(lambda a, b: a & b, [
-        F.col(f"m.{p}").isNull() | F.like(F.lower(F.col(f"k.{f}")), F.lower(F.col(f"m.{p}")))
-        for f, p in pattern_cols])
-    low = [F.lower(F.col(p)) for _, p in pattern_cols]
-    whole = [F.when(~x.rlike(r"[%_\\\\]"), F.struct(F.lit(n).alias("n"), F.lit(True).alias("whole"), x.alias("v"))) for n, x in enumerate(low)]
-    start = [F.when(x.rlike(r"^[^%_\\\\]+%$"), F.struct(F.lit(n).alias("n"), F.lit(False).alias("whole"), F.rtrim(x, F.lit("%")).alias("v"))) for n, x in enumerate(low)]
-    m = mapping.withColumn("_hook", F.coalesce(*whole, *start))
-    hooks = [F.concat(F.array(F.struct(F.lit(n).alias("n"), F.lit(True).alias("whole"), F.lower(F.col(f)).alias("v"))),
-                      F.transform(F.sequence(F.lit(1), F.greatest(F.lit(1), F.length(f))), _beginning(n, f))) for n, f in enumerate(keys)]
-    hooked = k.select("*", F.explode(F.flatten(F.array(*[F.coalesce(h, F.array().cast(_HOOKS)) for h in hooks]))).alias("_h")).alias("k")
-    found = [hooked.join(m.where("_hook IS NOT NULL").alias("m"), (F.col("k._h") == F.col("m._hook")) & cond),
-             k.join(m.where("_hook IS NULL").alias("m"), cond)]
-    pick = [*[F.col(f"k.{f}").alias(f) for f in keys], *[F.col(f"m.{o}").alias(o) for o in outputs], F.col(f"m.{sort_col}").alias("_sort")]
-    matched = found[0].select(*pick).union(found[1].select(*pick))
+    patterns = [p for _, p in pattern_cols]
+    k = facts.select(*keys).distinct()
+    m = mapping.groupBy(*[c for c in mapping.columns if c in {*patterns, *outputs, sort_col}]).agg(F.count("*").alias("_copies"))
+    m = m.withColumn("_hooks", _pattern_hooks(patterns))
+    used = m.select(F.explode("_hooks").alias("h")).agg(F.collect_set(F.struct("h.n", "h.kind", F.length("h.v").alias("size")))).scalar()
+    hooked = k.withColumn("_used", used).select(*keys, F.explode(_key_hooks(keys, F.col("_used"))).alias("_h"))
+    # of several q-grams the one that the fewest keys have; one that none has finds nothing, as it should
+    many = m.filter(F.size("_hooks") > 1)
+    asked = many.select(F.explode("_hooks").alias("_h")).distinct()
+    counted = hooked.join(asked, "_h").groupBy("_h").agg(F.count("*").alias("_n"))
+    rare = many.select("*", F.explode("_hooks").alias("_h")).join(counted, "_h", "left")
+    row = [c for c in m.columns if c != "_hooks"]
+    rare = rare.groupBy(F.struct(*row).alias("_row")).agg(F.min_by("_h", F.struct(F.coalesce("_n", F.lit(0)), "_h")).alias("_h")).select("_row.*", "_h")
+    m = m.filter(F.size("_hooks") == 1).select(*row, F.col("_hooks")[0].alias("_h")).unionByName(rare)
+    a, b = hooked.alias("k"), m.alias("m")
+    cond = reduce(lambda x, y: x & y, [F.col(f"m.{p}").isNull() | F.like(F.lower(F.col(f"k.{f}")), F.lower(F.col(f"m.{p}"))) for f, p in pattern_cols])
+    matched = a.join(b, (F.col("k._h") == F.col("m._h")) & cond).select(
+        *[F.col(f"k.{f}").alias(f) for f in keys], *[F.col(f"m.{o}").alias(o) for o in outputs], F.col(f"m.{sort_col}").alias("_sort"), F.col("m._copies").alias("_copies"))
     if mode == "best":
         best = matched.groupBy(*keys).agg(F.min_by(F.struct(*outputs), F.struct("_sort", *outputs)).alias("_b"))
         matched = best.select(*keys, *[F.col(f"_b.{o}").alias(o) for o in outputs])
-    elif mode == "all":
-        matched = matched.drop("_sort")
+    elif mode == "all":  # equal mapping rows match as often as they stand there
+        matched = matched.withColumn("_copies", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).drop("_sort", "_copies")
     else:
         raise ValueError(mode)
     # NULL fact keys are legal (a touch without medium): null-safe equality, still an equi-join

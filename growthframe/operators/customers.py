@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from growthframe.functions.semantics import months_diff, ratio_capped, round_half_up, safe_divide
 from growthframe.operators.common import bucketed_lag, bucketed_running_sum, with_group_agg
-from growthframe.operators.ranking import exact_ntile
+from growthframe.operators.selection import exact_ntile
 
 
 def monthly_cohort_orders(orders: DataFrame, customer: str, date: str, order_id: str) -> DataFrame:
@@ -94,22 +94,22 @@ def running_pace(df: DataFrame, date: str, measure: str, as_of) -> DataFrame:
                     .alias("projection_month_end"))
 
 
-def ltv_groups(orders: DataFrame, customer: str, amount: str, order_id: str, n: int = 4) -> DataFrame:
+def ltv_groups(orders: DataFrame, customer: str, amount: str, order_id: str, n: int = 4, distributed: bool | None = None) -> DataFrame:
     """Per customer value, orders, AOV and value quartile (NTILE over customers with a
-    positive value, highest value = group 1). The NTILE is exact and distributed
-    (:func:`exact_ntile`), never a single-partition window."""
+    positive value, highest value = group 1). The NTILE is exact (:func:`exact_ntile`): by selection, or by a plain
+    window where the table's estimated size fits one task."""
     c = orders.groupBy(customer).agg(F.sum(amount).alias("customer_value"),
                                      F.countDistinct(order_id).alias("orders"))
     c = c.withColumn("aov", safe_divide("customer_value", "orders"))
     pos = c.filter(F.col("customer_value") > 0)
-    return exact_ntile(pos, n, [(-F.col("customer_value")), F.col(customer)], name="ltv_group")
+    return exact_ntile(pos, n, [(-F.col("customer_value")), F.col(customer)], name="ltv_group", distributed=distributed)
 
 
-def ltv_subgroups(groups: DataFrame, customer: str, n: int = 4) -> DataFrame:
+def ltv_subgroups(groups: DataFrame, customer: str, n: int = 4, distributed: bool | None = None) -> DataFrame:
     """Inside each value group, quartiles of AOV and of order count (one partitioned
-    NTILE each instead of one union branch per group), both exact and distributed."""
-    a = exact_ntile(groups, n, [(-F.col("aov")), F.col(customer)], ["ltv_group"], name="aov_subgroup")
-    return exact_ntile(a, n, [(-F.col("orders")), F.col(customer)], ["ltv_group"], name="orders_subgroup")
+    NTILE each instead of one union branch per group), both exact (:func:`exact_ntile`)."""
+    a = exact_ntile(groups, n, [(-F.col("aov")), F.col(customer)], ["ltv_group"], name="aov_subgroup", distributed=distributed)
+    return exact_ntile(a, n, [(-F.col("orders")), F.col(customer)], ["ltv_group"], name="orders_subgroup", distributed=distributed)
 
 
 def group_transitions(orders: DataFrame, customer: str, date: str, order_id: str, amount: str,

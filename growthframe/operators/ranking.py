@@ -76,37 +76,3 @@ def exact_ntile(df: DataFrame, n: int, order: Sequence[Column | str], partition_
     """NTILE(n) OVER ([PARTITION BY ...] ORDER BY order), exact and distributed."""
     r = exact_row_number(df, order, partition_cols, "_rank", num_partitions, keep_total=True)
     return r.withColumn(name, ntile_from_rank(F.col("_rank"), F.col("_total"), n)).drop("_rank", "_total")
-
-
-def exact_percentile(df: DataFrame, value: str, quantiles: Sequence[float], group: Sequence[str] = (),
-                     num_partitions: int | None = None, prefix: str = "p") -> DataFrame:
-    """PERCENTILE_CONT(q) per group, exact, without holding a group in one aggregate buffer.
-
-    Spark's ``percentile`` keeps every distinct value of a group in one buffer and merges a
-    global percentile in a single task. Here non-NULL values are ranked with
-    :func:`exact_row_number` (range partitioned on (group, value)); for each quantile the two
-    ranks around position q x (n - 1) are picked and interpolated linearly. Output: one row
-    per group with columns ``{prefix}{int(q * 100)}`` (e.g. p50)."""
-    x = df.select(*group, F.col(value).alias("_v")).filter(F.col("_v").isNotNull())
-    # a total order is needed: ties between equal values are broken by an arbitrary but
-    # deterministic id (equal values make the choice irrelevant for the result)
-    x = x.withColumn("_tie", F.monotonically_increasing_id())
-    r = exact_row_number(x, ["_v", "_tie"], group, "_r", num_partitions, keep_total=True)
-    picks = []
-    for q in quantiles:
-        pos = (F.col("_total") - 1) * F.lit(float(q))
-        lo, hi = F.floor(pos) + 1, F.ceil(pos) + 1
-        frac = pos - F.floor(pos)
-        name = f"{prefix}{int(round(q * 100))}"
-        v_lo = F.max(F.when(F.col("_r") == lo, F.col("_v")))
-        v_hi = F.max(F.when(F.col("_r") == hi, F.col("_v")))
-        picks.append((name, v_lo, v_hi, F.max(frac)))
-    cond = None
-    for q in quantiles:
-        pos = (F.col("_total") - 1) * F.lit(float(q))
-        c = (F.col("_r") == F.floor(pos) + 1) | (F.col("_r") == F.ceil(pos) + 1)
-        cond = c if cond is None else (cond | c)
-    g = r.filter(cond).groupBy(*group).agg(*[e.alias(f"{n}_{k}") for n, a, b, f in picks
-                                            for k, e in (("lo", a), ("hi", b), ("f", f))])
-    return g.select(*group, *[(F.col(f"{n}_lo") + (F.col(f"{n}_hi") - F.col(f"{n}_lo")) * F.col(f"{n}_f")).alias(n)
-                              for n, _, _, _ in picks])

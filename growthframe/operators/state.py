@@ -302,7 +302,8 @@ def price_per_unit(df: DataFrame, group: Sequence[str], value: str, cut_quantile
     """K103: per group the median of ``value`` after removing values above the overall
     ``cut_quantile`` (exact percentile; the threshold is a one-row aggregate cross-joined
     as a broadcast scalar)."""
-    from growthframe.operators.ranking import exact_percentile
+    from growthframe.operators.selection import exact_percentile
+    df = materialize(df.select(*group, value))  # read once for each histogram
     cut = exact_percentile(df, value, [cut_quantile]).scalar()  # scalar subquery, not a join
     x = df.filter(F.col(value) <= cut)
     med = exact_percentile(x, value, [0.5], group).withColumnRenamed("p50", "median_value")

@@ -203,6 +203,21 @@ def k8_all(spark, sf):
     return out.select("event_id", "source_name", "channel")
 
 
+# Fixed values of the stand-in: patterns for part names (infix words, pieces in order, single letters, an escape, wildcards alone, a repeated row).
+PART_PATTERNS = [("%blue%", None, "blue", 1), ("%a%e%i%", "%BRASS", "vowels", 2), ("red%", "%", "red start", 3), ("%gr__n%", None, "green", 4), (None, "%polished%", "polished", 5),
+                 ("%z%", None, "z", 6), ("%\\\\%%", None, "percent", 7), ("%", "LARGE%", "large", 8), ("%zzzz%", None, "never", 0), ("%blue%", None, "blue", 1), ("_%", "%_", "any", 9)]
+
+
+@paired("k8_map_patterns_infix", "WITH m AS (SELECT * FROM (VALUES " + ", ".join(f"({'NULL' if a is None else repr(a)}, {'NULL' if b is None else repr(b)}, '{c}', {d})" for a, b, c, d in PART_PATTERNS).replace("\\\\\\\\", "\\\\") + """) v(pn, pt, label, sort))
+SELECT p_partkey, COALESCE(m.label, 'none') AS label FROM part LEFT JOIN m
+  ON (m.pn IS NULL OR lower(p_name) LIKE lower(m.pn) ESCAPE '\\') AND (m.pt IS NULL OR lower(p_type) LIKE lower(m.pt) ESCAPE '\\')
+""", covers=("K8", "J8", "M11", "P6"))
+def k8_infix(spark, sf):
+    facts = load(spark, sf, "part").select("p_partkey", "p_name", "p_type")
+    m = spark.createDataFrame([(a and a.replace("\\\\", "\\"), b, c, d) for a, b, c, d in PART_PATTERNS], "pn string, pt string, label string, sort int")
+    return AQ.map_patterns(facts, m, [("p_name", "pn"), ("p_type", "pt")], ["label"], mode="all", unmapped="none").select("p_partkey", "label")
+
+
 @paired("k4_utm_cascade", WEB_BASE_SQL + """
 , x AS (SELECT *, CASE WHEN value > 480 THEN 'gclid-' || CAST(event_id AS VARCHAR) END AS gclid,
           CASE WHEN event_type = 'view' AND k % 4 < 3 THEN 'referral' END AS ref_medium,

@@ -140,14 +140,14 @@ c2 AS (SELECT *, {R6.format(x="customer_value / NULLIF(orders, 0)")} AS aov FROM
 g AS (SELECT *, NTILE(4) OVER (ORDER BY customer_value DESC, customer_id) AS ltv_group FROM c2 WHERE customer_value > 0)"""
 
 
-def _ltv(spark, sf):
+def _ltv(spark, sf, distributed=None):
     o = orders(spark, sf)
     c = o.groupBy("customer_id").agg(round_half_up(F.sum("amount"), 2).alias("customer_value"),
                                      F.countDistinct("order_id").alias("orders"))
     c = c.withColumn("aov", round_half_up(safe_divide("customer_value", "orders"), 6))
-    from growthframe.operators.ranking import exact_ntile
+    from growthframe.operators.selection import exact_ntile
     return exact_ntile(c.filter(F.col("customer_value") > 0), 4, [-F.col("customer_value"), F.col("customer_id")],
-                       name="ltv_group")
+                       name="ltv_group", distributed=distributed)
 
 
 @paired("k48_ltv_groups", _LTV_SQL + """
@@ -157,6 +157,22 @@ def k48(spark, sf):
     return _ltv(spark, sf).select("customer_id", "customer_value", "orders", "aov", "ltv_group")
 
 
+@paired("k48_ltv_groups_by_selection", _LTV_SQL + """
+SELECT customer_id, customer_value, CAST(ltv_group AS INTEGER) AS ltv_group FROM g
+""", covers=("K48", "W4"))
+def k48_selection(spark, sf):
+    return _ltv(spark, sf, distributed=True).select("customer_id", "customer_value", "ltv_group")
+
+
+@paired("k49_ltv_subgroups_by_selection", _LTV_SQL + """
+SELECT customer_id, CAST(NTILE(4) OVER (PARTITION BY ltv_group ORDER BY aov DESC, customer_id) AS INTEGER) AS aov_subgroup,
+  CAST(NTILE(4) OVER (PARTITION BY ltv_group ORDER BY orders DESC, customer_id) AS INTEGER) AS orders_subgroup
+FROM g
+""", covers=("K49", "W4"))
+def k49_selection(spark, sf):
+    return CU.ltv_subgroups(_ltv(spark, sf), "customer_id", distributed=True).select("customer_id", "aov_subgroup", "orders_subgroup")
+
+
 @paired("k49_ltv_subgroups", _LTV_SQL + """
 SELECT customer_id, CAST(ltv_group AS INTEGER) AS ltv_group,
   CAST(NTILE(4) OVER (PARTITION BY ltv_group ORDER BY aov DESC, customer_id) AS INTEGER) AS aov_subgroup,

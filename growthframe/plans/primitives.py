@@ -354,9 +354,8 @@ SELECT o_orderkey, o_totalprice FROM orders CROSS JOIN t WHERE o_totalprice > t.
 """, covers=("J19", "A17"))
 def j19(spark, sf):
     o = T(spark, sf, "orders")
-    from growthframe.operators.ranking import exact_percentile
-    # exact global p99 from distributed ranks (no single-task percentile buffer), used as a
-    # scalar subquery
+    from growthframe.operators.selection import exact_percentile
+    # exact global p99 by selection (no single-task percentile buffer), used as a scalar subquery
     p99 = exact_percentile(o, "o_totalprice", [0.99]).scalar()
     return o.filter(F.col("o_totalprice") > p99).select("o_orderkey", "o_totalprice")
 
@@ -536,7 +535,7 @@ FROM orders GROUP BY 1
 """, covers=("A17",))
 def a17(spark, sf):
     o = T(spark, sf, "orders")
-    from growthframe.operators.ranking import exact_percentile
+    from growthframe.operators.selection import exact_percentile
     q = exact_percentile(o, "o_totalprice", [0.5, 0.9], ["o_orderpriority"])
     return q.select("o_orderpriority", S.round_half_up("p50", 4).alias("median_price"), S.round_half_up("p90", 4).alias("p90_price"))
 
@@ -666,7 +665,7 @@ FROM part
 """, covers=("W16",))
 def w16(spark, sf):
     p = T(spark, sf, "part").select("p_partkey", "p_type", "p_retailprice")
-    from growthframe.operators.ranking import exact_percentile
+    from growthframe.operators.selection import exact_percentile
     med = exact_percentile(p, "p_retailprice", [0.5], ["p_type"]).select("p_type", S.round_half_up("p50", 4).alias("type_median"))
     return p.join(med, "p_type", "left").select(
         "p_partkey", "p_type", "type_median")

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 from growthframe.operators import ads as AD
 from growthframe.operators import customers as CU
 from growthframe.operators.calendar import spine_from_bounds
-from growthframe.operators.ranking import exact_ntile, exact_row_number
+from growthframe.operators.ranking import exact_row_number
+from growthframe.operators.selection import exact_ntile
 from growthframe.plans import acquisition as PA
 from growthframe.plans import subscriptions as PS
 from growthframe.sources import sinks as SK
@@ -103,7 +104,7 @@ def test_k56_sweep_equals_inequality_join(spark):
        st.integers(1, 5))
 def test_exact_ntile_equals_window_ntile(spark, rows, n):
     df = spark.createDataFrame([(i, g, v) for i, (g, v) in enumerate(rows)], "id long, g int, v int")
-    ours = exact_ntile(df, n, ["v", "id"], ["g"], name="b", num_partitions=3)
+    ours = exact_ntile(df, n, ["v", "id"], ["g"], name="b", distributed=True)
     ref = df.withColumn("b", F.ntile(n).over(Window.partitionBy("g").orderBy("v", "id")))
     assert sorted(map(tuple, ours.select("id", "b").collect())) == sorted(map(tuple, ref.select("id", "b").collect()))
 
@@ -128,10 +129,10 @@ def test_preset_bounds_month_end_clamp():
 @given(st.lists(st.tuples(st.integers(0, 2), st.integers(-20, 20)), min_size=1, max_size=50),
        st.sampled_from([0.0, 0.25, 0.5, 0.9, 0.99, 1.0]))
 def test_exact_percentile_equals_percentile(spark, rows, q):
-    from growthframe.operators.ranking import exact_percentile
+    from growthframe.operators.selection import exact_percentile
     df = spark.createDataFrame([(g, float(v)) for g, v in rows], "g int, v double")
     name = f"p{int(round(q * 100))}"
-    ours = {r["g"]: r[name] for r in exact_percentile(df, "v", [q], ["g"], num_partitions=3).collect()}
+    ours = {r["g"]: r[name] for r in exact_percentile(df, "v", [q], ["g"]).collect()}
     ref = {r["g"]: r["x"] for r in df.groupBy("g").agg(F.percentile("v", q).alias("x")).collect()}
     assert ours.keys() == ref.keys() and all(abs(ours[k] - ref[k]) < 1e-9 for k in ref)
 
