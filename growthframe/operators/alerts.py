@@ -130,3 +130,25 @@ def alert_record(alerts: DataFrame, threshold: float) -> DataFrame:
                     F.concat(F.lit("Volume "), round_half_up(F.col("variation") * 100, 1).cast("string"),
                              F.lit("% vs 4-week mean, -"), F.lit(str(int(round((1 - threshold) * 100)))),
                              F.lit("% allowed")).alias("rationale"))
+
+
+def alert_records(zero: DataFrame, variation: DataFrame, threshold: float, as_of) -> DataFrame:
+    """K111 in full: the alerts of a run of both types (:func:`zero_event_alerts`, :func:`variation_alerts`) as records of one shape, to be
+    appended to the history that the next run reads.
+
+    ``zero_event``, ``relative_variation`` and ``absolute_threshold`` are nested; the part of the other types is NULL in its
+    fields. A relative variation compares the monitored day with the four same weekdays before."""
+    mon = F.col("monitored_date")
+    none = F.lit(None).cast("double")
+    shape = lambda kind, **c: F.struct(*[v.alias(k) for k, v in c.items()]).alias(kind)
+    absolute = shape("absolute_threshold", threshold_min=none, threshold_max=none, current_value=none)
+    same = ["alert_type", "event_name", "website", mon.alias("start_date"), mon.alias("end_date")]
+    tail = [F.lit(as_of).cast("date").alias("alert_date"), "is_new_alert", "previous_alert_date", "first_alert_date"]
+    z = zero.select(*same, F.lit(None).cast("date").alias("compared_start_date"), F.lit(None).cast("date").alias("compared_end_date"),
+                    shape("zero_event", empty_days=F.when(F.col("is_new_alert"), 1).otherwise(8), monitored=mon),
+                    shape("relative_variation", threshold_decrease=none, threshold_increase=none, current_variation=none), absolute, *tail, "rationale")
+    text = F.concat(F.col("event_name"), F.lit(" on "), F.col("website"), F.lit(": "), round_half_up(F.col("variation") * 100, 1).cast("string"), F.lit(" % against the usual weekday"))
+    v = variation.select(*same, F.date_sub(mon, 28).alias("compared_start_date"), F.date_sub(mon, 7).alias("compared_end_date"),
+                         shape("zero_event", empty_days=F.lit(None).cast("int"), monitored=F.lit(None).cast("date")),
+                         shape("relative_variation", threshold_decrease=F.lit(1 - threshold), threshold_increase=none, current_variation=F.col("variation")), absolute, *tail, text.alias("rationale"))
+    return z.unionByName(v)

@@ -153,3 +153,15 @@ def bucketed_running_extreme(df: DataFrame, keys: Sequence[str], ts: str, tie: s
     per = per.withColumn("_before", one("_bx").over(over_b.rowsBetween(Window.unboundedPreceding, -1))).drop("_bx")
     inside = one(value).over(wb.rowsBetween(Window.unboundedPreceding, -1 if exclusive else 0))
     return x.join(per, "_g").withColumn(name, two(F.col("_before"), inside)).drop("_g", "_before")
+
+
+def piecewise_row_number(df: DataFrame, keys: Sequence[str], piece: Column, order: Sequence[Column], name: str) -> DataFrame:
+    """``ROW_NUMBER() OVER (PARTITION BY keys ORDER BY order)`` for any order, by pieces of a key: ``piece`` must not fall along the
+    order (its first term, a day of it). A piece is numbered by itself, behind the rows of the pieces before it, so that a hot key
+    is spread over as many tasks as it has pieces."""
+    x = df.withColumn("_g", F.struct(F.struct(*keys).alias("k"), piece.alias("p")))
+    n = x.groupBy("_g").agg(F.count("*").alias("_n"))
+    before = F.sum("_n").over(Window.partitionBy("_g.k").orderBy("_g.p").rowsBetween(Window.unboundedPreceding, -1))
+    n = n.select("_g", F.coalesce(before, F.lit(0)).alias("_before"))
+    w = Window.partitionBy("_g").orderBy(*order)
+    return x.join(n, "_g").withColumn(name, F.col("_before") + F.row_number().over(w)).drop("_g", "_before")

@@ -211,6 +211,15 @@ def time_between_orders(orders: DataFrame, customer: str, date: str, order_id: s
     return days.withColumn("days_since_previous", F.datediff("day", F.lag("day").over(w)))
 
 
+def new_accounts_by_store(created: DataFrame, date: str, store: str, customer: str, spine: DataFrame, period_days: int) -> DataFrame:
+    """K59 by store: distinct accounts per day and store next to those of the same store ``period_days`` earlier. A day of the spine
+    without accounts is one row without a store; the earlier count is NULL where that store had none."""
+    per = created.groupBy(F.to_date(F.col(date)).alias("d"), F.col(store).alias("store")).agg(F.countDistinct(customer).alias("accounts"))
+    prev = per.select(F.date_add("d", period_days).alias("d"), "store", F.col("accounts").alias("accounts_previous"))
+    cur = spine.join(per, "d", "left").fillna(0, ["accounts"])
+    return cur.join(prev, ["d", "store"], "left")
+
+
 def new_accounts(created: DataFrame, date: str, spine: DataFrame, period_days: int) -> DataFrame:
     """Accounts created per day next to the count ``period_days`` earlier (spine-dense)."""
     per = created.groupBy(F.to_date(F.col(date)).alias("d")).agg(F.count("*").alias("accounts"))
@@ -305,3 +314,22 @@ def rolling_window_metrics(daily: DataFrame, day: str, sums: Sequence[str], days
     for s in sums:
         out = out.withColumn(f"{s}_{days}d", F.sum(s).over(w))
     return out
+
+
+def payback_and_goals(monthly: DataFrame, goals: DataFrame, month: str = "month") -> DataFrame:
+    """Metrics that rest on other metrics. ``monthly`` has spend, new_customers, first_purchase_amount (sum over new
+    customers), revenue, paid_touches and touches; ``goals`` (month, measure, goal).
+
+    CAC = spend per new customer; payback = CAC over the average first purchase (first purchases that pay one customer back);
+    efficiency = 100 x the share of paid touches over the CAC; each goal with what was reached and the rate. A
+    measure without a denominator is NULL, and so is all that rests on it."""
+    m = monthly.withColumn("cac", safe_divide("spend", "new_customers"))
+    m = m.withColumn("average_first_purchase", safe_divide("first_purchase_amount", "new_customers"))
+    m = m.withColumn("payback_purchases", safe_divide("cac", "average_first_purchase"))
+    m = m.withColumn("paid_rate", safe_divide("paid_touches", "touches")).withColumn("efficiency_score", safe_divide(100 * F.col("paid_rate"), F.col("cac")))
+    kinds = [r for r in ("revenue", "new_customers", "spend")]
+    g = goals.groupBy(month).agg(*[F.max(F.when(F.col("measure") == k, F.col("goal"))).alias(f"{k}_goal") for k in kinds])
+    x = m.join(g, month, "left")
+    for k in kinds:
+        x = x.withColumn(f"{k}_goal_rate", safe_divide(F.col(k), F.col(f"{k}_goal")))
+    return x

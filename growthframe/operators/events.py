@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from growthframe.functions.semantics import epoch_micros, first_non_null, param_value, regex_group, round_half_up
 from growthframe.operators.common import bucketed_lag, bucketed_lead, bucketed_row_number, with_group_agg
+from growthframe.operators.ordered import ordered_text
 
 
 def event_params(df: DataFrame, arr: str, keys: dict[str, tuple[str, str]]) -> DataFrame:
@@ -89,14 +90,15 @@ def sessionize(df: DataFrame, user: str, ts: str, event_id: str, gap_minutes: in
 
 
 def session_rollup(df: DataFrame, session: str, ts: str, page: str, utm_cols: Sequence[str],
-                   lead_flag: Column) -> DataFrame:
+                   lead_flag: Column, tie: str | None = None) -> DataFrame:
     """K2: one row per session: start, date, landing page, first non-NULL value of each utm
-    field, any-lead flag. One aggregate (min_by with NULLs skipped) instead of one window per
+    field, any-lead flag; of hits at the same time the smallest ``tie`` (an event id) comes first (M15). One aggregate (min_by with NULLs skipped) instead of one window per
     field; partial aggregation keeps the shuffle at one row per session and partition."""
+    at = F.struct(ts, tie) if tie else F.col(ts)
     aggs = [F.min(ts).alias("session_start"), F.to_date(F.min(ts)).alias("session_date"),
-            F.min_by(F.col(page), F.col(ts)).alias("landing_page"),
+            F.min_by(F.col(page), at).alias("landing_page"),
             F.bool_or(lead_flag).alias("is_lead"), F.count("*").alias("hits")]
-    aggs += [first_non_null(c, ts).alias(f"first_{c}") for c in utm_cols]
+    aggs += [first_non_null(c, at).alias(f"first_{c}") for c in utm_cols]
     return df.groupBy(session).agg(*aggs)
 
 
@@ -113,13 +115,14 @@ def visit_hits(df: DataFrame, visit: str, ts: str, event_id: str, is_page: Colum
             .withColumn("is_interaction", is_interaction))
 
 
-def page_journey(df: DataFrame, visit: str, ts: str, event_id: str, page: str, sep: str = " > ") -> DataFrame:
-    """Ordered page path string and distinct pages per visit."""
-    g = df.groupBy(visit).agg(F.array_sort(F.collect_list(F.struct(ts, event_id, page))).alias("_h"))
-    pages = F.transform("_h", lambda h: h[page])
-    return g.select(visit, F.array_join(pages, sep).alias("journey"),
-                    F.size(F.array_distinct(pages)).alias("distinct_pages"),
-                    F.size(pages).alias("pageviews"))
+def page_journey(df: DataFrame, visit: str, ts: str, event_id: str, page: str, sep: str = " > ", bucket: str = "hour") -> DataFrame:
+    """Ordered page path string and distinct pages per visit.
+
+    Put together from pieces of one hour each (`ordered_text`), so a visit with a third of all hits is sorted in as many tasks as it
+    has hours; only the final path holds a visit whole (``journey_chars`` characters)."""
+    x = ordered_text(df, [visit], F.date_trunc(bucket, F.col(ts)), F.struct(ts, event_id), F.col(page), sep, "journey")
+    return x.select(visit, "journey", F.col("distinct_journey").alias("distinct_pages"), F.col("n_journey").cast("int").alias("pageviews"),
+                    F.col("chars_journey").alias("journey_chars"))
 
 
 def session_bounds(sessions: DataFrame, user: str, start: str, session: str) -> DataFrame:

@@ -8,14 +8,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from growthframe.functions.formatting import age_bucket
-from growthframe.functions.semantics import iso_weekday, regex_group, safe_divide
+from growthframe.functions.semantics import iso_weekday, regex_group, round_half_up, safe_divide
 from growthframe.operators.common import bucketed_row_number
 
 
 def enriched_orders(orders: DataFrame, customers: DataFrame, customer: str, date: str, order_id: str,
-                    as_of, dob: str | None = None) -> DataFrame:
+                    as_of, dob: str | None = None, discount: str | None = None, paid: str | None = None) -> DataFrame:
     """Order fact with ISO weekday and name, day period, customer seniority in days at the
-    order, age range, order rank of the customer and first-order flag.
+    order, age range, order rank of the customer and first-order flag; with ``discount`` and ``paid`` the promotion rate (share
+    of the discount in the full price, percent, one decimal) and whether there was a discount.
 
     The order rank is a month-bucketed row number (skew-safe); seniority uses the customer's
     first order as a pre-aggregated minimum joined back."""
@@ -30,6 +31,9 @@ def enriched_orders(orders: DataFrame, customers: DataFrame, customer: str, date
                    period.alias("day_period"),
                    F.datediff(F.to_date(d), F.to_date("_first")).alias("seniority_days"))
     out = out.withColumn("is_first_order", F.col("order_rank") == 1)
+    if discount and paid:
+        off, full = F.col(discount), F.col(discount) + F.col(paid)
+        out = out.withColumn("promotion_rate", round_half_up(100 * safe_divide(off, full), 1)).withColumn("with_discount", off > 0)
     if dob:
         from growthframe.functions.semantics import age_years
         out = out.withColumn("age_range", age_bucket(age_years(dob, F.lit(as_of))))
@@ -160,3 +164,24 @@ def omnichannel_daily(web: DataFrame, retail: DataFrame, customer: str, date: st
                                        F.sum("retail_revenue").alias("retail_revenue"),
                                        F.sum("refunds").alias("refunds"))
     return g.join(stores, customer)
+
+
+def store_clusters(orders: DataFrame, stores: DataFrame, customer: str, store: str, clusters: Sequence[str]) -> DataFrame:
+    """Per customer and store the clusters of the store, how many stores each cluster has, and in how many stores of it the
+    customer has bought. Distinct pairs are formed once; the counts come from them, not from windows over the orders."""
+    pairs = orders.select(customer, store).distinct().join(stores, store, "left")
+    out = pairs
+    for c in clusters:
+        # NULL clusters are a group, as in a window partition
+        size = pairs.select(F.struct(c).alias("_c"), store).distinct().groupBy("_c").agg(F.count(store).alias(f"{c}_stores"))
+        own = pairs.groupBy(F.struct(customer, c).alias("_o")).agg(F.count(store).alias(f"customer_{c}_stores"))
+        out = out.withColumn("_c", F.struct(c)).withColumn("_o", F.struct(customer, c)).join(size, "_c").join(own, "_o").drop("_c", "_o")
+    return out
+
+
+def gift_card_adjusted(orders: DataFrame, items: DataFrame, order: str, amount: str, name: str, qty: str, price: str, comment: str, card: str = "Carte cadeau") -> DataFrame:
+    """Revenue without gift cards and refunds: of each order the amount, the gift cards bought in it (of several card lines the
+    dearest), the refund named in its comment, and what is left, 0 at least."""
+    cards = items.groupBy(order).agg(F.max(F.when(F.col(name) == card, F.coalesce(qty, F.lit(0)) * F.coalesce(price, F.lit(0.0))).otherwise(0.0)).alias("gift_cards"))
+    x = orders.join(cards, order, "left").fillna(0.0, ["gift_cards"]).withColumn("refund", refund_amount(comment))
+    return x.withColumn("net_revenue", F.greatest(F.lit(0.0), F.col(amount) - F.col("gift_cards") - F.col("refund")))

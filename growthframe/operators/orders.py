@@ -84,6 +84,15 @@ def allocate_discount(lines: DataFrame, order: str, line_amount: str, order_tota
         .withColumn("line_share", share).drop("_lines_total")
 
 
+def rotation_by_day(lines: DataFrame, products: DataFrame, product: str, dims: Sequence[str], date: str, qty: str, margin: Column, pack: str, active: Column, as_of, months: int) -> DataFrame:
+    """K73 per day: units sold, average margin and average pack size of the products that are active now, over the last ``months`` full
+    months. ``dims`` are product columns to keep; inactive and unknown products are left out."""
+    end = F.to_date(F.date_trunc("month", F.lit(as_of).cast("date")))
+    d = F.to_date(F.col(date))
+    x = lines.filter((d >= F.add_months(end, -months)) & (d < end)).join(products.filter(active), product)
+    return x.groupBy(d.alias("d"), product, *dims).agg(F.sum(qty).cast("long").alias("units"), F.avg(margin).alias("margin"), F.round(F.avg(pack)).cast("long").alias("pack_size"))
+
+
 def rotation(lines: DataFrame, product: str, date: str, qty: str, margin: Column, as_of, months: int) -> DataFrame:
     """Units, margin and number of active months over the last ``months`` full months."""
     end = F.to_date(F.date_trunc("month", F.lit(as_of).cast("date")))

@@ -100,3 +100,31 @@ def k43_cohort_metrics(spark, sf_dir):
                     .alias("first_purchase_calendar_year_clients_volume"),
                     F.col("first_purchase_month_clients_volume").cast("long")
                     .alias("first_purchase_month_clients_volume"))
+
+
+# Customers and orders by scope (channel and both together) and period (month, quarter, year), of first buyers and of all.
+_SCOPES = {"channel, month": ["channel", "month"], "month": ["month"], "channel, quarter": ["channel", "quarter"], "quarter": ["quarter"], "channel, year": ["channel", "year"],
+           "year": ["year"], "channel": ["channel"], "all": []}
+
+
+def _scope_sql(label, keys):
+    cols = ", ".join(c if c in keys else f"NULL AS {c}" for c in ("channel", "month", "quarter", "year"))
+    return (f"SELECT '{label}' AS scope, {cols}, COUNT(DISTINCT o_custkey) AS customers, COUNT(DISTINCT CASE WHEN d = first THEN o_custkey END) AS first_buyers, "
+            f"COUNT(DISTINCT CASE WHEN o_orderstatus = 'F' THEN o_custkey END) AS fulfilled FROM o" + (f" GROUP BY {', '.join(keys)}" if keys else ""))
+
+
+@paired("k43_distinct_by_scopes", """
+WITH o AS (SELECT o_custkey, CASE WHEN o_orderkey % 3 = 0 THEN 'web' ELSE 'store ' || CAST(o_orderkey % 3 AS VARCHAR) END AS channel, CAST(o_orderdate AS DATE) AS d, o_orderstatus,
+                  CAST(date_trunc('month', o_orderdate) AS DATE) AS month, CAST(date_trunc('quarter', o_orderdate) AS DATE) AS quarter, CAST(date_trunc('year', o_orderdate) AS DATE) AS year,
+                  MIN(CAST(o_orderdate AS DATE)) OVER (PARTITION BY o_custkey) AS first FROM orders)
+""" + " UNION ALL ".join(_scope_sql(k, v) for k, v in _SCOPES.items()), covers=("K43", "K16", "K31", "A2", "A4"))
+def k43_scopes(spark, sf):
+    from growthframe.operators.common import with_group_agg
+    from growthframe.operators.distinct import distinct_by_scopes
+    o = load(spark, sf, "orders").select("o_custkey", "o_orderstatus", F.to_date("o_orderdate").alias("d"),
+                                         F.when(F.col("o_orderkey") % 3 == 0, "web").otherwise(F.concat(F.lit("store "), (F.col("o_orderkey") % 3).cast("string"))).alias("channel"))
+    for p in ("month", "quarter", "year"):
+        o = o.withColumn(p, F.to_date(F.date_trunc(p, "d")))
+    o = with_group_agg(o, ["o_custkey"], F.min("d").alias("first"))
+    flags = {"customers": F.lit(True), "first_buyers": F.col("d") == F.col("first"), "fulfilled": F.col("o_orderstatus") == "F"}
+    return distinct_by_scopes(o, _SCOPES, flags, "o_custkey").select("scope", "channel", "month", "quarter", "year", *flags)

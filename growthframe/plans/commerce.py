@@ -6,8 +6,11 @@ category = ``p_type``, product = ``l_partkey``, store = ``o_orderpriority``.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
+from growthframe.functions.formatting import AGE_BANDS, AGE_TOP_BAND
 from growthframe.functions.semantics import round_half_up
 from growthframe.operators import order_facts as OF
 from growthframe.operators import orders as OR
@@ -302,3 +305,88 @@ def k52(spark, sf):
     return e.select("o_orderkey", "o_custkey", "c_mktsegment", F.col("weekday_number").cast("long").alias("weekday_number"),
                     "weekday_name", "day_period", F.col("seniority_days").cast("long").alias("seniority_days"),
                     F.col("order_rank").cast("long").alias("order_rank"), "is_first_order")
+
+
+@paired("k52_promotion_and_age", f"""
+WITH l AS (SELECT l_orderkey, SUM(CAST(l_extendedprice * l_discount AS DECIMAL(18, 4))) AS off, SUM(CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18, 4))) AS paid FROM lineitem GROUP BY 1),
+c AS (SELECT c_custkey, CASE WHEN c_custkey % 17 > 0 THEN DATE '1930-01-15' + CAST((c_custkey * 3701) % 27000 AS INTEGER) END AS dob FROM customer),
+a AS (SELECT c_custkey, CAST(date_diff('year', dob, DATE '2001-08-01') AS INTEGER) - CASE WHEN strftime(dob, '%m-%d') > '08-01' THEN 1 ELSE 0 END AS age FROM c)
+SELECT o.o_orderkey, CAST(ROUND(CAST(100 * CAST(off AS DOUBLE) / NULLIF(CAST(off + paid AS DOUBLE), 0) AS DECIMAL(38, 6)), 1) AS DOUBLE) AS promotion_rate, off > 0 AS with_discount,
+  CASE WHEN age IS NULL THEN NULL {" ".join(f"WHEN age < {hi} THEN '{label}'" for hi, label in AGE_BANDS)} ELSE '{AGE_TOP_BAND}' END AS age_range
+FROM orders o JOIN l ON l.l_orderkey = o.o_orderkey LEFT JOIN a ON a.c_custkey = o.o_custkey
+""", covers=("K52", "F-d11", "X2"))
+def k52_promotion(spark, sf):
+    price, off = F.col("l_extendedprice"), F.col("l_discount")
+    li = load(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.sum((price * off).cast("decimal(18,4)")).cast("double").alias("off"), F.sum((price * (1 - off)).cast("decimal(18,4)")).cast("double").alias("paid"))
+    o = load(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate").join(li, "o_orderkey")
+    k = F.col("c_custkey")
+    c = load(spark, sf, "customer").select(k.alias("o_custkey"), F.when(k % 17 > 0, F.date_add(F.lit("1930-01-15").cast("date"), ((k * 3701) % 27000).cast("int"))).alias("dob"))
+    e = OF.enriched_orders(o, c, "o_custkey", "o_orderdate", "o_orderkey", dt.date(2001, 8, 1), dob="dob", discount="off", paid="paid")
+    return e.select("o_orderkey", "promotion_rate", "with_discount", "age_range")
+
+
+@paired("k71_order_line_facts_invoiced", r"""
+SELECT l.l_orderkey AS order_id, l.l_linenumber AS line_number,
+  CASE WHEN l.l_returnflag = 'R' THEN 0.0 ELSE l.l_quantity END AS net_quantity,
+  ROUND(p.p_retailprice * CASE WHEN l.l_returnflag = 'R' THEN 0 ELSE l.l_quantity END * 0.6, 4) AS cost,
+  ROUND((l.l_extendedprice * (1 - l.l_discount) - p.p_retailprice * CASE WHEN l.l_returnflag = 'R' THEN 0 ELSE l.l_quantity END * 0.6)
+        / NULLIF(l.l_extendedprice * (1 - l.l_discount), 0), 6) AS margin_rate
+FROM lineitem l LEFT JOIN part p ON p.p_partkey = l.l_partkey
+""", covers=("K71", "M28"))
+def k71_invoiced(spark, sf):
+    li = load(spark, sf, "lineitem")
+    o = load(spark, sf, "orders").select("o_orderkey", F.col("o_custkey").alias("customer_id"))
+    lines = li.join(o, li.l_orderkey == o.o_orderkey).select(
+        F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line_number"), F.col("l_partkey").alias("part_id"), "customer_id", F.col("l_quantity").alias("quantity"),
+        F.col("l_extendedprice").alias("extendedprice"), F.col("l_discount").alias("discount"), F.col("l_returnflag").alias("returnflag"))
+    p = load(spark, sf, "part").select(F.col("p_partkey").alias("part_id"), F.col("p_name").alias("part_name"), F.col("p_retailprice").alias("retailprice"),
+                                       F.regexp_extract("p_brand", r"#(\d+)", 1).cast("int").alias("brand_number"))
+    c = load(spark, sf, "customer").select(F.col("c_custkey").alias("customer_id"), F.col("c_mktsegment").alias("segment"))
+    return OF.order_line_facts(lines, p, c, qty="invoiced").select("order_id", "line_number", "net_quantity", "cost", "margin_rate")
+
+
+@paired("k73_rotation_active_packs", f"""
+SELECT CAST(l_shipdate AS DATE) AS d, l_partkey, p_brand, CAST(SUM(l_quantity) AS BIGINT) AS units, {R2.format(x="AVG(CAST(l_extendedprice * (1 - l_discount) AS DECIMAL(18, 4)))")} AS margin,
+       CAST(ROUND(AVG(p_size)) AS BIGINT) AS pack_size
+FROM lineitem JOIN part ON p_partkey = l_partkey
+WHERE p_partkey % 4 <> 0 AND CAST(l_shipdate AS DATE) >= DATE '2000-12-01' AND CAST(l_shipdate AS DATE) < DATE '2001-06-01' GROUP BY ALL
+""", covers=("K73", "J1"))
+def k73_packs(spark, sf):
+    li = load(spark, sf, "lineitem")
+    p = load(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand", "p_size")
+    margin = (F.col("l_extendedprice") * (1 - F.col("l_discount"))).cast("decimal(18,4)")
+    x = OR.rotation_by_day(li, p, "l_partkey", ["p_brand"], "l_shipdate", "l_quantity", margin, "p_size", F.col("l_partkey") % 4 != 0, "2001-06-15", 6)
+    return x.withColumn("margin", round_half_up(F.col("margin").cast("double"), 2))
+
+
+# Stand-ins: store = order key modulo 12; two kinds of clusters, the first missing for some stores.
+@paired("k76_store_clusters", """
+WITH o AS (SELECT o_custkey, o_orderkey % 12 AS store FROM orders),
+p AS (SELECT DISTINCT o_custkey, store, CASE WHEN store % 5 > 0 THEN 'geo ' || CAST(store % 5 AS VARCHAR) END AS geo, 'rank ' || CAST(store % 3 AS VARCHAR) AS ca FROM o),
+g AS (SELECT geo, COUNT(DISTINCT store) AS n FROM p GROUP BY 1), c AS (SELECT ca, COUNT(DISTINCT store) AS n FROM p GROUP BY 1)
+SELECT p.*, g.n AS geo_stores, COUNT(*) OVER (PARTITION BY o_custkey, p.geo) AS customer_geo_stores, c.n AS ca_stores, COUNT(*) OVER (PARTITION BY o_custkey, p.ca) AS customer_ca_stores
+FROM p JOIN g ON g.geo IS NOT DISTINCT FROM p.geo JOIN c ON c.ca = p.ca
+""", covers=("K76", "W14"))
+def k76_clusters(spark, sf):
+    o = load(spark, sf, "orders").select("o_custkey", (F.col("o_orderkey") % 12).alias("store"))
+    s = F.col("store")
+    stores = o.select("store").distinct().select("store", F.when(s % 5 > 0, F.concat(F.lit("geo "), (s % 5).cast("string"))).alias("geo"), F.concat(F.lit("rank "), (s % 3).cast("string")).alias("ca"))
+    return OF.store_clusters(o, stores, "o_custkey", "store", ["geo", "ca"]).select("o_custkey", "store", "geo", "ca", "geo_stores", "customer_geo_stores", "ca_stores", "customer_ca_stores")
+
+
+@paired("k76_gift_card_adjusted", f"""
+WITH i AS (SELECT l_orderkey, MAX(CASE WHEN l_linenumber % 4 = 1 THEN (CASE WHEN l_linenumber = 5 THEN 0 ELSE l_quantity END) * l_tax ELSE 0 END) AS cards FROM lineitem GROUP BY 1),
+o AS (SELECT o_orderkey, o_totalprice, CASE WHEN o_orderkey % 5 = 0 THEN CAST(o_orderkey % 900 AS DOUBLE) + 0.5 ELSE 0 END AS refund FROM orders)
+SELECT o.o_orderkey, {R2.format(x="COALESCE(cards, 0)")} AS gift_cards, refund, {R2.format(x="greatest(0, o_totalprice - COALESCE(cards, 0) - refund)")} AS net_revenue FROM o LEFT JOIN i ON i.l_orderkey = o.o_orderkey
+""", covers=("K76", "F-s3", "M2"))
+def k76_gift_cards(spark, sf):
+    k = F.col("o_orderkey")
+    amount = (k % 900).cast("string")
+    text = F.when(k % 5 == 0, F.when(k % 2 == 0, F.concat(F.lit("We refunded €"), amount, F.lit(".5"))).otherwise(F.concat(F.lit("Gift card was created for refund for amount "), amount, F.lit(".5 with code X"))))
+    o = load(spark, sf, "orders").select("o_orderkey", "o_totalprice", text.alias("comment"))
+    li = load(spark, sf, "lineitem")
+    items = li.select(F.col("l_orderkey").alias("o_orderkey"), F.when(F.col("l_linenumber") % 4 == 1, "Carte cadeau").otherwise("other").alias("name"),
+                      F.when(F.col("l_linenumber") != 5, F.col("l_quantity")).alias("qty"), F.col("l_tax").alias("price"))
+    x = OF.gift_card_adjusted(o, items, "o_orderkey", "o_totalprice", "name", "qty", "price", "comment")
+    return x.select("o_orderkey", round_half_up("gift_cards", 2).alias("gift_cards"), "refund", round_half_up("net_revenue", 2).alias("net_revenue"))

@@ -444,3 +444,44 @@ def k46s(spark, sf):
     derived = {"still_active_rate_capped": round_half_up(
         ratio_capped(F.col("active_customers") * 1.25, "customers"), 4)}
     return CU.metric_layer(c, ["store"], base, derived)
+
+
+@paired("k59_new_accounts_by_store", """
+WITH s AS (SELECT CAST(ts AS DATE) AS d, 'store ' || CAST(event_id % 3 AS VARCHAR) AS store, user_id FROM events WHERE event_type = 'signup' AND event_id % 4 > 0),
+b AS (SELECT MIN(CAST(ts AS DATE)) AS lo, MAX(CAST(ts AS DATE)) + 3 AS hi FROM events),
+spine AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS d FROM b),
+per AS (SELECT d, store, COUNT(DISTINCT user_id) AS accounts FROM s GROUP BY 1, 2),
+cur AS (SELECT spine.d, per.store, COALESCE(accounts, 0) AS accounts FROM spine LEFT JOIN per ON per.d = spine.d)
+SELECT cur.d, cur.store, cur.accounts, p.accounts AS accounts_previous FROM cur LEFT JOIN per p ON p.d = cur.d - 7 AND p.store = cur.store
+""", covers=("K59", "J3"))
+def k59_store(spark, sf):
+    e = load(spark, sf, "events")
+    spine = spine_from_bounds(e.agg(F.to_date(F.min("ts")).alias("lo"), F.date_add(F.to_date(F.max("ts")), 3).alias("hi")), "lo", "hi")
+    s = e.filter((F.col("event_type") == "signup") & (F.col("event_id") % 4 > 0)).withColumn("store", F.concat(F.lit("store "), (F.col("event_id") % 3).cast("string")))
+    return CU.new_accounts_by_store(s, "ts", "store", "user_id", spine, 7)
+
+
+# Stand-in goals: a tenth more than the same month of the year before; touches = order lines, paid ones have a discount of 5 % or more.
+@paired("k46_payback_and_goals", K44_CTE + f"""
+, m AS (SELECT CAST(date_trunc('month', d) AS DATE) AS month, SUM(amount) AS revenue, CAST(count_if(is_first_order) AS BIGINT) AS new_customers,
+               SUM(CASE WHEN is_first_order THEN amount END) AS first_amount FROM c GROUP BY 1),
+sp AS (SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS month, SUM(l_extendedprice * l_discount) AS spend, COUNT(*) AS touches, COUNT(CASE WHEN l_discount >= 0.05 THEN 1 END) AS paid
+       FROM lineitem GROUP BY 1),
+j AS (SELECT m.*, sp.spend, sp.touches, sp.paid, g.revenue * 1.1 AS revenue_goal, g.new_customers * 1.1 AS new_customers_goal, gs.spend * 1.1 AS spend_goal
+      FROM m JOIN sp USING (month) LEFT JOIN m g ON g.month = m.month - INTERVAL 1 YEAR LEFT JOIN sp gs ON gs.month = m.month - INTERVAL 1 YEAR),
+x AS (SELECT *, spend / NULLIF(new_customers, 0) AS cac, first_amount / NULLIF(new_customers, 0) AS afp FROM j)
+SELECT month, {R4.format(x="cac")} AS cac, {R4.format(x="cac / NULLIF(afp, 0)")} AS payback_purchases, {R4.format(x="100 * (paid / NULLIF(touches, 0)) / NULLIF(cac, 0)")} AS efficiency_score,
+  {R4.format(x="revenue / NULLIF(revenue_goal, 0)")} AS revenue_goal_rate, {R4.format(x="new_customers / NULLIF(new_customers_goal, 0)")} AS new_customers_goal_rate,
+  {R4.format(x="spend / NULLIF(spend_goal, 0)")} AS spend_goal_rate FROM x
+""", covers=("K46", "X4", "F-m2"))
+def k46_goals(spark, sf):
+    c = CU.monthly_cohort_orders(orders(spark, sf), "customer_id", "created_at", "order_id").withColumn("month", F.to_date(F.date_trunc("month", "created_at")))
+    base = CU.metric_layer(c, ["month"], {"revenue": F.sum("amount"), "new_customers": F.count_if("is_first_order"), "first_purchase_amount": F.sum(F.when(F.col("is_first_order"), F.col("amount")))}, {})
+    li = load(spark, sf, "lineitem")
+    sp = li.groupBy(F.to_date(F.date_trunc("month", "l_shipdate")).alias("month")).agg(
+        F.sum(F.col("l_extendedprice") * F.col("l_discount")).alias("spend"), F.count("*").alias("touches"), F.count_if(F.col("l_discount") >= 0.05).alias("paid_touches"))
+    later = F.add_months("month", 12).alias("month")
+    goals = base.select(later, F.lit("revenue").alias("measure"), (F.col("revenue") * 1.1).alias("goal")) \
+        .union(base.select(later, F.lit("new_customers"), F.col("new_customers") * 1.1)).union(sp.select(later, F.lit("spend"), F.col("spend") * 1.1))
+    x = CU.payback_and_goals(base.join(sp, "month"), goals)
+    return x.select("month", *[round_half_up(n, 4).alias(n) for n in ("cac", "payback_purchases", "efficiency_score", "revenue_goal_rate", "new_customers_goal_rate", "spend_goal_rate")])

@@ -117,16 +117,16 @@ def k3(spark, sf):
 
 @paired("k2_session_rollup", WEB_SQL + """
 SELECT session_id, MIN(ts) AS session_start, CAST(MIN(ts) AS DATE) AS session_date,
-       arg_min(page_path, ts) AS landing_page, bool_or(event_type = 'signup') AS is_lead, COUNT(*) AS hits,
-       arg_min(utm_source, CASE WHEN utm_source IS NOT NULL THEN ts END) AS first_utm_source,
-       arg_min(utm_medium, CASE WHEN utm_medium IS NOT NULL THEN ts END) AS first_utm_medium,
-       arg_min(utm_campaign, CASE WHEN utm_campaign IS NOT NULL THEN ts END) AS first_utm_campaign
+       arg_min(page_path, (ts, event_id)) AS landing_page, bool_or(event_type = 'signup') AS is_lead, COUNT(*) AS hits,
+       arg_min(utm_source, CASE WHEN utm_source IS NOT NULL THEN (ts, event_id) END) AS first_utm_source,
+       arg_min(utm_medium, CASE WHEN utm_medium IS NOT NULL THEN (ts, event_id) END) AS first_utm_medium,
+       arg_min(utm_campaign, CASE WHEN utm_campaign IS NOT NULL THEN (ts, event_id) END) AS first_utm_campaign
 FROM sess GROUP BY session_id
 """, covers=("K2", "M26", "A1"))
 def k2(spark, sf):
     s = sessions_events(spark, sf)
     return EV.session_rollup(s, "session_id", "ts", "page_path", ["utm_source", "utm_medium", "utm_campaign"],
-                             F.col("event_type") == "signup")
+                             F.col("event_type") == "signup", tie="event_id")
 
 
 @paired("k10_page_journey", WEB_SQL + """

@@ -240,3 +240,29 @@ def s11p(spark, sf):
     delta = updates.unionByName(new).dropDuplicates(["o_orderkey"]).withColumn("version", F.lit(2)).drop("o_orderdate")
     out = SK.upsert_partitions(spark, path, delta, ["o_orderkey"], ["version"], "order_year")
     return out.select("o_orderkey", "o_custkey", "o_orderstatus", "order_year", "version")
+
+
+# Stand-in: three deliveries of the events: all of them; corrections of every third k (a new value, every ninth moved two days on); and late
+# rows: older versions of every fifth k, which must not win, and repeats of the first delivery.
+@paired("t3_upsert_stream", """
+WITH e AS (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events),
+v AS (SELECT event_id, user_id, ts, value, 1 AS version FROM e
+      UNION ALL SELECT event_id, user_id, CASE WHEN k % 9 = 0 THEN ts + INTERVAL 2 DAY ELSE ts END, value * 2, 2 FROM e WHERE k % 3 = 0
+      UNION ALL SELECT event_id, user_id, ts, -1.0, 0 FROM e WHERE k % 5 = 0)
+SELECT event_id, user_id, ts, CAST(ts AS DATE) AS d, value, version FROM v QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY version DESC) = 1
+""", covers=("T3", "S11", "S9"))
+def t3_upsert_stream(spark, sf):
+    from growthframe.streaming.upserts import upsert_stream
+    name = f"t3-{uuid.uuid4().hex}"
+    source, target = _scratch(spark, "deliveries"), _scratch(spark, "upserted")
+    e = load(spark, sf, "events").withColumn("k", F.get_json_object("props", "$.k").cast("long"))
+    first = e.withColumn("version", F.lit(1))
+    fixed = e.filter("k % 3 = 0").withColumn("ts", F.when(F.col("k") % 9 == 0, F.col("ts") + F.expr("INTERVAL 2 DAYS")).otherwise(F.col("ts"))) \
+        .withColumn("value", F.col("value") * 2).withColumn("version", F.lit(2))
+    late = e.filter("k % 5 = 0").withColumn("value", F.lit(-1.0)).withColumn("version", F.lit(0)).unionByName(first.filter("k % 7 = 0"))
+    schema = first.select("event_id", "user_id", "ts", "value", "version", F.to_date("ts").alias("d")).schema
+    for part in (first, fixed, late):  # each delivery is a batch of its own, of one file or more
+        part.select("event_id", "user_id", "ts", "value", "version", F.to_date("ts").alias("d")).write.mode("append").parquet(source)
+        q = upsert_stream(spark.readStream.schema(schema).parquet(source), target, name, ["event_id"], ["version"], "d", available_now=True)
+        q.awaitTermination()
+    return spark.read.parquet(target).select("event_id", "user_id", "ts", "d", "value", F.col("version").cast("int").alias("version"))

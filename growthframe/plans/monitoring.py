@@ -147,6 +147,30 @@ def k110_alerts(spark, sf):
                       "is_new_alert", "previous_alert_date", "first_alert_date")
 
 
+@paired("k111_alert_records_of_both_types", DAILY_SQL + _zero_sql("2024-01-30", "cur", None) + """
+, sh AS (SELECT d.website, d.event_name, d.m_events, o.off, CAST(d.date + to_days(o.off) AS DATE) AS target_date FROM daily d CROSS JOIN (VALUES (0), (7), (14)) o(off)),
+g AS (SELECT website, event_name, target_date AS date, CAST(SUM(CASE WHEN off = 0 THEN m_events END) AS BIGINT) AS n, SUM(CASE WHEN off > 0 THEN m_events END) AS s, COUNT(CASE WHEN off > 0 THEN 1 END) AS wk
+      FROM sh GROUP BY 1, 2, 3),
+r AS (SELECT *, CASE WHEN wk = 2 THEN n / (s / 2) - 1 END AS variation, COALESCE(wk = 2 AND n < 0.8 * (s / 2) AND s / 2 >= 1, false) AS hit FROM g WHERE n IS NOT NULL),
+p AS (SELECT *, LAG(hit) OVER (PARTITION BY website, event_name ORDER BY date) AS hit_before FROM r),
+v AS (SELECT * FROM p LEFT JOIN hol ON hol.holiday_date = p.date WHERE p.date = DATE '2024-01-29' AND hit AND hit_before = false
+      AND (website NOT LIKE '%B2B%' OR (dayofweek(p.date) NOT IN (0, 6) AND hol.holiday_date IS NULL)))
+SELECT 'zero_event' AS alert_type, event_name, website, monitored_date AS start_date, monitored_date AS end_date, CAST(NULL AS DATE) AS compared_start_date, 1 AS empty_days,
+       CAST(NULL AS DOUBLE) AS threshold_decrease, CAST(NULL AS DOUBLE) AS current_variation, is_new_alert, rationale FROM cur
+UNION ALL SELECT 'relative_variation', event_name, website, date, date, CAST(date - 28 AS DATE), NULL, 0.2, CAST(ROUND(CAST(variation AS DECIMAL(38, 6)), 4) AS DOUBLE), true,
+  event_name || ' on ' || website || ': ' || CAST(CAST(ROUND(CAST(variation * 100 AS DECIMAL(38, 6)), 1) AS DOUBLE) AS VARCHAR) || ' % against the usual weekday' FROM v
+""", covers=("K111", "K109", "K110"))
+def k111_both(spark, sf):
+    d = daily(spark, sf)
+    hol = public_holidays(load(spark, sf, "events").select(F.year("ts").alias("year")).distinct())
+    empty = spark.createDataFrame([], "website string, event_name string, alert_type string, alert_date date")
+    zero = AL.zero_event_alerts(d, empty, hol, "2024-01-30")
+    rel = AL.variation_alerts(AL.relative_variation(d, threshold=0.8, floor=1, weeks=2), empty, hol, "2024-01-30")
+    x = AL.alert_records(zero, rel, 0.8, "2024-01-30")
+    return x.select("alert_type", "event_name", "website", "start_date", "end_date", "compared_start_date", F.col("zero_event.empty_days").alias("empty_days"),
+                    F.round("relative_variation.threshold_decrease", 2).alias("threshold_decrease"), round_half_up("relative_variation.current_variation", 4).alias("current_variation"), "is_new_alert", "rationale")
+
+
 @paired("k111_alert_record", _REL_SQL + """
 , a AS (SELECT * FROM r2 WHERE is_alert)
 SELECT 'relative_variation' AS alert_type, website, event_name, date, CAST(0.35 AS DOUBLE) AS threshold_decrease,

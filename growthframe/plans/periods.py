@@ -216,6 +216,23 @@ def k95m(spark, sf):
     return PE.rollup_by_scale(o, "o_orderdate", "o_custkey", "month", "1999-01-15", "1999-12-31")
 
 
+@paired("k95_rollup_by_scale_day", """
+WITH o AS (SELECT o_custkey, CAST(o_orderdate AS DATE) AS d FROM orders WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1999-01-15' AND DATE '1999-12-31'),
+p AS (SELECT d, o_custkey, COUNT(*) AS n FROM o GROUP BY 1, 2)
+SELECT d AS period_start, d AS period_end, CAST(SUM(n) AS BIGINT) AS rows, COUNT(*) AS entities, AVG(n) AS avg_rows_per_entity FROM p GROUP BY 1
+""", covers=("K95",))
+def k95d(spark, sf):
+    return PE.rollup_by_scale(load(spark, sf, "orders"), "o_orderdate", "o_custkey", "day", "1999-01-15", "1999-12-31")
+
+
+@paired("k95_rollup_by_scale_range", """
+WITH p AS (SELECT o_custkey, COUNT(*) AS n FROM orders WHERE CAST(o_orderdate AS DATE) BETWEEN DATE '1999-01-15' AND DATE '1999-12-31' GROUP BY 1)
+SELECT DATE '1999-01-15' AS period_start, DATE '1999-12-31' AS period_end, CAST(SUM(n) AS BIGINT) AS rows, COUNT(*) AS entities, AVG(n) AS avg_rows_per_entity FROM p
+""", covers=("K95",))
+def k95r(spark, sf):
+    return PE.rollup_by_scale(load(spark, sf, "orders"), "o_orderdate", "o_custkey", "range", "1999-01-15", "1999-12-31")
+
+
 @paired("k96_date_labels_and_text", """
 SELECT o_orderkey,
   strftime(o_orderdate, '%Y-%m-%d') AS label_day, strftime(CAST(o_orderdate AS DATE) - CAST(dayofweek(o_orderdate) AS INTEGER), '%Y-%m-%d') AS label_week,

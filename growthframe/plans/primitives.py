@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from growthframe.functions import semantics as S
 from growthframe.operators.common import (bucketed_last_non_null, bucketed_lead, bucketed_row_number, bucketed_running_extreme,
-                                          bucketed_running_sum, latest_per_key, with_group_agg)
+                                          bucketed_running_sum, latest_per_key, with_group_agg, piecewise_row_number)
+from growthframe.operators.ordered import ordered_array
 from growthframe.plans.registry import paired
 from growthframe.sources.tables import load
 
@@ -457,10 +458,11 @@ FROM orders GROUP BY 1
 """, covers=("A9", "A10", "M14"))
 def a9(spark, sf):
     o = T(spark, sf, "orders")
-    return o.groupBy("o_custkey").agg(
-        F.array_sort(F.collect_set("o_orderpriority")).alias("priorities"),
-        F.array_sort(F.collect_list(F.concat("o_orderstatus", F.lit(":"), F.col("o_orderkey").cast("string"))))
-        .alias("tagged"))
+    tag = F.concat("o_orderstatus", F.lit(":"), F.col("o_orderkey").cast("string"))
+    # pieces by first letters: a customer with a third of all orders is sorted piece by piece
+    tagged = ordered_array(o, ["o_custkey"], F.substring(tag, 1, 3), tag, tag, "tagged")
+    p = F.col("o_orderpriority")
+    return tagged.join(ordered_array(o, ["o_custkey"], p, p, p, "priorities", distinct=True), "o_custkey").select("o_custkey", "priorities", "tagged")
 
 
 @paired("a11_array_concat_agg", """
@@ -468,8 +470,9 @@ WITH x AS (SELECT o_custkey, o_orderkey, [o_orderstatus, o_orderpriority] AS arr
 SELECT o_custkey, list_sort(flatten(list(arr))) AS all_tags FROM x GROUP BY 1
 """, covers=("A11",))
 def a11(spark, sf):
-    x = T(spark, sf, "orders").select("o_custkey", F.array("o_orderstatus", "o_orderpriority").alias("arr"))
-    return x.groupBy("o_custkey").agg(F.array_sort(F.flatten(F.collect_list("arr"))).alias("all_tags"))
+    x = T(spark, sf, "orders").select("o_custkey", F.explode(F.array("o_orderstatus", "o_orderpriority")).alias("tag"))
+    tag = F.col("tag")
+    return ordered_array(x, ["o_custkey"], tag, tag, tag, "all_tags").select("o_custkey", "all_tags")
 
 
 @paired("a12_string_agg_distinct", """
@@ -689,8 +692,9 @@ FROM events
 def w19(spark, sf):
     e = T(spark, sf, "events")
     key = F.when(F.col("event_type") == "signup", 0).when(F.col("event_type") == "purchase", 1).otherwise(2)
-    return e.select("event_id", F.row_number().over(Window.partitionBy("user_id").orderBy(key, F.col("ts").desc()))
-                    .cast("long").alias("priority_rank"))
+    day = F.struct(key.alias("class"), (-F.unix_date(F.to_date("ts"))).alias("day"))  # newest day first
+    x = piecewise_row_number(e.select("event_id", "user_id", "event_type", "ts"), ["user_id"], day, [key, F.col("ts").desc()], "priority_rank")
+    return x.select("event_id", F.col("priority_rank").cast("long").alias("priority_rank"))
 
 
 @paired("w20_lag_inside_array", """
@@ -748,3 +752,24 @@ def u3(spark, sf):
     b = T(spark, sf, "orders").select(
         F.col("o_custkey").alias("user_id"), F.lit("order").alias("source"))
     return a.unionByName(b).distinct()
+
+
+# After a LEFT JOIN from a spine, a WHERE on the right side drops the days without a match: the join is an inner one.
+@paired("m10_spine_filter_is_inner", """
+WITH b AS (SELECT MIN(CAST(ts AS DATE)) - 3 AS lo, MAX(CAST(ts AS DATE)) + 3 AS hi FROM events),
+spine AS (SELECT CAST(unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS DATE) AS d FROM b),
+e AS (SELECT CAST(ts AS DATE) AS d, event_id, event_type FROM events WHERE event_type = 'error' AND event_id % 40 = 0),
+filtered AS (SELECT spine.d, COUNT(*) AS n FROM spine LEFT JOIN e ON e.d = spine.d WHERE e.event_type IS NOT NULL GROUP BY 1),
+kept AS (SELECT spine.d, COUNT(e.event_id) AS n FROM spine LEFT JOIN e ON e.d = spine.d GROUP BY 1)
+SELECT 'filter after the join' AS form, d, n FROM filtered UNION ALL SELECT 'condition in the join', d, n FROM kept
+""", covers=("M10", "J13"))
+def m10(spark, sf):
+    from growthframe.operators.calendar import spine_from_bounds
+    ev = T(spark, sf, "events").select(F.to_date("ts").alias("d"), "event_id", "event_type")
+    b = ev.agg(F.date_sub(F.min("d"), 3).alias("lo"), F.date_add(F.max("d"), 3).alias("hi"))
+    spine = spine_from_bounds(b, "lo", "hi")
+    e = ev.filter((F.col("event_type") == "error") & (F.col("event_id") % 40 == 0))
+    j = spine.join(e, "d", "left")
+    filtered = j.filter(F.col("event_type").isNotNull()).groupBy("d").agg(F.count("*").alias("n"))
+    kept = j.groupBy("d").agg(F.count("event_id").alias("n"))
+    return filtered.select(F.lit("filter after the join").alias("form"), "d", "n").union(kept.select(F.lit("condition in the join"), "d", "n"))
