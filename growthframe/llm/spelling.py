@@ -1,8 +1,11 @@
-"""Spelling variants: PartEnum signatures of letter multisets, an equi-join on them, exact verification (declarative)."""
+"""Spelling variants: PartEnum signatures of letter multisets, an equi-join on them, exact verification."""
 
 from __future__ import annotations
 
 import itertools
+import re
+import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -13,7 +16,10 @@ from pyspark.sql import functions as F
 from growthframe.llm.common import arrow_map, saved
 
 #: A run is a longest stretch of these letters.
-RUN = "[A-Za-z\\u00C0-\\u00FF]+"
+_RUN = re.compile("[A-Za-z\u00C0-\u00FF]+")
+_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+#: Words that a task holds at a time, and characters of a text whose runs are listed at once.
+HELD, LONG = 1 << 18, 1 << 20
 #: One edit changes a letter multiset, as a binary vector over (letter, how many-th), in DISTANCE places at most.
 DISTANCE = 2
 #: The places are dealt into PARTS; a signature leaves DISTANCE of them out.
@@ -22,19 +28,56 @@ PARTS = 7
 BLOCK = 1024
 
 
+def _runs(text: str) -> Iterator[tuple[str, int]]:
+    """The different runs of a text with their numbers; a long text gives them part by part."""
+    if len(text) <= LONG:
+        yield from Counter(_RUN.findall(text)).items()
+        return
+    held: Counter = Counter()
+    for m in _RUN.finditer(text):
+        held[m.group()] += 1
+        if len(held) > HELD:
+            yield from held.items()
+            held = Counter()
+    yield from held.items()
+
+
+def _counted(least_length: int, thin: int):
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[str, int] = {}
+
+        def sent() -> pa.RecordBatch:
+            return pa.record_batch([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], names=["word", "n"])
+
+        for batch in batches:
+            for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                head = zlib.crc32(f"{i}:".encode())
+                for run, n in _runs(text or ""):
+                    word = run if run.islower() else run.translate(_LOWER)
+                    h = zlib.crc32(word.encode(), head)
+                    if h % thin == 0:
+                        k = h % len(word)
+                        word = word[:k] + word[k + 1:]
+                    if len(word) >= least_length:
+                        held[word] = held.get(word, 0) + n
+                if len(held) > HELD:
+                    yield sent()
+                    held.clear()
+        if held:
+            yield sent()
+
+    return of
+
+
 def word_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_length: int = 5, least_n: int = 3, thin: int = 97) -> DataFrame:
     """``(word, n)``: words of ``least_length`` code points that occur ``least_n`` times, over whole texts.
 
     A run has A-Z lower-cased, and nothing else. Where ``thin`` divides the CRC-32 of ``<id>:<run>``, the code point at
-    that number modulo the length is left out. A NULL text has no runs, a NULL id is an empty one."""
-    # `lower` takes A-Z alone where no other capital stands in the run
-    lowered = F.expr("IF(run RLIKE '[\\u00C0-\\u00DE]', translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), lower(run))")
-    runs = docs.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("id"), F.explode(F.regexp_extract_all(F.col(text_col), F.lit(RUN), F.lit(0))).alias("run"))
-    hashed = runs.select(lowered.alias("run"), "id").withColumn("h", F.crc32(F.concat_ws(":", "id", "run").cast("binary")))
-    at = "cast(h % length(run) AS int)"
-    cut = F.expr(f"IF(h % {thin} = 0, concat(substring(run, 1, {at}), substring(run, {at} + 2)), run)")
-    words = hashed.select(cut.alias("word")).where(F.length("word") >= least_length)
-    return words.groupBy("word").agg(F.count("*").alias("n")).where(F.col("n") >= least_n)
+    that number modulo the length is left out. A NULL text has no runs, a NULL id is an empty one. Tasks count the
+    runs of a text, then the words of many texts, and send them about ``HELD`` at a time; Spark adds them up."""
+    rows = docs.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("id"), F.col(text_col).alias("text"))
+    met = arrow_map(rows, _counted(least_length, thin), "word string, n long")
+    return met.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= least_n)
 
 
 def signatures(word: str) -> list[int]:
@@ -66,14 +109,17 @@ def near_words(counts: DataFrame) -> DataFrame:
 
     Words are joined on equal signatures; only pairs whose edit distance is 1 leave the join. A signature of many words is
     dealt into blocks of about ``BLOCK`` words by hash, and block pairs are joined, so that no task holds it whole."""
-    signed = arrow_map(counts.select("word", "n"), _signed, "word string, n long, signatures array<bigint>")
+    signed = saved(arrow_map(counts.select("word", "n"), _signed, "word string, n long, signatures array<bigint>"), "signatures-of-words")
     rows = signed.select("word", "n", F.explode("signatures").alias("signature"))
     shared = saved(rows.groupBy("signature").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"), F.count("*").alias("m")).where("m > 1").drop("m"), "signatures")
     kept = saved(rows.join(shared, "signature").withColumn("block", F.pmod(F.xxhash64("word", F.lit(3)), "blocks").cast("int")), "signed-words")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     one = kept.select("signature", "block", other.alias("other"), F.col("word").alias("a"), F.col("n").alias("a_n"))
     two = kept.select("signature", F.col("block").alias("other"), other.alias("block"), F.col("word").alias("b"), F.col("n").alias("b_n"))
-    near = (F.col("a") < F.col("b")) & (F.abs(F.length("a") - F.length("b")) <= 1) & (F.levenshtein("a", "b", 1) == 1)
+    # one edit leaves the half before it or the half after it as it is: told before the distance is worked out
+    half = F.floor(F.least(F.length("a"), F.length("b")) / 2).cast("int")
+    same = (F.left("a", half) == F.left("b", half)) | (F.right("a", half) == F.right("b", half))
+    near = (F.col("a") < F.col("b")) & (F.abs(F.length("a") - F.length("b")) <= 1) & same & (F.levenshtein("a", "b", 1) == 1)
     return one.join(two, ["signature", "block", "other"]).where(near).select("a", "b", "a_n", "b_n").distinct()
 
 

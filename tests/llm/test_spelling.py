@@ -64,7 +64,8 @@ def test_words_equal_brute_force(docs_of, odd):
 
 
 def test_hot_signatures_are_dealt_into_blocks(docs_of, monkeypatch):
-    monkeypatch.setattr(S, "BLOCK", 4)
+    for name, value in (("BLOCK", 4), ("HELD", 7), ("LONG", 100)):
+        monkeypatch.setattr(S, name, value)
     rng = random.Random(8)
     rows = [(k, " ".join("storm" + rng.choice("abcdefghij") + rng.choice("abcdefghij") for _ in range(60))) for k in range(30)]
     assert got(S.spelling_variants(docs_of(rows))) == brute(rows)
