@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,8 +23,8 @@ FREQUENT = 1 << 19
 FRAGMENTS = 8
 #: Sets of one shared shingle that are compared with one another at a time.
 BLOCK = 512
-#: Earlier shared shingles by which a pair is known to be met elsewhere too (only saves work).
-EARLIER = 16
+#: Earlier shared shingles by which a pair is known to be met elsewhere too: the first ones, and the last ones before (only saves work).
+FIRST, LAST = 4, 10
 
 _RANDOM = np.random.default_rng(20240412)
 _VALUE = _RANDOM.integers(0, 1 << 64, 256, np.uint64) | np.uint64(1)
@@ -230,13 +231,20 @@ def _candidates(percent: int):
     return of
 
 
+def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts in compressed form, as they cross the network."""
+    squeeze = zstandard.ZstdCompressor(level=3).compress
+    for batch in batches:
+        yield pa.record_batch([batch.column(0), pa.array([squeeze(t or b"") for t in batch.column(1).to_pylist()], pa.binary())], names=["row", "text"])
+
+
 def _segments(order, width: int):
     """(sig, fragment, tokens): the shingles of each set, by fragments of the global order."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = order.value
         for batch in batches:
-            for first, texts in _chunks(batch.column(1).to_pylist()):
+            for first, texts in _chunks([zstandard.decompress(t) for t in batch.column(1).to_pylist()]):
                 ids, doc = _shingles(texts, width)
                 part = known.fragment(ids)
                 by = np.argsort(doc * FRAGMENTS + part, kind="stable")
@@ -319,9 +327,10 @@ def set_links(docs: DataFrame, sets: DataFrame, order, width: int, percent: int)
     classes = saved(classes, "set-classes")
     tokens = classes.select("sig", "n", F.posexplode("prefix").alias("pos", "token"))
     shared = saved(tokens.groupBy("token").agg(F.count("*").alias("m")).where("m > 1").select("token", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")), "shared-tokens")
-    kept = saved(tokens.join(shared, "token"), "prefix-tokens")
-    known = kept.groupBy("sig").agg(F.slice(F.array_sort(F.collect_list(F.struct("pos", "token"))), 1, EARLIER).alias("early"))
-    members = kept.join(known, "sig").withColumn("earlier", F.expr("transform(filter(early, e -> e.pos < pos), e -> e.token)")).drop("early")
+    kept = tokens.join(shared, "token").groupBy("sig").agg(F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("pos", "token", "blocks"))).alias("all"))
+    members = kept.select("sig", "n", "all", F.posexplode("all").alias("i", "e"))
+    before = f"concat(slice(all, 1, least(i, {FIRST})), slice(all, greatest(1, i - {LAST - 1}), least(i, {LAST})))"
+    members = members.select("sig", "n", "e.*", F.expr(f"array_distinct(transform({before}, x -> x.token))").alias("earlier"))
     members = members.withColumn("block", F.pmod(F.xxhash64("sig", F.lit(11)), "blocks").cast("int"))
     paired = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     low, high = F.least("block", "other"), F.greatest("block", "other")
@@ -334,7 +343,9 @@ def set_links(docs: DataFrame, sets: DataFrame, order, width: int, percent: int)
     needed = saved(rows.select("sig").distinct(), "needed-sets")
     # one document of each needed set gives its shingles
     source = sets.join(needed, "sig", "left_semi").groupBy("sig").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("at"))
-    named = docs.select("id", "key", "text").join(source.select("sig", "at.*").drop("none").withColumnsRenamed({"id": "i", "key": "k"}), F.col("id").eqNullSafe(F.col("i")) & (F.col("key") == F.col("k")))
+    at = source.select("sig", "at.*").drop("none").withColumnsRenamed({"id": "i", "key": "k"})
+    packed = arrow_map(docs.select(F.struct("id", "key").alias("row"), "text"), _packed, f"row {docs.select(F.struct('id', 'key').alias('row')).schema['row'].dataType.simpleString()}, text binary")
+    named = packed.join(at, F.col("row.id").eqNullSafe(F.col("i")) & (F.col("row.key") == F.col("k")))
     texts = named.groupBy("sig").agg(F.first("text").alias("text"))  # repeated rows
     segments = saved(arrow_map(texts, _segments(order, width), "sig long, fragment int, tokens array<bigint>"), "segments")
     pieces = rows.join(segments, "sig").groupBy("key", "many", "fragment").agg(F.collect_list(F.struct("slot", "tokens")).alias("members"))
