@@ -13,73 +13,60 @@ from pyspark.sql import functions as F
 from growthframe.llm.common import arrow_map, saved, word_pieces
 
 # Model -----------------------------------------------------------------------------------------
-# The n-grams are runs of ORDER symbols of a fixed alphabet of 64, so a key is a 24-bit number and the
-# whole model has at most 2^24 entries however large the corpus is: it can be broadcast by proof, while
-# every character of every document is counted.
+# Runs of ORDER code points, of all documents, in tables that grow with the corpus. The most frequent n-grams travel to the tasks
+# as sorted arrays of their hashes, a bounded table; all others are looked up by a join.
 
 ORDER = 4
-BITS = 6
-#: Symbol 0 stands before a text; the others are the classes of `_symbol`.
-PAD = 0
-_MASK = (1 << BITS) - 1
-#: Characters that are joined before they are counted or scored.
-_CHARS = 1 << 20
-
-
-def _symbol(cp: int) -> int:
-    """Class of a code point: 26 + 26 letters, accented and other letters, digits, space, line end, punctuation, signs.
-
-    Signs share one class: a text that is strewn with them is easy to predict, and the lower edge of a band shows it."""
-    ch = chr(cp)
-    if "a" <= ch <= "z":
-        return 1 + cp - 97
-    if "A" <= ch <= "Z":
-        return 27 + cp - 65
-    if ch in "\n\r":
-        return 54
-    if ch.isspace():
-        return 53
-    kind = unicodedata.category(ch)
-    if kind[0] == "N":
-        return 55
-    if ch in ".,":
-        return 56
-    if kind[0] == "P" and ch not in "#*%&":
-        return 57
-    if kind == "Ll":
-        return 59 + cp % 3
-    if kind == "Lu":
-        return 62
-    if kind[0] in "LM":
-        return 63
-    return 58
-
-
-def alphabet() -> np.ndarray:
-    """Symbol of every code point of the first plane; the last entry is that of all others."""
-    return np.array([*map(_symbol, range(0x10000)), 63], np.uint8)
-
-
-def _grams(texts: list[str], table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Packed n-grams that end at each character of the joined texts, and where each text begins."""
-    points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
-    symbols = table[np.minimum(points, 0x10000)].astype(np.int32)
-    starts = np.concatenate([[0], np.cumsum([*map(len, texts)])])
-    room = np.arange(1, len(texts) + 1).repeat(np.diff(starts)) * (ORDER - 1)  # pads before each text
-    line = np.zeros(len(symbols) + (len(texts) + 1) * (ORDER - 1), np.int32)
-    at = np.arange(len(symbols)) + room
-    line[at] = symbols
-    grams = np.zeros(len(symbols), np.int32)
-    for back in range(ORDER):
-        grams |= line[at - back] << (BITS * back)
-    return grams, starts
+#: N-grams that tasks look up by themselves (16 bytes each).
+FREQUENT = 1 << 20
+#: Stands before a text, and for the code point 0 (fixed-width strings drop it at their end).
+PAD, NUL = 0xFFFF, 0xFFFE
+#: Characters that are joined before they are counted or scored, and different n-grams that a task holds.
+_CHARS, _HELD = 1 << 20, 1 << 20
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+
+
+def _plain() -> np.ndarray:
+    """What a code point of the first plane counts as: signs as one sign, digits as one digit, blanks as a space; all letters and
+    marks of any script as themselves. A text that is strewn with signs is then easy to predict, and the lower edge of a band shows it."""
+    out = np.arange(0x10000, dtype=np.uint32)
+    for cp in range(0x10000):
+        ch = chr(cp)
+        kind = unicodedata.category(ch)
+        if kind[0] == "S" or ch in "#*%&":
+            out[cp] = ord("#")
+        elif kind[0] == "N":
+            out[cp] = ord("0")
+        elif ch.isspace() and ch != "\n":
+            out[cp] = ord(" ")
+    out[0] = NUL
+    return out
+
 
+_PLAIN = _plain()
 
-def _batched(texts: Iterator[str]) -> Iterator[list[str]]:
+
+def _grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hash of the n-gram that ends at each character of the joined texts, where each text begins, the characters with pads
+    before each text, and the place of each character among them."""
+    points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    starts = np.concatenate([[0], np.cumsum([*map(len, texts)])])
+    at = np.arange(len(points)) + np.arange(1, len(texts) + 1).repeat(np.diff(starts)) * (ORDER - 1)
+    line = np.full(len(points) + (len(texts) + 1) * (ORDER - 1), PAD, np.uint32)
+    line[at] = np.where(points < 0x10000, _PLAIN[np.minimum(points, 0xFFFF)], points)
+    h = np.zeros(len(points), np.uint64)
+    for back in range(ORDER - 1, -1, -1):
+        h = h * _ODD + line[at - back]
+    h ^= h >> np.uint64(29)
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(32)), starts, line, at
+
+
+def _batched(parts: Iterator[tuple[int, str]]) -> Iterator[list[tuple[int, str]]]:
     held, n = [], 0
-    for t in texts:
-        held.append(t)
-        n += len(t)
+    for p in parts:
+        held.append(p)
+        n += len(p[1])
         if n >= _CHARS:
             yield held
             held, n = [], 0
@@ -87,119 +74,110 @@ def _batched(texts: Iterator[str]) -> Iterator[list[str]]:
         yield held
 
 
-def _pieces(text: str) -> list[str]:
-    """A long text in parts that are counted and scored one after another, so that memory is bounded."""
-    return [text[k:k + _CHARS] for k in range(0, len(text), _CHARS)] if len(text) > _CHARS else [text]
+def _pieces(texts: list) -> Iterator[tuple[int, str]]:
+    """(number, part) of each text; a long one in parts that are counted and scored one after another, so that memory is bounded."""
+    for i, t in enumerate(texts):
+        for k in range(0, len(t or ""), _CHARS):
+            yield i, t[k:k + _CHARS]
 
 
-def count_grams(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``(gram, n)``: the raw count of every n-gram of the highest order, over all documents.
-
-    Each task counts its own texts into one array of 2^24 cells (64 MiB) and sends the cells it has met."""
-    table = alphabet()
+def _merged(parts: list) -> list:
+    """Counts of equal hashes added up: [(hash, count, n-gram)] with one entry."""
+    h, n, g = (np.concatenate(x) for x in zip(*parts))
+    u, first, back = np.unique(h, return_index=True, return_inverse=True)
+    return [(u, np.bincount(back, n, len(u)).astype(np.int64), g[first])]
 
-    def sent(cells: np.ndarray) -> Iterator[pa.RecordBatch]:
-        for at in range(0, len(cells), 1 << 20):
-            met = np.flatnonzero(cells[at:at + (1 << 20)])
-            if len(met):
-                yield pa.record_batch([pa.array(met + at, pa.int32()), pa.array(cells[met + at], pa.int64())], names=["gram", "n"])
-
-    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells, n = np.zeros(1 << (ORDER * BITS), np.uint32), 0
-        for held in _batched(p for b in batches for t in b.column(0).to_pylist() if t for p in _pieces(t)):
-            grams = _grams(held, table)[0]
-            n += len(grams)
-            if n >= 1 << 32:  # a cell might overflow
-                yield from sent(cells)
-                cells[:], n = 0, len(grams)
-            np.add.at(cells, grams, np.uint32(1))
-        yield from sent(cells)
-
-    sent = arrow_map(docs.select(F.col(text_col).alias("text")), of, "gram int, n long")
-    return sent.groupBy("gram").agg(F.sum("n").alias("n"))
-
-
-def _discounts(counts: np.ndarray) -> np.ndarray:
-    """Modified Kneser-Ney discount of each count, from the counts of counts."""
-    n1, n2, n3, n4 = (max(1, int((counts == k).sum())) for k in (1, 2, 3, 4))
-    y = n1 / (n1 + 2 * n2)
-    d = np.clip([0, 1 - 2 * y * n2 / n1, 2 - 3 * y * n3 / n2, 3 - 4 * y * n4 / n3], 0, [0, 0.95, 1.9, 2.85])
-    return d[np.minimum(counts, 3)]
-
-
-def fit(keys: np.ndarray, counts: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
-    """Per order, from 1: sorted n-grams, their log probabilities, sorted contexts, their log back-off weights.
-
-    Lower orders count in how many different longer n-grams each one ends (continuation counts)."""
-    tables = [(keys, counts)]
-    for order in range(ORDER - 1, 0, -1):
-        tables.append(np.unique(tables[-1][0] & ((1 << (BITS * order)) - 1), return_counts=True))
-    model: list = []
-    below = np.full(1 << BITS, 1 / (1 << BITS))
-    for order, (k, c) in enumerate(reversed(tables), 1):
-        d = _discounts(c)
-        contexts, first = np.unique(k >> BITS, return_index=True)
-        total, off = np.add.reduceat(c, first), np.add.reduceat(d, first)
-        of = np.repeat(np.arange(len(contexts)), np.diff([*first, len(k)]))
-        weight = off / total
-        if order == 1:
-            low = below[k]
-        else:
-            shorter, prob = model[-1][0], np.exp(model[-1][1])
-            low = prob[np.searchsorted(shorter, k & ((1 << (BITS * (order - 1))) - 1))]
-        p = (c - d) / total[of] + weight[of] * low
-        model.append((k, np.log(p), contexts, np.log(np.maximum(weight, 1e-9))))
-    return model
-
-
-def log_prob(model: list, grams: np.ndarray) -> np.ndarray:
-    """Log probability of the last symbol of each n-gram after the others, by binary search in the sorted arrays."""
-    out = np.zeros(len(grams))
-    left = np.arange(len(grams))
-    for order in range(ORDER, 0, -1):
-        k, p, contexts, weights = model[order - 1]
-        key = grams[left] & ((1 << (BITS * order)) - 1)
-        at = np.minimum(np.searchsorted(k, key), len(k) - 1)
-        hit = k[at] == key
-        out[left[hit]] += p[at[hit]]
-        left, key = left[~hit], key[~hit]
-        if not len(left):
-            return out
-        at = np.minimum(np.searchsorted(contexts, key >> BITS), len(contexts) - 1)
-        known = contexts[at] == key >> BITS
-        out[left[known]] += weights[at[known]]
-    out[left] -= np.log(1 << BITS)
-    return out
 
+def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    parts: list = []
+    size = 0
 
-def perplexities(model: list, texts: list[str], table: np.ndarray, scratch: np.ndarray) -> np.ndarray:
-    """Mean negative log probability of a character of each text (NaN for an empty one).
+    def sent() -> Iterator[pa.RecordBatch]:
+        for h, n, g in _merged(parts) if parts else ():
+            for k in range(0, len(h), 1 << 16):
+                text = np.ascontiguousarray(g[k:k + (1 << 16)]).view(f"<U{ORDER}").reshape(-1).tolist()
+                yield pa.record_batch([pa.array(text, pa.string()), pa.array(h[k:k + (1 << 16)].view(np.int64)), pa.array(n[k:k + (1 << 16)])], names=["gram", "h", "n"])
 
-    ``scratch`` has a cell for each key, NaN until its n-gram occurs: the arrays are searched once for each."""
-    sums, n = np.zeros(len(texts)), np.array([*map(len, texts)])
-    parts = [(i, p) for i, t in enumerate(texts) if t for p in _pieces(t)]
-    for held in _batched_pairs(parts):
-        grams, starts = _grams([p for _, p in held], table)
-        logs = scratch[grams]
-        new = np.unique(grams[np.isnan(logs)])
-        if len(new):
-            scratch[new] = log_prob(model, new)
-            logs = scratch[grams]
-        np.add.at(sums, [i for i, _ in held], np.add.reduceat(logs, starts[:-1], dtype=np.float64))
-    with np.errstate(invalid="ignore"):
-        return -sums / n
+    for batch in batches:
+        for held in _batched(_pieces(batch.column(0).to_pylist())):
+            h, _, line, at = _grams([p for _, p in held])
+            u, first, n = np.unique(h, return_index=True, return_counts=True)
+            parts.append((u, n, line[at[first][:, None] + np.arange(1 - ORDER, 1)]))
+            size += len(u)
+            if size > 2 * _HELD:
+                parts = _merged(parts)
+                size = len(parts[0][0])
+                if size > _HELD:
+                    yield from sent()
+                    parts, size = [], 0
+    yield from sent()
 
 
-def _batched_pairs(parts: list[tuple[int, str]]) -> Iterator[list[tuple[int, str]]]:
-    held, n = [], 0
-    for p in parts:
-        held.append(p)
-        n += len(p[1])
-        if n >= _CHARS:
-            yield held
-            held, n = [], 0
-    if held:
-        yield held
+def count_grams(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``(gram, h, n)``: every n-gram of the highest order with its hash and its number, over all characters of all documents.
+
+    A task adds up its own n-grams and sends each once, or about ``_HELD`` at a time."""
+    met = arrow_map(docs.select(F.col(text_col).alias("text")), _counted, "gram string, h long, n long")
+    return met.groupBy("gram").agg(F.first("h").alias("h"), F.sum("n").alias("n"))
+
+
+def train(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``(h, n, logp)``: modified Kneser-Ney log probability of the last character of every n-gram that occurs, and its number.
+
+    Each order takes its discounts for counts of 2 and of 3 or more from its counts of counts (four numbers); lower orders
+    count in how many different longer n-grams each one ends (continuation counts). What was met once is discounted
+    in full: the scored texts are part of the corpus, and an n-gram must not vouch for itself. Probabilities are interpolated from
+    the shortest order up, by joins on the context and on the shorter n-gram."""
+    top = saved(count_grams(docs, text_col), "grams")
+    counts = {ORDER: top.select("gram", F.col("n").alias("c"))}
+    for k in range(ORDER - 1, 0, -1):
+        shorter = counts[k + 1].groupBy(F.expr("substring(gram, 2)").alias("gram")).agg(F.count("*").alias("c"))
+        counts[k] = saved(shorter, f"grams-{k}")
+    below = None
+    for k in range(1, ORDER + 1):
+        c = counts[k]
+        many = c.agg(F.count("*"), *[F.count_if(F.col("c") == j) for j in (1, 2, 3, 4)]).first()
+        n1, n2, n3, n4 = (max(1, x) for x in many[1:])
+        y = n1 / (n1 + 2 * n2)
+        two, more = min(max(2 - 3 * y * n3 / n2, 0.0), 1.9), min(max(3 - 4 * y * n4 / n3, 0.0), 2.85)
+        d = F.when(F.col("c") == 1, 1.0).when(F.col("c") == 2, two).otherwise(more)
+        c = c.withColumn("ctx", F.expr(f"left(gram, {k - 1})")).withColumn("own", F.col("c") - d).withColumn("d", d)
+        of = c.groupBy("ctx").agg(F.sum("c").alias("total"), F.sum("d").alias("off")).withColumnRenamed("ctx", "x")
+        c = c.join(of, F.col("ctx") == F.col("x"))
+        if below is None:
+            low = F.lit(1.0 / (many[0] + 1))
+        else:
+            c = c.withColumn("short", F.expr("substring(gram, 2)")).join(below, "short")
+            low = F.col("p")
+        c = c.select("gram", ((F.col("own") + F.col("off") * low) / F.col("total")).alias("p"))
+        below = c.select(F.col("gram").alias("short"), "p")
+    return saved(top.join(below, F.col("gram") == F.col("short")).select("h", "n", F.log("p").alias("logp")), "model")
+
+
+def frequent(model: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted hashes of the ``FREQUENT`` most frequent n-grams, and their log probabilities."""
+    t = model.orderBy(F.desc("n"), "h").limit(FREQUENT).select("h", "logp").toArrow()
+    h, p = t["h"].to_numpy().view(np.uint64), t["logp"].to_numpy()
+    order = np.argsort(h)
+    return h[order], p[order]
+
+
+def log_sums(known: tuple[np.ndarray, np.ndarray], texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Per text the sum of the log probabilities of its frequent n-grams; and (text, hash, number) of all others."""
+    hashes, logs = known
+    sums, who, rest = np.zeros(len(texts)), [], []
+    for held in _batched(_pieces(texts)):
+        h, starts, _, _ = _grams([p for _, p in held])
+        at = np.minimum(np.searchsorted(hashes, h), max(len(hashes) - 1, 0))
+        hit = hashes[at] == h if len(hashes) else np.zeros(len(h), bool)
+        np.add.at(sums, [i for i, _ in held], np.add.reduceat(np.where(hit, logs[at] if len(hashes) else 0.0, 0.0), starts[:-1]))
+        who.append(np.repeat([i for i, _ in held], np.diff(starts))[~hit])
+        rest.append(h[~hit])
+    who, rest = (np.concatenate([np.zeros(0, t), *x]) for x, t in ((who, np.int64), (rest, np.uint64)))
+    order = np.lexsort((rest, who))
+    who, rest = who[order], rest[order]
+    first = np.flatnonzero(np.append(True, (who[1:] != who[:-1]) | (rest[1:] != rest[:-1]))) if len(who) else np.zeros(0, np.int64)
+    return sums, who[first], rest[first], np.diff(np.append(first, len(who)))
 
 
 # Rules ------------------------------------------------------------------------------------------
@@ -244,38 +222,38 @@ def base_statistics(data: bytes) -> tuple[int, int, int, int, int]:
 STATISTICS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
-def scored(docs: DataFrame, model: list, text_col: str = "text", full: bool = True) -> DataFrame:
-    """``docs`` with ``quality``: a struct of the base statistics (if ``full``), ``base_failed`` and ``nll``.
+def scored(docs: DataFrame, model: DataFrame, text_col: str = "text") -> DataFrame:
+    """``(row, rid, quality)``: the rows of ``docs`` with a struct of the base statistics, ``base_failed``, ``nll`` (mean negative log
+    probability of a character; NULL without one) and ``n_chars``. Written once.
 
-    ``model`` is that of `fit`, of bounded size; it is broadcast."""
-    spark = docs.sparkSession
-    table, shared = alphabet(), spark.sparkContext.broadcast(model)
-    size = 1 << (ORDER * BITS)
-    kinds = [pa.field(c, pa.int64()) for c in STATISTICS] + [pa.field("base_failed", pa.bool_()), pa.field("nll", pa.float64()), pa.field("n_chars", pa.int64())]
+    Tasks add up what the frequent n-grams of a text give and note all others, which meet the whole model by a join on the hash. An
+    n-gram that the model doesn't know (in other texts than it was trained on) counts as the least probable it knows."""
+    shared = docs.sparkSession.sparkContext.broadcast(frequent(model))
+    kinds = [pa.field(c, pa.int64()) for c in STATISTICS] + [pa.field("base_failed", pa.bool_()), pa.field("part", pa.float64()), pa.field("n_chars", pa.int64())]
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scratch = np.full(size, np.nan, np.float32)
         for whole in batches:
             for k in range(0, whole.num_rows, 2000):
                 batch = whole.slice(k, 2000)
-                texts = [t or "" for t in batch.column(1).to_pylist()]
+                texts = [t or "" for t in batch.column(2).to_pylist()]
                 base = np.array([base_statistics(t.encode("utf-8", "replace")) for t in texts], np.int64).reshape(-1, len(STATISTICS))
                 failed = (base[:, 0] < 20) | (100 * base[:, 4] > 30 * base[:, 0])
-                nll = pa.array(perplexities(shared.value, texts, table, scratch), from_pandas=True)
-                parts = [pa.array(base[:, j]) for j in range(len(STATISTICS))] + [pa.array(failed), nll, pa.array([*map(len, texts)], pa.int64())]
-                yield pa.record_batch([batch.column(0), pa.StructArray.from_arrays(parts, fields=kinds)], names=["row", "quality"])
-
-    kept = docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text"))
-    schema = f"row {docs.schema.simpleString()}, quality struct<{', '.join(c + ': bigint' for c in STATISTICS)}, base_failed: boolean, nll: double, n_chars: bigint>"
-    return arrow_map(kept, of, schema)
-
-
-def train(docs: DataFrame, text_col: str = "text") -> list:
-    """The model of all documents: counted by Spark, smoothed on the driver (at most 2^24 n-grams of 12 bytes)."""
-    counted = count_grams(docs, text_col).toArrow()
-    keys, n = counted["gram"].to_numpy(), counted["n"].to_numpy()
-    order = np.argsort(keys)
-    return fit(keys[order].astype(np.int64), n[order]) if len(keys) else fit(np.zeros(1, np.int64), np.ones(1, np.int64))
+                sums, who, rest, n = log_sums(shared.value, texts)
+                parts = [pa.array(base[:, j]) for j in range(len(STATISTICS))] + [pa.array(failed), pa.array(sums), pa.array([*map(len, texts)], pa.int64())]
+                ends = pa.array(np.searchsorted(who, np.arange(len(texts) + 1)), pa.int32())
+                lists = [pa.ListArray.from_arrays(ends, x) for x in (pa.array(rest.view(np.int64)), pa.array(n, pa.int32()))]
+                yield pa.record_batch([batch.column(0), batch.column(1), pa.StructArray.from_arrays(parts, fields=kinds), *lists], names=["row", "rid", "found", "rest", "times"])
+
+    kept = docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("rid"), F.col(text_col).alias("text"))
+    schema = f"row {docs.schema.simpleString()}, rid long, found struct<{', '.join(c + ': bigint' for c in STATISTICS)}, base_failed: boolean, part: double, n_chars: bigint>, rest array<bigint>, times array<int>"
+    found = saved(arrow_map(kept, of, schema), "scored")  # the numbers of the rows stay as written
+    rest = found.select("rid", F.explode(F.arrays_zip("rest", "times")).alias("x")).select("rid", F.col("x.rest").alias("h"), F.col("x.times").alias("times"))
+    least = model.agg(F.coalesce(F.min("logp"), F.lit(0.0)).alias("l")).scalar()
+    sums = rest.join(model.select("h", "logp"), "h", "left").groupBy("rid").agg(F.sum(F.col("times") * F.coalesce("logp", least)).alias("more"))
+    n = F.col("found.n_chars")
+    nll = F.when(n > 0, -(F.col("found.part") + F.coalesce("more", F.lit(0.0))) / n)
+    fields = [F.col(f"found.{c}").alias(c) for c in (*STATISTICS, "base_failed")]
+    return found.join(sums, "rid", "left").select("row", "rid", F.struct(*fields, nll.alias("nll"), n.alias("n_chars")).alias("quality"))
 
 
 def bands(values: DataFrame) -> DataFrame:
@@ -290,7 +268,7 @@ def bands(values: DataFrame) -> DataFrame:
     return near.groupBy("of", "middle").agg((1.4826 * F.percentile_approx(far, 0.5, 10000)).alias("spread"))
 
 
-def judged(found: DataFrame, limits: DataFrame, least: float = 0.08, reach: float = 4.0) -> DataFrame:
+def judged(found: DataFrame, limits: DataFrame, least: float = 0.02, reach: float = 4.0) -> DataFrame:
     """``found`` (row, lang, quality) with ``low``, ``high`` and ``kept``: the base rules hold and the mean log
     perplexity lies in its language's band, ``middle`` +- (``least`` + ``reach`` * ``spread`` / sqrt(n))."""
     half = least + reach * F.col("spread") / F.sqrt(F.greatest("quality.n_chars", F.lit(1)))
@@ -322,7 +300,6 @@ def quality(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_
 
 def keep_good(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> DataFrame:
     """The rows of ``docs`` that `quality` keeps, unchanged. Rows are scored once and written with their score."""
-    model = train(docs, text_col)
-    found = saved(scored(docs, model, text_col), "scored").select("row", F.col("row")[lang_col].alias("lang"), "quality")
+    found = saved(scored(docs, train(docs, text_col), text_col).select("row", F.col("row")[lang_col].alias("lang"), "quality"), "judged")
     limits = saved(bands(_values(found)), "bands")
     return judged(found, limits).where("kept").select("row.*")

@@ -1,5 +1,6 @@
 import random
 import re
+import unicodedata
 from collections import Counter
 
 import numpy as np
@@ -56,46 +57,69 @@ def test_empty_table(docs_of):
     assert Q.keep_good(docs_of([])).count() == 0
 
 
-def slow_model(texts, table):
-    """Interpolated modified Kneser-Ney straight from its definition, as a function of (context, symbol)."""
-    pad = (Q.PAD,) * (Q.ORDER - 1)
-    raw = Counter()
-    for t in texts:
-        line = pad + tuple(int(table[min(ord(c), 0x10000)]) for c in t)
-        raw.update(line[k - Q.ORDER + 1:k + 1] for k in range(len(pad), len(line)))
-    tables = {Q.ORDER: raw}
-    for n in range(Q.ORDER - 1, 0, -1):
-        tables[n] = Counter(g[1:] for g in tables[n + 1])
-    steps = {}
-    for n, c in tables.items():
-        of = [max(1, sum(v == k for v in c.values())) for k in (1, 2, 3, 4)]
-        y = of[0] / (of[0] + 2 * of[1])
-        steps[n] = [0, *np.clip([1 - 2 * y * of[1] / of[0], 2 - 3 * y * of[2] / of[1], 3 - 4 * y * of[3] / of[2]], 0, [0.95, 1.9, 2.85])]
-
-    def p(gram):
-        if not gram:
-            return 1 / 64
-        n, c = len(gram), tables[len(gram)]
-        inside = {g: v for g, v in c.items() if g[:-1] == gram[:-1]}
-        if not inside:
-            return p(gram[1:])
-        total = sum(inside.values())
-        off = sum(steps[n][min(v, 3)] for v in inside.values())
-        own = c.get(gram, 0)
-        return max(own - steps[n][min(own, 3)], 0) / total + off / total * p(gram[1:])
+def plain(text):
+    out = "".join("#" if unicodedata.category(c)[0] == "S" or c in "#*%&" else "0" if unicodedata.category(c)[0] == "N" else " " if c.isspace() and c != "\n" else c
+                  if ord(c) else chr(Q.NUL) for c in (text or ""))
+    return "".join(c if ord(o) < 0x10000 else o for c, o in zip(out, text or ""))
+
 
+def slow_model(texts):
+    """Interpolated modified Kneser-Ney straight from its definition: log probability of every n-gram of the highest order."""
+    pad = chr(Q.PAD)
+    counts = {Q.ORDER: Counter()}
+    for t in texts:
+        line = pad * (Q.ORDER - 1) + plain(t)
+        counts[Q.ORDER].update(line[k:k + Q.ORDER] for k in range(len(t or "")))
+    for k in range(Q.ORDER - 1, 0, -1):
+        counts[k] = Counter(g[1:] for g in counts[k + 1])
+    p = {"": 1 / (len(counts[1]) + 1)}
+    for k in range(1, Q.ORDER + 1):
+        c = counts[k]
+        n = [max(1, sum(v == j for v in c.values())) for j in (1, 2, 3, 4)]
+        y = n[0] / (n[0] + 2 * n[1])
+        d = {1: 1.0, 2: min(max(2 - 3 * y * n[2] / n[1], 0), 1.9), 3: min(max(3 - 4 * y * n[3] / n[2], 0), 2.85)}
+        total, off = Counter(), Counter()
+        for g, v in c.items():
+            total[g[:-1]] += v
+            off[g[:-1]] += d[min(v, 3)]
+        below, p = p, {}
+        for g, v in c.items():
+            p[g] = (v - d[min(v, 3)] + off[g[:-1]] * below[g[1:] if k > 1 else ""]) / total[g[:-1]]
     return p
 
 
-def test_model_equals_its_definition():
-    table = Q.alphabet()
-    texts = ["the sea of stones", "the sea and the light", "stones and stones, Éa 9!", "abcabcabc"]
-    grams, _ = Q._grams(texts, table)
-    keys, counts = np.unique(grams, return_counts=True)
-    model, p = Q.fit(keys.astype(np.int64), counts), slow_model(texts, table)
-    probe = Q._grams(["the stones of the light", "zzz 日本 sea"], table)[0]
-    for code, value in zip(probe, Q.log_prob(model, probe)):
-        gram = tuple(int(code) >> (6 * k) & 63 for k in range(Q.ORDER - 1, -1, -1))
-        assert np.exp(value) == pytest.approx(p(gram), rel=1e-6, abs=1e-9)
-    context = int(keys[0]) >> 6
-    assert np.exp(Q.log_prob(model, (context << 6) + np.arange(64))).sum() == pytest.approx(1)
+def slow_nll(p, text):
+    line = chr(Q.PAD) * (Q.ORDER - 1) + plain(text)
+    return -sum(np.log(p[line[k:k + Q.ORDER]]) for k in range(len(text))) / len(text)
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_model_and_scores_equal_their_definition(docs_of, odd, monkeypatch, small):
+    if small:  # nearly all n-grams are looked up by the join, texts are cut into parts
+        for name, value in (("FREQUENT", 3), ("_CHARS", 500), ("_HELD", 50)):
+            monkeypatch.setattr(Q, name, value)
+    clean, noise, _ = corpus()
+    rows = clean[:30] + noise[:2] + [r for r in odd if r[0] not in (7, 8)] + [(900, "日本語のテキスト " * 9 + "\0\0x\0"), (901, "ÀÉÎ 👍🏽 мир")]
+    cut = [t for _, t, *_ in rows if t]
+    if small:  # parts of a long text begin anew
+        cut = [t[k:k + 500] for t in cut for k in range(0, len(t), 500)]
+    p = slow_model(cut)
+    docs = docs_of(rows)
+    model = Q.train(docs)
+    assert sorted(round(r["logp"], 9) for r in model.collect()) == sorted(round(float(np.log(v)), 9) for v in p.values())
+    for r in Q.scored(docs.select("doc_id", "text"), model).collect():
+        text = r["row"]["text"]
+        if not text:
+            assert r["quality"]["nll"] is None
+        elif not small:
+            assert r["quality"]["nll"] == pytest.approx(slow_nll(p, text), rel=1e-9)
+        else:
+            parts = [text[k:k + 500] for k in range(0, len(text), 500)]
+            assert r["quality"]["nll"] == pytest.approx(sum(slow_nll(p, x) * len(x) for x in parts) / len(text), rel=1e-9)
+
+
+def test_the_model_grows_and_leaves_no_character_out(docs_of):
+    rows = [(k, " ".join(chr(0x4E00 + (k * 37 + j * j) % 5000) for j in range(40))) for k in range(200)]
+    few, many = (Q.train(docs_of(r)).count() for r in (rows[:20], rows))
+    assert many > 5 * few
+    assert Q.count_grams(docs_of(rows)).agg({"n": "sum"}).first()[0] == sum(len(t) for _, t in rows)
