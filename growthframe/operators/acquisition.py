@@ -82,7 +82,8 @@ CHANNEL_RULES = [
     (("in", ["partner", "partenariat"]), None, "Partenariat"),
     (("in", ["sponsorship", "parrainage"]), None, "Parrainage"),
     (("ref",), None, "Parrainage"),
-    (("adwords_or_paid_search",), None, "Paid Search"),
+    (("like", "%adwords%"), None, "Paid Search"),
+    (("in", ["google", "bing"]), ("in", _PAID + ["paid"]), "Paid Search"),
     (("eq", "google"), ("eq", "organic"), "SEO"),
     (("eq", "youtube"), ("like", "%paid%"), "Paid Social"),
     (("eq", "youtube"), None, "Organic Social"),
@@ -133,7 +134,7 @@ CHANNEL_RULES = [
 ]
 
 
-def _cond(spec, col: Column, source: Column, medium: Column, ref: Column | None) -> Column:
+def _cond(spec, col: Column, ref: Column | None) -> Column:
     if spec is None:
         return F.lit(True)
     op = spec[0]
@@ -149,8 +150,6 @@ def _cond(spec, col: Column, source: Column, medium: Column, ref: Column | None)
         return col.isin(list(spec[1])) | col.like(spec[2])
     if op == "ref":
         return ref.isNotNull() if ref is not None else F.lit(False)
-    if op == "adwords_or_paid_search":
-        return source.like("%adwords%") | (source.isin("google", "bing") & medium.isin(*_PAID, "paid"))
     raise ValueError(op)
 
 
@@ -158,7 +157,7 @@ def rule_ladder(rules, source: Column, medium: Column, ref: Column | None = None
     """Compile an ordered rule table into one CASE expression (map-only, no join)."""
     out = None
     for s_spec, m_spec, label in rules:
-        cond = _cond(s_spec, source, source, medium, ref) & _cond(m_spec, medium, source, medium, ref)
+        cond = _cond(s_spec, source, ref) & _cond(m_spec, medium, ref)
         out = F.when(cond, F.lit(label)) if out is None else out.when(cond, F.lit(label))
     return out
 

@@ -84,41 +84,91 @@ def stage_dates(spark, sf):
         F.to_date(F.min(F.when(t == "error", F.col("ts")))).alias("date_lost"))
 
 
-# ----------------------------------------------------------------------------- rule tables as SQL
-
-def _spec_sql(spec, col, s, m):
-    if spec is None:
-        return "TRUE"
-    op = spec[0]
-    q = lambda v: "'" + v.replace("'", "''") + "'"
-    if op == "eq":
-        return f"{col} = {q(spec[1])}"
-    if op == "in":
-        return f"{col} IN ({', '.join(q(v) for v in spec[1])})"
-    if op == "like":
-        return f"{col} LIKE {q(spec[1])}"
-    if op == "like_any":
-        return "(" + " OR ".join(f"{col} LIKE {q(p)}" for p in spec[1]) + ")"
-    if op == "in_or_like":
-        return f"({col} IN ({', '.join(q(v) for v in spec[1])}) OR {col} LIKE {q(spec[2])})"
-    if op == "ref":
-        return "FALSE"
-    if op == "adwords_or_paid_search":
-        return (f"({s} LIKE '%adwords%' OR ({s} IN ('google', 'bing') AND "
-                f"{m} IN ('ads', 'cpc', 'ppc', 'retargeting', 'cpm', 'paid')))")
-    raise ValueError(op)
-
-
-def rules_case_sql(rules, s, m):
-    whens = [f"WHEN ({_spec_sql(a, s, s, m)}) AND ({_spec_sql(b, m, s, m)}) THEN '{lbl}'" for a, b, lbl in rules]
-    return "CASE " + " ".join(whens) + " END"
-
-
-@paired("k7_channel_grouping", WEB_BASE_SQL + f"""
-SELECT event_id, utm_source, utm_medium,
-  {rules_case_sql(AQ.SOURCE_NAME_RULES, 'utm_source', 'utm_medium')} AS session_source_name,
-  {rules_case_sql(AQ.CHANNEL_RULES, 'utm_source', 'utm_medium')} AS session_channel
-FROM web
+# ----------------------------------------------------------------------------- rules by example
+# Expected labels, written out from the rules and apart from the operator's tables: every rule of both ladders is reached, with cases
+# between rules: (source, medium, has a partner referral, source name, channel).
+CHANNEL_CASES = [
+    ("partner", None, 0, "Partenariat", "Partenariat"), ("partenariat", "x", 0, "Partenariat", "Partenariat"),
+    ("sponsorship", None, 0, "Parrainage", "Parrainage"), ("parrainage", "cpc", 0, "Parrainage", "Parrainage"), ("whatever", "x", 1, "Parrainage", "Parrainage"),
+    ("partner", "cpc", 1, "Partenariat", "Partenariat"), ("my_adwords_x", "cpc", 0, "Google Ads", "Paid Search"), ("adwords", None, 0, "Google Ads", "Paid Search"),
+    ("google", "ads", 0, "Google Ads", "Paid Search"), ("google", "cpc", 0, "Google Ads", "Paid Search"), ("google", "ppc", 0, "Google Ads", "Paid Search"),
+    ("google", "retargeting", 0, "Google Ads", "Paid Search"), ("google", "cpm", 0, "Google Ads", "Paid Search"), ("google", "paid", 0, "Google Ads", "Paid Search"),
+    ("google", "organic", 0, "Google Organic", "SEO"), ("youtube", "paid_video", 0, "YouTube", "Paid Social"), ("youtube", "organic", 0, "YouTube", "Organic Social"),
+    ("youtube", None, 0, "YouTube", "Organic Social"), ("youtube", "referral", 0, "YouTube", "Organic Social"),
+    ("linkedin", "cpm", 0, "Linkedin Ads", "Paid Social"), ("linkedin", "paidsocial", 0, "Linkedin Ads", "Paid Social"), ("linkedin", "organic", 0, "Linkedin Organic", "Organic Social"),
+    ("lnkd.linkedin.com", "organic", 0, "Linkedin Organic", "Organic Social"), ("tiktok", "retargeting", 0, "TikTok Ads", "Paid Social"), ("tiktok", "paid_x", 0, None, "Paid Social"),
+    ("tiktok", "social", 0, "TikTok Organic", "Organic Social"), ("m.tiktok.com", "organic", 0, "TikTok Organic", "Organic Social"),
+    ("paid_fb", "facebook_feed", 0, "Meta Ads", "Paid Social"), ("facebook_x", "ads_1", 0, "Meta Ads", "Paid Social"), ("facebook", "cpc", 0, "Meta Ads", "Paid Social"),
+    ("meta", "paid_social", 0, "Meta Ads", "Paid Social"), ("instagram", "ppc", 0, "Meta Ads", "Paid Social"), ("facebook", "facebook_ads", 0, "Meta Ads", "Paid Social"),
+    ("facebook", "social", 0, "Facebook Organic", "Organic Social"), ("instagram", "social", 0, "Instagram Organic", "Organic Social"), ("ig", "social", 0, "Instagram Organic", "Organic Social"),
+    ("bing", "cpc", 0, "Bing Ads", "Paid Search"), ("bing", "paid", 0, "Bing Ads", "Paid Search"), ("bing", "", 0, "Bing Ads", None), ("bing", "organic", 0, "Bing Organic", "SEO"),
+    ("affiliation", None, 0, "Affiliation", "Affiliation"), ("adyen.com", "referral", 0, "Payment Service Provider", "Payment Service Provider"),
+    ("secure.ogone", "x", 0, "Payment Service Provider", "Payment Service Provider"), ("getalma.eu", None, 0, "Payment Service Provider", "Payment Service Provider"),
+    ("klarna", "organic", 0, "Payment Service Provider", "Payment Service Provider"), ("onsite", "banner", 0, "Onsite banner", "Onsite banner"), ("gmb", "organic", 0, "GMB", "GMB"),
+    ("hillspet.fr", "x", 0, "Criteo", "Criteo"), ("qwant.com", "referral", 0, "Qwant Search", "SEO"), ("www.bing.com", "referral", 0, "Bing Search", "SEO"),
+    ("google.fr", "referral", 0, "Google Search", "SEO"), ("yahoo.com", "referral", 0, "Yahoo Search", "SEO"), ("yahoo", "organic", 0, "Yahoo Organic", "SEO"),
+    ("duckduckgo", "referral", 0, "Duckduckgo Search", "SEO"), ("duckduckgo", "organic", 0, "Duckduckgo Organic", "SEO"), ("ecosia.org", "referral", 0, "Ecosia Search", "SEO"),
+    ("ecosia.org", "organic", 0, "Ecosia Organic", "SEO"), ("baidu", "organic", 0, "Baidu Organic", "SEO"), ("brave", "referral", 0, "Brave Search", "SEO"),
+    ("startpage", "organic", 0, "SEO", "SEO"), (None, "organic", 0, "SEO", "SEO"), ("facebook", "organic", 0, "SEO", "SEO"),
+    ("twitch.tv", "social", 0, "Twitch Organic", "Organic Social"), ("twitter", "social", 0, "Twitter Organic", "Organic Social"), ("reddit.com", "social", 0, "Reddit Organic", "Organic Social"),
+    ("tiktok.com", "referral", 0, "Tiktok Organic", "Organic Social"), ("meta.com", "referral", 0, "Facebook Organic", "Organic Social"), ("l.facebook.com", "referral", 0, "Facebook Organic", "Organic Social"),
+    ("l.instagram.com", "referral", 0, "Instagram Organic", "Organic Social"), ("snapchat.com", "referral", 0, "Snapchat Organic", "Organic Social"),
+    ("pinterest.fr", "referral", 0, "Pinterest Organic", "Organic Social"), ("twitter.com", "referral", 0, "Twitter Organic", "Organic Social"), ("linkedin.com", "referral", 0, "Linkedin Organic", "Organic Social"),
+    ("chatgpt.com", "x", 0, "AI Referrals", "AI Referrals"), ("perplexity", None, 0, "AI Referrals", "AI Referrals"), ("some.blog", "referral", 0, "Referral Websites", "Referral Websites"),
+    ("x", "my_referral_2", 0, "Referral Websites", "Referral Websites"), ("gmail.com", "referral", 0, "Referral Websites", "Referral Websites"), ("x", "webinar_may", 0, "Webinar", "Webinar"),
+    ("direct", "none", 0, "Direct", "Direct"), ("(direct)", "(none)", 0, "Direct", "Direct"), ("direct", "(none)", 0, None, None), ("mailchimp", "x", 0, "Email", "Email"),
+    ("newsletter", "email", 0, "Email", "Email"), ("hs_automation", None, 0, "Email", "Email"), ("unknown", "unknown", 0, None, None), (None, None, 0, None, None), (None, None, 1, "Parrainage", "Parrainage"),
+    ("Google", "cpc", 0, None, None), ("google", "social", 0, None, None), ("ig", "ads", 0, None, None),
+]
+# The same for referrers: (referrer, utm source, utm medium, has a click id, source, medium).
+REFERRER_CASES = [
+    ("https://chatgpt.com/c/1", None, None, 0, "chatgpt.com", "referral"), ("https://www.perplexity.ai/", None, None, 0, "perplexity.ai", "referral"),
+    ("https://gemini.google.com", None, None, 0, "gemini.google.com", "referral"), ("https://gemini.google.com/app", None, None, 0, "google", "organic"),
+    ("https://claude.ai/x", None, None, 0, "claude.ai", "referral"), ("https://www.google.com/", None, None, 0, "google", "organic"), ("https://www.bing.com/search", None, None, 0, "bing", "organic"),
+    ("https://www.msn.com/", None, None, 0, "msn", "organic"), ("https://fr.search.yahoo.com/", None, None, 0, "yahoo", "organic"), ("https://www.qwant.com/", None, None, 0, "qwant", "organic"),
+    ("https://www.ecosia.com/", None, None, 0, "ecosia", "organic"), ("https://duckduckgo.com/", None, None, 0, "duckduckgo", "organic"), ("https://search.brave.com/", None, None, 0, "brave", "organic"),
+    ("https://www.youtube.com/", None, None, 0, "youtube", "social"), ("https://www.linkedin.com/", None, None, 0, "linkedin", "social"), ("https://l.facebook.com/", None, None, 0, "facebook", "social"),
+    ("https://www.instagram.com/", None, None, 0, "instagram", "social"), ("https://t.co/abc", None, None, 0, "twitter", "social"), ("https://www.pinterest.com/", None, None, 0, "twitter", "social"),
+    ("https://example.org/", None, None, 0, None, None), (None, None, None, 0, None, None), ("https://www.google.com/", "news", "email", 0, "news", "email"), ("https://www.google.com/", "news", None, 0, "news", None),
+    (None, "news", "email", 1, "google", "cpc"), (None, None, None, 1, "google", "cpc"), ("https://www.bing.com/", None, "email", 0, "bing", "organic"),
+]
+
+
+def _values(rows):
+    lit = lambda v: "NULL" if v is None else str(v) if isinstance(v, int) else "'" + v.replace("'", "''") + "'"
+    return ", ".join("(" + ", ".join(lit(v) for v in (k, *r)) + ")" for k, r in enumerate(rows))
+
+
+def _case_rows(spark, sf, rows, schema):
+    """The inputs of the cases (never the labels) dealt to the events in turn."""
+    t = spark.createDataFrame([(k, *r) for k, r in enumerate(rows)], "i long, " + schema)
+    e = load(spark, sf, "events").select("event_id", (F.col("event_id") % len(rows)).alias("i"))
+    return e.join(t, "i").drop("i")
+
+
+@paired("k7_every_channel_rule", f"""
+WITH c AS (SELECT * FROM (VALUES {_values(CHANNEL_CASES)}) v(i, source, medium, ref, session_source_name, session_channel))
+SELECT event_id, source, medium, CAST(session_source_name AS VARCHAR) AS session_source_name, CAST(session_channel AS VARCHAR) AS session_channel FROM events JOIN c ON c.i = event_id % {len(CHANNEL_CASES)}
+""", covers=("K7", "P4", "P6", "P9"))
+def k7_every(spark, sf):
+    x = _case_rows(spark, sf, [r[:3] for r in CHANNEL_CASES], "source string, medium string, ref int")
+    x = x.withColumn("partner", F.when(F.col("ref") == 1, "p1"))
+    return AQ.channel_grouping(x, "source", "medium", "partner").select("event_id", "source", "medium", "session_source_name", "session_channel")
+
+
+@paired("k6_every_referrer_rule", f"""
+WITH c AS (SELECT * FROM (VALUES {_values(REFERRER_CASES)}) v(i, referrer, us, um, click, source, medium))
+SELECT event_id, referrer, source, medium FROM events JOIN c ON c.i = event_id % {len(REFERRER_CASES)}
+""", covers=("K6", "P6"))
+def k6_every(spark, sf):
+    x = _case_rows(spark, sf, [r[:4] for r in REFERRER_CASES], "referrer string, us string, um string, click int")
+    x = x.withColumn("gclid", F.when(F.col("click") == 1, "g"))
+    return AQ.classify_referrer(x, "referrer", "us", "um", click_id="gclid").select("event_id", "referrer", "source", "medium")
+
+
+# What the stand-in's own sources, media and referrers are expected to give.
+@paired("k7_channel_grouping", WEB_BASE_SQL + """
+SELECT event_id, utm_source, utm_medium, CASE utm_source WHEN 'google' THEN 'Google Ads' WHEN 'newsletter' THEN 'Email' WHEN 'bing' THEN 'Bing Ads' WHEN 'facebook' THEN 'Meta Ads' END AS session_source_name, CASE utm_source WHEN 'google' THEN 'Paid Search' WHEN 'newsletter' THEN 'Email' WHEN 'bing' THEN 'Paid Search' WHEN 'facebook' THEN 'Paid Social' END AS session_channel FROM web
 """, covers=("K7", "P4", "P6", "P9"))
 def k7(spark, sf):
     w = web_events(spark, sf)
@@ -126,15 +176,9 @@ def k7(spark, sf):
         "event_id", "utm_source", "utm_medium", "session_source_name", "session_channel")
 
 
-def _ref_case(kind):
-    idx = 1 if kind == "source" else 2
-    whens = " ".join(f"WHEN referrer LIKE '{r[0]}' THEN '{r[idx]}'" for r in AQ.REFERRER_RULES)
-    first = "utm_source" if kind == "source" else "utm_medium"
-    return f"CASE WHEN utm_source IS NOT NULL THEN {first} {whens} END"
-
-
-@paired("k6_classify_referrer", TOUCH_SQL + f"""
-SELECT contact_id, touchpoint_id, {_ref_case('source')} AS source, {_ref_case('medium')} AS medium FROM t
+@paired("k6_classify_referrer", TOUCH_SQL + """
+SELECT contact_id, touchpoint_id,
+  CASE WHEN utm_source IS NOT NULL THEN utm_source WHEN referrer = 'https://www.linkedin.com/feed' THEN 'linkedin' WHEN referrer = 'https://chatgpt.com/' THEN 'chatgpt.com' WHEN referrer = 'https://www.google.com/search' THEN 'google' END AS source, CASE WHEN utm_source IS NOT NULL THEN utm_medium WHEN referrer = 'https://www.linkedin.com/feed' THEN 'social' WHEN referrer = 'https://chatgpt.com/' THEN 'referral' WHEN referrer = 'https://www.google.com/search' THEN 'organic' END AS medium FROM t
 """, covers=("K6", "P6"))
 def k6(spark, sf):
     t = touch_model(spark, sf)
