@@ -6,13 +6,17 @@ volumes are event counts per day.
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from growthframe.functions.semantics import round_half_up
 from growthframe.operators import alerts as AL
 from growthframe.operators import monitoring as MO
-from growthframe.operators.calendar import public_holidays
+from growthframe.operators.calendar import densify, public_holidays, spine_from_bounds
 from growthframe.plans.registry import paired
+from growthframe.session import materialize, scratch_path
 from growthframe.sources.tables import TABLES, load
 
 R2 = "CAST(ROUND(CAST({x} AS DECIMAL(38,6)), 2) AS DOUBLE)"
@@ -249,3 +253,48 @@ def s14(spark, sf):
     u = reduce(lambda a, b: a.unionByName(b), parts)
     return u.groupBy("table_name").agg(F.max("mtime").alias("last_modified_time")) \
         .orderBy(F.col("last_modified_time").desc(), "table_name")
+
+
+# Findings of every pair and day: no events after a day with some (new), no events for eight days (lasting). The oracle counts each
+# run of empty days: alerts on its first day and every seventh day after that.
+_SPARSE_SQL = """
+WITH e AS (SELECT 'site ' || CAST(user_id % 7 AS VARCHAR) AS website, event_type AS event_name, CAST(ts AS DATE) AS date FROM events WHERE event_id % 23 < 2 AND user_id % 7 + day(ts) % 11 < 9),
+b AS (SELECT MIN(date) AS lo, MAX(date) + 20 AS hi FROM e),
+grid AS (SELECT p.website, p.event_name, CAST(unnest(generate_series(b.lo, b.hi, INTERVAL 1 DAY)) AS DATE) AS d FROM (SELECT DISTINCT website, event_name FROM e) p, b),
+n AS (SELECT g.*, COUNT(e.date) AS n FROM grid g LEFT JOIN e ON e.website = g.website AND e.event_name = g.event_name AND e.date = g.d GROUP BY ALL)"""
+
+
+def _findings(spark, sf):
+    e = load(spark, sf, "events")
+    u = F.col("user_id") % 7
+    e = e.filter((F.col("event_id") % 23 < 2) & (u + F.dayofmonth("ts") % 11 < 9)).select(
+        F.concat(F.lit("site "), u.cast("string")).alias("website"), F.col("event_type").alias("event_name"), F.to_date("ts").alias("d"))
+    b = e.agg(F.min("d").alias("lo"), F.date_add(F.max("d"), 20).alias("hi"))
+    daily_ = densify(e.groupBy("website", "event_name", "d").agg(F.count("*").alias("n")), spine_from_bounds(b, "lo", "hi"), "d", ["website", "event_name"], {"n": 0})
+    w = Window.partitionBy("website", "event_name").orderBy("d")  # one row per pair and day
+    before = F.lag("n").over(w)
+    x = daily_.withColumn("is_new", F.coalesce((F.col("n") == 0) & (before > 0), F.lit(False)))
+    week = w.rowsBetween(-7, 0)
+    x = x.withColumn("is_lasting", (F.sum("n").over(week) == 0) & (F.count("*").over(week) == 8))
+    return x.select("website", "event_name", F.col("d").cast("timestamp").alias("ts"), "is_new", "is_lasting")
+
+
+@paired("t5_alert_suppression_stream", _SPARSE_SQL + """
+, s AS (SELECT *, n = 0 AND LAG(n) OVER w > 0 AS starts FROM n WINDOW w AS (PARTITION BY website, event_name ORDER BY d)),
+r AS (SELECT *, MAX(CASE WHEN n > 0 THEN d END) OVER w AS seen, MAX(CASE WHEN starts THEN d END) OVER w AS begun FROM s WINDOW w AS (PARTITION BY website, event_name ORDER BY d ROWS UNBOUNDED PRECEDING)),
+a AS (SELECT website, event_name, d, starts AS is_new_alert FROM r WHERE n = 0 AND begun > seen AND (d - begun) % 7 = 0)
+SELECT website, event_name, d, is_new_alert, LAG(d) OVER (PARTITION BY website, event_name ORDER BY d) AS previous_alert, MIN(d) OVER (PARTITION BY website, event_name) AS first_alert FROM a
+""", covers=("T5", "K109"))
+def t5_stream(spark, sf):
+    from growthframe.streaming.alerts import suppress_alerts
+    from growthframe.streaming.twins import to_parquet_foreach_batch
+    name = f"t5-{uuid.uuid4().hex}"
+    source, target = scratch_path(spark, f"{name}/in"), scratch_path(spark, f"{name}/out")
+    found = materialize(_findings(spark, sf))
+    middle = found.agg(F.timestamp_seconds(F.avg(F.unix_timestamp("ts"))).alias("m")).scalar()
+    for part in (found.filter(F.col("ts") <= middle), found.filter(F.col("ts") > middle)):  # the query is stopped and started again in between
+        part.write.mode("append").parquet(source)
+        s = spark.readStream.schema(found.schema).parquet(source)
+        to_parquet_foreach_batch(suppress_alerts(s), target, name, available_now=True).awaitTermination()
+    day = lambda c: F.to_date(c)
+    return spark.read.parquet(target).select("website", "event_name", day("ts").alias("d"), "is_new_alert", day("previous_alert").alias("previous_alert"), day("first_alert").alias("first_alert"))
