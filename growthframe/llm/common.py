@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,12 +22,33 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+_scopes: list[str] = []
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession, name: str) -> Iterator[None]:
+    """What `saved` writes inside goes to a folder of its own, which is removed at the end: for a result that has been written elsewhere by then."""
+    _scopes.append(f"{name}-{uuid.uuid4().hex}")
+    folder = scratch_path(spark, "/".join(["llm", *_scopes]))
+    try:
+        yield
+    finally:
+        _scopes.pop()
+        remove(spark, folder)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder, wherever it lies."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def saved(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to the shared checkpoint folder and read back.
 
     It cuts the lineage, survives lost executors, keeps column pruning, and gives the planner true
     sizes, so that Spark's own size check decides on broadcasts of what was written."""
-    path = scratch_path(df.sparkSession, f"llm/{name}-{uuid.uuid4().hex}")
+    path = scratch_path(df.sparkSession, "/".join(["llm", *_scopes, f"{name}-{uuid.uuid4().hex}"]))
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

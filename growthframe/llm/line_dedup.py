@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from growthframe.llm.common import saved
+
 #: A word is a run of anything but space and the bytes 0x09 to 0x0D.
 WORD = "[^\\\\x20\\\\x09-\\\\x0D]+"
 
@@ -50,7 +52,7 @@ def repeated_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Members of one interval (equal name and size) are occurrences of one run. The first of
     them in (id, text, line) order stays; the others are later copies. Touching or overlapping later
     copies in a document join into maximal runs."""
-    found = _runs(docs, id_col, text_col, min_lines, min_words)
+    found = saved(_runs(docs, id_col, text_col, min_lines, min_words), "line-runs")  # read twice: split and hashed once
     at = F.struct(F.col("id").isNull().alias("none"), "id", "key", "first")
     first = found.groupBy("name", "size").agg(F.min(at).alias("at"), F.max(at).alias("to")).where("at < to").select("name", "size", F.col("at").alias("at0"))
     later = found.join(first, ["name", "size"]).where(at > F.col("at0")).select("id", "key", "first", "last").distinct()
@@ -90,3 +92,13 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     new = ("n_lines", "n_removed", "n_runs")
     return df.select(*[text.alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns if c not in new],
                      n.alias("n_lines"), gone.alias("n_removed"), F.expr("coalesce(cast(size(runs) AS bigint), 0L)").alias("n_runs"))
+
+
+def keep_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars") -> DataFrame:
+    """``docs`` after `dedup_lines`, with its own columns: ``length_col`` follows the text, and a document of which lines were deleted
+    and no word is left goes. A NULL text, and one that had no words before, stays."""
+    done = dedup_lines(docs, id_col, text_col)
+    if length_col in docs.columns:
+        done = done.withColumn(length_col, F.length(text_col).cast("long"))
+    emptied = (F.col("n_removed") > 0) & ~F.col(text_col).rlike(r"[^\x20\x09-\x0D]")
+    return done.where(~emptied).select(*docs.columns)
