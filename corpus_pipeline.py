@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from growthframe.llm.common import saved, table
+from growthframe.llm.common import remove, scratch_scope, table
 from growthframe.llm.decontaminate import drop_leaks
-from growthframe.llm.line_dedup import dedup_lines
+from growthframe.llm.line_dedup import keep_lines
 from growthframe.llm.piece_codec import encode
 from growthframe.llm.quality import keep_good
 from growthframe.llm.simhash import keep_one
+from growthframe.session import scratch_path
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -22,9 +23,7 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Delete later copies of repeated line runs; a document of which no word is left goes. ``n_chars`` follows the text."""
-    done = dedup_lines(docs).withColumn("n_chars", F.length("text").cast("long"))
-    emptied = (F.col("n_removed") > 0) & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
-    return done.where(~emptied).select(*docs.columns)
+    return keep_lines(docs)
 
 
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,8 +54,19 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the whole of ``documents``; what the last one returns."""
-    docs = table(spark, sf_dir, "documents")
+    """All stages over the whole of ``documents``; what the last one returns.
+
+    Rows with NULLs in any column, repeated rows and columns of clashing names pass through each stage as its operator says; an
+    empty table gives an empty one. Each stage's rows are written to the shared folder before the next one starts; then what the
+    stage wrote for itself, and the rows of the stage before, are removed: one copy of the corpus is held, and its successor."""
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
-        docs = saved(stage(spark, docs, sf_dir), name)
+        path = scratch_path(spark, f"pipeline/{name}-{uuid.uuid4().hex}")
+        with scratch_scope(spark, name):
+            out = stage(spark, docs, sf_dir)
+            out.write.parquet(path)
+        docs = spark.read.schema(out.schema).parquet(path)
+        if before:
+            remove(spark, before)
+        before = path
     return STAGES[-1][1](spark, docs, sf_dir)

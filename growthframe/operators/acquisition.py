@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from growthframe.functions.semantics import least_strict
+from growthframe.operators.distinct import id_bitmaps, union_counts
 
 # ----------------------------------------------------------------------------- K7
 # Ordered channel-grouping rules, first match wins. Each rule is
@@ -516,23 +517,20 @@ def funnel_dates(histories: Sequence[DataFrame], entity: str, date: str, stage_r
 
 def stage_conversion_counts(c: DataFrame, periods: Sequence[tuple[str, str, str]], contact: str = "contact_id") -> DataFrame:
     """Per period (label, start, end): contacts entering as lead, and among them those
-    still open, lost, won, and converted to mql; one scan with conditional distinct counts."""
-    out = []
-    for label, start, end in periods:
+    still open, lost, won, and converted to mql. ``contact`` is a positive number.
+
+    One scan and one aggregate for all periods and measures: each is the bitmap of its contacts
+    (:func:`id_bitmaps`), so the distinct counts neither multiply rows nor read the table again."""
+    flags = {}
+    for n, (_, start, end) in enumerate(periods):
         lo, hi = F.lit(start).cast("date"), F.lit(end).cast("date")
-        lead_in = F.col("date_lead").between(lo, hi)
-        out.append(c.agg(
-            F.countDistinct(F.when(lead_in, F.col(contact))).alias("leads"),
-            F.countDistinct(F.when(lead_in & F.col("date_mql").isNotNull() & (F.col("date_mql") <= hi),
-                                   F.col(contact))).alias("lead_to_mql"),
-            F.countDistinct(F.when(lead_in & F.col("date_won").isNotNull() & (F.col("date_won") <= hi),
-                                   F.col(contact))).alias("won"),
-            F.countDistinct(F.when(lead_in & F.col("date_lost").isNotNull() & (F.col("date_lost") <= hi),
-                                   F.col(contact))).alias("lost"),
-            F.countDistinct(F.when(lead_in & (F.col("date_won").isNull() | (F.col("date_won") > hi))
-                                   & (F.col("date_lost").isNull() | (F.col("date_lost") > hi)),
-                                   F.col(contact))).alias("open")).withColumn("period", F.lit(label)))
-    return reduce(lambda a, b: a.unionByName(b), out)
+        lead_in, by = F.col("date_lead").between(lo, hi), (lambda c, hi=hi: F.coalesce(F.col(c) <= hi, F.lit(False)))
+        flags |= {f"leads_{n}": lead_in, f"lead_to_mql_{n}": lead_in & by("date_mql"), f"won_{n}": lead_in & by("date_won"),
+                  f"lost_{n}": lead_in & by("date_lost"), f"open_{n}": lead_in & ~by("date_won") & ~by("date_lost")}
+    one = union_counts(id_bitmaps(c, [], flags, contact), [], list(flags))
+    names = ["leads", "lead_to_mql", "won", "lost", "open"]
+    rows = F.array(*[F.struct(*[F.coalesce(f"{m}_{n}", F.lit(0).cast("long")).alias(m) for m in names], F.lit(label).alias("period")) for n, (label, _, _) in enumerate(periods)])
+    return one.select(F.explode(rows).alias("r")).select("r.*")
 
 
 # Forms that make a contact "MQL first".
