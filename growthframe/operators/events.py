@@ -64,29 +64,30 @@ def sessionize(df: DataFrame, user: str, ts: str, event_id: str, gap_minutes: in
     # one struct of user and bucket: NULL users and NULL times keep their rows
     x = df.withColumn("_g", F.struct(F.col(user).alias("u"), b.alias("b")))
     wb = Window.partitionBy("_g").orderBy(ts, event_id)
+    at = F.struct(ts, event_id)
+    # inside a bucket all but its first event know whether they start a session
+    x = x.withColumn("_first", F.row_number().over(wb) == 1).withColumn("_marked", F.coalesce(marker, F.lit(False)))
+    lag = F.lag(ts).over(wb)
+    x = x.withColumn("_start", ~F.col("_first") & F.coalesce(lag.isNull() | ((_micros(ts) - _micros(lag)) >= gap) | F.col("_marked"), F.lit(False)))
+    # one table of buckets: what the first event needs, and what the buckets after it need
+    per = x.groupBy("_g").agg(
+        F.max(ts).alias("_last_t"), F.min_by(F.struct(F.col(ts).alias("t"), F.col(event_id).alias("e"), F.col("_marked").alias("m")), F.when(F.col("_first"), at)).alias("_f"),
+        F.count_if("_start").alias("_starts"), F.max_by(F.col(event_id), F.when(F.col("_start"), at)).alias("_last_start"))
     across = Window.partitionBy("_g.u").orderBy("_g.b")
     before = across.rowsBetween(Window.unboundedPreceding, -1)
-    # 1) last event time of the previous active bucket, for each bucket's first event
-    last_t = x.groupBy("_g").agg(F.max(ts).alias("_last_t"))
-    last_t = last_t.withColumn("_prev_bucket_t", F.lag("_last_t").over(across)).drop("_last_t")
-    x = x.join(last_t, "_g")
-    prev = F.coalesce(F.lag(ts).over(wb), F.col("_prev_bucket_t"))
-    start = prev.isNull() | ((_micros(ts) - _micros(prev)) >= gap) | marker
-    x = x.withColumn("is_session_start", start).drop("_prev_bucket_t")
-    # 2) sessions opened before the bucket: count and id of the session still open
-    per = x.groupBy("_g").agg(
-        F.count_if("is_session_start").alias("_starts"),
-        F.max_by(F.col(event_id), F.when(F.col("is_session_start"), F.struct(ts, event_id))).alias("_last_start"))
-    per = (per.withColumn("_starts_before", F.coalesce(F.sum("_starts").over(before), F.lit(0)))
-           .withColumn("_open_id", F.last("_last_start", ignorenulls=True).over(before))
-           .drop("_starts", "_last_start"))
+    earlier = F.lag("_last_t").over(across)
+    per = per.withColumn("_opens", F.coalesce(earlier.isNull() | ((_micros("_f.t") - _micros(earlier)) >= gap) | F.col("_f.m"), F.lit(False)))
+    per = per.withColumn("_starts", F.col("_starts") + F.col("_opens").cast("long")) \
+        .withColumn("_last_start", F.coalesce(F.col("_last_start"), F.when(F.col("_opens"), F.col("_f.e"))))
+    per = per.select("_g", "_opens", F.coalesce(F.sum("_starts").over(before), F.lit(0)).alias("_starts_before"), F.last("_last_start", ignorenulls=True).over(before).alias("_open_id"))
     x = x.join(per, "_g")
+    x = x.withColumn("is_session_start", F.when(F.col("_first"), F.col("_opens")).otherwise(F.col("_start")))
     run = wb.rowsBetween(Window.unboundedPreceding, 0)
     in_bucket_id = F.last(F.when(F.col("is_session_start"), F.col(event_id)), ignorenulls=True).over(run)
     return (x.withColumn("session_id", F.coalesce(in_bucket_id, F.col("_open_id")))
             .withColumn("session_number",
                         F.col("_starts_before") + F.sum(F.col("is_session_start").cast("long")).over(run))
-            .drop("_g", "_starts_before", "_open_id"))
+            .drop("_g", "_first", "_marked", "_start", "_opens", "_starts_before", "_open_id"))
 
 
 def session_rollup(df: DataFrame, session: str, ts: str, page: str, utm_cols: Sequence[str],
@@ -139,20 +140,30 @@ def previous_page(df: DataFrame, visit: str, ts: str, event_id: str, page: str)
             .groupBy(F.col(page).alias("page"), "previous_page").agg(F.count("*").alias("pageviews")))
 
 
-def time_on_page(hits: DataFrame, visit: str, ts: str, event_id: str, page: str) -> DataFrame:
+def time_on_page(df: DataFrame, visit: str, ts: str, event_id: str, page: str, is_page: Column, is_interaction: Column, bucket: str = "hour") -> DataFrame:
     """Average time on page = sum(next hit - hit) / non-exit pageviews.
 
     Only PAGE hits and the visit's last interaction are kept (the last interaction closes
-    the last page); ``nextTime`` is the next kept hit. Seconds, NULL when no non-exit view."""
-    is_page = F.col("hit_type") == "PAGE"
-    x = hits.filter(is_page | F.col("is_interaction"))
-    x = with_group_agg(x, [visit], F.max(ts).alias("_last_t"))
-    x = x.filter(is_page | (F.col(ts) == F.col("_last_t")))
-    x = bucketed_lead(x, [visit], ts, event_id, [ts], "hour", "_n_").withColumnRenamed(f"_n_{ts}", "_next")
-    x = x.withColumn("_dt", (_micros("_next") - _micros(ts)) / 1e6)
+    the last page); the next kept hit ends a page's time. Seconds, NULL when no non-exit view.
+
+    One pass over (visit, bucket): a table of buckets says what a bucket must know of the others (the visit's last row and last kept
+    row, the first page of a later bucket), and one window inside the bucket finds the next page. After that comes the last
+    interaction or nothing, as no page is later than it."""
+    x = df.select(visit, ts, event_id, page, is_page.alias("_page"), (is_page | is_interaction).alias("_kept"))
+    x = x.withColumn("_g", F.struct(F.struct(visit).alias("k"), F.date_trunc(bucket, F.col(ts)).alias("b")))
+    at = F.struct(F.col(ts).alias("t"), F.col(event_id).alias("e"))
+    per = x.groupBy("_g").agg(F.max(at).alias("_row"), F.max(F.when(F.col("_kept"), at)).alias("_keep"), F.min(F.when(F.col("_page"), F.col(ts))).alias("_page_t"))
+    whole = Window.partitionBy("_g.k")
+    later = whole.orderBy("_g.b").rowsBetween(1, Window.unboundedFollowing)
+    per = per.select("_g", F.max("_row").over(whole).alias("_exit"), F.max("_keep").over(whole).alias("_close"), F.first("_page_t", ignorenulls=True).over(later).alias("_later"))
+    x = x.join(per, "_g").filter(F.col("_kept"))
+    inside = Window.partitionBy("_g").orderBy(ts, event_id).rowsBetween(1, Window.unboundedFollowing)
+    x = x.withColumn("_next", F.coalesce(F.first(F.when(F.col("_page"), F.col(ts)), ignorenulls=True).over(inside), F.col("_later"), F.col("_close.t")))
+    x = x.filter(F.col("_page") | (F.col(ts) == F.col("_close.t")))
+    x = x.withColumn("_dt", F.when(at < F.col("_close"), (_micros("_next") - _micros(ts)) / 1e6))
     g = x.groupBy(F.col(page).alias("page")).agg(
-        F.sum("_dt").alias("total_time_on_page"), F.count_if(is_page).alias("pageviews"),
-        F.count_if(is_page & ~F.col("is_exit")).alias("non_exit_pageviews"))
+        F.sum("_dt").alias("total_time_on_page"), F.count_if("_page").alias("pageviews"),
+        F.count_if(F.col("_page") & (at != F.col("_exit"))).alias("non_exit_pageviews"))
     return g.withColumn("avg_time_on_page", round_half_up(F.try_divide("total_time_on_page", "non_exit_pageviews"), 3)) \
         .withColumn("total_time_on_page", round_half_up("total_time_on_page", 3))
 

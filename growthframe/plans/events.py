@@ -176,7 +176,8 @@ SELECT page, CAST(ROUND(CAST(total_time_on_page AS DECIMAL(38,6)), 3) AS DOUBLE)
 FROM g
 """, covers=("K13", "W7", "W13"))
 def k13(spark, sf):
-    return EV.time_on_page(hits(spark, sf), "session_id", "ts", "event_id", "page_path")
+    s = materialize(sessions_events(spark, sf))  # read by the table of buckets and by the rows
+    return EV.time_on_page(s, "session_id", "ts", "event_id", "page_path", F.col("event_type") == "view", F.col("event_type").isin("click", "purchase", "signup"))
 
 
 @paired("k14_bounce_rate", WEB_SQL + """
