@@ -23,8 +23,8 @@ FREQUENT = 1 << 19
 FRAGMENTS = 8
 #: Sets of one shared shingle that are compared with one another at a time.
 BLOCK = 512
-#: Earlier shared shingles by which a pair is known to be met elsewhere too: the first ones, and the last ones before (only saves work).
-FIRST, LAST = 4, 10
+#: Later shared shingles by which a pair is known to be met elsewhere too: the next ones, and the last of all (only saves work).
+NEXT, LAST = 10, 4
 
 _RANDOM = np.random.default_rng(20240412)
 _VALUE = _RANDOM.integers(0, 1 << 64, 256, np.uint64) | np.uint64(1)
@@ -162,11 +162,6 @@ class Order:
         return np.where(self.count(ids) > 0, FRAGMENTS - 1, (ids >> np.uint64(32)).astype(np.int64) * (FRAGMENTS - 1) >> 32)
 
 
-def _least_overlap(a, b, percent: int):
-    """The smallest intersection of sets of these sizes that makes ``percent`` of the union."""
-    return -(-percent * (a + b) // (100 + percent))
-
-
 def _signature(ids: np.ndarray) -> np.ndarray:
     return _mixed(ids * np.uint64(0xD6E8FEB86659FD93) + np.uint64(99))
 
@@ -196,21 +191,21 @@ def _sets(order, width: int, percent: int):
 def _candidates(percent: int):
     """One row for each block pair of a shared shingle: its sets that take part in a candidate pair, and the pairs as positions.
 
-    A pair is left out if the sizes or the positions of the shingle exclude a link, or if both sets share an earlier shingle:
-    then it is a candidate there."""
+    A pair is left out if the sizes exclude a link, or if both sets share a later one of their first shingles: then it is a candidate
+    there. So a pair counts where the most frequent of their common first shingles is, and the sets of a family of copies meet
+    in few places."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out: list[list] = [[], [], [], [], []]
             for key, same, members in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 m = members.values
-                sig, n, pos, side = (m.field(k).to_numpy(zero_copy_only=False) for k in range(4))
-                earlier = m.field(4)
+                sig, n, side = (m.field(k).to_numpy(zero_copy_only=False) for k in range(3))
+                later = m.field(3)
                 many = len(sig)
                 ok = 100 * np.minimum(n[:, None], n[None]) >= percent * np.maximum(n[:, None], n[None])
-                ok &= np.minimum((n - pos)[:, None], (n - pos)[None]) >= _least_overlap(n[:, None], n[None], percent)
                 ok &= np.triu(np.ones((many, many), bool), 1) if same else (side[:, None] == 0) & (side[None] == 1)
-                flat, ends = earlier.flatten().to_numpy(zero_copy_only=False), np.cumsum(earlier.value_lengths().to_numpy(zero_copy_only=False))
+                flat, ends = later.flatten().to_numpy(zero_copy_only=False), np.cumsum(later.value_lengths().to_numpy(zero_copy_only=False))
                 if len(flat) and ok.any():
                     column = np.unique(flat, return_inverse=True)[1]
                     has = np.zeros((many, column.max() + 1), np.float32)
@@ -329,13 +324,13 @@ def set_links(docs: DataFrame, sets: DataFrame, order, width: int, percent: int)
     shared = saved(tokens.groupBy("token").agg(F.count("*").alias("m")).where("m > 1").select("token", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")), "shared-tokens")
     kept = tokens.join(shared, "token").groupBy("sig").agg(F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("pos", "token", "blocks"))).alias("all"))
     members = kept.select("sig", "n", "all", F.posexplode("all").alias("i", "e"))
-    before = f"concat(slice(all, 1, least(i, {FIRST})), slice(all, greatest(1, i - {LAST - 1}), least(i, {LAST})))"
-    members = members.select("sig", "n", "e.*", F.expr(f"array_distinct(transform({before}, x -> x.token))").alias("earlier"))
+    after = f"concat(slice(all, i + 2, {NEXT}), slice(all, greatest(i + 2, size(all) - {LAST - 1}), {LAST}))"
+    members = members.select("sig", "n", "e.token", "e.blocks", F.expr(f"array_distinct(transform({after}, x -> x.token))").alias("later"))
     members = members.withColumn("block", F.pmod(F.xxhash64("sig", F.lit(11)), "blocks").cast("int"))
     paired = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     low, high = F.least("block", "other"), F.greatest("block", "other")
     grouped = paired.groupBy(F.xxhash64("token", low, high).alias("key"), (low == high).alias("same")).agg(
-        F.collect_list(F.struct("sig", "n", F.col("pos").cast("long").alias("pos"), F.when(F.col("block") == low, 0).otherwise(1).alias("side"), "earlier")).alias("members"))
+        F.collect_list(F.struct("sig", "n", F.when(F.col("block") == low, 0).otherwise(1).alias("side"), "later")).alias("members"))
     schema = "key long, sigs array<bigint>, sizes array<bigint>, i array<int>, j array<int>"
     pairs = saved(arrow_map(grouped.where("size(members) > 1"), _candidates(percent), schema), "block-pairs")
 
