@@ -334,10 +334,10 @@ def opening_schedule(hours: DataFrame, store: str | None = None) -> DataFrame:
 
 def _opened(t: str, windows: str, week: str) -> Column:
     """Opening seconds of a weekly schedule from a fixed Monday until ``t``: whole weeks, days before in this week, part of the day."""
-    return F.expr(f"""floor(datediff(cast({t} AS date), DATE '1970-01-05') / 7) * {week} + aggregate({windows}, 0D, (s, w) -> s +
-        CASE WHEN w.iso_weekday < (dayofweek({t}) + 5) % 7 + 1 THEN w.close_seconds - w.open_seconds
-             WHEN w.iso_weekday = (dayofweek({t}) + 5) % 7 + 1
-             THEN greatest(0, least(hour({t}) * 3600 + minute({t}) * 60 + cast(extract(SECOND FROM {t}) AS double), w.close_seconds) - w.open_seconds) ELSE 0 END)""")
+    return F.expr(f"""floor(datediff(cast({t} AS date), DATE '1970-01-05') / 7) * {week} + aggregate({windows}, 0D, (_acc, _win) -> _acc +
+        CASE WHEN _win.iso_weekday < (dayofweek({t}) + 5) % 7 + 1 THEN _win.close_seconds - _win.open_seconds
+             WHEN _win.iso_weekday = (dayofweek({t}) + 5) % 7 + 1
+             THEN greatest(0, least(hour({t}) * 3600 + minute({t}) * 60 + cast(extract(SECOND FROM {t}) AS double), _win.close_seconds) - _win.open_seconds) ELSE 0 END)""")
 
 
 def business_seconds(df: DataFrame, start: str, end: str, hours: DataFrame, store: str | None = None, version: str = "start") -> DataFrame:
@@ -352,7 +352,7 @@ def business_seconds(df: DataFrame, start: str, end: str, hours: DataFrame, stor
         x = df.join(sched, store, "left")
     else:  # a single row, as a scalar subquery
         x = df.withColumn("versions", sched.select("versions").scalar())
-    latest = "element_at(filter(versions, v -> v.valid_from IS NULL OR v.valid_from <= {t}), -1)"
+    latest = "element_at(filter(versions, _ver -> _ver.valid_from IS NULL OR _ver.valid_from <= {t}), -1)"
     if version == "start":
         x = x.withColumn("_v", F.expr(f"try_{latest.format(t=start)}"))
         total = _opened(end, "_v.windows", "_v.week") - _opened(start, "_v.windows", "_v.week")
