@@ -129,7 +129,7 @@ FROM p ASOF LEFT JOIN u b ON p.user_id = b.user_id AND p.ts > b.ts ASOF LEFT JOI
 def k66_null(spark, sf):
     e = load(spark, sf, "events")
     k = F.get_json_object("props", "$.k").cast("long")
-    h = e.select("event_id", "event_type", F.when(k % 11 != 0, F.col("user_id") % 40).alias("user_id"), F.when(k % 13 != 0, F.date_trunc("hour", "ts")).alias("ts"),
+    h = e.select("event_id", "event_type", F.when(k % 11 != 0, F.col("user_id") % 40).alias("user_id"), F.when(k % 13 != 0, F.date_trunc("hour", "ts").cast("timestamp_ntz")).alias("ts"),
                  F.when(F.col("event_type") != "error", F.col("value") > 250).alias("optin"))
     p = h.filter("event_type = 'purchase'").select("event_id", "user_id", "ts")
     return CO.optin_before_after(p, h.filter("event_type != 'purchase'"), "user_id", "ts", "ts", "optin").select("event_id", "user_id", "ts", "optin_before", "optin_after")
