@@ -21,10 +21,13 @@ JOINED = 1 << 22
 FREQUENT = 1 << 19
 #: Fragments of the global order.
 FRAGMENTS = 8
-#: Sets of one shared shingle that are compared with one another at a time.
-BLOCK = 768
-#: Earlier shared shingles by which a pair is known to be met elsewhere too: the first ones, and the last ones before (only saves work).
-FIRST, LAST = 4, 10
+#: Sets of one shared shingle that are compared with one another at a time; those that are compared first; sets that all blocks of the latter hold.
+BLOCK, HOME, LEADERS = 768, 256, 4
+#: Blocks to which one copy of a set's text goes.
+CELLS = 1024
+#: Shared first shingles that travel with a set, by which a pair is known to be met elsewhere too or to have too few in common; of a
+#: set with more of them, the first ones and the last ones before the one at hand (only saves work).
+LISTED, FIRST, LAST = 64, 4, 10
 
 _RANDOM = np.random.default_rng(20240412)
 _VALUE = _RANDOM.integers(0, 1 << 64, 256, np.uint64) | np.uint64(1)
@@ -194,39 +197,41 @@ def _sets(order, width: int, percent: int):
 
 
 def _candidates(percent: int):
-    """One row for each block pair of a shared shingle: its sets that take part in a candidate pair, and the pairs as positions.
+    """One row for each block pair of a shared shingle: its sets that take part in a candidate pair.
 
-    A pair is left out if the sizes or the positions of the shingle exclude a link, or if both sets share an earlier shingle:
-    then it is a candidate there."""
+    A pair is left out if the sizes or the positions of the shingle exclude a link, if both sets are known to be connected, if both
+    share an earlier shingle (then it is a candidate there), or if their first shingles have too few in common: of the set whose first
+    shingles end earlier in the order, all that it shares are among the first ones of both or in its rest, ``room``."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out: list[list] = [[], [], [], [], []]
+            out: list[list] = [[], [], []]
             for key, same, members in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 m = members.values
-                sig, n, pos, side = (m.field(k).to_numpy(zero_copy_only=False) for k in range(4))
-                earlier = m.field(4)
-                many = len(sig)
-                ok = 100 * np.minimum(n[:, None], n[None]) >= percent * np.maximum(n[:, None], n[None])
-                ok &= np.minimum((n - pos)[:, None], (n - pos)[None]) >= _least_overlap(n[:, None], n[None], percent)
+                sig, n, pos, side, label, earlier, room = (m.field(k).to_numpy(zero_copy_only=False) for k in range(7))
+                many, listed = len(sig), m.field(7)
+                least = _least_overlap(n[:, None], n[None], percent)
+                ok = label[:, None] != label[None]
+                ok &= 100 * np.minimum(n[:, None], n[None]) >= percent * np.maximum(n[:, None], n[None])
+                ok &= np.minimum((n - pos)[:, None], (n - pos)[None]) >= least
                 ok &= np.triu(np.ones((many, many), bool), 1) if same else (side[:, None] == 0) & (side[None] == 1)
-                flat, ends = earlier.flatten().to_numpy(zero_copy_only=False), np.cumsum(earlier.value_lengths().to_numpy(zero_copy_only=False))
-                if len(flat) and ok.any():
+                if ok.any():
+                    flat, length = listed.flatten().to_numpy(zero_copy_only=False), listed.value_lengths().to_numpy(zero_copy_only=False)
+                    who = np.repeat(np.arange(many), length)
+                    place = np.arange(len(flat)) - np.repeat(np.cumsum(length) - length, length)
                     column = np.unique(flat, return_inverse=True)[1]
-                    has = np.zeros((many, column.max() + 1), np.float32)
-                    has[np.searchsorted(ends, np.arange(len(flat)), "right"), column] = 1
+                    has = np.zeros((many, column.max(initial=0) + 1), np.float32)
+                    has[who, column] = 1
+                    ok &= has @ has.T + np.maximum(room[:, None], room[None]) >= least
+                    has[who[place >= earlier[who]], column[place >= earlier[who]]] = 0
                     ok &= has @ has.T == 0
-                i, j = np.nonzero(ok)
-                if len(i):
-                    used = np.unique(np.concatenate([i, j]))
+                used = np.flatnonzero(ok.any(0) | ok.any(1))
+                if len(used):
                     out[0].append(key)
                     out[1].append(sig[used])
                     out[2].append(n[used])
-                    out[3].append(np.searchsorted(used, i))
-                    out[4].append(np.searchsorted(used, j))
             if out[0]:
-                yield pa.record_batch([pa.array(out[0], pa.int64()), pa.array(out[1], pa.list_(pa.int64())), pa.array(out[2], pa.list_(pa.int64())),
-                                       pa.array(out[3], pa.list_(pa.int32())), pa.array(out[4], pa.list_(pa.int32()))], names=["key", "sigs", "sizes", "i", "j"])
+                yield pa.record_batch([pa.array(out[0], pa.int64()), pa.array(out[1], pa.list_(pa.int64())), pa.array(out[2], pa.list_(pa.int64()))], names=["key", "sigs", "sizes"])
 
     return of
 
@@ -239,7 +244,7 @@ def _packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _segments(order, width: int):
-    """(sig, fragment, tokens): the shingles of each set, by fragments of the global order."""
+    """(at, fragment, tokens): the shingles of each set, by fragments of the global order, with the places where they are counted."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = order.value
@@ -251,14 +256,15 @@ def _segments(order, width: int):
                 ids, cell = ids[by], (doc * FRAGMENTS + part)[by]
                 new = np.flatnonzero(np.append(True, cell[1:] != cell[:-1])) if len(cell) else np.zeros(0, np.int64)
                 lists = pa.ListArray.from_arrays(pa.array(np.append(new, len(ids)), pa.int32()), pa.array(ids.view(np.int64)))
-                sig = batch.column(0).slice(first, len(texts)).take(pa.array(cell[new] // FRAGMENTS))
-                yield pa.record_batch([sig, pa.array(cell[new] % FRAGMENTS, pa.int32()), lists], names=["sig", "fragment", "tokens"])
+                at = batch.column(0).slice(first, len(texts)).take(pa.array(cell[new] // FRAGMENTS))
+                yield pa.record_batch([at, pa.array(cell[new] % FRAGMENTS, pa.int32()), lists], names=["at", "fragment", "tokens"])
 
     return of
 
 
 def _partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(key, counts): how many shingles each two sets of a block pair share in one fragment, as the upper triangle of a matrix."""
+    """(key, counts): how many shingles each two sets of a block share in one fragment, as the upper triangle of a matrix."""
+    squeeze = zstandard.ZstdCompressor(level=1).compress
     for batch in batches:
         keys, counts = [], []
         for key, many, members in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
@@ -279,29 +285,26 @@ def _partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 has[who[a:b], column[a:b] - k * step] = 1
                 total += has @ has.T
             keys.append(key)
-            counts.append(total[np.triu_indices(many, 1)].astype(np.int32))
+            counts.append(squeeze(total[np.triu_indices(many, 1)].astype(np.int32).tobytes()))
         if keys:
-            yield pa.record_batch([pa.array(keys, pa.int64()), pa.array(counts, pa.list_(pa.int32()))], names=["key", "counts"])
+            yield pa.record_batch([pa.array(keys, pa.int64()), pa.array(counts, pa.binary())], names=["key", "counts"])
 
 
 def _linked(percent: int):
-    """(u, v): a spanning forest of the links of each block pair, from the sum of its partial counts over all fragments."""
+    """(u, v): a spanning forest of the links of each block, from the sum of its partial counts over all fragments."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             us, vs = [], []
             for k in range(batch.num_rows):
-                sigs, n, i, j = (batch.column(c)[k].values.to_numpy() for c in range(1, 5))
-                parts = batch.column(5)[k].values
-                many = len(sigs)
-                total = np.zeros((many, many), np.int64)
-                flat = parts.flatten().to_numpy(zero_copy_only=False).reshape(-1, many * (many - 1) // 2)
-                total[np.triu_indices(many, 1)] = flat.sum(0, dtype=np.int64)
-                total += total.T
-                common = total[i, j]
+                sigs, n = (batch.column(c)[k].values.to_numpy() for c in (0, 1))
+                i, j = np.triu_indices(len(sigs), 1)
+                common = np.zeros(len(i), np.int64)
+                for counts in batch.column(2)[k].as_py():
+                    common += np.frombuffer(zstandard.decompress(counts), np.int32)
                 good = 100 * common >= percent * (n[i] + n[j] - common)
                 if good.any():
-                    label = np.arange(many)
+                    label = np.arange(len(sigs))
                     i, j = i[good], j[good]
                     while True:  # smallest label on both ends of every link
                         low = np.minimum(label[i], label[j])
@@ -312,7 +315,7 @@ def _linked(percent: int):
                         if (new == label).all():
                             break
                         label = new
-                    moved = np.flatnonzero(label != np.arange(many))
+                    moved = np.flatnonzero(label != np.arange(len(sigs)))
                     us.append(sigs[moved])
                     vs.append(sigs[label[moved]])
             if us:
@@ -321,37 +324,100 @@ def _linked(percent: int):
     return of
 
 
-def set_links(docs: DataFrame, sets: DataFrame, order, width: int, percent: int) -> DataFrame:
-    """``(u, v)``: links that connect exactly the sets that are connected by pairs with ``percent`` of their union in common."""
-    classes = sets.where("n > 0").groupBy("sig").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
-    classes = saved(classes, "set-classes")
-    tokens = classes.select("sig", "n", F.posexplode("prefix").alias("pos", "token"))
-    shared = saved(tokens.groupBy("token").agg(F.count("*").alias("m")).where("m > 1").select("token", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")), "shared-tokens")
-    kept = tokens.join(shared, "token").groupBy("sig").agg(F.first("n").alias("n"), F.array_sort(F.collect_list(F.struct("pos", "token", "blocks"))).alias("all"))
-    members = kept.select("sig", "n", "all", F.posexplode("all").alias("i", "e"))
-    before = f"concat(slice(all, 1, least(i, {FIRST})), slice(all, greatest(1, i - {LAST - 1}), least(i, {LAST})))"
-    members = members.select("sig", "n", "e.*", F.expr(f"array_distinct(transform({before}, x -> x.token))").alias("earlier"))
-    members = members.withColumn("block", F.pmod(F.xxhash64("sig", F.lit(11)), "blocks").cast("int"))
-    paired = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    low, high = F.least("block", "other"), F.greatest("block", "other")
-    grouped = paired.groupBy(F.xxhash64("token", low, high).alias("key"), (low == high).alias("same")).agg(
-        F.collect_list(F.struct("sig", "n", F.col("pos").cast("long").alias("pos"), F.when(F.col("block") == low, 0).otherwise(1).alias("side"), "earlier")).alias("members"))
-    schema = "key long, sigs array<bigint>, sizes array<bigint>, i array<int>, j array<int>"
-    pairs = saved(arrow_map(grouped.where("size(members) > 1"), _candidates(percent), schema), "block-pairs")
-
-    rows = pairs.select("key", F.size("sigs").alias("many"), F.posexplode("sigs").alias("slot", "sig"))
-    needed = saved(rows.select("sig").distinct(), "needed-sets")
-    # one document of each needed set gives its shingles
-    source = sets.join(needed, "sig", "left_semi").groupBy("sig").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("at"))
-    at = source.select("sig", "at.*").drop("none").withColumnsRenamed({"id": "i", "key": "k"})
+def _block_links(docs: DataFrame, sets: DataFrame, blocks: DataFrame, order, width: int, percent: int) -> DataFrame:
+    """``(u, v)``: links that connect what the links inside each block connect.
+
+    ``blocks`` holds ``(key, sigs, sizes)``. One document of each set gives its shingles; they go to the blocks of the set by
+    fragments of the global order."""
+    rows = blocks.select("key", F.size("sigs").alias("many"), F.posexplode("sigs").alias("slot", "sig"))
+    parts = rows.groupBy("sig").agg(F.ceil(F.count("*") / CELLS).alias("parts"))
+    cells = saved(rows.join(parts, "sig").groupBy("sig", F.pmod(F.xxhash64("key"), "parts")).agg(F.collect_list(F.struct("key", "many", "slot")).alias("at")).select("sig", "at"), "set-blocks")
+    source = sets.join(cells, "sig", "left_semi").groupBy("sig").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("of"))
+    source = source.select("sig", "of.*").drop("none").withColumnsRenamed({"id": "i", "key": "k"})
     packed = arrow_map(docs.select(F.struct("id", "key").alias("row"), "text"), _packed, f"row {docs.select(F.struct('id', 'key').alias('row')).schema['row'].dataType.simpleString()}, text binary")
-    named = packed.join(at, F.col("row.id").eqNullSafe(F.col("i")) & (F.col("row.key") == F.col("k")))
+    named = packed.join(source, F.col("row.id").eqNullSafe(F.col("i")) & (F.col("row.key") == F.col("k")))
     texts = named.groupBy("sig").agg(F.first("text").alias("text"))  # repeated rows
-    segments = saved(arrow_map(texts, _segments(order, width), "sig long, fragment int, tokens array<bigint>"), "segments")
-    pieces = rows.join(segments, "sig").groupBy("key", "many", "fragment").agg(F.collect_list(F.struct("slot", "tokens")).alias("members"))
-    partial = arrow_map(pieces.select("key", "many", "members"), _partial, "key long, counts array<int>")
+    kind = cells.schema["at"].dataType.simpleString()
+    segments = arrow_map(texts.join(cells, "sig").select("at", "text"), _segments(order, width), f"at {kind}, fragment int, tokens array<bigint>")
+    pieces = segments.select(F.explode("at").alias("at"), "fragment", "tokens").select("at.*", "fragment", "tokens")
+    pieces = pieces.groupBy("key", "many", "fragment").agg(F.collect_list(F.struct("slot", "tokens")).alias("members"))
+    partial = arrow_map(pieces.select("key", "many", "members"), _partial, "key long, counts binary")
     summed = partial.groupBy("key").agg(F.collect_list("counts").alias("counts"))  # one for each fragment
-    return arrow_map(pairs.join(summed, "key").select("key", "sigs", "sizes", "i", "j", "counts"), _linked(percent), "u long, v long")
+    return arrow_map(blocks.join(summed, "key").select("sigs", "sizes", "counts"), _linked(percent), "u long, v long")
+
+
+def _room(percent: int, whole: str) -> str:
+    """What a set may share beyond its first shingles, of which the shared ones are listed; all of it if they aren't all listed."""
+    return f"IF({whole}, CAST(ceil({percent} * n / 100) - 1 AS LONG), n)"
+
+
+def _homes(tokens: DataFrame, percent: int) -> DataFrame:
+    """``(key, sigs, sizes)``: blocks of sets that have their most frequent shared prefix shingle in common.
+
+    Each set is in one block; the ``LEADERS`` of a shingle, sets drawn by hash, are in all of its blocks."""
+    home = tokens.groupBy("sig", "n").agg(F.max(F.struct("m", "token")).alias("at"), F.array_sort(F.collect_list(F.struct("pos", "token"))).alias("all"))
+    home = home.select("sig", "n", "at.token", F.expr(_room(percent, f"size(all) <= {LISTED}")).alias("room"), F.expr(f"slice(all.token, 1, {LISTED})").alias("listed"))
+    home = saved(home, "homes")
+    leaders = [F.min(F.struct(F.xxhash64("sig", F.lit(k)), "sig"))["sig"].alias(f"l{k}") for k in range(LEADERS)]
+    heads = home.groupBy("token").agg(F.ceil(F.count("*") / HOME).cast("int").alias("blocks"), F.count("*").alias("m"), *leaders).where("m > 1")
+    heads = saved(heads.select("token", "blocks", F.array_distinct(F.array(*[f"l{k}" for k in range(LEADERS)])).alias("leaders")), "heads")
+    own = home.join(heads.select("token", "blocks"), "token").withColumn("block", F.pmod(F.xxhash64("sig", F.lit(11)), "blocks").cast("int"))
+    led = home.join(heads.where("blocks > 1").select("token", "blocks", F.explode("leaders").alias("sig")), ["token", "sig"])
+    led = led.withColumn("home", F.pmod(F.xxhash64("sig", F.lit(11)), "blocks").cast("int"))
+    led = led.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where("block <> home")
+    cols = ["token", "block", "sig", "n", "room", "listed"]
+    zero = F.lit(0).cast("long")
+    grouped = own.select(cols).union(led.select(cols)).groupBy(F.xxhash64("token", "block").alias("key"), F.lit(True).alias("same")).agg(
+        F.collect_list(F.struct("sig", "n", zero.alias("pos"), F.lit(0).alias("side"), F.col("sig").alias("label"), F.lit(0).alias("i"), "room", "listed")).alias("members"))
+    return arrow_map(grouped.where("size(members) > 1"), _candidates(percent), "key long, sigs array<bigint>, sizes array<bigint>")
+
+
+def _block_pairs(tokens: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """``(key, sigs, sizes)``: the sets of each block pair of a shared prefix shingle that may be linked and aren't known to be connected.
+
+    Shingles that only sets of one label share need no look. Sets of one label that alone fill a block stay among themselves, so
+    that they meet the blocks of the others and not one another."""
+    known = tokens.join(labels, "sig", "left").withColumn("label", F.coalesce("root", "sig")).drop("root")
+    known = saved(known, "labelled-tokens")
+    open_ = known.groupBy("token").agg(F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select("token")
+    mixed = saved(known.join(open_, "token"), "mixed-tokens")
+    by_label = mixed.groupBy("token", "label").agg(F.count("*").alias("m"))
+    large = by_label.where(f"m >= {BLOCK}").select("token", "label", F.ceil(F.col("m") / BLOCK).cast("int").alias("cuts"))
+    small = by_label.where(f"m < {BLOCK}").groupBy("token").agg(F.ceil(F.sum("m") / BLOCK).cast("int").alias("cuts")).select("token", F.lit(None).cast("long").alias("label"), "cuts")
+    areas = saved(large.union(small), "areas")
+    block = F.struct(F.coalesce("area", F.lit(0)).alias("area"), F.col("area").isNotNull().alias("alone"), F.pmod(F.xxhash64("sig", F.lit(11)), "cuts").cast("int").alias("cut"))
+    own = mixed.join(areas.where("label IS NOT NULL").select("token", "label", F.col("label").alias("area"), F.col("cuts").alias("of_label")), ["token", "label"], "left")
+    own = own.join(areas.where("label IS NULL").select("token", F.col("cuts").alias("of_rest")), "token", "left")
+    own = own.withColumn("cuts", F.coalesce("of_label", F.coalesce("of_rest", F.lit(1)))).select("sig", "n", "pos", "token", "label", block.alias("block"))
+    earlier = own.groupBy("sig").agg(F.array_sort(F.collect_list(F.struct("pos", "token", "n", "label", "block"))).alias("all"))
+    members = earlier.select("sig", "all", F.posexplode("all").alias("i", "e"))
+    around = f"concat(slice(all, 1, least(i, {FIRST})), slice(all, greatest(1 + {FIRST}, i - {LAST - 1}), least(greatest(i - {FIRST}, 0), {LAST})))"
+    whole = f"size(all) <= {LISTED}"
+    members = members.select("sig", "e.*", F.expr(f"IF({whole}, i, least(i, {FIRST + LAST}))").alias("i"), F.expr(f"transform(IF({whole}, all, {around}), x -> x.token)").alias("listed"), F.expr(whole).alias("whole"))
+    members = members.withColumn("room", F.expr(_room(percent, "whole")))
+    others = areas.select("token", F.struct(F.coalesce("label", F.lit(0)).alias("area"), F.col("label").isNotNull().alias("alone")).alias("a"), F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)).alias("cut"))
+    others = others.select("token", F.struct("a.area", "a.alone", "cut").alias("other"))
+    paired = members.join(others, "token").where("NOT (block.alone AND other.alone AND block.area = other.area)")
+    low, high = F.least("block", "other"), F.greatest("block", "other")
+    grouped = paired.groupBy(F.xxhash64("token", low, high).alias("key"), (low == high).alias("same")).agg(
+        F.collect_list(F.struct("sig", "n", F.col("pos").cast("long").alias("pos"), F.when(F.col("block") == low, 0).otherwise(1).alias("side"), "label", "i", "room", "listed")).alias("members"))
+    return arrow_map(grouped.where("size(members) > 1"), _candidates(percent), "key long, sigs array<bigint>, sizes array<bigint>")
+
+
+def set_links(docs: DataFrame, sets: DataFrame, order, width: int, percent: int) -> DataFrame:
+    """``(u, v)``: links that connect exactly the sets that are connected by pairs with ``percent`` of their union in common.
+
+    First each set is compared within one block, which connects most of a family at the price of sending its shingles once;
+    then all candidate pairs that this has not connected."""
+    classes = sets.where("n > 0").groupBy("sig").agg(F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+    tokens = saved(classes.select("sig", "n", F.posexplode("prefix").alias("pos", "token")), "prefix-tokens")
+    shared = tokens.groupBy("token").agg(F.count("*").alias("m")).where("m > 1")
+    tokens = saved(tokens.join(shared, "token"), "shared-tokens")
+    near = saved(_block_links(docs, sets, saved(_homes(tokens, percent), "home-blocks"), order, width, percent), "home-links")
+    labels = saved(connected_components(near).withColumnRenamed("node", "sig"), "labels")
+    pairs = saved(_block_pairs(tokens.drop("m"), labels, percent), "block-pairs")
+    far = _block_links(docs, sets, pairs, order, width, percent)
+    return labels.select(F.col("sig").alias("u"), F.col("root").alias("v")).where("u <> v").union(far)
 
 
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, percent: int = 90) -> DataFrame:

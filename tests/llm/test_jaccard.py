@@ -70,7 +70,7 @@ def test_components_equal_brute_force(docs_of, odd, percent):
 
 def test_blocks_and_chunks_change_nothing(docs_of, monkeypatch):
     rows = planted(7)
-    for name, value in (("BLOCK", 6), ("CHUNK", 500), ("JOINED", 3000), ("FREQUENT", 50), ("FIRST", 1), ("LAST", 1)):
+    for name, value in (("BLOCK", 6), ("HOME", 4), ("LEADERS", 2), ("CELLS", 2), ("CHUNK", 500), ("JOINED", 3000), ("FREQUENT", 50), ("LISTED", 3), ("FIRST", 1), ("LAST", 1)):
         monkeypatch.setattr(J, name, value)
     assert got(J.jaccard_components(docs_of(rows))) == brute(rows)
 
