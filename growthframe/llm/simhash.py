@@ -173,7 +173,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, radius: int = 3, seed: int = 42) -> DataFrame:
     """The rows of ``docs`` that stay when each component keeps its first row; a row loaded twice stays once."""
-    kept = near_duplicates(docs, id_col, text_col, width, radius, seed).where("kept").select("id", "key").distinct()
-    row = docs.select(F.struct("*").alias("row"), F.col(id_col).cast("long").alias("i"), F.xxhash64(F.col(text_col)).alias("k"))
-    stay = row.join(kept, row.i.eqNullSafe(kept.id) & (row.k == kept.key), "left_semi").dropDuplicates(["i", "k"])
-    return stay.select("row.*")
+    # plain keys without NULLs: the partitioning of the duplicates serves the join too, so texts are shuffled once, repeats combined before
+    kept = near_duplicates(docs, id_col, text_col, width, radius, seed).where("kept")
+    kept = kept.select(F.col("id").isNull().alias("none"), F.coalesce(F.col("id").cast("long"), F.lit(0).cast("long")).alias("i"), F.col("key").alias("k")).distinct()
+    row = docs.select(F.struct("*").alias("row"), F.col(id_col).isNull().alias("none"), F.coalesce(F.col(id_col).cast("long"), F.lit(0).cast("long")).alias("i"), F.xxhash64(F.col(text_col)).alias("k"))
+    keys = ["none", "i", "k"]
+    return row.dropDuplicates(keys).join(kept, keys, "left_semi").select("row.*")
