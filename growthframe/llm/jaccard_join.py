@@ -333,7 +333,7 @@ def _block_links(docs: DataFrame, sets: DataFrame, blocks: DataFrame, order, wid
     parts = rows.groupBy("sig").agg(F.ceil(F.count("*") / CELLS).alias("parts"))
     cells = saved(rows.join(parts, "sig").groupBy("sig", F.pmod(F.xxhash64("key"), "parts")).agg(F.collect_list(F.struct("key", "many", "slot")).alias("at")).select("sig", "at"), "set-blocks")
     source = sets.join(cells, "sig", "left_semi").groupBy("sig").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("of"))
-    source = source.select("sig", "of.*").drop("none").withColumnsRenamed({"id": "i", "key": "k"})
+    source = saved(source.select("sig", "of.*").drop("none").withColumnsRenamed({"id": "i", "key": "k"}), "block-texts")  # its true size decides how texts are joined
     packed = arrow_map(docs.select(F.struct("id", "key").alias("row"), "text"), _packed, f"row {docs.select(F.struct('id', 'key').alias('row')).schema['row'].dataType.simpleString()}, text binary")
     named = packed.join(source, F.col("row.id").eqNullSafe(F.col("i")) & (F.col("row.key") == F.col("k")))
     texts = named.groupBy("sig").agg(F.first("text").alias("text"))  # repeated rows
