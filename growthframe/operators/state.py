@@ -200,13 +200,13 @@ def intervals_to_days(df: DataFrame, keys: Sequence[str], start: str, end: str,
                       open_end: Column) -> DataFrame:
     """Per key and day, whether each flag's interval covers the day.
 
-    Each interval [start, end] (``open_end`` when NULL) is exploded to its days; flags are
-    OR-ed per (key, day). Intervals with end < start yield nothing."""
+    An interval is [start, end] (``open_end`` when NULL); one with end < start yields nothing. Intervals of a key are cut
+    into `elementary_segments`, and only these are spread to days, so a day of a key comes up once however many intervals
+    cover it. A flag that is NULL in all intervals of the day is NULL."""
     e = F.coalesce(F.to_date(F.col(end)), open_end)
-    s = F.to_date(F.col(start))
-    x = df.filter(e >= s).select(*keys, *[c.alias(n) for n, c in flags.items()],
-                                 F.explode(F.sequence(s, e)).alias("d"))
-    return x.groupBy(*keys, "d").agg(*[F.bool_or(n).alias(n) for n in flags])
+    known = {f"_known_{n}": c.isNotNull() for n, c in flags.items()}
+    seg = elementary_segments(df.withColumn("_until", e), keys, start, "_until", flags | known, None)
+    return seg.select(*keys, F.explode(F.sequence("segment_start", "segment_end")).alias("d"), *[F.when(F.col(f"_known_{n}"), F.col(n)).alias(n) for n in flags])
 
 
 def state_asof_days(history: DataFrame, keys: Sequence[str], ts: str, tie: str, value: str, end) -> DataFrame:

@@ -212,3 +212,20 @@ def test_streaming_upsert_survives_a_restart(spark):
     again = spark.createDataFrame([(1, 2, day(5), "corrected"), (4, 1, day(1), "new")], schema)
     assert merge_batch(again, 7, target, scratch_path(spark, f"test/{name}-ledger"), ["id"], ["version"], "d")
     assert state() == merged
+
+
+def test_intervals_to_days_spread_only_segments(spark):
+    rng = random.Random(5)
+    rows = [(k, rng.choice((None, True, False)), a, b) for k, _, a, b in spans(rng, 60)] + [(4, None, day(3), day(5)), (4, True, None, day(9)), (None, None, day(1), None)]
+    df = spark.createDataFrame(rows, "k int, f boolean, a date, b date")
+    got = ST.intervals_to_days(df, ["k"], "a", "b", {"open": F.lit(True), "f": F.col("f")}, F.lit(day(420)))
+    expect = {}
+    for k, f, a, b in rows:
+        for n in range(((b or day(420)) - a).days + 1 if a else 0):
+            expect.setdefault((k, a + dt.timedelta(days=n)), []).append(f)
+    expect = [(*k, True, True if True in v else False if False in v else None) for k, v in expect.items()]
+    assert got.columns == ["k", "d", "open", "f"]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(expect, key=repr)
+    # days of overlapping intervals aren't built one by one and merged: nothing is aggregated after they are spread
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 <= plan.find("explode(sequence(segment_start") < plan.find("Aggregate")
