@@ -154,11 +154,11 @@ def time_on_page(df: DataFrame, visit: str, ts: str, event_id: str, page: str, i
     at = F.struct(F.col(ts).alias("t"), F.col(event_id).alias("e"))
     per = x.groupBy("_g").agg(F.max(at).alias("_row"), F.max(F.when(F.col("_kept"), at)).alias("_keep"), F.min(F.when(F.col("_page"), F.col(ts))).alias("_page_t"))
     whole = Window.partitionBy("_g.k")
-    later = whole.orderBy("_g.b").rowsBetween(1, Window.unboundedFollowing)
-    per = per.select("_g", F.max("_row").over(whole).alias("_exit"), F.max("_keep").over(whole).alias("_close"), F.first("_page_t", ignorenulls=True).over(later).alias("_later"))
+    later = whole.orderBy(F.desc("_g.b")).rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select("_g", F.max("_row").over(whole).alias("_exit"), F.max("_keep").over(whole).alias("_close"), F.last("_page_t", ignorenulls=True).over(later).alias("_later"))
     x = x.join(per, "_g").filter(F.col("_kept"))
-    inside = Window.partitionBy("_g").orderBy(ts, event_id).rowsBetween(1, Window.unboundedFollowing)
-    x = x.withColumn("_next", F.coalesce(F.first(F.when(F.col("_page"), F.col(ts)), ignorenulls=True).over(inside), F.col("_later"), F.col("_close.t")))
+    inside = Window.partitionBy("_g").orderBy(F.desc(ts), F.desc(event_id)).rowsBetween(Window.unboundedPreceding, -1)
+    x = x.withColumn("_next", F.coalesce(F.last(F.when(F.col("_page"), F.col(ts)), ignorenulls=True).over(inside), F.col("_later"), F.col("_close.t")))
     x = x.filter(F.col("_page") | (F.col(ts) == F.col("_close.t")))
     x = x.withColumn("_dt", F.when(at < F.col("_close"), (_micros("_next") - _micros(ts)) / 1e6))
     g = x.groupBy(F.col(page).alias("page")).agg(

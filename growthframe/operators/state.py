@@ -103,22 +103,27 @@ def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: s
     return out.select(*lcols, *[F.col("_last")[v].alias(prefix + v) for v in values])
 
 
+def _falling() -> list[Column]:
+    """The exact reverse of the order (time, side, right row): NULLs last."""
+    return [F.desc_nulls_last(c) for c in ("_t", "_side", "_r")]
+
+
 def asof_join_forward(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: str, right_ts: str,
                       values: Sequence[str], prefix: str = "next_", bucket: str | None = "day") -> DataFrame:
     """For each left row, the first right row with ``right_ts >= left_ts`` (same keys):
-    the mirror of :func:`asof_join` (``first(ignorenulls)`` over the following rows, carried
-    backwards from later buckets)."""
+    the mirror of :func:`asof_join`: the same running window over the rows in falling order. (A frame of all following
+    rows would be read again for each row.)"""
     u, lcols = _asof_union(left, right, keys, left_ts, right_ts, values, 0, 1)
     if bucket is None:
-        w = Window.partitionBy(*keys).orderBy("_t", "_side", "_r").rowsBetween(0, Window.unboundedFollowing)
-        u = u.withColumn("_next", F.first("_r", ignorenulls=True).over(w))
+        w = Window.partitionBy(*keys).orderBy(*_falling()).rowsBetween(Window.unboundedPreceding, 0)
+        u = u.withColumn("_next", F.last("_r", ignorenulls=True).over(w))
     else:
         u = u.withColumn("_g", F.struct(F.struct(*keys).alias("k"), F.date_trunc(bucket, F.col("_t")).alias("b")))
-        w = Window.partitionBy("_g").orderBy("_t", "_side", "_r").rowsBetween(0, Window.unboundedFollowing)
+        w = Window.partitionBy("_g").orderBy(*_falling()).rowsBetween(Window.unboundedPreceding, 0)
         per = u.groupBy("_g").agg(F.min_by(F.col("_r"), F.when(F.col("_side") == 1, F.struct("_t", "_r"))).alias("_bf"))
-        per = per.withColumn("_carry", F.first("_bf", ignorenulls=True).over(
-            Window.partitionBy("_g.k").orderBy("_g.b").rowsBetween(1, Window.unboundedFollowing))).drop("_bf")
-        u = u.join(per, "_g").withColumn("_next", F.coalesce(F.first("_r", ignorenulls=True).over(w), F.col("_carry")))
+        per = per.withColumn("_carry", F.last("_bf", ignorenulls=True).over(
+            Window.partitionBy("_g.k").orderBy(F.desc("_g.b")).rowsBetween(Window.unboundedPreceding, -1))).drop("_bf")
+        u = u.join(per, "_g").withColumn("_next", F.coalesce(F.last("_r", ignorenulls=True).over(w), F.col("_carry")))
     dated = F.col("_t").isNotNull()  # NULL times sort first, before every right row
     return u.filter(F.col("_side") == 0).select(*lcols, *[F.when(dated, F.col("_next")[v]).alias(prefix + v) for v in values])
 
@@ -128,19 +133,19 @@ def asof_both(left: DataFrame, right: DataFrame, keys: Sequence[str], left_ts: s
     """For each left row the last right row strictly before its time and the first at or after it (same keys), in one pass.
 
     One union, written once, ordered by (time, left before right): what stands before a left row is strictly earlier, what
-    follows is not. Windows are partitioned by (keys, time bucket); the last and the first right row of each bucket are carried
-    over the other buckets. Every left row stays, once: those with a NULL key or time, and those without a match, have NULL."""
+    follows is not, and is met first in falling order: both are running windows. They are partitioned by (keys, time bucket); the
+    last and the first right row of each bucket are carried over the other buckets. Every left row stays, once: those with a NULL key or time, and those without a match, have NULL."""
     u, lcols = _asof_union(left, right, keys, left_ts, right_ts, values, 0, 1)
     u = materialize(u.withColumn("_g", F.struct(F.struct(*keys).alias("k"), F.date_trunc(bucket, F.col("_t")).alias("b"))))
     at = F.when(F.col("_side") == 1, F.struct("_t", "_r"))
     per = u.groupBy("_g").agg(F.max_by("_r", at).alias("_bl"), F.min_by("_r", at).alias("_bf"))
-    over = Window.partitionBy("_g.k").orderBy("_g.b")
-    per = per.select("_g", F.last("_bl", ignorenulls=True).over(over.rowsBetween(Window.unboundedPreceding, -1)).alias("_carry_l"),
-                     F.first("_bf", ignorenulls=True).over(over.rowsBetween(1, Window.unboundedFollowing)).alias("_carry_f"))
-    w = Window.partitionBy("_g").orderBy("_t", "_side", "_r")
+    over, earlier = Window.partitionBy("_g.k"), (Window.unboundedPreceding, -1)
+    per = per.select("_g", F.last("_bl", ignorenulls=True).over(over.orderBy("_g.b").rowsBetween(*earlier)).alias("_carry_l"),
+                     F.last("_bf", ignorenulls=True).over(over.orderBy(F.desc("_g.b")).rowsBetween(*earlier)).alias("_carry_f"))
+    w, so_far = Window.partitionBy("_g"), (Window.unboundedPreceding, 0)
     x = u.join(per, "_g")
-    x = x.withColumn("_last", F.coalesce(F.last("_r", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)), F.col("_carry_l")))
-    x = x.withColumn("_next", F.coalesce(F.first("_r", ignorenulls=True).over(w.rowsBetween(0, Window.unboundedFollowing)), F.col("_carry_f")))
+    x = x.withColumn("_last", F.coalesce(F.last("_r", ignorenulls=True).over(w.orderBy("_t", "_side", "_r").rowsBetween(*so_far)), F.col("_carry_l")))
+    x = x.withColumn("_next", F.coalesce(F.last("_r", ignorenulls=True).over(w.orderBy(*_falling()).rowsBetween(*so_far)), F.col("_carry_f")))
     dated = F.col("_t").isNotNull()  # NULL times sort first, before every right row
     return x.filter(F.col("_side") == 0).select(*lcols, *[F.col("_last")[v].alias(before + v) for v in values],
                                                 *[F.when(dated, F.col("_next")[v]).alias(after + v) for v in values])

@@ -100,3 +100,38 @@ def test_reply_pairs_small_turn_buckets_equal_one_bucket(spark):
     a = reply_pairs(c, "conv_id", "turn", "role", "assistant", "user", bucket=2)
     b = reply_pairs(c, "conv_id", "turn", "role", "assistant", "user", bucket=1_000_000)
     assert _rows(a, cols) == _rows(b, cols)
+
+
+def test_forward_lookups_run_once_over_the_rows(spark):
+    import datetime as dt
+    import random
+
+    from growthframe.operators.events import time_on_page
+    from growthframe.operators.state import asof_both
+
+    rng, start = random.Random(4), dt.datetime(2024, 1, 1)
+
+    def rows(n):
+        return [(k, rng.choice((None, 1, 1, 1, 2)), None if rng.random() < 0.1 else start + dt.timedelta(hours=rng.randrange(60)), rng.choice((None, 1, 2, 3))) for k in range(n)]
+
+    left, right = rows(120), rows(80)
+    lf = spark.createDataFrame(left, "id int, k int, t timestamp_ntz, x int").drop("x")
+    rf = spark.createDataFrame(right, "id int, k int, rt timestamp_ntz, v int").drop("id")
+    low = lambda v: -1 if v is None else v
+    expect = []
+    for i, k, t, _ in left:
+        of = [(u, v) for _, j, u, v in right if None not in (j, u, t) and j == k]
+        before = max(((u, low(v), v) for u, v in of if u < t), default=(None,))[-1]
+        after = min(((u, low(v), v) for u, v in of if u >= t), default=(None,))[-1]
+        expect.append((i, before, after))
+    both = asof_both(lf, rf, ["k"], "t", "rt", ["v"])
+    assert sorted(map(tuple, both.select("id", "before_v", "after_v").collect())) == sorted(expect)
+    frames = [both]
+    for bucket in ("day", "hour", None):
+        one = asof_join_forward(lf, rf, ["k"], "t", "rt", ["v"], bucket=bucket)
+        assert sorted(map(tuple, one.select("id", "next_v").collect())) == sorted((i, a) for i, _, a in expect)
+        frames.append(one)
+    frames.append(time_on_page(lf, "k", "t", "id", "id", F.col("id") % 2 == 0, F.col("id") % 3 == 0))
+    # a frame up to the last row of a window is read again for every row of it
+    for df in frames:
+        assert "unboundedfollowing" not in df._jdf.queryExecution().optimizedPlan().toString().lower().replace("unboundedpreceding$(), unboundedfollowing", "")
