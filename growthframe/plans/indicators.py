@@ -116,7 +116,7 @@ def k28_linear(spark, sf):
     e = _events(spark, sf)
     c = _contacts(e)
     t = e.join(c.select("contact", "date_lead", "date_mql"), "contact")
-    for stage in ("lead", "mql"):
-        c = c.join(IN.linear_shares(t, "contact", F.col("d") <= F.col(f"date_{stage}"), name=f"{stage}_linear"), "contact", "left")
+    shares = IN.linear_shares(t, "contact", {f"{stage}_linear": F.col("d") <= F.col(f"date_{stage}") for stage in ("lead", "mql")})
+    c = c.join(shares, "contact", "left")
     out = IN.acquisition_indicators(c, ["lead_linear", "mql_linear"], [[], ["channel"]])
     return out.drop("source_name").withColumn("value", F.round("value", 6))

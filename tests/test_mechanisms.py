@@ -229,3 +229,30 @@ def test_intervals_to_days_spread_only_segments(spark):
     # days of overlapping intervals aren't built one by one and merged: nothing is aggregated after they are spread
     plan = got._jdf.queryExecution().optimizedPlan().toString()
     assert 0 <= plan.find("explode(sequence(segment_start") < plan.find("Aggregate")
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_linear_shares_of_all_stages_in_one_pass(spark):
+    from growthframe.operators.indicators import linear_shares
+    from growthframe.plans import registry
+
+    rng = random.Random(6)
+    rows = [(rng.choice((None, 1, 2, 3, 4)), rng.choice((None, "s", "z")), rng.choice("ab"), rng.choice((None, 1, 2, 3))) for _ in range(80)] + [(9, "s", "a", 5)]
+    df = spark.createDataFrame(rows, "k int, source_name string, channel string, d int")
+    got = linear_shares(df, "k", {"early": F.col("d") <= 1, "late": F.col("d") <= 2})
+    expect = {}
+    for k in (1, 2, 3, 4):
+        expect[k] = []
+        for until in (1, 2):
+            hits = [(s, c) for j, s, c, d in rows if j == k and d is not None and d <= until]
+            expect[k].append(sorted(((s, c, hits.count((s, c)), len(hits)) for s, c in set(hits)), key=repr) or None)
+    assert {r["k"]: [x and sorted(map(tuple, x), key=repr) for x in (r["early"], r["late"])] for r in got.collect()} == expect
+    one = linear_shares(df, "k", F.col("d") <= 2, name="late")
+    assert {r["k"]: sorted(map(tuple, r["late"]), key=repr) for r in one.collect()} == {k: v[1] for k, v in expect.items() if v[1]}
+    # touches meet their contacts once and contacts their shares once; sources, in no breakdown, aren't grouped by
+    registry.load_all()
+    plan = plan_of(registry.QUERIES["k28_indicators_linear"](spark, SF_SMALL))
+    assert plan.count("Join ") == 2 and "source_name" not in plan[:plan.find("Join ")].split("Generate")[0]
