@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from growthframe.functions.formatting import age_bucket
 from growthframe.functions.semantics import iso_weekday, regex_group, round_half_up, safe_divide
-from growthframe.operators.common import bucketed_row_number
+from growthframe.operators.common import bucketed_row_number, explode_scopes
 
 
 def enriched_orders(orders: DataFrame, customers: DataFrame, customer: str, date: str, order_id: str,
@@ -95,19 +95,15 @@ def option_flags(lines: DataFrame, order: str, line: str, options: str) -> DataF
 def new_product_sales(lines: DataFrame, product: str, date: str, qty: str, new_days: int = 90) -> DataFrame:
     """Sales scopes stacked with a scope column: 'new' (inside the product's "new"
     interval [first sale, first sale + new_days)), 'all'; and 'created' = products first
-    sold that day. The creation date is a pre-aggregated minimum joined back (interval join
-    on the product key)."""
-    d = F.to_date(F.col(date))
-    created = lines.groupBy(product).agg(F.min(d).alias("created_date"))
-    x = lines.join(created, product).withColumn("_d", d)
-    is_new = (F.col("_d") >= F.col("created_date")) & (F.col("_d") < F.date_add("created_date", new_days))
-    sales = x.withColumn("scope", F.explode(F.array(F.when(is_new, F.lit("new")), F.lit("all")))) \
-        .filter(F.col("scope").isNotNull()) \
-        .groupBy("scope", F.col("_d").alias("d")).agg(F.sum(qty).alias("quantity"),
-                                                      F.countDistinct(product).alias("products"))
-    cr = created.groupBy(F.col("created_date").alias("d")).agg(F.count("*").alias("products")) \
-        .select(F.lit("created").alias("scope"), "d", F.lit(None).cast("double").alias("quantity"), "products")
-    return sales.unionByName(cr)
+    sold that day. Lines are first added up per product and day: such a row counts its product once in a day, so nothing is
+    counted as distinct after that, and the creation date is a minimum over a product's days."""
+    days = lines.groupBy(product, F.to_date(F.col(date)).alias("d")).agg(F.sum(qty).alias("_qty"))
+    x = days.withColumn("_created", F.min("d").over(Window.partitionBy(product)))  # one row per product and day
+    known = F.col(product).isNotNull()
+    is_new = known & (F.col("d") >= F.col("_created")) & (F.col("d") < F.date_add("_created", new_days))
+    scopes = [("new", is_new), ("all", known), ("created", F.col("d").eqNullSafe(F.col("_created")))]
+    return explode_scopes(x, scopes).groupBy("scope", "d").agg(
+        F.sum(F.when(F.col("scope") != "created", F.col("_qty"))).cast("double").alias("quantity"), F.count("*").alias("products"))
 
 
 def first_vs_period_buyer(orders: DataFrame, customer: str, store: str, date: str, start, end) -> DataFrame:

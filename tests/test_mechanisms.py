@@ -278,3 +278,22 @@ def test_dense_months_without_a_spine(spark):
     assert got.columns == ["k", "c", "m", "v"]
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(expect, key=repr)
     assert "Join" not in plan_of(got)
+
+
+def test_new_product_sales_add_up_days_first(spark):
+    from growthframe.operators.order_facts import new_product_sales
+
+    rng = random.Random(9)
+    rows = [(rng.choice((None, 1, 2, 3)), rng.choice((None, *map(day, range(0, 200, 9)))), rng.choice((None, 1.0, 2.0))) for _ in range(90)] + [(5, None, 1.0)]
+    got = new_product_sales(spark.createDataFrame(rows, "p int, d date, q double"), "p", "d", "q")
+    first = {p: min((d for x, d, _ in rows if x == p and d), default=None) for p, _, _ in rows}
+    expect = []
+    for scope in ("new", "all"):
+        inside = [(p, d, q) for p, d, q in rows if p and (scope == "all" or d and first[p] <= d < first[p] + dt.timedelta(days=90))]
+        for day_ in {d for _, d, _ in inside}:
+            quantities = [q for _, d, q in inside if d == day_ and q]
+            expect.append((scope, day_, sum(quantities) if quantities else None, len({p for p, d, _ in inside if d == day_})))
+    expect += [("created", d, None, list(first.values()).count(d)) for d in set(first.values())]
+    assert got.columns == ["scope", "d", "quantity", "products"]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(expect, key=repr)
+    assert "Join" not in plan_of(got) and "distinct" not in plan_of(got).lower()
