@@ -88,6 +88,8 @@ def exact_ntile(df: DataFrame, n: int, order: Sequence[Column | str], partition_
     (or with ``distributed``) by selection: the last row of each bucket is found as the value at its rank, then as the
     tie-breaker at its rank among the rows of that value; a row's bucket follows from comparing it with these n - 1 rows. The
     table is written once, as it is read several times, and never sorted."""
+    if n == 1:  # no bucket ends before the last row
+        return df.withColumn(name, F.lit(1))
     value, tie = (F.col(o) if isinstance(o, str) else o for o in order)
     if distributed is None:
         distributed = estimated_bytes(df) > ONE_TASK_BYTES

@@ -297,3 +297,9 @@ def test_new_product_sales_add_up_days_first(spark):
     assert got.columns == ["scope", "d", "quantity", "products"]
     assert sorted(map(tuple, got.collect()), key=repr) == sorted(expect, key=repr)
     assert "Join" not in plan_of(got) and "distinct" not in plan_of(got).lower()
+
+
+def test_one_bucket_has_no_edges(spark):
+    df = spark.createDataFrame([(1, None), (2, 1), (2, 2)], "g int, v int")
+    for groups in ([], ["g"]):
+        assert [r["b"] for r in exact_ntile(df, 1, ["v", "g"], groups, name="b", distributed=True).collect()] == [1, 1, 1]
