@@ -95,3 +95,53 @@ def test_order_is_total_and_fragments_are_cuts_of_it():
     out, _ = order.sort(ids, np.zeros(500, np.int64))
     assert sorted(out.tolist()) == ids.tolist()
     assert (np.diff(order.fragment(out)) >= 0).all() and set(order.fragment(out)) == set(range(J.FRAGMENTS))
+
+
+def test_unrelated_texts_of_few_words_are_not_spread(docs_of, monkeypatch):
+    """Texts that share single shingles with many others, but no more, are written once each, not once for each shingle."""
+    rng = random.Random(3)
+    rows = [(k, " ".join(rng.choice("abcdefgh") for _ in range(rng.randint(60, 90)))) for k in range(200)]
+    written, saved = [], J.saved
+    monkeypatch.setattr(J, "saved", lambda df, name: (written.append(saved(df, name)), written[-1])[1])
+    assert got(J.jaccard_components(docs_of(rows))) == brute(rows)
+    assert sum(w.count() for w in written) < 3 * len(rows)
+
+
+@pytest.mark.parametrize("percent", [90, 60])
+def test_linked_sets_share_a_mark_and_sketches_differ_no_more_than_sets(percent):
+    rng = np.random.default_rng(percent)
+    for n in [*range(1, 60), 90, 333, 2500, 5000]:
+        base = np.unique(rng.integers(0, 1 << 64, 2 * n + 2, np.uint64))
+        a, (out, new) = base[:n], np.sort(rng.integers(0, n // 2 + 1, 2))
+        b = np.sort(np.concatenate([a[:n - out], base[n:n + new - out]]))  # fewer, equally many or more
+        if not len(b):
+            continue
+        sets = [np.sort(a), b]
+        ids, doc, size = np.concatenate(sets), np.repeat([0, 1], [len(a), len(b)]), np.array([len(a), len(b)])
+        marks, many = J._marks(ids, doc, size, percent)
+        common = len(np.intersect1d(*sets))
+        if common < len(a) + len(b) - common and 100 * common >= percent * (len(a) + len(b) - common):
+            assert np.intersect1d(marks[:many[0]], marks[many[0]:]).size
+        data, length = J._sketches(ids, doc, size)
+        raw = data.tobytes()
+        assert 0 <= J._differing([raw[:length[0]], raw[length[0]:]])[0, 1] <= len(a) + len(b) - 2 * common
+
+
+def test_shared_marks_are_found_across_batches():
+    rows = [(1, 5), (2, 1), (2, 1), (2, 3), (3, 4), (3, 4), (4, 1), (4, 2), (4, 6), (5, 9), (6, 1), (6, 2)]
+    for size in range(1, 13):
+        batches = [J.pa.record_batch([J.pa.array([r[k] for r in rows[at:at + size]], J.pa.int64()) for k in (0, 1)], names=["token", "sig"]) for at in range(0, len(rows), size)]
+        found = [tuple(r.values()) for b in J._shared(iter(batches)) for r in b.to_pylist()]
+        assert found == [(2, 1), (2, 3), (4, 1), (4, 2), (4, 6), (6, 1), (6, 2)]
+    assert list(J._shared(iter([]))) == []
+
+
+def test_sieve_lets_all_wanted_texts_through(spark, monkeypatch):
+    monkeypatch.setattr(J, "SIEVE", 128)
+    keys = [-1, 0, 63, 64, -(1 << 63), 12345678901]
+    table = J._sieve(spark.createDataFrame([(k,) for k in keys], "key long"))
+    assert len(table) == 2
+    texts = J.pa.record_batch([J.pa.array([*keys, 7]), J.pa.array([str(k).encode() for k in [*keys, 7]])], names=["key", "text"])
+    out = next(J._packed(type("Sent", (), {"value": table}))(iter([texts])))
+    assert out.column(0).to_pylist() == keys
+    assert not J._sieve(spark.createDataFrame([], "key long")).any()
