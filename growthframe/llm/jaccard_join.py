@@ -124,7 +124,7 @@ def frequent(docs: DataFrame, width: int) -> DataFrame:
     """``(token, n)``: the shingles that most texts hold, about; at most ``FREQUENT`` of them.
 
     Tasks send what they meet in two texts or more of a chunk. Only the global order rests on the counts: any order gives
-    the same links, one with frequent shingles last gives few candidates."""
+    the same links."""
 
     def counted(parts: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         if parts:
