@@ -134,3 +134,18 @@ def test_short_last_part_of_a_batch(docs_of, monkeypatch):
     rows += [(100 + k, rows[k][1] + rows[k + 1][1]) for k in range(30)]
     got = remove_repeats(docs_of(rows)).select("id", "n_bytes", "n_removed", F.size("spans"), F.sha2("kept", 256)).collect()
     assert sorted(map(tuple, got), key=repr) == brute_bytes(rows)
+
+
+def test_passages_of_over_50_words_go_from_400_bytes_on(docs_of):
+    rng = random.Random(8)
+    prose = lambda n: " ".join("".join(rng.choices("abcdefgh", k=rng.randint(1, 9))) for _ in range(n))
+    passages = [prose(51 + k) for k in range(40)] + [prose(90)[:n] for n in (398, 399, 400, 401)]
+    assert all(len(p.split()) > 50 for p in passages) and sum(len(p) < 400 for p in passages) > 9
+    # other separators in the other text, so that the passage alone is repeated
+    rows = [(2 * k + j, prose(90) + "\n\r"[j] + p + "\t\v"[j] + prose(60)) for k, p in enumerate(passages) for j in range(2)]
+    rows += [(1000 + k, prose(rng.randint(1, 250))) for k in range(60)]
+    got = remove_repeats(docs_of(rows)).select("id", "n_bytes", "n_removed", F.size("spans"), F.sha2("kept", 256)).collect()
+    removed = {r["id"]: r["n_removed"] for r in got}
+    assert [removed[k] for k in range(2 * len(passages))] == [len(p) if len(p) >= 400 else 0 for p in passages for _ in range(2)]
+    assert all(removed[1000 + k] == 0 for k in range(60))
+    assert sorted(map(tuple, got), key=repr) == brute_bytes(rows)
